@@ -149,6 +149,20 @@ def with_strategy(df: DataFrame, strategy: str | None) -> DataFrame:
     return df.hint(names[strategy])
 
 
+def hinted_join(left: DataFrame, right: DataFrame, on, how: str, strategy: str | None,
+                max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Join with a chosen strategy (hint on the right side).
+
+    ``broadcast`` is honoured only after the right side's row count is checked
+    against ``max_broadcast_rows``; above it the join falls back to a sort
+    merge join, which scales with the data.
+    """
+    if strategy == "broadcast":
+        n = right.count()
+        strategy = "broadcast" if n <= max_broadcast_rows else "merge"
+    return left.join(with_strategy(right, strategy), on, how)
+
+
 def enrich(child: DataFrame, parent: DataFrame, fk: dict, cols: Sequence[str],
            check_count: bool = False) -> DataFrame:
     """Pull ``cols`` from the parent over a foreign key (inner join).

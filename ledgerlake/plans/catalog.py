@@ -28,3 +28,321 @@ def query(name: str):
 @query("sales_report")
 def sales_report(spark, d):
     return R.sales_report(domain.goods(spark, d), domain.sales(spark, d))
+
+
+def _t(spark, d, name):
+    return load(spark, d, name)
+
+
+# ------------------------------------------------------------------ joins (J)
+@query("inner_on")
+def inner_on(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    return o.join(c, o.o_custkey == c.c_custkey, "inner")
+
+
+@query("inner_natural")
+def inner_natural(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    c = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return R.natural_join(o, c, expect=["o_custkey"])
+
+
+@query("inner_comma")
+def inner_comma(spark, d):
+    o, c, n = (_t(spark, d, x) for x in ("orders", "customer", "nation"))
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    return j.select("o_orderkey", "c_name", "n_name")
+
+
+@query("semi_orders")
+def semi_orders(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return R.semi(o, _t(spark, d, "lineitem"), {"o_orderkey": "l_orderkey"})
+
+
+@query("anti_orders")
+def anti_orders(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return R.anti(o, _t(spark, d, "lineitem"), {"o_orderkey": "l_orderkey"})
+
+
+@query("left_default")
+def left_default(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey")
+    last = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    j = R.left_with_default(o, last, {"o_orderkey": "l_orderkey"}, "last_ship", "not shipped yet!",
+                            "last_ship_text")
+    return j.select("o_orderkey", "last_ship_text")
+
+
+def _boarding(li):
+    """Lines as boarding passes: boarding_time is NULL for open lines."""
+    return li.select("l_orderkey", "l_linenumber",
+                     F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("boarding_time"))
+
+
+@query("null_after_left")
+def null_after_left(spark, d):
+    o = _t(spark, d, "orders").where(F.col("o_orderstatus") == "P").select("o_orderkey")
+    b = _boarding(_t(spark, d, "lineitem"))
+    j = o.join(b, o.o_orderkey == b.l_orderkey, "left")
+    return j.where(F.col("boarding_time").isNull()).select("o_orderkey", "l_linenumber")
+
+
+@query("right_join")
+def right_join(spark, d):
+    n = _t(spark, d, "nation").where(F.col("n_name") >= "M")
+    r = _t(spark, d, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey, "right").select("n_name", "r_name")
+
+
+@query("cross_count")
+def cross_count(spark, d):
+    return R.cross_count(_t(spark, d, "customer"), _t(spark, d, "nation"))
+
+
+@query("full_compare")
+def full_compare(spark, d):
+    pairs = _t(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    return R.full_compare(pairs, "l_suppkey", 1, 2, "l_partkey", ["l_partkey"])
+
+
+@query("lateral_lookup")
+def lateral_lookup(spark, d):
+    o = _t(spark, d, "orders").alias("o")
+    c = _t(spark, d, "customer")
+    sub = c.where(F.col("c_custkey") == F.col("o.o_custkey").outer()).select("c_name", "c_mktsegment")
+    return o.lateralJoin(sub).select("o_orderkey", "c_name", "c_mktsegment")
+
+
+@query("boarding_call")
+def boarding_call(spark, d):
+    f = _t(spark, d, "orders").where(F.col("o_orderstatus") == "P")
+    s = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    bp = _boarding(_t(spark, d, "lineitem").where(F.col("l_returnflag") == "N")).select(
+        F.col("l_orderkey").alias("bp_orderkey"), F.col("l_linenumber").alias("bp_linenumber"),
+        "boarding_time")
+    j = (f.join(s, s.l_orderkey == f.o_orderkey)
+         .join(c, c.c_custkey == f.o_custkey)
+         .join(bp, (bp.bp_orderkey == s.l_orderkey) & (bp.bp_linenumber == s.l_linenumber), "left")
+         .where(F.col("boarding_time").isNull()))
+    j = R.sort(j, [("o_orderdate", "desc")])
+    return j.select("c_custkey", "c_name", "l_orderkey", "l_linenumber",
+                    F.coalesce(F.date_format("boarding_time", "yyyy-MM-dd HH:mm:ss"),
+                               F.lit("not boarded yet!")).alias("boarding"))
+
+
+@query("join_strategies")
+def join_strategies(spark, d):
+    """The same join under each strategy gives the same rows."""
+    out = None
+    for strategy in ("broadcast", "merge", "shuffle_hash"):
+        li = _t(spark, d, "lineitem").select("l_orderkey", "l_extendedprice")
+        o = _t(spark, d, "orders").select("o_orderkey")
+        j = R.hinted_join(li, o, li.l_orderkey == o.o_orderkey, "inner", strategy)
+        agg = j.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"))
+        agg = agg.select(F.lit(strategy).alias("strategy"), "n", "revenue")
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
+# ------------------------------------------------------------------ filters (P)
+@query("point")
+def point(spark, d):
+    return R.point_lookup(_t(spark, d, "customer"), "c_name", "Customer#000000042")
+
+
+@query("prefix")
+def prefix(spark, d):
+    return R.prefix_search(_t(spark, d, "customer"), "c_name", "Customer#0000001")
+
+
+@query("infix")
+def infix(spark, d):
+    return R.substring_search(_t(spark, d, "documents"), "text", "mentoi").select("doc_id", "lang")
+
+
+@query("ci_match")
+def ci_match(spark, d):
+    return R.ci_lookup(_t(spark, d, "customer"), "c_name", "customer#000000042")
+
+
+@query("compound")
+def compound(spark, d):
+    o = _t(spark, d, "orders")
+    return o.where((F.col("o_orderstatus") == "F")
+                   & (F.col("o_orderdate") > F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"))
+                   & (F.col("o_orderdate") < F.lit("1996-03-01 00:00:00").cast("timestamp_ntz")))
+
+
+@query("between_day")
+def between_day(spark, d):
+    o = _t(spark, d, "orders")
+    lo = F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit("1996-01-05 00:00:00").cast("timestamp_ntz")
+    return o.where(F.col("o_orderdate").between(lo, hi))
+
+
+@query("in_list")
+def in_list(spark, d):
+    return R.in_list(_t(spark, d, "orders"), "o_orderpriority", ["1-URGENT", "2-HIGH"]) \
+        .select("o_orderkey", "o_orderpriority")
+
+
+@query("regex_out")
+def regex_out(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "source", "lang")
+    return R.regex_exclude(docs, "source", "^src1").where(F.col("lang") != "en")
+
+
+@query("distinct_status")
+def distinct_status(spark, d):
+    return _t(spark, d, "orders").select("o_orderstatus").distinct()
+
+
+@query("distinct_pairs")
+def distinct_pairs(spark, d):
+    return _t(spark, d, "orders").select("o_orderstatus", "o_orderpriority").distinct()
+
+
+@query("top_orders")
+def top_orders(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return R.top(o, 10, [("o_totalprice", "desc"), "o_orderkey"])
+
+
+@query("except_days")
+def except_days(spark, d):
+    a = _t(spark, d, "orders").select(F.to_date("o_orderdate").alias("d"))
+    b = _t(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("d"))
+    return R.except_distinct(a, b)
+
+
+@query("minus_alias")
+def minus_alias(spark, d):
+    o = _t(spark, d, "orders")
+    c = _t(spark, d, "customer")
+    return spark.sql("SELECT o_custkey AS k FROM {o} MINUS "
+                     "SELECT c_custkey AS k FROM {c} WHERE c_mktsegment = 'BUILDING'", o=o, c=c)
+
+
+@query("bounds")
+def bounds(spark, d):
+    return R.bounds(_t(spark, d, "orders"), "o_orderdate")
+
+
+@query("joined_length")
+def joined_length(spark, d):
+    c = _t(spark, d, "customer")
+    return R.joined_length(c, F.concat(F.col("c_custkey").cast("string"), F.col("c_name")))
+
+
+@query("profile_rows")
+def profile_rows(spark, d):
+    c = _t(spark, d, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    return R.table_profile(c, ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+                           {"name_bytes": F.sum(F.length("c_name"))})
+
+
+@query("cte_chain")
+def cte_chain(spark, d):
+    names = R.regex_exclude(_t(spark, d, "customer").select("c_name", "c_mktsegment"),
+                            "c_mktsegment", "^AUTO").where(F.col("c_mktsegment") != "BUILDING")
+    return names.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ scalar (F)
+@query("size_pretty")
+def size_pretty_q(spark, d):
+    from ledgerlake.functions.scalar import size_pretty
+    o = _t(spark, d, "orders")
+    b = (F.round("o_totalprice").cast("long") * F.col("o_orderkey"))
+    return o.select("o_orderkey", b.alias("bytes"), size_pretty(b).alias("pretty"))
+
+
+@query("day_trunc")
+def day_trunc(spark, d):
+    from ledgerlake.functions.scalar import day
+    return (_t(spark, d, "orders").groupBy(day("o_orderdate").alias("day"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("case_nullif")
+def case_nullif(spark, d):
+    from ledgerlake.functions.scalar import ratio_pct
+    o = _t(spark, d, "orders")
+    state = (F.when(F.col("o_orderstatus") == "F", "finished")
+             .when(F.col("o_orderstatus") == "O", "open").otherwise("other"))
+    g = o.groupBy("o_orderpriority").agg(
+        F.sum(F.when(state == "finished", 1).otherwise(0)).cast("long").alias("finished"),
+        F.sum(F.when(state != "finished", 1).otherwise(0)).cast("long").alias("unfinished"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("_total"))
+    return g.select("o_orderpriority", "finished", "unfinished",
+                    ratio_pct("finished", "unfinished").alias("pct"),
+                    (F.col("_total") / F.nullif(F.col("finished"), F.lit(0))).cast("decimal(18,2)")
+                    .alias("per_finished"))
+
+
+@query("series_md5")
+def series_md5(spark, d):
+    from ledgerlake.sources.tables import series
+    n = _t(spark, d, "orders").count()
+    s = series(spark, 1, n)
+    return s.select("i", F.md5(F.col("i").cast("string")).alias("h"))
+
+
+# ------------------------------------------------------------------ DML (T)
+@query("update_where")
+def update_where(spark, d):
+    from ledgerlake.operators.dml import update
+    o = _t(spark, d, "orders")
+    pred = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 300000)
+    return update(o, pred, {"o_orderstatus": F.lit("F"), "o_orderpriority": F.lit("1-URGENT")})
+
+
+@query("bulk_rewrite")
+def bulk_rewrite(spark, d):
+    from ledgerlake.operators.dml import repeat_update
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    return repeat_update(o, "o_orderpriority", "x", 20)
+
+
+@query("update_from")
+def update_from(spark, d):
+    from ledgerlake.operators.dml import add_column, update_from as upd
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    o = add_column(add_column(o, "n_lines", "bigint"), "total_qty", "bigint")
+    src = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("int")).cast("long").alias("q"))
+    return upd(o, src, {"o_orderkey": "l_orderkey"}, {"n_lines": "n", "total_qty": "q"})
+
+
+@query("delete_where")
+def delete_where(spark, d):
+    from ledgerlake.operators.dml import delete
+    o = _t(spark, d, "orders")
+    return delete(o, (F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 100000))
+
+
+@query("merge_clauses")
+def merge_clauses(spark, d):
+    from ledgerlake.operators.dml import Clause, merge
+    t = (_t(spark, d, "customer").where(F.col("c_mktsegment") != "BUILDING")
+         .select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"),
+                 "c_mktsegment"))
+    s = (_t(spark, d, "orders").where(F.col("o_orderstatus") == "F").groupBy("o_custkey")
+         .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("delta"),
+              F.count(F.lit(1)).alias("n")))
+    clauses = [
+        Clause("matched", "delete", F.col("src_n") >= 8),
+        Clause("matched", "update", None, {"c_acctbal": F.col("c_acctbal") + F.col("src_delta")}),
+        Clause("not_matched", "insert", None, {"c_custkey": F.col("src_o_custkey"),
+                                               "c_name": F.lit("new customer"),
+                                               "c_acctbal": F.col("src_delta"),
+                                               "c_mktsegment": F.lit("BUILDING")}),
+    ]
+    return merge(t, s, {"c_custkey": "o_custkey"}, clauses)

@@ -12,3 +12,204 @@ SELECT p.p_name AS good_name,
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
 GROUP BY p.p_name
 """
+
+ORACLE["inner_on"] = """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_custkey, c.c_name
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+
+ORACLE["inner_natural"] = """
+SELECT o_custkey, o_orderkey, o_orderstatus, c_name, c_mktsegment
+FROM (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders) o
+NATURAL JOIN (SELECT c_custkey AS o_custkey, c_name, c_mktsegment FROM customer) c
+"""
+
+ORACLE["inner_comma"] = """
+SELECT o_orderkey, c_name, n_name FROM orders, customer, nation
+WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey
+"""
+
+ORACLE["semi_orders"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+"""
+
+ORACLE["anti_orders"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+"""
+
+ORACLE["left_default"] = """
+SELECT o.o_orderkey, COALESCE(strftime(l.last_ship, '%Y-%m-%d %H:%M:%S'), 'not shipped yet!') AS last_ship_text
+FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) l
+  ON o.o_orderkey = l.l_orderkey
+"""
+
+ORACLE["null_after_left"] = """
+SELECT o.o_orderkey, b.l_linenumber
+FROM orders o LEFT JOIN (SELECT l_orderkey, l_linenumber,
+                                CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS boarding_time
+                         FROM lineitem) b ON o.o_orderkey = b.l_orderkey
+WHERE o.o_orderstatus = 'P' AND b.boarding_time IS NULL
+"""
+
+ORACLE["right_join"] = """
+SELECT n.n_name, r.r_name
+FROM (SELECT * FROM nation WHERE n_name >= 'M') n RIGHT JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+ORACLE["cross_count"] = "SELECT count(*) AS n FROM customer CROSS JOIN nation"
+
+ORACLE["full_compare"] = """
+SELECT a.l_partkey AS a_l_partkey, b.l_partkey AS b_l_partkey
+FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_suppkey = 1) a
+FULL JOIN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_suppkey = 2) b ON a.l_partkey = b.l_partkey
+"""
+
+ORACLE["lateral_lookup"] = """
+SELECT o.o_orderkey, t.c_name, t.c_mktsegment
+FROM orders o JOIN LATERAL (SELECT c_name, c_mktsegment FROM customer c WHERE c.c_custkey = o.o_custkey) t ON true
+"""
+
+ORACLE["boarding_call"] = """
+SELECT t.c_custkey, t.c_name, s.l_orderkey, s.l_linenumber,
+       COALESCE(strftime(bp.boarding_time, '%Y-%m-%d %H:%M:%S'), 'not boarded yet!') AS boarding
+FROM orders f
+JOIN lineitem s ON s.l_orderkey = f.o_orderkey
+JOIN LATERAL (SELECT c_custkey, c_name FROM customer WHERE c_custkey = f.o_custkey) t ON true
+LEFT JOIN (SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS boarding_time
+           FROM lineitem WHERE l_returnflag = 'N') bp
+  ON bp.l_orderkey = s.l_orderkey AND bp.l_linenumber = s.l_linenumber
+WHERE f.o_orderstatus = 'P' AND bp.boarding_time IS NULL
+ORDER BY f.o_orderdate DESC
+"""
+
+ORACLE["join_strategies"] = """
+SELECT s.strategy, count(*) AS n,
+       CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+CROSS JOIN (VALUES ('broadcast'), ('merge'), ('shuffle_hash')) s(strategy)
+GROUP BY s.strategy
+"""
+
+ORACLE["point"] = "SELECT * FROM customer WHERE c_name = 'Customer#000000042'"
+ORACLE["prefix"] = "SELECT * FROM customer WHERE c_name LIKE 'Customer#0000001%'"
+ORACLE["infix"] = "SELECT doc_id, lang FROM documents WHERE text LIKE '%mentoi%'"
+ORACLE["ci_match"] = "SELECT * FROM customer WHERE upper(c_name) = upper('customer#000000042')"
+ORACLE["compound"] = """
+SELECT * FROM orders WHERE o_orderstatus = 'F'
+  AND o_orderdate > TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1996-03-01 00:00:00'
+"""
+ORACLE["between_day"] = """
+SELECT * FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-01-05 00:00:00'
+"""
+ORACLE["in_list"] = "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"
+ORACLE["regex_out"] = """
+SELECT doc_id, source, lang FROM documents WHERE NOT regexp_matches(source, '^src1') AND lang <> 'en'
+"""
+ORACLE["distinct_status"] = "SELECT DISTINCT o_orderstatus FROM orders"
+ORACLE["distinct_pairs"] = "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders"
+ORACLE["top_orders"] = """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey LIMIT 10
+"""
+ORACLE["except_days"] = """
+SELECT CAST(o_orderdate AS DATE) AS d FROM orders EXCEPT SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem
+"""
+ORACLE["minus_alias"] = """
+SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+ORACLE["bounds"] = "SELECT min(o_orderdate) AS min_o_orderdate, max(o_orderdate) AS max_o_orderdate FROM orders"
+ORACLE["joined_length"] = """
+SELECT CAST(length(string_agg(CAST(c_custkey AS VARCHAR) || c_name, ',')) AS BIGINT) AS joined_length FROM customer
+"""
+
+
+def _row_text_sql(cols):
+    parts = []
+    for c in cols:
+        v = f"CAST({c} AS VARCHAR)"
+        q = (f"CASE WHEN regexp_matches({v}, '(^$)|[\\s,()\"\\\\]') "
+             f"THEN '\"' || replace(replace({v}, '\\\\', '\\\\\\\\'), '\"', '\"\"') || '\"' ELSE {v} END")
+        parts.append(f"COALESCE({q}, '')")
+    return "'(' || concat_ws(',', " + ", ".join(parts) + ") || ')'"
+
+
+ORACLE["profile_rows"] = f"""
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment
+           FROM customer),
+x AS (SELECT count(*) AS ct,
+             CAST(sum(length({_row_text_sql(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'])})) AS BIGINT) AS txt_len,
+             CAST(sum(length(c_name)) AS BIGINT) AS name_bytes
+      FROM c)
+SELECT 'live_rows_in_text_representation' AS metric, txt_len AS bytes, {size_pretty_sql('txt_len')} AS bytes_pretty,
+       CAST(txt_len // NULLIF(ct, 0) AS BIGINT) AS bytes_per_row FROM x
+UNION ALL
+SELECT 'name_bytes', name_bytes, {size_pretty_sql('name_bytes')}, CAST(name_bytes // NULLIF(ct, 0) AS BIGINT) FROM x
+UNION ALL
+SELECT 'row_count', ct, NULL, NULL FROM x
+"""
+
+ORACLE["cte_chain"] = """
+WITH names AS (SELECT c_name, c_mktsegment FROM customer
+               WHERE NOT regexp_matches(c_mktsegment, '^AUTO') AND c_mktsegment <> 'BUILDING')
+SELECT c_mktsegment, count(*) AS n FROM names GROUP BY c_mktsegment
+"""
+
+ORACLE["size_pretty"] = f"""
+SELECT o_orderkey, bytes, {size_pretty_sql('bytes')} AS pretty
+FROM (SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) * o_orderkey AS bytes FROM orders)
+"""
+
+ORACLE["day_trunc"] = """
+SELECT CAST(date_trunc('day', o_orderdate) AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1
+"""
+
+ORACLE["case_nullif"] = """
+WITH g AS (
+  SELECT o_orderpriority,
+         CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS finished,
+         CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS BIGINT) AS unfinished,
+         sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
+  FROM orders GROUP BY o_orderpriority)
+SELECT o_orderpriority, finished, unfinished, CAST((100 * finished) // (unfinished + 1) AS DOUBLE) AS pct,
+       CAST(total / NULLIF(finished, 0) AS DECIMAL(18,2)) AS per_finished
+FROM g
+"""
+
+ORACLE["series_md5"] = """
+SELECT i, md5(CAST(i AS VARCHAR)) AS h FROM range(1, (SELECT count(*) FROM orders) + 1) t(i)
+"""
+
+ORACLE["update_where"] = """
+SELECT o_orderkey, o_custkey,
+       CASE WHEN o_orderstatus = 'P' AND o_totalprice > 300000 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate,
+       CASE WHEN o_orderstatus = 'P' AND o_totalprice > 300000 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+"""
+
+ORACLE["bulk_rewrite"] = "SELECT o_orderkey, o_orderpriority || repeat('x', 20) AS o_orderpriority FROM orders"
+
+ORACLE["update_from"] = """
+SELECT o.o_orderkey, o.o_orderstatus, l.n AS n_lines, l.q AS total_qty
+FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS q
+                         FROM lineitem GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
+"""
+
+ORACLE["delete_where"] = """
+SELECT * FROM orders WHERE NOT COALESCE(o_orderpriority = '5-LOW' AND o_totalprice < 100000, false)
+"""
+
+ORACLE["merge_clauses"] = """
+WITH t AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment
+           FROM customer WHERE c_mktsegment <> 'BUILDING'),
+s AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS delta, count(*) AS n
+      FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
+SELECT COALESCE(t.c_custkey, s.o_custkey) AS c_custkey,
+       CASE WHEN t.c_custkey IS NULL THEN 'new customer' ELSE t.c_name END AS c_name,
+       CAST(CASE WHEN t.c_custkey IS NULL THEN s.delta WHEN s.o_custkey IS NULL THEN t.c_acctbal
+                 ELSE t.c_acctbal + s.delta END AS DECIMAL(18,2)) AS c_acctbal,
+       CASE WHEN t.c_custkey IS NULL THEN 'BUILDING' ELSE t.c_mktsegment END AS c_mktsegment
+FROM t FULL JOIN s ON t.c_custkey = s.o_custkey
+WHERE NOT (t.c_custkey IS NOT NULL AND s.o_custkey IS NOT NULL AND s.n >= 8)
+"""
