@@ -346,3 +346,164 @@ def merge_clauses(spark, d):
                                                "c_mktsegment": F.lit("BUILDING")}),
     ]
     return merge(t, s, {"c_custkey": "o_custkey"}, clauses)
+
+
+# ------------------------------------------------------------------ io (S) and checks (V)
+def _scratch(spark, name):
+    from ledgerlake.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("copy_roundtrip")
+def copy_roundtrip(spark, d):
+    from ledgerlake.schemas import DRIVER
+    from ledgerlake.sources.io import copy_in, copy_out
+    path = copy_out(_t(spark, d, "customer"), _scratch(spark, "copy"))
+    return copy_in(spark, path, DRIVER["customer"])
+
+
+@query("export_restore")
+def export_restore(spark, d):
+    from ledgerlake.sources.io import export_schema, restore
+    path = _scratch(spark, "export")
+    export_schema(spark, {n: _t(spark, d, n) for n in ("customer", "nation", "region")}, path)
+    restored = restore(spark, path, ["customer"])
+    if set(restored) != {"customer"}:
+        raise AssertionError("selective restore brought back other tables")
+    return restored["customer"]
+
+
+@query("table_diff")
+def table_diff_q(spark, d):
+    from ledgerlake.operators.checks import table_diff
+    return table_diff(_t(spark, d, "orders"), update_where(spark, d))
+
+
+@query("rule_violations")
+def rule_violations(spark, d):
+    from ledgerlake.operators.checks import check_rows
+    li = _t(spark, d, "lineitem")
+    rules = {
+        "quantity_positive": F.col("l_quantity") > 0,
+        "discount_range": F.col("l_discount").between(0.0, 0.1),
+        "tax_not_above_discount": F.col("l_tax") <= F.col("l_discount"),
+        "flag_domain": F.col("l_returnflag").isin("A", "N", "R"),
+        "shipped_after_1996": F.col("l_shipdate") >= F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"),
+    }
+    return check_rows(li, rules, ["l_orderkey", "l_linenumber"])
+
+
+@query("dup_keys")
+def dup_keys(spark, d):
+    from ledgerlake.operators.checks import check_unique
+    return check_unique(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("fk_orphans")
+def fk_orphans(spark, d):
+    from ledgerlake.operators.checks import check_fk
+    o, c, li = (_t(spark, d, x) for x in ("orders", "customer", "lineitem"))
+    a = check_fk(o, c, {"o_custkey": "c_custkey"}).select(F.lit("orders_customer").alias("fk"),
+                                                          F.col("o_orderkey").alias("k"))
+    b = check_fk(o, li, {"o_orderkey": "l_orderkey"}).select(F.lit("orders_have_lines").alias("fk"),
+                                                             F.col("o_orderkey").alias("k"))
+    return a.unionByName(b)
+
+
+@query("fingerprints")
+def fingerprints(spark, d):
+    from ledgerlake.operators.checks import fingerprint
+    return fingerprint(_t(spark, d, "orders"), "o_orderstatus")
+
+
+@query("checked_load")
+def checked_load(spark, d):
+    from ledgerlake.operators.checks import assert_counts, is_equal
+    from ledgerlake.sources.versioned import VersionedTable
+    src = _t(spark, d, "customer")
+    t = VersionedTable(spark, _scratch(spark, "checked"))
+    t.commit_if(src, [lambda w: assert_counts(w, src),
+                      lambda w: None if is_equal(w, src) else (_ for _ in ()).throw(ValueError("diff"))])
+    return t.read()
+
+
+@query("migrate_enrich")
+def migrate_enrich(spark, d):
+    from ledgerlake.operators.relational import enrich
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    o = _t(spark, d, "orders")
+    return enrich(li, o, {"l_orderkey": "o_orderkey"}, ["o_orderdate", "o_custkey"], check_count=True)
+
+
+@query("upper_layout")
+def upper_layout(spark, d):
+    from ledgerlake.operators.layout import layout
+    from ledgerlake.operators.relational import ci_lookup
+    c = _t(spark, d, "customer")
+    path = layout(c, ["c_name_upper"], _scratch(spark, "layout"), {"c_name_upper": F.upper("c_name")})
+    stored = spark.read.schema(c.schema.add("c_name_upper", "string")).parquet(path)
+    return ci_lookup(stored, "c_name", "customer#000000042", stored_upper="c_name_upper").drop("c_name_upper")
+
+
+@query("trigram_find")
+def trigram_find(spark, d):
+    from ledgerlake.operators.layout import trigram_search, write_trigram_index
+    docs = _t(spark, d, "documents")
+    path = write_trigram_index(docs, "doc_id", "text", _scratch(spark, "trigram"))
+    index = spark.read.schema("doc_id bigint, tri string").parquet(path)
+    return trigram_search(spark, index, docs, "doc_id", "text", "mentoi").select("doc_id")
+
+
+# ------------------------------------------------------------------ partitions
+def _order_spec():
+    import datetime as dt
+    from ledgerlake.operators.partitions import PartitionSpec
+    bounds = PartitionSpec.monthly(dt.datetime(1995, 1, 1), dt.datetime(2000, 1, 1))
+    return PartitionSpec.range("o_orderdate", bounds, default="p_default")
+
+
+def _orders_partitioned(spark, d):
+    from ledgerlake.operators.partitions import write_partitioned
+    return write_partitioned(spark, _t(spark, d, "orders"), _order_spec(), _scratch(spark, "orders_part"))
+
+
+@query("range_part")
+def range_part(spark, d):
+    return _orders_partitioned(spark, d).read_partition("p1996_03")
+
+
+@query("default_part")
+def default_part(spark, d):
+    return _orders_partitioned(spark, d).read_partition("p_default")
+
+
+@query("pruned_read")
+def pruned_read(spark, d):
+    import datetime as dt
+    t = _orders_partitioned(spark, d)
+    return t.read_pruned(dt.datetime(1996, 3, 15), dt.datetime(1996, 5, 10, 12, 0))
+
+
+@query("moved_rows")
+def moved_rows(spark, d):
+    t = _orders_partitioned(spark, d)
+    where = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+    t.update(where, {"o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS")})
+    return t.read(with_part=True).select("o_orderkey", "o_orderdate", "part")
+
+
+@query("list_part")
+def list_part(spark, d):
+    from ledgerlake.operators.partitions import PartitionSpec, write_partitioned
+    spec = PartitionSpec.list("l_returnflag", {"accepted": ["A"], "none": ["N"], "returned": ["R"]})
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    t = write_partitioned(spark, li, spec, _scratch(spark, "lines_part"))
+    return t.read_partition("returned")
+
+
+@query("hash_part")
+def hash_part(spark, d):
+    from ledgerlake.operators.partitions import PartitionSpec, write_partitioned
+    t = write_partitioned(spark, _t(spark, d, "orders"), PartitionSpec.hash("o_custkey", 10),
+                          _scratch(spark, "orders_hash"))
+    return t.read_key(42)

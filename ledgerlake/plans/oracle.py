@@ -213,3 +213,77 @@ SELECT COALESCE(t.c_custkey, s.o_custkey) AS c_custkey,
 FROM t FULL JOIN s ON t.c_custkey = s.o_custkey
 WHERE NOT (t.c_custkey IS NOT NULL AND s.o_custkey IS NOT NULL AND s.n >= 8)
 """
+
+ORACLE["copy_roundtrip"] = "SELECT * FROM customer"
+ORACLE["export_restore"] = "SELECT * FROM customer"
+ORACLE["checked_load"] = "SELECT * FROM customer"
+
+ORACLE["table_diff"] = """
+WITH a AS (SELECT * FROM orders),
+b AS (SELECT o_orderkey, o_custkey,
+             CASE WHEN o_orderstatus = 'P' AND o_totalprice > 300000 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+             o_totalprice, o_orderdate,
+             CASE WHEN o_orderstatus = 'P' AND o_totalprice > 300000 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority
+      FROM orders),
+u AS (SELECT *, 1 AS na, 0 AS nb FROM a UNION ALL SELECT *, 0, 1 FROM b),
+g AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+             sum(na) AS na, sum(nb) AS nb FROM u GROUP BY ALL)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CASE WHEN na > nb THEN 'a_only' ELSE 'b_only' END AS side, CAST(abs(na - nb) AS BIGINT) AS n
+FROM g WHERE na <> nb
+"""
+
+ORACLE["rule_violations"] = """
+SELECT l_orderkey, l_linenumber, 'quantity_positive' AS rule FROM lineitem WHERE NOT (l_quantity > 0)
+UNION ALL SELECT l_orderkey, l_linenumber, 'discount_range' FROM lineitem WHERE NOT (l_discount BETWEEN 0.0 AND 0.1)
+UNION ALL SELECT l_orderkey, l_linenumber, 'tax_not_above_discount' FROM lineitem WHERE NOT (l_tax <= l_discount)
+UNION ALL SELECT l_orderkey, l_linenumber, 'flag_domain' FROM lineitem WHERE NOT (l_returnflag IN ('A', 'N', 'R'))
+UNION ALL SELECT l_orderkey, l_linenumber, 'shipped_after_1996' FROM lineitem
+          WHERE NOT (l_shipdate >= TIMESTAMP '1996-01-01 00:00:00')
+"""
+
+ORACLE["dup_keys"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+ORACLE["fk_orphans"] = """
+SELECT 'orders_customer' AS fk, o_orderkey AS k FROM orders o
+WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+UNION ALL
+SELECT 'orders_have_lines', o_orderkey FROM orders o
+WHERE o_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+"""
+
+ORACLE["migrate_enrich"] = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, o.o_orderdate, o.o_custkey
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+ORACLE["upper_layout"] = "SELECT * FROM customer WHERE upper(c_name) = upper('customer#000000042')"
+ORACLE["trigram_find"] = "SELECT doc_id FROM documents WHERE text LIKE '%mentoi%'"
+
+ORACLE["range_part"] = """
+SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1996-04-01'
+"""
+ORACLE["default_part"] = """
+SELECT * FROM orders WHERE NOT (o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2000-01-01')
+"""
+ORACLE["pruned_read"] = """
+SELECT * FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-03-15 00:00:00' AND TIMESTAMP '1996-05-10 12:00:00'
+"""
+ORACLE["moved_rows"] = """
+WITH m AS (SELECT o_orderkey,
+                  CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
+                       THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END AS o_orderdate
+           FROM orders)
+SELECT o_orderkey, o_orderdate,
+       CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'
+            THEN 'p' || strftime(o_orderdate, '%Y_%m') ELSE 'p_default' END AS part
+FROM m
+"""
+ORACLE["list_part"] = """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_returnflag = 'R'
+"""
+ORACLE["hash_part"] = "SELECT * FROM orders WHERE o_custkey = 42"
