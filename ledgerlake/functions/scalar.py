@@ -80,11 +80,16 @@ def coalesce_text(c, default: str, fmt: str | None = "yyyy-MM-dd HH:mm:ss") -> C
     return F.coalesce(txt, F.lit(default))
 
 
+def idiv(a, b) -> Column:
+    """Integer division ``a div b`` for a >= 0, b > 0, exact: the remainder is
+    removed first, so the decimal quotient is integral before the cast."""
+    a, b = _c(a).cast("decimal(38,0)"), _c(b).cast("decimal(38,0)")
+    return ((a - F.pmod(a, b)) / b).cast("long")
+
+
 def ratio_pct(part, whole) -> Column:
     """F8: ``trunc(100 * part / (whole + 1))::float`` with integer division first."""
-    num = (F.lit(100) * _c(part)).cast("decimal(38,0)")
-    den = (_c(whole) + F.lit(1)).cast("decimal(38,0)")
-    return (num / den).cast("long").cast("double")
+    return idiv(F.lit(100) * _c(part), _c(whole) + F.lit(1)).cast("double")
 
 
 def day(ts, zone: str | None = None) -> Column:

@@ -507,3 +507,23 @@ def hash_part(spark, d):
     t = write_partitioned(spark, _t(spark, d, "orders"), PartitionSpec.hash("o_custkey", 10),
                           _scratch(spark, "orders_hash"))
     return t.read_key(42)
+
+
+# ------------------------------------------------------------------ mart (M3-M5)
+@query("mart_delta")
+def mart_delta(spark, d):
+    from ledgerlake.operators import mart
+    return mart.mart_apply(spark, domain.mart_log(spark, d), mart.price_history(domain.goods(spark, d)), "delta")
+
+
+@query("mart_exact")
+def mart_exact(spark, d):
+    from ledgerlake.operators import mart
+    return mart.mart_apply(spark, domain.mart_log(spark, d), mart.price_history(domain.goods(spark, d)), "exact")
+
+
+@query("mart_price_change")
+def mart_price_change(spark, d):
+    from ledgerlake.operators import mart
+    prices = mart.price_history(domain.goods(spark, d), domain.price_steps(spark, d))
+    return mart.mart_apply(spark, domain.price_change_log(spark, d), prices, "exact")

@@ -39,3 +39,59 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_partkey").alias("good_id"),
                      F.col("l_quantity").cast("int").alias("sales_qty"),
                      F.col("l_shipdate").alias("sales_time"))
+
+
+# ---------------------------------------------------------------- sales change logs
+PHASE = 2 ** 40
+PRICE_CUTOFF = "1997-01-01 00:00:00"
+
+
+def _change(df: DataFrame, seq, op: str, before=None, after=None) -> DataFrame:
+    img = "struct<good_id:bigint,sales_qty:int>"
+
+    def s(x):
+        if x is None:
+            return F.lit(None).cast(img)
+        return F.struct(x[0].cast("long").alias("good_id"), x[1].cast("int").alias("sales_qty"))
+    return df.select(seq.cast("long").alias("seq"), F.col("l_shipdate").alias("commit_ts"),
+                     F.lit(op).alias("op"),
+                     F.struct(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"))
+                     .alias("key"), s(before).alias("before"), s(after).alias("after"))
+
+
+def mart_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales log over the whole lineitem table, in four phases:
+    0 insert every line; 1 qty + 1 where returnflag A and linenumber 2;
+    2 move to good l_suppkey where linestatus F and linenumber 3;
+    3 delete where returnflag R and linenumber 4."""
+    li = load(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("int")
+    pos = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    upd = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 2)
+    mov = (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 3)
+    dele = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)
+    part = F.col("l_partkey")
+    return (_change(li, pos, "I", after=(part, q))
+            .unionByName(_change(li.where(upd), F.lit(PHASE) + pos, "U", (part, q), (part, q + 1)))
+            .unionByName(_change(li.where(mov), F.lit(2 * PHASE) + pos, "U", (part, q), (F.col("l_suppkey"), q)))
+            .unionByName(_change(li.where(dele), F.lit(3 * PHASE) + pos, "D", before=(part, q))))
+
+
+def price_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert every line at its ship time (seq = epoch seconds), then delete
+    returned lines (returnflag R, linenumber 4) after all inserts."""
+    li = load(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("int")
+    seq = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
+    dele = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)
+    return (_change(li, seq, "I", after=(F.col("l_partkey"), q))
+            .unionByName(_change(li.where(dele), F.lit(PHASE) + F.col("l_orderkey"), "D",
+                                 before=(F.col("l_partkey"), q))))
+
+
+def price_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price rise of 100 for goods with p_size <= 10 from the cutoff on."""
+    p = load(spark, sf_dir, "part").where(F.col("p_size") <= 10)
+    cutoff = F.unix_seconds(F.lit(PRICE_CUTOFF).cast("timestamp"))
+    return p.select(F.col("p_partkey").alias("good_id"), cutoff.alias("seq"),
+                    (F.col("p_retailprice").cast(PRICE) + F.lit(100)).alias("price"))

@@ -287,3 +287,53 @@ ORACLE["list_part"] = """
 SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_returnflag = 'R'
 """
 ORACLE["hash_part"] = "SELECT * FROM orders WHERE o_custkey = 42"
+
+_MART_FINAL = """
+WITH s AS (
+  SELECT CASE WHEN l_linestatus = 'F' AND l_linenumber = 3 THEN l_suppkey ELSE l_partkey END AS good_id,
+         CAST(l_quantity AS INTEGER) + CASE WHEN l_returnflag = 'A' AND l_linenumber = 2 THEN 1 ELSE 0 END AS qty
+  FROM lineitem WHERE NOT (l_returnflag = 'R' AND l_linenumber = 4))
+SELECT p_name AS good_name, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2)) * qty) AS DECIMAL(38,2)) AS sum_sale
+FROM s JOIN part ON p_partkey = good_id GROUP BY p_name
+"""
+ORACLE["mart_delta"] = _MART_FINAL
+ORACLE["mart_exact"] = _MART_FINAL
+
+ORACLE["mart_price_change"] = """
+WITH RECURSIVE
+prices AS (
+  SELECT p_partkey AS good_id, p_name AS name, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
+         CAST(-4611686018427387904 AS BIGINT) AS valid_from,
+         CASE WHEN p_size <= 10 THEN CAST(epoch(TIMESTAMP '1997-01-01 00:00:00') AS BIGINT) END AS valid_to
+  FROM part
+  UNION ALL
+  SELECT p_partkey, p_name, CAST(p_retailprice AS DECIMAL(12,2)) + 100,
+         CAST(epoch(TIMESTAMP '1997-01-01 00:00:00') AS BIGINT), NULL
+  FROM part WHERE p_size <= 10),
+ev AS (
+  SELECT l_partkey AS good_id, CAST(epoch(l_shipdate) AS BIGINT) AS seq, 'ADD' AS kind,
+         CAST(l_quantity AS INTEGER) AS qty FROM lineitem
+  UNION ALL
+  SELECT l_partkey, 1099511627776 + l_orderkey, 'DEL', CAST(l_quantity AS INTEGER)
+  FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 4),
+st AS (
+  SELECT p.name, e.seq * 2 AS o, e.kind, CAST(e.qty * p.price AS DECIMAL(38,2)) AS amt
+  FROM ev e JOIN prices p ON p.good_id = e.good_id AND e.seq >= p.valid_from
+                          AND (p.valid_to IS NULL OR e.seq < p.valid_to)),
+num AS (SELECT name, row_number() OVER (PARTITION BY name ORDER BY o, kind, amt) AS i, kind, amt FROM st),
+fold(name, i, s, present) AS (
+  SELECT DISTINCT name, CAST(0 AS BIGINT), CAST(0 AS DECIMAL(38,2)), false FROM num
+  UNION ALL
+  SELECT f.name, f.i + 1,
+         CAST(CASE WHEN n.kind = 'ADD' THEN f.s + n.amt
+                   WHEN f.present AND f.s = n.amt THEN 0
+                   WHEN f.present AND f.s > n.amt THEN f.s - n.amt
+                   ELSE f.s END AS DECIMAL(38,2)),
+         CASE WHEN n.kind = 'ADD' THEN true
+              WHEN f.present AND f.s = n.amt THEN false
+              ELSE f.present END
+  FROM fold f JOIN num n ON n.name = f.name AND n.i = f.i + 1)
+SELECT name AS good_name, s AS sum_sale
+FROM (SELECT name, s, present, row_number() OVER (PARTITION BY name ORDER BY i DESC) AS rn FROM fold)
+WHERE rn = 1 AND present
+"""
