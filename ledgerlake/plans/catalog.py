@@ -527,3 +527,124 @@ def mart_price_change(spark, d):
     from ledgerlake.operators import mart
     prices = mart.price_history(domain.goods(spark, d), domain.price_steps(spark, d))
     return mart.mart_apply(spark, domain.price_change_log(spark, d), prices, "exact")
+
+
+# ------------------------------------------------------------------ replicas
+AS_OF = "2024-01-15 00:00:00"
+
+
+@query("replica_apply")
+def replica_apply(spark, d):
+    from ledgerlake.operators.changes import apply_changes
+    return apply_changes(domain.account_base(spark, d), domain.event_log(_t(spark, d, "events")))
+
+
+@query("as_of_view")
+def as_of_view(spark, d):
+    from ledgerlake.operators.changes import as_of
+    log = domain.event_log(_t(spark, d, "events"))
+    return as_of(domain.account_base(spark, d), log,
+                 F.col("commit_ts") <= F.lit(AS_OF).cast("timestamp_ntz"))
+
+
+@query("merged_replicas")
+def merged_replicas(spark, d):
+    from ledgerlake.operators.changes import apply_changes, merge_sources
+    ev = _t(spark, d, "events")
+    empty = domain.account_base(spark, d).where(F.lit(False))
+    first = ev.where(F.col("event_type").isin("click", "view"))
+    second = ev.where(~F.col("event_type").isin("click", "view"))
+    return merge_sources({"node1": apply_changes(empty, domain.event_log(first)),
+                          "node2": apply_changes(empty, domain.event_log(second))})
+
+
+@query("publish_diff")
+def publish_diff(spark, d):
+    from ledgerlake.operators.changes import publish
+    ev = _t(spark, d, "events")
+
+    def summary(df):
+        return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"),
+                                         F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(18,2)").alias("total"))
+    before = summary(ev.where((F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+                              & (F.col("event_type") != "error")))
+    after = summary(ev.where(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz")))
+    ch = publish(before, after, ["user_id"])
+    return ch.select("op", "user_id", F.col("before.n").alias("before_n"), F.col("before.total").alias("before_total"),
+                     F.col("after.n").alias("after_n"), F.col("after.total").alias("after_total"))
+
+
+@query("churn")
+def churn(spark, d):
+    from ledgerlake.operators.changes import churn_report
+    return churn_report(domain.event_log(_t(spark, d, "events")))
+
+
+# ------------------------------------------------------------------ ledger (M6)
+def _history(spark, d):
+    ev = _t(spark, d, "events")
+    return ev.select(F.col("user_id").alias("aid"), F.col("event_type").alias("tid"),
+                     F.to_date("ts").cast("string").alias("bid"),
+                     F.col("value").cast("decimal(12,2)").alias("delta"), "ts", "event_id")
+
+
+def _accounts(spark, d):
+    return _t(spark, d, "customer").select(F.col("c_custkey").alias("aid"),
+                                           F.col("c_acctbal").cast("decimal(12,2)").alias("balance"))
+
+
+@query("ledger_balances")
+def ledger_balances(spark, d):
+    from ledgerlake.operators.ledger import ledger_apply
+    lv = ledger_apply(_accounts(spark, d), None, None, _history(spark, d))
+    out = None
+    for level, df in lv.items():
+        x = df.select(F.lit(level).alias("level"), F.col(df.columns[0]).cast("string").alias("id"), "balance")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@query("ledger_running")
+def ledger_running(spark, d):
+    from ledgerlake.operators.ledger import running_balance
+    r = running_balance(_history(spark, d), _accounts(spark, d))
+    return r.select("event_id", F.col("aid").alias("user_id"), "balance")
+
+
+# ------------------------------------------------------------------ reports
+@query("log_volume")
+def log_volume(spark, d):
+    from ledgerlake.operators import reports
+    v = reports.log_volume(reports.wal_samples(_t(spark, d, "events")))
+    return v.drop("source")
+
+
+@query("log_summary")
+def log_summary(spark, d):
+    from ledgerlake.operators import reports
+    v = reports.log_volume(reports.wal_samples(_t(spark, d, "events")))
+    return reports.log_volume_summary(v)
+
+
+@query("checkpoints")
+def checkpoints(spark, d):
+    from ledgerlake.operators import reports
+    return reports.checkpoint_report(reports.checkpoint_lines(_t(spark, d, "events")), 1800)
+
+
+@query("lock_waits")
+def lock_waits(spark, d):
+    from ledgerlake.operators import reports
+    return reports.lock_waits(reports.lock_lines(_t(spark, d, "events")))
+
+
+@query("chains")
+def chains(spark, d):
+    from ledgerlake.operators import reports
+    return reports.blocking_chains(spark, reports.wait_edges(_t(spark, d, "events")))
+
+
+@query("load_report")
+def load_report(spark, d):
+    from ledgerlake.operators import reports
+    return reports.load_report(reports.progress_lines(_t(spark, d, "events")), "click")

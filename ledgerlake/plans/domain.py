@@ -95,3 +95,25 @@ def price_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     cutoff = F.unix_seconds(F.lit(PRICE_CUTOFF).cast("timestamp"))
     return p.select(F.col("p_partkey").alias("good_id"), cutoff.alias("seq"),
                     (F.col("p_retailprice").cast(PRICE) + F.lit(100)).alias("price"))
+
+
+# ---------------------------------------------------------------- replica logs from events
+ACCOUNT = "struct<account_id:bigint>"
+
+
+def account_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replica start: one row per customer (account_id, balance, last_event)."""
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("account_id"), F.col("c_acctbal").cast(PRICE).alias("balance"),
+        F.lit("base").alias("last_event"))
+
+
+def event_log(events: DataFrame) -> DataFrame:
+    """Change log from events: signup = insert, error = delete, others = update
+    of the user's account row (key user_id, after image (balance, last_event))."""
+    from ledgerlake.operators.changes import make_log
+    op = (F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D")
+          .otherwise("U"))
+    return make_log(events, F.col("event_id"), op, {"account_id": F.col("user_id")},
+                    {"balance": F.col("value").cast(PRICE), "last_event": F.col("event_type")},
+                    commit_ts=F.col("ts"))

@@ -337,3 +337,144 @@ SELECT name AS good_name, s AS sum_sale
 FROM (SELECT name, s, present, row_number() OVER (PARTITION BY name ORDER BY i DESC) AS rn FROM fold)
 WHERE rn = 1 AND present
 """
+
+_EVENT_LOG = """
+ch AS (SELECT event_id AS seq, ts AS commit_ts, user_id AS account_id,
+              CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
+              CAST(value AS DECIMAL(12,2)) AS balance, event_type AS last_event FROM events {where})"""
+
+
+def _replica(where="", base=True):
+    base_sql = ("SELECT c_custkey AS account_id, CAST(c_acctbal AS DECIMAL(12,2)) AS balance, 'base' AS last_event "
+                "FROM customer")
+    out = f"""
+WITH {_EVENT_LOG.format(where=where)},
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY seq DESC) AS rn FROM ch)
+           WHERE rn = 1)
+"""
+    if base:
+        out += f"""SELECT account_id, balance, last_event FROM ({base_sql}) b
+WHERE account_id NOT IN (SELECT account_id FROM latest)
+UNION ALL """
+    return out + "SELECT account_id, balance, last_event FROM latest WHERE op <> 'D'"
+
+
+ORACLE["replica_apply"] = _replica()
+ORACLE["as_of_view"] = _replica("WHERE ts <= TIMESTAMP '2024-01-15 00:00:00'")
+ORACLE["merged_replicas"] = (
+    "SELECT 'node1' AS source, * FROM (" + _replica("WHERE event_type IN ('click', 'view')", False) + ")\n"
+    "UNION ALL SELECT 'node2' AS source, * FROM ("
+    + _replica("WHERE event_type NOT IN ('click', 'view')", False) + ")")
+
+ORACLE["publish_diff"] = """
+WITH b AS (SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total
+           FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'error' GROUP BY user_id),
+a AS (SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total
+      FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY user_id)
+SELECT CASE WHEN b.user_id IS NULL THEN 'I' WHEN a.user_id IS NULL THEN 'D' ELSE 'U' END AS op,
+       COALESCE(b.user_id, a.user_id) AS user_id, b.n AS before_n, b.total AS before_total,
+       a.n AS after_n, a.total AS after_total
+FROM b FULL JOIN a ON a.user_id = b.user_id
+WHERE b.user_id IS NULL OR a.user_id IS NULL OR b.n IS DISTINCT FROM a.n OR b.total IS DISTINCT FROM a.total
+"""
+
+ORACLE["churn"] = f"""
+WITH {_EVENT_LOG.format(where="")},
+latest AS (SELECT account_id, arg_max(op, seq) AS op FROM ch GROUP BY account_id),
+x AS (SELECT (SELECT count(*) FROM ch) AS changes,
+             (SELECT count(*) FROM ch WHERE op IN ('U', 'D')) AS dead,
+             (SELECT count(*) FROM latest WHERE op <> 'D') AS live)
+SELECT changes, dead, live, CAST((100 * dead) // (live + 1) AS DOUBLE) AS dead_pct FROM x
+"""
+
+ORACLE["ledger_balances"] = """
+SELECT 'account' AS level, CAST(c_custkey AS VARCHAR) AS id,
+       CAST(CAST(c_acctbal AS DECIMAL(12,2)) + COALESCE(h.d, 0) AS DECIMAL(38,2)) AS balance
+FROM customer FULL JOIN (SELECT user_id, sum(CAST(value AS DECIMAL(12,2))) AS d FROM events GROUP BY user_id) h
+  ON h.user_id = c_custkey
+UNION ALL
+SELECT 'teller', event_type, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(38,2)) FROM events GROUP BY event_type
+UNION ALL
+SELECT 'branch', CAST(CAST(ts AS DATE) AS VARCHAR), CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(38,2))
+FROM events GROUP BY CAST(ts AS DATE)
+"""
+
+ORACLE["ledger_running"] = """
+SELECT e.event_id, e.user_id,
+       CAST(COALESCE(CAST(c.c_acctbal AS DECIMAL(12,2)), 0)
+            + sum(CAST(e.value AS DECIMAL(12,2))) OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id
+                                                         ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,2)) AS balance
+FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
+"""
+
+_VOLUME = f"""
+m AS (SELECT date_trunc('minute', ts) AS sample_ts, CAST(sum(length(props)) * 8192 AS BIGINT) AS b
+      FROM events GROUP BY 1),
+c AS (SELECT sample_ts, CAST(sum(b) OVER (ORDER BY sample_ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS lsn FROM m),
+l AS (SELECT sample_ts, printf('%X/%X', lsn >> 32, lsn & 4294967295) AS lsn_position,
+             lsn - lag(lsn) OVER (ORDER BY sample_ts) AS wal_bytes_since_previous,
+             date_diff('second', lag(sample_ts) OVER (ORDER BY sample_ts), sample_ts) AS seconds_since_previous
+      FROM c),
+v AS (SELECT sample_ts, lsn_position, wal_bytes_since_previous,
+             {size_pretty_sql('wal_bytes_since_previous')} AS wal_size_since_previous,
+             wal_bytes_since_previous // seconds_since_previous AS bytes_per_second,
+             {size_pretty_sql('wal_bytes_since_previous // seconds_since_previous')} || '/s' AS rate_pretty,
+             seconds_since_previous FROM l)"""
+
+ORACLE["log_volume"] = f"WITH {_VOLUME} SELECT * FROM v"
+
+ORACLE["log_summary"] = f"""
+WITH {_VOLUME},
+w("window", secs) AS (VALUES ('Last 5 minutes', 300), ('Last 10 minutes', 600), ('Last hour', 3600),
+                           ('Last day', 86400)),
+g AS (SELECT w."window", w.secs, count(v.sample_ts) AS samples, CAST(sum(v.wal_bytes_since_previous) AS BIGINT) AS total
+      FROM w LEFT JOIN v ON date_diff('second', v.sample_ts, (SELECT max(sample_ts) FROM v)) < w.secs
+      GROUP BY w."window", w.secs)
+SELECT "window", samples, {size_pretty_sql('total')} AS total_wal_size,
+       {size_pretty_sql('total // samples')} AS avg_wal_per_minute,
+       {size_pretty_sql('total // secs')} || '/s' AS avg_rate
+FROM g
+"""
+
+ORACLE["checkpoints"] = """
+WITH c AS (SELECT date_trunc('millisecond', ts) AS ts, CAST(floor(value) AS BIGINT) AS buffers,
+                  CAST(floor(value * 100) AS BIGINT) AS distance_kb
+           FROM events WHERE event_type = 'purchase'),
+l AS (SELECT *, epoch_ms(ts) - epoch_ms(lag(ts) OVER (ORDER BY ts, buffers, distance_kb)) AS ms_since_previous FROM c)
+SELECT ts, buffers, distance_kb, ms_since_previous, ms_since_previous <= 1800000 AS on_schedule FROM l
+"""
+
+ORACLE["lock_waits"] = """
+SELECT event_id + 1000 AS pid, event_id + 4545000 AS trx, user_id + 1000 AS holder,
+       date_trunc('millisecond', ts) AS waiting_at,
+       date_trunc('millisecond', ts) + to_milliseconds(CAST(floor(value * 1000) AS BIGINT)) AS acquired_at,
+       CAST(floor(value * 1000) AS BIGINT) + 100 AS wait_ms
+FROM events WHERE event_type = 'error'
+"""
+
+ORACLE["chains"] = """
+WITH RECURSIVE
+e AS (SELECT event_id + 1000 AS pid, user_id, ts FROM events WHERE event_type = 'error'),
+edges AS (SELECT pid, COALESCE(lag(pid) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, pid),
+                               user_id + 100000) AS blocker FROM e),
+r(pid, cur, depth, path) AS (
+  SELECT pid, pid, 0, [pid] FROM edges
+  UNION ALL
+  SELECT r.pid, edges.blocker, r.depth + 1, list_append(r.path, edges.blocker)
+  FROM r JOIN edges ON edges.pid = r.cur
+  WHERE NOT list_contains(r.path, edges.blocker) AND r.depth < 64)
+SELECT pid, cur AS root, CAST(depth AS INTEGER) AS depth,
+       array_to_string(path, ' -> ') AS path
+FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY depth DESC) AS rn FROM r) WHERE rn = 1
+"""
+
+ORACLE["load_report"] = """
+WITH per AS (SELECT event_type AS run, sum(CAST(value AS DECIMAL(12,2))) AS tps
+             FROM events GROUP BY event_type, floor(epoch(ts) / 3600)),
+g AS (SELECT run, count(*) AS intervals, CAST(min(tps) AS DECIMAL(18,2)) AS min_tps,
+             CAST(max(tps) AS DECIMAL(18,2)) AS max_tps, CAST(sum(tps * 100) AS BIGINT) // count(*) AS avg_tps_cents
+      FROM per GROUP BY run)
+SELECT run, intervals, min_tps, max_tps, avg_tps_cents,
+       (avg_tps_cents * 1000) // (SELECT avg_tps_cents FROM g WHERE run = 'click') AS vs_baseline_permille
+FROM g
+"""
