@@ -648,3 +648,35 @@ def chains(spark, d):
 def load_report(spark, d):
     from ledgerlake.operators import reports
     return reports.load_report(reports.progress_lines(_t(spark, d, "events")), "click")
+
+
+# ------------------------------------------------------------------ streams (M2, M4, M8)
+def _stream(spark, d, name):
+    from ledgerlake.schemas import DRIVER
+    from ledgerlake.streaming.jobs import file_stream
+    return file_stream(spark, d, DRIVER[name], f"{name}.parquet")
+
+
+@query("replica_stream")
+def replica_stream(spark, d):
+    from ledgerlake.streaming.jobs import replicate_stream
+    root = _scratch(spark, "replica_stream")
+    t = replicate_stream(spark, domain.event_log(_stream(spark, d, "events")), domain.account_base(spark, d),
+                         f"{root}/table", f"{root}/_checkpoint")
+    return t.read()
+
+
+@query("mart_stream")
+def mart_stream(spark, d):
+    from ledgerlake.streaming.jobs import mart_stream as ms
+    root = _scratch(spark, "mart_stream")
+    sales = _stream(spark, d, "lineitem").select(F.col("l_partkey").alias("good_id"),
+                                                 F.col("l_quantity").cast("int").alias("sales_qty"))
+    return ms(spark, sales, domain.goods(spark, d), f"{root}/out", f"{root}/_checkpoint")
+
+
+@query("minute_stream")
+def minute_stream(spark, d):
+    from ledgerlake.streaming.jobs import minute_stream as mstream
+    root = _scratch(spark, "minute_stream")
+    return mstream(spark, _stream(spark, d, "events"), f"{root}/out", f"{root}/_checkpoint")

@@ -478,3 +478,10 @@ SELECT run, intervals, min_tps, max_tps, avg_tps_cents,
        (avg_tps_cents * 1000) // (SELECT avg_tps_cents FROM g WHERE run = 'click') AS vs_baseline_permille
 FROM g
 """
+
+ORACLE["replica_stream"] = ORACLE["replica_apply"]
+ORACLE["mart_stream"] = ORACLE["sales_report"]
+ORACLE["minute_stream"] = """
+SELECT date_trunc('minute', ts) AS minute, count(*) AS events, CAST(sum(length(props)) AS BIGINT) AS bytes
+FROM events GROUP BY 1
+"""
