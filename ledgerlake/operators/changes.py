@@ -104,7 +104,8 @@ def apply_changes(base: DataFrame, changes: DataFrame, identity: str = "key") ->
     latest = latest.select(*[F.col("key." + k).alias(k) for k in key_names], F.col("_l.op").alias("_op"),
                            F.col("_l.after").alias("_after"))
     kept = base_live.join(latest.select(*key_names), on=key_names, how="left_anti")
-    upserts = latest.where(F.col("_op") != "D").select(*key_names, "_after.*")
+    after_only = [f.name for f in changes.schema["after"].dataType.fields if f.name not in key_names]
+    upserts = latest.where(F.col("_op") != "D").select(*key_names, *[F.col("_after." + f).alias(f) for f in after_only])
     return kept.unionByName(upserts.select(*cols))
 
 

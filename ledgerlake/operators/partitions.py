@@ -210,9 +210,9 @@ class PartitionedTable:
     def read_key(self, value, with_part: bool = False) -> DataFrame:
         """Equality read for list / hash specs: one partition."""
         dtype = self._schema(self.manifest())[self.spec.column].dataType
-        name_expr = self.spec.assign(F.lit(value).cast(dtype))
-        df = self.read(None, True).where(F.col(PART) == name_expr).where(F.col(self.spec.column) == F.lit(value))
-        return df if with_part else df.drop(PART)
+        # the partition name of one literal: a one-row evaluation, then one folder is read
+        name = self.spark.range(1).select(self.spec.assign(F.lit(value).cast(dtype))).first()[0]
+        return self.read([name], with_part).where(F.col(self.spec.column) == F.lit(value).cast(dtype))
 
     # ------------------------------------------------------------ T14
     def update(self, where: Column, set_: dict) -> "PartitionedTable":
