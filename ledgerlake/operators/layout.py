@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.ordered import spread
+
 
 def layout(df: DataFrame, sort_cols: Sequence[str], path: str, derived: dict | None = None,
            partitions: int | None = None) -> str:
@@ -40,7 +42,8 @@ def _trigrams(text: Column) -> Column:
 def trigram_index(df: DataFrame, key: str, col: str) -> DataFrame:
     """``(tri, key)`` rows, one per distinct trigram of each text, clustered
     by trigram so a lookup of a few trigrams reads few row groups."""
-    return (df.select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
+    src = spread(df.select(key, col))
+    return (src.select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
             .repartition("tri").sortWithinPartitions("tri", key))
 
 
@@ -53,16 +56,16 @@ def trigram_search(spark: SparkSession, index: DataFrame, df: DataFrame, key: st
                    pattern: str) -> DataFrame:
     """Rows of ``df`` whose ``col`` contains ``pattern`` (case-sensitive).
 
-    Candidates are keys holding every trigram of the pattern (case-folded,
-    so recall is complete), then the text is rechecked.  Patterns shorter
+    Candidates are keys holding every distinct trigram of the pattern
+    (case-folded, so recall is complete), then the text is rechecked.  Patterns shorter
     than 3 characters fall back to a scan.
     """
     if len(pattern) < 3:
         return df.where(F.col(col).contains(pattern))
-    pat = spark.range(1).select(F.explode(_trigrams(F.lit(pattern))).alias("tri"))
-    need = pat.agg(F.count(F.lit(1)).alias("need"))
-    # the pattern's trigrams are bounded by its length: a small broadcast side
-    hits = index.join(F.broadcast(pat), "tri", "left_semi")
+    # the pattern's trigrams (bounded by its length), folded by the same Spark
+    # expression as the index, become a literal IN filter pushed into the scan
+    grams = spark.range(1).select(_trigrams(F.lit(pattern))).first()[0]
+    hits = index.where(F.col("tri").isin(grams))
     cand = (hits.groupBy(key).agg(F.count(F.lit(1)).alias("have"))
-            .join(F.broadcast(need), F.col("have") == F.col("need"), "left_semi").select(key))
+            .where(F.col("have") == len(grams)).select(key))
     return df.join(cand, key, "left_semi").where(F.col(col).contains(pattern))

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.changes import _after_truncate
-from ledgerlake.operators.ordered import bucket, running_sum
-from ledgerlake.session import shared_dir
+from ledgerlake.operators.ordered import quantile_bucket, running_sum
+from ledgerlake.sources.io import stage_table
 
 AMOUNT = "decimal(38,2)"
 NEG_INF_SEQ = -(2 ** 62)
@@ -93,35 +93,41 @@ def apply_delta(st: DataFrame) -> DataFrame:
 
 
 def apply_exact(spark: SparkSession, st: DataFrame, chunks: int = 64) -> DataFrame:
-    """M3: ordered fold per name, evaluated in parallel (see module doc)."""
-    shared_dir(spark)                       # checkpoint folder for the loop
-    lo, hi = st.agg(F.min("o"), F.max("o")).first()
-    if lo is None:
-        return spark.createDataFrame([], "good_name string, sum_sale decimal(38,2)")
-    width = max(1, (hi - lo) // chunks + 1)
-    chunk = bucket(F.col("o") - F.lit(lo), width)
-    order = ["o", "kind", "amt"]            # identical steps are interchangeable
+    """M3: ordered fold per name, evaluated in parallel (see module doc).
+
+    Each pass is one job: running sums per (name, chunk), then one aggregate
+    per name giving the mart row and the first delete that must be ignored;
+    that small per-name result is checkpointed.  Only when some delete is
+    ignored does another pass run (rare: it needs a price change)."""
+    # identical steps are interchangeable; the amount in cents breaks other ties
+    order = ["o", "kind", "_ak"]
+    key = F.struct(*order)
     signed = F.when(F.col("kind") == "ADD", F.col("amt")).otherwise(-F.col("amt"))
-    s = running_sum(st.withColumn("signed", signed), "good_name", order, "signed", "P", chunk)
-    s = s.withColumn("ig", F.lit(False)).checkpoint()
+    st = st.withColumn("signed", signed).withColumn("_ak", (F.col("amt") * 100).cast("long"))
+    chunk = quantile_bucket(st, "o", chunks, 0.01)
+    t = running_sum(st, "good_name", order, "signed", "P", chunk).withColumn("ig", F.lit(False))
+    ignored = F.lit(0)
     while True:
-        t = running_sum(s, "good_name", order, F.when(F.col("ig"), F.col("amt")).otherwise(F.lit(0)), "I", chunk)
-        t = (t.withColumn("S_after", (F.col("P") + F.col("I")).cast(AMOUNT))
+        t = (t.withColumn("S_after", (F.col("P") + ignored).cast(AMOUNT))
              .withColumn("S_before", F.col("S_after") - F.col("signed")
                          - F.when(F.col("ig"), F.col("amt")).otherwise(F.lit(0))))
         viol = (F.col("kind") == "DEL") & ~F.col("ig") & (F.col("S_before") < F.col("amt"))
-        t = t.checkpoint()
-        first = t.where(viol).groupBy("good_name").agg(F.min(F.struct(*order)).alias("_first"))
+        effective = (F.col("kind") == "ADD") | ~F.col("ig")
+        g = t.groupBy("good_name").agg(
+            F.max_by("S_after", key).alias("sum_sale"),
+            F.max_by(F.when(effective, F.struct("kind", "S_after")), F.when(effective, key)).alias("_last"),
+            F.min(F.when(viol, key)).alias("_first"))
+        g = stage_table(g, "mart_pass")                # one row per name
+        first = g.where(F.col("_first").isNotNull()).select("good_name", "_first")
         if first.isEmpty():
             break
-        s = (t.drop("I", "S_after", "S_before").join(first, "good_name", "left")
-             .withColumn("ig", F.col("ig") | F.coalesce(F.struct(*order) == F.col("_first"), F.lit(False)))
-             .drop("_first").checkpoint())
-    key = F.struct(*order)
-    effective = (F.col("kind") == "ADD") | ~F.col("ig")
-    g = t.groupBy("good_name").agg(
-        F.max_by("S_after", key).alias("sum_sale"),
-        F.max_by(F.when(effective, F.struct("kind", "S_after")), F.when(effective, key)).alias("_last"))
+        base = t.drop("S_after", "S_before", "I") if "I" in t.columns else t.drop("S_after", "S_before")
+        s = (base.join(first, "good_name", "left")
+             .withColumn("ig", F.col("ig") | F.coalesce(key == F.col("_first"), F.lit(False)))
+             .drop("_first"))
+        s = stage_table(s, "mart_steps")               # cut the loop's lineage
+        t = running_sum(s, "good_name", order, F.when(F.col("ig"), F.col("amt")).otherwise(F.lit(0)), "I", chunk)
+        ignored = F.col("I")
     present = (F.col("_last.kind") == "ADD") | (F.col("_last.S_after") != 0)
     return g.where(F.col("_last").isNotNull() & present).select("good_name", F.col("sum_sale").cast(AMOUNT))
 

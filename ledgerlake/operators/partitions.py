@@ -168,7 +168,9 @@ class PartitionedTable:
         return out
 
     def _write(self, df: DataFrame, version: int) -> list[str]:
+        # sorting by partition inside each task keeps one open file per task
         (df.withColumn(PART, self.spec.assign()).withColumn(VERSION, F.lit(version))
+         .sortWithinPartitions(PART)
          .write.mode("append").option("compression", "zstd").partitionBy(PART, VERSION).parquet(self.root))
         return self._written(version)
 

@@ -35,6 +35,16 @@ def materialize(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` once to the shared folder and reading it
+    back (computed once, unlike a checkpoint of an uncached plan, and it
+    survives the loss of any executor)."""
+    from ledgerlake.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _escape(c: Column) -> Column:
     s = c.cast("string")
     s = F.regexp_replace(s, r"\\", r"\\\\")
