@@ -680,3 +680,18 @@ def minute_stream(spark, d):
     from ledgerlake.streaming.jobs import minute_stream as mstream
     root = _scratch(spark, "minute_stream")
     return mstream(spark, _stream(spark, d, "events"), f"{root}/out", f"{root}/_checkpoint")
+
+
+@query("mart_drift")
+def mart_drift(spark, d):
+    """V6: report at current prices over the surviving sales vs the maintained mart."""
+    from ledgerlake.operators import mart
+    goods = domain.goods(spark, d)
+    steps = domain.price_steps(spark, d).select("good_id", F.col("price").alias("new_price"))
+    current = (goods.join(steps, goods.goods_id == steps.good_id, "left")
+               .select("goods_id", "good_name", F.coalesce("new_price", "good_price").alias("good_price")))
+    li = _t(spark, d, "lineitem")
+    alive = li.where(~((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)))
+    report = R.sales_report(current, alive.select(F.col("l_partkey").alias("good_id"),
+                                                  F.col("l_quantity").cast("int").alias("sales_qty")))
+    return mart.mart_drift(report, mart_price_change(spark, d))

@@ -485,3 +485,20 @@ ORACLE["minute_stream"] = """
 SELECT date_trunc('minute', ts) AS minute, count(*) AS events, CAST(sum(length(props)) AS BIGINT) AS bytes
 FROM events GROUP BY 1
 """
+
+_FOLD_SQL = ORACLE["mart_price_change"].strip()
+ORACLE["mart_drift"] = _FOLD_SQL.replace("SELECT name AS good_name, s AS sum_sale\nFROM", """,
+mart AS (SELECT name AS good_name, s AS sum_sale
+FROM""", 1) + """),
+report AS (
+  SELECT p_name AS good_name,
+         CAST(sum(CAST(CASE WHEN p_size <= 10 THEN CAST(p_retailprice AS DECIMAL(12,2)) + 100
+                            ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS DECIMAL(12,2))
+                  * CAST(l_quantity AS INTEGER)) AS DECIMAL(38,2)) AS sum_sale
+  FROM lineitem JOIN part ON p_partkey = l_partkey
+  WHERE NOT (l_returnflag = 'R' AND l_linenumber = 4)
+  GROUP BY p_name)
+SELECT COALESCE(r.good_name, m.good_name) AS good_name, r.sum_sale AS report_sum, m.sum_sale AS mart_sum
+FROM report r FULL JOIN mart m ON r.good_name = m.good_name
+WHERE r.sum_sale IS DISTINCT FROM m.sum_sale
+"""

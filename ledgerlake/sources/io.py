@@ -29,6 +29,14 @@ def append_rows(spark: SparkSession, df: DataFrame, rows: Iterable[tuple]) -> Da
     return df.unionByName(spark.createDataFrame(list(rows), df.schema))
 
 
+def migrate(src: DataFrame, dst_schema: T.StructType, enrich=None) -> DataFrame:
+    """``INSERT INTO dst SELECT ... FROM src``: optional enrichment (a
+    function DataFrame -> DataFrame, e.g. a foreign-key join), then reshape to
+    the destination's declared schema; keys are kept as given."""
+    out = enrich(src) if enrich is not None else src
+    return out.to(dst_schema)
+
+
 def materialize(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """``CREATE TABLE AS SELECT`` into parquet."""
     df.write.mode(mode).option("compression", "zstd").parquet(path)
