@@ -137,7 +137,7 @@ def lock_lines(events: DataFrame) -> DataFrame:
     acq_ts = _from_millis(_millis(F.col("ts")) + wait_ms - 100)
 
     def pre(ts, lvl):
-        return F.concat(_ts_text(ts), F.lit(" UTC ["), pid, F.lit(f"] postgres@postgres {lvl}:  "))
+        return F.concat(_ts_text(ts), F.lit(" UTC ["), pid, F.lit(f"] app@appdb {lvl}:  "))
     waiting = e.select(F.concat(pre(F.col("ts"), "LOG"), F.lit("process "), pid,
                                 F.lit(" still waiting for ShareLock on transaction "), trx,
                                 F.lit(" after 100.000 ms")).alias("value"))

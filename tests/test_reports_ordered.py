@@ -48,11 +48,11 @@ def test_blocking_chain_cycle_guard(spark):
 
 def test_lock_wait_stitching(spark):
     lines = spark.createDataFrame([
-        ("2025-11-20 17:54:44.936 UTC [1795] postgres@postgres LOG:  process 1795 still waiting for ShareLock "
+        ("2025-11-20 17:54:44.936 UTC [1795] app@appdb LOG:  process 1795 still waiting for ShareLock "
          "on transaction 4545163 after 100.563 ms",),
-        ("2025-11-20 17:54:44.936 UTC [1795] postgres@postgres DETAIL:  Process holding the lock: 1737. "
+        ("2025-11-20 17:54:44.936 UTC [1795] app@appdb DETAIL:  Process holding the lock: 1737. "
          "Wait queue: 1795.",),
-        ("2025-11-20 17:55:37.888 UTC [1795] postgres@postgres LOG:  process 1795 acquired ShareLock on "
+        ("2025-11-20 17:55:37.888 UTC [1795] app@appdb LOG:  process 1795 acquired ShareLock on "
          "transaction 4545163 after 53052.348 ms",)], "value string")
     r = reports.lock_waits(lines).first()
     assert (r.pid, r.trx, r.holder, r.wait_ms) == (1795, 4545163, 1737, 53052)
