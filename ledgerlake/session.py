@@ -54,17 +54,27 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder: ``spark.checkpoint.dir`` from the session
+    (or the context's conf, or a checkpoint dir already set on the context).
 
-    Only when the session names none (local runs, tests) is a folder made
-    under the local temp directory and registered as the checkpoint dir.
+    Only when none is named (local runs, tests) is a folder made under the
+    local temp directory and registered as the checkpoint dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no JVM context, e.g. a remote session)
+        pass
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
+        if not d and sc.getCheckpointDir():
+            d = sc.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d.rstrip("/") + "/rdd")
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d.rstrip("/") + "/rdd")
     return d.rstrip("/")
 
 

@@ -12,6 +12,20 @@ import os
 from pyspark.sql import SparkSession
 
 
+def _local(path: str) -> str | None:
+    """Plain local path when the session has no JVM handle (remote sessions)."""
+    if path.startswith("file:"):
+        return path[5:]
+    return path if path.startswith("/") else None
+
+
+def _has_jvm(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jvm is not None
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def _jfs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -21,6 +35,12 @@ def _jfs(spark: SparkSession, path: str):
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
     """Create a small file; with ``overwrite=False`` an existing file raises
     (create-if-absent is what makes commit markers safe)."""
+    if not _has_jvm(spark) and _local(path):
+        lp = _local(path)
+        os.makedirs(os.path.dirname(lp), exist_ok=True)
+        with open(lp, "w" if overwrite else "x", encoding="utf-8") as f:
+            f.write(text)
+        return
     fs, p = _jfs(spark, path)
     out = fs.create(p, overwrite)
     try:
@@ -30,6 +50,9 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
 
 
 def read_text(spark: SparkSession, path: str) -> str:
+    if not _has_jvm(spark) and _local(path):
+        with open(_local(path), encoding="utf-8") as f:
+            return f.read()
     fs, p = _jfs(spark, path)
     jvm = spark.sparkContext._jvm
     stream = fs.open(p)
@@ -46,11 +69,16 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    if not _has_jvm(spark) and _local(path):
+        return os.path.exists(_local(path))
     fs, p = _jfs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
+    if not _has_jvm(spark) and _local(path):
+        lp = _local(path)
+        return sorted(os.listdir(lp)) if os.path.isdir(lp) else []
     fs, p = _jfs(spark, path)
     if not fs.exists(p):
         return []
@@ -58,6 +86,10 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    if not _has_jvm(spark) and _local(path):
+        import shutil
+        shutil.rmtree(_local(path), ignore_errors=True)
+        return
     fs, p = _jfs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)

@@ -29,12 +29,10 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
 
 
 def read_changes(spark: SparkSession, folder: str, schema: T.StructType, start_seq: int | None = None,
-                 initial: DataFrame | None = None, glob: str | None = None) -> DataFrame:
-    """A change-log stream.  Without ``initial`` only changes after
-    ``start_seq`` flow (subscription without the initial copy); with
-    ``initial`` (a batch snapshot already turned into insert rows with the
-    log's schema) the consumer first receives the snapshot, as an initial
-    table copy does, because ``replicate_stream`` takes it as its base."""
+                 glob: str | None = None) -> DataFrame:
+    """A change-log stream.  With ``start_seq`` only later changes flow
+    (a subscription without the initial copy); the initial copy itself is the
+    ``base`` handed to ``replicate_stream``."""
     s = file_stream(spark, folder, schema, glob)
     if start_seq is not None:
         s = s.where(F.col("seq") > F.lit(start_seq))
