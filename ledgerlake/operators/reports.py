@@ -184,25 +184,59 @@ def wait_edges(events: DataFrame) -> DataFrame:
     return e.select("pid", F.coalesce(F.col("prev_pid"), F.col("user_id") + 100000).alias("blocker"))
 
 
-def blocking_chains(spark: SparkSession, edges: DataFrame, max_depth: int = 64) -> DataFrame:
-    """For every waiting process: the root blocker, the depth and the path
-    ``pid -> ... -> root``.  Recursive CTE; a process already on the path
-    stops the walk (cycle guard) and so does ``max_depth``."""
-    walk = spark.sql(
-        f"""
-        WITH RECURSIVE r(pid, cur, depth, path) AS (
-          SELECT pid, pid, 0, array(pid) FROM {{edges}}
-          UNION ALL
-          SELECT r.pid, e.blocker, r.depth + 1, concat(r.path, array(e.blocker))
-          FROM r JOIN {{edges}} e ON e.pid = r.cur
-          WHERE NOT array_contains(r.path, e.blocker) AND r.depth < {int(max_depth)}
-        )
-        SELECT pid, cur, depth, path FROM r
-        """, edges=edges.select(F.col("pid").cast("long").alias("pid"),
-                                F.col("blocker").cast("long").alias("blocker")))
-    last = walk.groupBy("pid").agg(F.max_by(F.struct("cur", "depth", "path"), "depth").alias("_l"))
-    return last.select("pid", F.col("_l.cur").alias("root"), F.col("_l.depth").cast("int").alias("depth"),
-                       F.concat_ws(" -> ", F.transform("_l.path", lambda x: x.cast("string"))).alias("path"))
+def blocking_chains(spark: SparkSession, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """For every waiting process: its blocker, the root blocker (a
+    process that waits for nobody) and the depth (hops to the root).
+
+    Pointer jumping: each pass replaces every pointer by its target's
+    pointer and adds the hop counts, so after k passes a pointer has
+    followed up to 2**k hops.  Every pass is one equi join over the waiting
+    processes (linear, no per-ancestor rows), the number of passes is about
+    log2 of the longest chain, and the state is written to the shared folder
+    between passes.  A process whose chain runs into a cycle gets a NULL
+    root and depth.
+    """
+    from ledgerlake.sources.io import stage_table
+    e = edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker"))
+    waiting = e.select(F.col("pid").alias("w"))
+    # a pointer is final when it reaches a process that does not wait
+    cur = e.select("pid", "blocker", F.col("blocker").alias("nxt"), F.lit(1).cast("long").alias("d"))
+    cur = cur.join(waiting, cur.nxt == waiting.w, "left").select(
+        "pid", "blocker", "nxt", "d", F.col("w").isNull().alias("done"))
+    cur = stage_table(cur, "chains")
+    # a chain without a cycle has at most n hops, so it is resolved after
+    # about log2(n) passes; whatever is still open then runs into a cycle
+    limit = cur.count().bit_length() + 1
+    if max_rounds is not None:
+        limit = min(limit, max_rounds)
+    rounds = 0
+    while rounds < limit and not cur.where(~F.col("done")).isEmpty():
+        hop = cur.select(F.col("pid").alias("h_pid"), F.col("nxt").alias("h_nxt"), F.col("d").alias("h_d"),
+                         F.col("done").alias("h_done"))
+        j = cur.join(hop, (~F.col("done")) & (cur.nxt == hop.h_pid), "left")
+        cur = stage_table(j.select(
+            "pid", "blocker",
+            F.when(F.col("h_pid").isNotNull(), F.col("h_nxt")).otherwise(F.col("nxt")).alias("nxt"),
+            (F.col("d") + F.coalesce(F.col("h_d"), F.lit(0))).alias("d"),
+            (F.col("done") | F.coalesce(F.col("h_done"), F.lit(False))).alias("done")), "chains")
+        rounds += 1
+    return cur.select("pid", "blocker", F.when(F.col("done"), F.col("nxt")).alias("root"),
+                      F.when(F.col("done"), F.col("d")).cast("int").alias("depth"))
+
+
+def chain_path(spark: SparkSession, edges: DataFrame, pid: int, max_hops: int = 1_000_000) -> str:
+    """The wait chain of one process as ``pid -> ... -> root`` (a lookup that
+    follows one pointer per step; the path is as long as the chain)."""
+    e = edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker"))
+    path, seen, cur = [pid], {pid}, pid
+    for _ in range(max_hops):
+        nxt = e.where(F.col("pid") == F.lit(cur)).select("blocker").first()
+        if nxt is None or nxt[0] in seen:
+            break
+        cur = nxt[0]
+        path.append(cur)
+        seen.add(cur)
+    return " -> ".join(str(x) for x in path)
 
 
 # ------------------------------------------------------------------ L6

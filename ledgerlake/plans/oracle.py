@@ -457,15 +457,13 @@ WITH RECURSIVE
 e AS (SELECT event_id + 1000 AS pid, user_id, ts FROM events WHERE event_type = 'error'),
 edges AS (SELECT pid, COALESCE(lag(pid) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, pid),
                                user_id + 100000) AS blocker FROM e),
-r(pid, cur, depth, path) AS (
-  SELECT pid, pid, 0, [pid] FROM edges
+r(pid, cur, depth) AS (
+  SELECT pid, blocker, 1 FROM edges
   UNION ALL
-  SELECT r.pid, edges.blocker, r.depth + 1, list_append(r.path, edges.blocker)
-  FROM r JOIN edges ON edges.pid = r.cur
-  WHERE NOT list_contains(r.path, edges.blocker) AND r.depth < 64)
-SELECT pid, cur AS root, CAST(depth AS INTEGER) AS depth,
-       array_to_string(path, ' -> ') AS path
-FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY depth DESC) AS rn FROM r) WHERE rn = 1
+  SELECT r.pid, edges.blocker, r.depth + 1 FROM r JOIN edges ON edges.pid = r.cur WHERE r.depth < 100000)
+SELECT edges.pid, edges.blocker, x.cur AS root, CAST(x.depth AS INTEGER) AS depth
+FROM edges JOIN (SELECT pid, cur, depth, row_number() OVER (PARTITION BY pid ORDER BY depth DESC) AS rn FROM r) x
+  ON x.pid = edges.pid AND x.rn = 1
 """
 
 ORACLE["load_report"] = """

@@ -35,15 +35,19 @@ def test_log_volume_and_summary_goldens(spark):
 def test_blocking_chain_golden(spark):
     # lock table: 1795 waits for 1737, 12982 waits for 1795
     edges = spark.createDataFrame([(1795, 1737), (12982, 1795)], "pid bigint, blocker bigint")
-    got = {r.pid: (r.root, r.depth, r.path) for r in reports.blocking_chains(spark, edges).collect()}
-    assert got[12982] == (1737, 2, "12982 -> 1795 -> 1737")
-    assert got[1795] == (1737, 1, "1795 -> 1737")
-
-
-def test_blocking_chain_cycle_guard(spark):
-    edges = spark.createDataFrame([(1, 2), (2, 1)], "pid bigint, blocker bigint")
-    got = {r.pid: r.depth for r in reports.blocking_chains(spark, edges).collect()}
-    assert got == {1: 1, 2: 1}
+    got = {r.pid: (r.root, r.depth) for r in reports.blocking_chains(spark, edges).collect()}
+    assert got == {12982: (1737, 2), 1795: (1737, 1)}
+    assert reports.chain_path(spark, edges, 12982) == "12982 -> 1795 -> 1737"
+
+
+def test_long_chain_is_exact_and_cycles_have_no_root(spark):
+    n = 300                                   # one chain 1 -> 2 -> ... -> 300 -> 0
+    chain = [(i, i + 1) for i in range(1, n)] + [(n, 0)]
+    cyc = [(1001, 1002), (1002, 1001), (1003, 1001)]
+    edges = spark.createDataFrame(chain + cyc, "pid bigint, blocker bigint")
+    got = {r.pid: (r.root, r.depth) for r in reports.blocking_chains(spark, edges).collect()}
+    assert got[1] == (0, n) and got[n] == (0, 1) and got[150] == (0, n - 149)
+    assert got[1001] == (None, None) and got[1003] == (None, None)
 
 
 def test_lock_wait_stitching(spark):
