@@ -695,3 +695,16 @@ def mart_drift(spark, d):
     report = R.sales_report(current, alive.select(F.col("l_partkey").alias("good_id"),
                                                   F.col("l_quantity").cast("int").alias("sales_qty")))
     return mart.mart_drift(report, mart_price_change(spark, d))
+
+
+@query("mart_stream_exact")
+def mart_stream_exact(spark, d):
+    """M3 as a stream over the lineitem-derived sales log (written once to the shared folder)."""
+    from ledgerlake.operators import mart
+    from ledgerlake.streaming.jobs import file_stream, mart_stream_exact as mse
+    root = _scratch(spark, "mart_stream_exact")
+    log = domain.mart_log(spark, d)
+    log.write.parquet(f"{root}/log")
+    changes = file_stream(spark, f"{root}/log", log.schema)
+    t = mse(spark, changes, mart.price_history(domain.goods(spark, d)), f"{root}/mart", f"{root}/_checkpoint")
+    return t.read()

@@ -298,6 +298,7 @@ FROM s JOIN part ON p_partkey = good_id GROUP BY p_name
 """
 ORACLE["mart_delta"] = _MART_FINAL
 ORACLE["mart_exact"] = _MART_FINAL
+ORACLE["mart_stream_exact"] = _MART_FINAL
 
 ORACLE["mart_price_change"] = """
 WITH RECURSIVE

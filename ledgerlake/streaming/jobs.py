@@ -114,3 +114,37 @@ def minute_stream(spark: SparkSession, events: DataFrame, root: str, checkpoint:
     schema = T.StructType([T.StructField("minute", T.TimestampNTZType()),
                            T.StructField("events", T.LongType()), T.StructField("bytes", T.LongType())])
     return latest_state(spark, root, ["minute"], schema)
+
+
+# ------------------------------------------------------------------ M3 as a stream
+def mart_exact_batch(spark: SparkSession, target: VersionedTable, prices: DataFrame):
+    """foreachBatch function of the exact mart: the current mart rows enter
+    as leading ADD steps (a present row = an insert of its sum), the batch's
+    changes follow, and the ordered fold runs in parallel (``apply_exact``).
+    A truncate in the batch drops the carried state.  The result is committed
+    as version ``batch_id + 1``; a retried batch whose version exists is skipped."""
+    from ledgerlake.operators.mart import AMOUNT, NEG_INF_SEQ, apply_exact, steps
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        v = batch_id + 1
+        if v in target.versions():
+            return
+        last_t = batch.where(F.col("op") == "T").agg(F.max("seq").alias("_tseq"))
+        carried = (target.read().crossJoin(F.broadcast(last_t))    # one row by construction
+                   .where(F.col("_tseq").isNull())
+                   .select("good_name", F.lit(NEG_INF_SEQ).cast("long").alias("o"), F.lit("ADD").alias("kind"),
+                           F.col("sum_sale").cast(AMOUNT).alias("amt"), F.lit(1).alias("cnt")))
+        new = apply_exact(spark, carried.unionByName(steps(batch, prices)))
+        target.publish(target.stage(new, version=v), new.schema)
+    return apply
+
+
+def mart_stream_exact(spark: SparkSession, changes: DataFrame, prices: DataFrame, target_root: str,
+                      checkpoint: str) -> VersionedTable:
+    """M3 stream: the exact mart kept by a stream of sales changes."""
+    target = VersionedTable(spark, target_root)
+    if target.current() is None:
+        empty = spark.createDataFrame([], "good_name string, sum_sale decimal(38,2)")
+        target.publish(target.stage(empty, version=0), empty.schema)
+    run_available(changes.writeStream.foreachBatch(mart_exact_batch(spark, target, prices)), checkpoint)
+    return target
