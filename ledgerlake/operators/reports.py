@@ -224,19 +224,23 @@ def blocking_chains(spark: SparkSession, edges: DataFrame, max_rounds: int | Non
                       F.when(F.col("done"), F.col("d")).cast("int").alias("depth"))
 
 
-def chain_path(spark: SparkSession, edges: DataFrame, pid: int, max_hops: int = 1_000_000) -> str:
-    """The wait chain of one process as ``pid -> ... -> root`` (a lookup that
-    follows one pointer per step; the path is as long as the chain)."""
-    e = edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker"))
-    path, seen, cur = [pid], {pid}, pid
-    for _ in range(max_hops):
-        nxt = e.where(F.col("pid") == F.lit(cur)).select("blocker").first()
-        if nxt is None or nxt[0] in seen:
-            break
-        cur = nxt[0]
-        path.append(cur)
-        seen.add(cur)
-    return " -> ".join(str(x) for x in path)
+def chain_path(spark: SparkSession, edges: DataFrame, pid: int) -> str:
+    """The wait chain of one process as ``pid -> ... -> root``: a recursive CTE
+    seeded with that process follows one pointer per step (the frontier is a
+    single row); a process already on the path ends the walk."""
+    walk = spark.sql(
+        """
+        WITH RECURSIVE r(cur, depth, path) AS (
+          SELECT CAST(:pid AS BIGINT), 0, array(CAST(:pid AS BIGINT))
+          UNION ALL
+          SELECT e.blocker, r.depth + 1, concat(r.path, array(e.blocker))
+          FROM r JOIN {edges} e ON e.pid = r.cur
+          WHERE NOT array_contains(r.path, e.blocker)
+        )
+        SELECT path FROM r ORDER BY depth DESC LIMIT 1
+        """, args={"pid": int(pid)},
+        edges=edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker")))
+    return " -> ".join(str(x) for x in walk.first()[0])
 
 
 # ------------------------------------------------------------------ L6
