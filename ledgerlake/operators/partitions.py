@@ -203,7 +203,7 @@ class PartitionedTable:
 
     def read_partition(self, name: str, with_part: bool = False) -> DataFrame:
         """One named partition (DEFAULT included)."""
-        return self.read([name], with_part).where(F.lit(True))
+        return self.read([name], with_part)
 
     def read_pruned(self, lo, hi, with_part: bool = False) -> DataFrame:
         """``col BETWEEN lo AND hi`` reading only overlapping partitions."""

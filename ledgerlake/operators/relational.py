@@ -141,11 +141,11 @@ def lateral_lookup(outer: DataFrame, inner: DataFrame, outer_key: str, inner_key
 
 
 def with_strategy(df: DataFrame, strategy: str | None) -> DataFrame:
-    """Join strategy hint for the side it is applied to."""
+    """Join strategy hint for the side it is applied to (hash, merge or
+    broadcast; a replicated nested loop is not offered, it pairs every row)."""
     if not strategy:
         return df
-    names = {"hash": "shuffle_hash", "merge": "merge", "broadcast": "broadcast",
-             "shuffle_hash": "shuffle_hash", "loop": "shuffle_replicate_nl"}
+    names = {"hash": "shuffle_hash", "merge": "merge", "broadcast": "broadcast", "shuffle_hash": "shuffle_hash"}
     return df.hint(names[strategy])
 
 
