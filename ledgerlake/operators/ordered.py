@@ -75,6 +75,17 @@ def quantile_bucket(df: DataFrame, col: str, n: int = 64, rel_err: float = 0.001
     return tree(0, len(cuts)).cast("long")
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join on ``cols`` where NULL matches NULL, as window partitions group them."""
+    r = right.select(*[F.col(c).alias("_r_" + c) for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(r["_r_" + c])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, "inner").drop(*["_r_" + c for c in cols])
+
+
 def running_sum(df: DataFrame, keys: Sequence[str] | str | None, order: Sequence[str] | str,
                 value: str | Column, out: str, chunk: Column) -> DataFrame:
     """Inclusive running sum of ``value`` per ``keys`` in ``order``.
@@ -92,7 +103,7 @@ def running_sum(df: DataFrame, keys: Sequence[str] | str | None, order: Sequence
     wi = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("_in", F.sum("_v").over(wi))
-    res = inner.join(off, on=[*keys, "_chunk"], how="inner")
+    res = _join_null_safe(inner, off, [*keys, "_chunk"])
     return res.withColumn(out, F.col("_in") + F.col("_off")).drop("_chunk", "_v", "_in", "_off")
 
 
@@ -113,7 +124,7 @@ def chunked_lag(df: DataFrame, keys: Sequence[str] | str | None, order: Sequence
         F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), ordkey).alias("_last"))
     wk = Window.partitionBy(*keys).orderBy("_chunk")
     carry = last.select(*keys, "_chunk", F.lag("_last", 1).over(wk).alias("_carry"))
-    res = d.join(carry, on=[*keys, "_chunk"], how="inner")
+    res = _join_null_safe(d, carry, [*keys, "_chunk"])
     for v in values:
         res = res.withColumn(prefix + v, F.when(F.col("_first"), F.col("_carry." + v))
                              .otherwise(F.col(prefix + v)))

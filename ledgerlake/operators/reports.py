@@ -32,7 +32,8 @@ def _ts_text(c):
 
 
 def _parse_ts(c):
-    return F.to_timestamp_ntz(c, F.lit(TS_FMT))
+    # log text is untrusted input: a malformed stamp becomes NULL instead of failing the job
+    return F.try_to_timestamp(c, F.lit(TS_FMT)).cast("timestamp_ntz")
 
 
 def _millis(c):
@@ -116,8 +117,8 @@ def checkpoint_report(lines: DataFrame, target_seconds: int) -> DataFrame:
     """L3: parsed checkpoints, time since the previous one, on-schedule flag."""
     c = lines.where(F.col("value").contains("checkpoint complete")).select(
         _parse_ts(F.regexp_extract("value", r"^(\S+ \S+) UTC", 1)).alias("ts"),
-        F.regexp_extract("value", r"wrote (\d+) buffers", 1).cast("long").alias("buffers"),
-        F.regexp_extract("value", r"distance=(\d+) kB", 1).cast("long").alias("distance_kb"),
+        F.regexp_extract("value", r"wrote (\d+) buffers", 1).try_cast("long").alias("buffers"),
+        F.regexp_extract("value", r"distance=(\d+) kB", 1).try_cast("long").alias("distance_kb"),
         F.lit("server").alias("_src"))
     c = chunked_lag(c, "_src", ["ts", "buffers", "distance_kb"], ["ts"], ts_bucket("ts", DAY))
     gap = _millis(F.col("ts")) - _millis(F.col("prev_ts"))
@@ -156,18 +157,18 @@ def lock_waits(lines: DataFrame) -> DataFrame:
     (pid, transaction) for the acquired line: two equi joins."""
     p = lines.select(
         _parse_ts(F.regexp_extract("value", r"^(\S+ \S+) UTC", 1)).alias("ts"),
-        F.regexp_extract("value", r"UTC \[(\d+)\]", 1).cast("long").alias("pid"),
+        F.regexp_extract("value", r"UTC \[(\d+)\]", 1).try_cast("long").alias("pid"),
         F.col("value"))
     waiting = p.where(F.col("value").contains("still waiting for")).select(
         "pid", F.col("ts").alias("waiting_at"),
-        F.regexp_extract("value", r"on transaction (\d+)", 1).cast("long").alias("trx"))
+        F.regexp_extract("value", r"on transaction (\d+)", 1).try_cast("long").alias("trx"))
     detail = p.where(F.col("value").contains("Process holding the lock:")).select(
         F.col("pid").alias("d_pid"), F.col("ts").alias("d_ts"),
-        F.regexp_extract("value", r"holding the lock: (\d+)", 1).cast("long").alias("holder"))
+        F.regexp_extract("value", r"holding the lock: (\d+)", 1).try_cast("long").alias("holder"))
     acq = p.where(F.col("value").contains(" acquired ")).select(
         F.col("pid").alias("a_pid"), F.col("ts").alias("acquired_at"),
-        F.regexp_extract("value", r"on transaction (\d+)", 1).cast("long").alias("a_trx"),
-        F.regexp_extract("value", r"after (\d+)\.\d+ ms", 1).cast("long").alias("wait_ms"))
+        F.regexp_extract("value", r"on transaction (\d+)", 1).try_cast("long").alias("a_trx"),
+        F.regexp_extract("value", r"after (\d+)\.\d+ ms", 1).try_cast("long").alias("wait_ms"))
     j = (waiting.join(detail, (F.col("pid") == F.col("d_pid")) & (F.col("waiting_at") == F.col("d_ts")), "left")
          .join(acq, (F.col("pid") == F.col("a_pid")) & (F.col("trx") == F.col("a_trx")), "left"))
     return j.select("pid", "trx", "holder", "waiting_at", "acquired_at", "wait_ms")
@@ -262,8 +263,8 @@ def load_report(lines: DataFrame, baseline: str) -> DataFrame:
     integer division) and the average relative to the baseline run (per mille)."""
     p = lines.where(F.col("value").contains("progress:")).select(
         F.regexp_extract("value", r"^\[run=([^\]]+)\]", 1).alias("run"),
-        F.regexp_extract("value", r"progress: ([\d.]+) s", 1).cast("decimal(18,1)").alias("t"),
-        F.regexp_extract("value", r", ([\d.]+) tps", 1).cast("decimal(18,2)").alias("tps"))
+        F.regexp_extract("value", r"progress: ([\d.]+) s", 1).try_cast("decimal(18,1)").alias("t"),
+        F.regexp_extract("value", r", ([\d.]+) tps", 1).try_cast("decimal(18,2)").alias("tps"))
     g = p.groupBy("run").agg(F.count(F.lit(1)).alias("intervals"), F.min("tps").alias("min_tps"),
                              F.max("tps").alias("max_tps"),
                              F.sum((F.col("tps") * 100).cast("long")).alias("_cents"))

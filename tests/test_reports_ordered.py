@@ -89,3 +89,27 @@ def test_two_level_running_sum_and_lag_equal_plain_window_under_skew(spark):
         if k not in best or (ts, i) > best[k][0]:
             best[k] = ((ts, i), i)
     assert latest == {k: v[1] for k, v in best.items()}
+
+
+def test_log_parsers_tolerate_malformed_lines(spark):
+    lines = spark.createDataFrame([
+        ("2025-11-17 18:40:23.882 UTC [2158] LOG:  checkpoint complete: wrote 4 buffers (0.0%); distance=5 kB",),
+        ("garbage checkpoint complete: wrote many buffers; distance=?? kB",),
+        ("[run=x] progress: 5.0 s, 10.50 tps, lat 1.000 ms stddev 0.000, 0 failed",),
+        ("[run=x] progress: oops s, n/a tps",),
+    ], "value string")
+    ck = reports.checkpoint_report(lines, 60).collect()
+    assert sorted(r.buffers for r in ck if r.buffers is not None) == [4] and len(ck) == 2
+    lr = reports.load_report(lines, "x").first()
+    assert lr.intervals == 2 and float(lr.max_tps) == 10.5
+
+
+def test_two_level_forms_keep_null_keys_and_orders(spark):
+    df = spark.createDataFrame([(None, 1, None, 5), (None, 2, None, 7), (1, 3, None, 1), (1, 4, dt.datetime(2024, 1, 1), 2)],
+                               "k int, id int, ts timestamp_ntz, v int")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    plain = df.select("id", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+                      F.lag("v").over(w).alias("p"))
+    two = running_sum(df, "k", ["ts", "id"], "v", "s", ts_bucket("ts", 3600))
+    two = chunked_lag(two, "k", ["ts", "id"], ["v"], ts_bucket("ts", 3600)).select("id", "s", F.col("prev_v").alias("p"))
+    assert sorted(plain.collect()) == sorted(two.collect())
