@@ -35,13 +35,16 @@ _TRIGRAM = r"(?s)(?=(.{3}))"
 
 
 def _trigrams(text: Column) -> Column:
-    """Distinct case-folded trigrams of a whole text (empty below 3 chars)."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TRIGRAM), 1))
+    """Distinct case-folded trigrams of a whole text (empty below 3 chars),
+    each stored as a 64-bit hash: longs shuffle and sort faster than strings,
+    and a collision can only add a candidate, which the recheck removes."""
+    grams = F.regexp_extract_all(F.lower(text), F.lit(_TRIGRAM), 1)
+    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
 
 
 def trigram_index(df: DataFrame, key: str, col: str) -> DataFrame:
-    """``(tri, key)`` rows, one per distinct trigram of each text, clustered
-    by trigram so a lookup of a few trigrams reads few row groups."""
+    """``(key, tri)`` rows, one per distinct trigram (hash) of each text,
+    clustered by trigram so a lookup of a few trigrams reads few row groups."""
     src = spread(df.select(key, col))
     return (src.select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
             .repartition("tri").sortWithinPartitions("tri", key))

@@ -450,7 +450,7 @@ def trigram_find(spark, d):
     from ledgerlake.operators.layout import trigram_search, write_trigram_index
     docs = _t(spark, d, "documents")
     path = write_trigram_index(docs, "doc_id", "text", _scratch(spark, "trigram"))
-    index = spark.read.schema("doc_id bigint, tri string").parquet(path)
+    index = spark.read.schema("doc_id bigint, tri bigint").parquet(path)
     return trigram_search(spark, index, docs, "doc_id", "text", "mentoi").select("doc_id")
 
 

@@ -15,7 +15,7 @@ def test_trigram_search_equals_like_on_random_patterns(spark, scratch):
     from ledgerlake.operators.layout import trigram_search, write_trigram_index
     from ledgerlake.sources.tables import load
     docs = load(spark, SF, "documents")
-    index = spark.read.schema("doc_id bigint, tri string").parquet(
+    index = spark.read.schema("doc_id bigint, tri bigint").parquet(
         write_trigram_index(docs, "doc_id", "text", scratch("tri")))
     texts = [r.text for r in docs.select("text").limit(20).collect()]
     rnd = random.Random(11)
