@@ -138,7 +138,7 @@ def mart_apply(spark: SparkSession, log: DataFrame, prices: DataFrame, mode: str
     if mode != "exact":
         return apply_delta(st)
     # chunk bounds from the log's order alone (cheaper than a pass over the steps)
-    return apply_exact(spark, st, chunk=quantile_bucket(log.select((F.col("seq") * 2).alias("o")), "o", 64, 0.01))
+    return apply_exact(spark, st, chunk=quantile_bucket(log.select((F.col("seq") * 2).alias("o")), "o", 64, 0.01, sample=0.05))
 
 
 def mart_init(goods: DataFrame, sales: DataFrame) -> DataFrame:

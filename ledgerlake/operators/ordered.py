@@ -56,14 +56,19 @@ def ts_bucket(ts_col, seconds: int) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def quantile_bucket(df: DataFrame, col: str, n: int = 64, rel_err: float = 0.001) -> Column:
+def quantile_bucket(df: DataFrame, col: str, n: int = 64, rel_err: float = 0.001,
+                    sample: float | None = None) -> Column:
     """Chunk id from approximate quantiles of ``col`` (one sampling job; the
     ``n`` bounds come back to the driver).  Chunks hold about equal numbers
     of rows whatever the value distribution, so a hot key is cut into up to
     ``n`` pieces.  The id is found with a balanced comparison tree (O(log n)
     per row, inside codegen)."""
     probs = [i / n for i in range(1, n)]
-    cuts = sorted(set(v for v in df.approxQuantile(col, probs, rel_err) if v is not None))
+    src = df.select(col)
+    if sample is not None:
+        # the cut points only balance the work; any cuts give the same results
+        src = src.sample(fraction=sample, seed=17)
+    cuts = sorted(set(v for v in src.approxQuantile(col, probs, rel_err) if v is not None))
     c = F.col(col)
 
     def tree(lo: int, hi: int) -> Column:          # number of cuts <= value among cuts[lo:hi]
@@ -97,12 +102,14 @@ def running_sum(df: DataFrame, keys: Sequence[str] | str | None, order: Sequence
     order = _names(order)
     v = F.col(value) if isinstance(value, str) else value
     d = df.withColumn("_chunk", chunk).withColumn("_v", v)
-    tot = d.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_ct"))
-    wk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, "_chunk", F.coalesce(F.sum("_ct").over(wk), F.lit(0)).alias("_off"))
     wi = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("_in", F.sum("_v").over(wi))
+    # chunk totals from the windowed rows: already partitioned by (keys, chunk),
+    # so no second shuffle and the input is read once (the exchange is reused)
+    tot = inner.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_ct"))
+    wk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*keys, "_chunk", F.coalesce(F.sum("_ct").over(wk), F.lit(0)).alias("_off"))
     res = _join_null_safe(inner, off, [*keys, "_chunk"])
     return res.withColumn(out, F.col("_in") + F.col("_off")).drop("_chunk", "_v", "_in", "_off")
 
@@ -118,7 +125,7 @@ def chunked_lag(df: DataFrame, keys: Sequence[str] | str | None, order: Sequence
     for v in values:
         d = d.withColumn(prefix + v, F.lag(v, 1).over(wi))
     d = d.withColumn("_first", F.row_number().over(wi) == 1)
-    # last row of each chunk (max_by is a partial aggregate: no group gathering)
+    # last row of each chunk, from the windowed rows (same partitioning: no new shuffle)
     ordkey = F.struct(*[F.col(o) for o in order])
     last = d.groupBy(*keys, "_chunk").agg(
         F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), ordkey).alias("_last"))
