@@ -170,10 +170,10 @@ class PartitionedTable:
     def _write(self, df: DataFrame, version: int) -> list[str]:
         # range-shuffle on (partition, source column): each task writes a
         # contiguous run of partitions (few files), and a partition holding a
-        # large share of the rows is cut over several tasks instead of one
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # large share of the rows is cut over several tasks instead of one.
+        # No explicit count, so AQE sizes the tasks from the data.
         (df.withColumn(PART, self.spec.assign()).withColumn(VERSION, F.lit(version))
-         .repartitionByRange(n, PART, self.spec.column).sortWithinPartitions(PART, self.spec.column)
+         .repartitionByRange(PART, self.spec.column).sortWithinPartitions(PART, self.spec.column)
          .write.mode("append").option("compression", "zstd").partitionBy(PART, VERSION).parquet(self.root))
         return self._written(version)
 
