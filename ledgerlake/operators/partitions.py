@@ -168,12 +168,13 @@ class PartitionedTable:
         return out
 
     def _write(self, df: DataFrame, version: int) -> list[str]:
-        # range-shuffle on (partition, source column): each task writes a
-        # contiguous run of partitions (few files), and a partition holding a
-        # large share of the rows is cut over several tasks instead of one.
-        # No explicit count, so AQE sizes the tasks from the data.
+        # range-shuffle on (partition, source column) over every core of the
+        # cluster: each task writes one contiguous run of partitions (files stay
+        # near cores + partitions), and a partition holding a large share of the
+        # rows is cut over several tasks instead of one
+        n = self.spark.sparkContext.defaultParallelism
         (df.withColumn(PART, self.spec.assign()).withColumn(VERSION, F.lit(version))
-         .repartitionByRange(PART, self.spec.column).sortWithinPartitions(PART, self.spec.column)
+         .repartitionByRange(n, PART, self.spec.column).sortWithinPartitions(PART, self.spec.column)
          .write.mode("append").option("compression", "zstd").partitionBy(PART, VERSION).parquet(self.root))
         return self._written(version)
 
@@ -226,11 +227,11 @@ class PartitionedTable:
         m = self.manifest()
         cur = self.read(None, with_part=True)
         hit = cur.where(F.coalesce(where, F.lit(False)))
-        moved = dml_update(hit.drop(PART), None, set_)
-        # partition names only: at most one row per partition reaches the driver
-        src = {r[0] for r in hit.select(PART).distinct().collect()}
-        dst = {r[0] for r in moved.select(self.spec.assign().alias(PART)).distinct().collect()}
-        touched = sorted(src | dst)
+        moved = dml_update(hit, None, set_)
+        # (source, target) partition names of the changed rows in one job; at
+        # most partitions^2 small rows reach the driver, bounded by the spec
+        pairs = moved.select(F.col(PART).alias("src"), self.spec.assign().alias("dst")).distinct().collect()
+        touched = sorted({r.src for r in pairs} | {r.dst for r in pairs})
         if not touched:
             return self
         version = max(m["parts"].values(), default=0) + 1
