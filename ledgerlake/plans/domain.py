@@ -31,6 +31,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sales change logs
 PHASE = 2 ** 40
+# mart_log phases: a line's position l_orderkey * 8 + l_linenumber stays below
+# this for every order key below 2^56, and 4 phases * 2 (step order) fit a long
+LINE_PHASE = 2 ** 59
 PRICE_CUTOFF = "1997-01-01 00:00:00"
 
 
@@ -64,9 +67,9 @@ def mart_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     dele = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)
     part = F.col("l_partkey")
     return (_change(li, pos, "I", after=(part, q))
-            .unionByName(_change(li.where(upd), F.lit(PHASE) + pos, "U", (part, q), (part, q + 1)))
-            .unionByName(_change(li.where(mov), F.lit(2 * PHASE) + pos, "U", (part, q), (F.col("l_suppkey"), q)))
-            .unionByName(_change(li.where(dele), F.lit(3 * PHASE) + pos, "D", before=(part, q))))
+            .unionByName(_change(li.where(upd), F.lit(LINE_PHASE) + pos, "U", (part, q), (part, q + 1)))
+            .unionByName(_change(li.where(mov), F.lit(2 * LINE_PHASE) + pos, "U", (part, q), (F.col("l_suppkey"), q)))
+            .unionByName(_change(li.where(dele), F.lit(3 * LINE_PHASE) + pos, "D", before=(part, q))))
 
 
 def price_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
