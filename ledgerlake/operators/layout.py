@@ -44,10 +44,15 @@ def _trigrams(text: Column) -> Column:
 
 def trigram_index(df: DataFrame, key: str, col: str) -> DataFrame:
     """``(key, tri)`` rows, one per distinct trigram (hash) of each text,
-    clustered by trigram so a lookup of a few trigrams reads few row groups."""
+    clustered by trigram so a lookup of a few trigrams reads few row groups.
+
+    Shuffled with a ``rebalance`` hint on the trigram: AQE keeps each
+    trigram's postings together, and splits a partition that a trigram found
+    in a large share of the texts makes too big, without a sampling pass
+    over the texts (a range shuffle would extract every trigram twice)."""
     src = spread(df.select(key, col))
     return (src.select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
-            .repartition("tri").sortWithinPartitions("tri", key))
+            .hint("rebalance", "tri").sortWithinPartitions("tri", key))
 
 
 def write_trigram_index(df: DataFrame, key: str, col: str, path: str) -> str:
