@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.llm.decontam import contamination
 from ledgerlake.llm.exact import exact_groups
+from ledgerlake.llm.licenses import scan
+from ledgerlake.llm.urls import Rule, judge
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +19,39 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+#: The contract's rules, in its order.
+URL_RULES = [Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
+             Rule("block", "net", "/es/"), Rule("block", "net", "/fr/")]
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License mentions of ``documents``."""
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url by the trie of rules."""
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` that lie in a ten-word window of a ``benchmark`` item."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
+    "op3_license_scan": op3_license_scan,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_url_filter": op8_url_filter,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+SQL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE = {
     "op5_exact_dedup": f"""
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)
@@ -29,4 +59,34 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op8_url_filter": f"""
+        WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+                          regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        r AS (SELECT *, CASE
+            WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+            WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/' END AS rule FROM u)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+    """,
+    "op10_decontaminate": rf"""
+        WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w FROM documents),
+        items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SQL_WORD}') AS w FROM benchmark),
+        wins AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, k + 1, k + 10) AS win
+                 FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 9, 1))) AS k FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM wins),
+        runs AS (SELECT doc_id, n, k, list_slice(w, k + 1, k + n) AS win
+                 FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS k FROM words, sizes WHERE len(w) >= n)),
+        places AS (SELECT doc_id, k, wins.n AS n, item_id FROM runs JOIN wins ON runs.n = wins.n AND runs.win = wins.win),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM places)) GROUP BY doc_id),
+        listed AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                          string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+                   FROM places GROUP BY doc_id)
+        SELECT words.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id LEFT JOIN listed ON words.doc_id = listed.doc_id
+    """,
 }
