@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.llm.decontam import contamination
 from ledgerlake.llm.exact import exact_groups
 from ledgerlake.llm.licenses import scan
+from ledgerlake.llm.packing import pack
+from ledgerlake.llm.quality import classify
 from ledgerlake.llm.urls import Rule, judge
 
 
@@ -24,6 +26,16 @@ URL_RULES = [Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Ru
              Rule("block", "net", "/es/"), Rule("block", "net", "/fr/")]
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tokens of ``documents`` in training sequences of several lengths."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the co-trained views, learned from ``labels``."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License mentions of ``documents``."""
     return scan(table(spark, sf_dir, "documents")).select(
@@ -42,6 +54,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_url_filter": op8_url_filter,
