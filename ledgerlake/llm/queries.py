@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.decontam import contamination
 from ledgerlake.llm.exact import exact_groups
+from ledgerlake.llm.langid import identify
 from ledgerlake.llm.licenses import scan
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.quality import classify
@@ -42,6 +43,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the recurrent network over bytes."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url by the trie of rules."""
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -57,6 +63,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
+    "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_url_filter": op8_url_filter,
     "op10_decontaminate": op10_decontaminate,
