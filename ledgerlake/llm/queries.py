@@ -8,6 +8,7 @@ from ledgerlake.llm.decontam import contamination
 from ledgerlake.llm.exact import exact_groups
 from ledgerlake.llm.langid import identify
 from ledgerlake.llm.licenses import scan
+from ledgerlake.llm.ngrams import near_groups
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.quality import classify
 from ledgerlake.llm.urls import Rule, judge
@@ -48,6 +49,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of ``documents``: components of the exact Jaccard join of 5-word shingles."""
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url by the trie of rules."""
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -65,6 +71,7 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_url_filter": op8_url_filter,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -80,6 +87,18 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op6_ngram_jaccard": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k + 1, k + 5), ' ') AS g
+              FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS k FROM w WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * o >= 80 * (p.n + q.n - o)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT documents.doc_id AS doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
+        FROM documents LEFT JOIN sizes ON documents.doc_id = sizes.doc_id
+        JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON documents.doc_id = r.a
+    """,
     "op8_url_filter": f"""
         WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
                           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
