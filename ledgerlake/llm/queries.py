@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm.decontam import contamination
 from ledgerlake.llm.exact import exact_groups
+from ledgerlake.llm.html import extract
 from ledgerlake.llm.langid import identify
 from ledgerlake.llm.licenses import scan
 from ledgerlake.llm.ngrams import near_groups
@@ -59,6 +60,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's inferred wrapper."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of ``documents`` that lie in a ten-word window of a ``benchmark`` item."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
@@ -73,6 +79,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_url_filter": op8_url_filter,
+    "op9_html_extraction": op9_html_extraction,
     "op10_decontaminate": op10_decontaminate,
 }
 
