@@ -14,14 +14,16 @@ RID = "__ledgerlake_rid"
 
 #: Words of the license and decontamination contracts: runs of a-z, 0-9 and non-ASCII characters
 #: (texts are lower-cased first).
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[a-z0-9\x80-\x{10FFFF}]++"
+#: The same in a text that isn't lower-cased yet; gives the same number of words.
+ANY_CASE_WORD = r"[a-zA-Z0-9\x80-\x{10FFFF}]++"
 
 
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` does that on pure ASCII texts and is much faster there than
     ``translate``, which the rest goes through."""
-    return F.when(col.rlike(r"[^\x00-\x7F]"),
-                  F.translate(col, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(col))
+    return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(
+        F.translate(col, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def with_rid(df: DataFrame) -> DataFrame:

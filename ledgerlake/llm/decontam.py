@@ -1,14 +1,15 @@
 """Benchmark passages in documents, by a positional inverted index.
 
-The index holds (term, document row, position) for the terms that queries look up.  A phrase is
-searched from its two rarest terms: each posting, moved back by the term's offset in the phrase, is a
-possible start, and the two lists are intersected on (document, start).  What is left is compared
-with the document's own words, so results are exact.
-
-Scale: corpus counts of the query terms are combined before the shuffle; only postings of chosen
-terms are stored.  Every later step is linear in postings of rare terms or in real matches.  Term and
-window tables are stored, so Spark broadcasts them only below its own size threshold.
-All of it is DataFrame work.
+The index holds (term id, document row, position) for the terms that queries have, and each
+document's number of words under a mark of its own.  It is made in one pass over the texts and stored;
+all else is read from it.  A phrase is searched from its two rarest terms: each posting, moved back by the
+term's offset in the phrase, is a possible start, and the two lists are intersected on (document,
+start).  What is left is compared with the document's own words, so results are exact.
+
+Scale: the pass that makes the index shuffles nothing while the query terms are few enough for Spark to
+broadcast their stored table, and every later step is linear in postings of rare terms or in real
+matches.  Term and window tables are stored, so Spark broadcasts them only below its own size
+threshold and shuffles both sides above.  All of it is DataFrame work.
 """
 
 from __future__ import annotations
@@ -19,18 +20,26 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import RID, WORD, ascii_lower, stored, with_rid
 
 WINDOW = 10
-#: A word in a text that isn't lower-cased yet; gives the same number of words.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Stands after a document's last word in the index; no word can be that.
+MARK = " "
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def build_index(docs: DataFrame, terms: DataFrame | None = None, text_col: str = "text") -> DataFrame:
-    """Postings (term, row id, pos) of all words, or of those in ``terms`` (column ``term``)."""
-    rows = docs.select(RID, F.posexplode(words_of(F.col(text_col))).alias("pos", "term"))
-    return rows if terms is None else rows.join(terms.select("term").distinct(), "term")
+def build_index(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
+    """Postings (tid, row id, pos) of the words in ``terms`` (term, tid); the term ``MARK`` has every
+    document's number of words as its position."""
+    words = F.concat(words_of(F.col(text_col)), F.array(F.lit(MARK)))
+    return docs.select(RID, F.posexplode(words).alias("pos", "term")).join(terms, "term").select("tid", RID, "pos")
+
+
+def query_terms(terms: DataFrame) -> DataFrame:
+    """(term, tid) of a column ``term``, and the mark with tid -1; stored."""
+    numbered = terms.select("term").distinct().sortWithinPartitions("term").withColumn("tid", F.monotonically_increasing_id())
+    mark = terms.sparkSession.range(1).select(F.lit(MARK).alias("term"), F.lit(-1).cast("long").alias("tid"))
+    return stored(numbered.unionByName(mark), "terms")
 
 
 def item_windows(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -40,22 +49,23 @@ def item_windows(items: DataFrame, size: int = WINDOW, id_col: str = "item_id",
     return words.select("item", F.explode(F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("w", k + 1, size))).alias("win"))
 
 
-def phrase_matches(docs: DataFrame, phrases: DataFrame, text_col: str = "text") -> DataFrame:
-    """Exact places of phrases: (row id, start, phrase), one row each.
+def phrase_matches(docs: DataFrame, phrases: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Exact places of phrases, (row id, start, phrase), one row each, and the stored index.
 
     ``docs`` carries the row id; ``phrases`` has (phrase: any id, win: array of words, not empty),
     each win once.
     """
-    terms = phrases.select("phrase", F.size("win").alias("n"), F.posexplode("win").alias("off", "term"))
-    vocabulary = stored(terms.select("term").distinct(), "vocabulary")
-    counts = stored(build_index(docs, vocabulary, text_col).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "termcounts")
+    spots = phrases.select("phrase", F.size("win").alias("n"), F.posexplode("win").alias("off", "term"))
+    terms = query_terms(spots)
+    index = stored(build_index(docs, terms, text_col), "index")
+    counts = index.groupBy("tid").agg(F.count(F.lit(1)).alias("df"))
     # a phrase with a term that no document has is not looked up
-    rare = (terms.join(counts, "term", "left").withColumn("least", F.min(F.coalesce("df", F.lit(0))).over(Window.partitionBy("phrase")))
-            .where("least > 0")
-            .withColumn("nth", F.row_number().over(Window.partitionBy("phrase").orderBy("df", "off"))).where("nth <= 2"))
-    rare = stored(rare.select("phrase", "term", "off", "n", "nth"), "rareterms")
-    index = stored(build_index(docs, rare, text_col), "index")
-    lists = index.join(rare, "term").select(RID, "phrase", (F.col("pos") - F.col("off")).alias("start"), "nth", "n").where("start >= 0")
+    known = spots.join(terms, "term").join(counts, "tid", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rare = known.withColumn("least", F.min("df").over(Window.partitionBy("phrase"))).where("least > 0").withColumn(
+        "nth", F.row_number().over(Window.partitionBy("phrase").orderBy("df", "off"))).where("nth <= 2")
+    rare = stored(rare.select("phrase", "tid", "off", "n", "nth"), "rareterms")
+    lists = index.join(rare, "tid").select(RID, "phrase", (F.col("pos") - F.col("off")).alias("start"), "nth", "n").where("start >= 0")
+    lists = stored(lists, "lists")
     starts = lists.where("nth = 1").select(RID, "phrase", "start", "n")
     second = lists.where("nth = 2").select(RID, "phrase", "start")
     starts = starts.where("n = 1").unionByName(starts.where("n > 1").join(second, [RID, "phrase", "start"])).drop("n")
@@ -66,17 +76,18 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, text_col: str = "text")
     tries = starts.join(phrases, "phrase").groupBy(RID).agg(F.collect_list(F.struct("phrase", "start", "win")).alias("tries"))
     found = words.join(tries, RID).select(RID, F.explode(F.filter(
         "tries", lambda t: F.slice("w", t["start"] + 1, F.size(t["win"])) == t["win"])).alias("t"))
-    return found.select(RID, "t.start", "t.phrase")
+    return found.select(RID, "t.start", "t.phrase"), index
 
 
 def proximity_matches(docs: DataFrame, queries: DataFrame, span: int, text_col: str = "text") -> DataFrame:
     """(row id, query, start): places where all terms of a query (query, terms: array) stand within
     ``span`` words, in any order; ``start`` is the first word of such a stretch."""
-    terms = queries.select("query", F.explode(F.array_distinct("terms")).alias("term"))
+    asked = queries.select("query", F.explode(F.array_distinct("terms")).alias("term"))
     wanted = queries.select("query", F.size(F.array_distinct("terms")).alias("n"))
-    index = build_index(docs, terms, text_col).join(terms, "term")
+    terms = query_terms(asked)
+    index = build_index(docs, terms, text_col).join(asked.join(terms, "term"), "tid")
     ahead = Window.partitionBy(RID, "query").orderBy("pos").rangeBetween(0, span - 1)
-    return (index.withColumn("seen", F.size(F.collect_set("term").over(ahead))).join(wanted, "query")
+    return (index.withColumn("seen", F.size(F.collect_set("tid").over(ahead))).join(wanted, "query")
             .where("seen = n").select(RID, "query", F.col("pos").alias("start")))
 
 
@@ -93,7 +104,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
     phrases = stored(owners.select("win").distinct().sortWithinPartitions("win").withColumn(
         "phrase", F.monotonically_increasing_id()), "phrases")
     owners = owners.join(phrases, "win").select("phrase", F.col("item").cast("string").alias("item"))
-    places = stored(phrase_matches(docs, phrases, text_col).join(
+    matches, index = phrase_matches(docs, phrases, text_col)
+    places = stored(matches.join(
         phrases.select("phrase", F.size("win").alias("n")), "phrase"), "places")
     # words covered: each place adds what lies beyond the farthest end before it
     before = Window.partitionBy(RID).orderBy("start", "n", "phrase").rowsBetween(Window.unboundedPreceding, -1)
@@ -102,7 +114,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
                .groupBy(RID).agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "reach"))).alias("n_hit")))
     listed = places.select(RID, "phrase").distinct().join(owners, "phrase").groupBy(RID).agg(F.collect_set("item").alias("items"))
     hits = covered.join(listed, RID, "left")
-    rows = docs.select(RID, F.col(id_col), F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
+    rows = docs.select(RID, F.col(id_col)).join(
+        index.where("tid = -1").select(RID, F.col("pos").cast("long").alias("n_words")), RID)
     items_of = F.array_sort(F.coalesce("items", F.array().cast("array<string>")))
     return rows.join(hits, RID, "left").select(
         RID, id_col, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

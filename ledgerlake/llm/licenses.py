@@ -19,8 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, WORD, ascii_lower, with_rid
-from ledgerlake.llm.decontam import ANY_CASE_WORD
+from ledgerlake.llm.common import ANY_CASE_WORD, RID, WORD, ascii_lower, with_rid
 
 
 class Rule(NamedTuple):
