@@ -18,7 +18,6 @@ size of a template, not of the pages.
 from __future__ import annotations
 
 import difflib
-import functools
 import hashlib
 import html as entities
 import json
@@ -188,9 +187,16 @@ def _repeats(items: list[dict]) -> list[dict]:
     return items
 
 
-@functools.lru_cache(4096)
+_KNOWN: dict[tuple, list[tuple]] = {}
+
+
 def _differences(a: tuple[str, ...], b: tuple[str, ...]) -> list[tuple]:
-    return difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+    """Edit steps between two key lists; lists recur, so some are remembered."""
+    if (a, b) not in _KNOWN:
+        if len(_KNOWN) > 4096:
+            _KNOWN.clear()
+        _KNOWN[a, b] = difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+    return _KNOWN[a, b]
 
 
 def align(a: list[dict], b: list[dict]) -> list[dict]:

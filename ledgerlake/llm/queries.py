@@ -12,6 +12,7 @@ from ledgerlake.llm.licenses import scan
 from ledgerlake.llm.ngrams import near_groups
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.quality import classify
+from ledgerlake.llm.repeats import remove_repeats
 from ledgerlake.llm.urls import Rule, judge
 
 
@@ -55,6 +56,11 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` that a repeated 100-byte string covers."""
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url by the trie of rules."""
     return judge(table(spark, sf_dir, "pages"), URL_RULES)
@@ -78,6 +84,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontaminate": op10_decontaminate,
