@@ -7,6 +7,7 @@ operators assume (UTC session zone, ANSI casts, AQE with skew handling).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -53,6 +54,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application, so that operators with
+    Python functions run where the package is not installed.  Code only; no data goes this way."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-code-"), "ledgerlake-code")
+    sc.addPyFile(shutil.make_archive(base, "zip", home, "ledgerlake"))
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` from the session
     (or the context's conf, or a checkpoint dir already set on the context).
