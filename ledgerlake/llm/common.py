@@ -34,6 +34,12 @@ def with_rid(df: DataFrame) -> DataFrame:
     return df.withColumn(RID, F.monotonically_increasing_id())
 
 
+def by_key(big: DataFrame, keys: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a table of texts (or of all tokens) with keys whose number grows with it: always by
+    shuffling both, so that the plan is the same at every size."""
+    return big.join(keys.hint("merge"), on, how)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, and a lost
     executor costs no recomputation of what lies before."""

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, WORD, ascii_lower, stored, with_rid
+from ledgerlake.llm.common import RID, WORD, ascii_lower, by_key, stored, with_rid
 
 WINDOW = 10
 #: Stands after a document's last word in the index; no word can be that.
@@ -71,7 +71,7 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, text_col: str = "text")
     starts = starts.where("n = 1").unionByName(starts.where("n > 1").join(second, [RID, "phrase", "start"])).drop("n")
     starts = stored(starts, "starts")
     # the rest of the phrase, on the documents that have a start
-    text = docs.select(RID, text_col).join(starts.select(RID).distinct(), RID, "left_semi")
+    text = by_key(docs.select(RID, text_col), starts.select(RID).distinct(), RID, "left_semi")
     words = text.select(RID, words_of(F.col(text_col)).alias("w"))
     tries = starts.join(phrases, "phrase").groupBy(RID).agg(F.collect_list(F.struct("phrase", "start", "win")).alias("tries"))
     found = words.join(tries, RID).select(RID, F.explode(F.filter(
@@ -127,4 +127,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any window of an item, all columns as they are."""
     tagged = with_rid(docs)
     gone = stored(contamination(tagged, items).where("contaminated").select(RID), "contaminated")
-    return tagged.join(gone, RID, "left_anti").drop(RID)
+    return by_key(tagged, gone, RID, "left_anti").drop(RID)

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, ascii_lower, stored, with_rid
+from ledgerlake.llm.common import RID, ascii_lower, by_key, stored, with_rid
 
 BLOCK_CHARS = 4096
 #: Second half of a pair whose first half is the last name of an odd row.
@@ -113,4 +113,4 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, all columns as they are."""
     tagged = with_rid(docs)
     gone = stored(exact_groups(tagged, id_col, text_col).where(~F.col("kept")).select(RID), "copies")
-    return tagged.join(gone, RID, "left_anti").drop(RID)
+    return by_key(tagged, gone, RID, "left_anti").drop(RID)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, stored, with_rid
+from ledgerlake.llm.common import RID, by_key, stored, with_rid
 from ledgerlake.llm.graph import components
 from ledgerlake.llm.hashing import shingle_sets, text_chunks
 
@@ -109,22 +109,22 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     members = stored(sets.select(RID, "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left").select(RID, "n", "cls"), "members")
 
     # order 1: prefixes in hash order
-    heads = sets.join(classes.select(F.col("cls").alias(RID)), RID, "left_semi")
+    heads = by_key(sets, classes.select(F.col("cls").alias(RID)), RID, "left_semi")
     postings = heads.select(F.col(RID).alias("cls"), "n", F.explode("prefix").alias("token"))
     shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token"), "sharedtokens")
     least = F.floor(F.ceil(F.col("n") * percent / 100) / EXTRA) + 1
-    first = postings.join(shared, "token", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")).where(
+    first = by_key(postings, shared, "token", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")).where(
         F.col("k") >= least).select("cls", "n")
     first = stored(first, "first")
 
     # order 2: rarest first among the survivors
-    texts = docs.select(F.col(RID).alias("cls"), F.col(text_col).cast("string").alias("text")).join(first, "cls")
+    texts = by_key(docs.select(F.col(RID).alias("cls"), F.col(text_col).cast("string").alias("text")), first, "cls")
     every = _tokens(texts, width)
     tokens = stored(every, "tokens")
     each = tokens.select("cls", "n", F.explode("tokens").alias("token"))
     df = stored(each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
     spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    live = each.join(df, "token").groupBy("cls", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")).withColumn(
+    live = by_key(each, df, "token").groupBy("cls", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")).withColumn(
         "u", F.col("n") - F.size("t")).where(F.col("u") <= spare).select(
         "cls", "n", "u", F.col("t.token").alias("tokens"))
     live = stored(live, "live")
@@ -174,4 +174,4 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """One row of each component, all columns as they are."""
     tagged = with_rid(docs)
     gone = stored(near_groups(tagged, id_col, text_col).where(~F.col("kept")).select(RID), "nearcopies")
-    return tagged.join(gone, RID, "left_anti").drop(RID)
+    return by_key(tagged, gone, RID, "left_anti").drop(RID)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, stored, with_rid
+from ledgerlake.llm.common import RID, by_key, stored, with_rid
 from ledgerlake.llm.hashing import CHUNK, Prefix, mix, text_chunks
 from ledgerlake.llm.suffix import common_prefixes, suffix_array
 
@@ -178,7 +178,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", length: int = LENG
     text = F.col(text_col).cast("string")
     counted = docs.select(text).mapInArrow(grams, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     live = stored(counted.where("n > 1").select("h"), "livegrams")
-    every = docs.select(RID, text).mapInArrow(contexts, f"h long, c long, {RID} long, span long").join(live, "h", "left_semi")
+    every = by_key(docs.select(RID, text).mapInArrow(contexts, f"h long, c long, {RID} long, span long"), live, "h", "left_semi")
     ids = docs.select(RID, "id")
     every = stored(every.join(ids, RID).select("h", "c", "id", RID, F.shiftright("span", 24).alias("lo"), (
         F.shiftright("span", 24) + F.col("span").bitwiseAND(2**24 - 1)).alias("hi")), "liveanchors")
@@ -212,7 +212,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", length: int = LENG
                             [_longs(left), _longs(right), pa.array(np.full(len(p), doc)), pa.array(np.full(len(p), rid)),
                              pa.array(p + x["lo"]), pa.nulls(len(p), pa.binary())], names)
 
-    texts = lists.join(_texts(docs, text_col), RID).select(RID, "id", "xs", "z")
+    texts = by_key(_texts(docs, text_col), lists, RID).select(RID, "id", "xs", "z")
     pieces = stored(texts.mapInArrow(cut, f"h long, c long, id long, {RID} long, lo long, bytes binary"), "contexts")
     shards = pieces.where(F.col("bytes").isNotNull()).repartition("h").sortWithinPartitions("h")
     windows = pieces.where(F.col("bytes").isNull()).drop("bytes")
@@ -258,7 +258,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
                                              [RID, "n_removed", "n_spans", "sha", "kept"])
 
-    changed = lists.join(_texts(tagged, "text"), RID).select(RID, "xs", "z").mapInArrow(
+    changed = by_key(_texts(tagged, "text"), lists, RID).select(RID, "xs", "z").mapInArrow(
         cut, f"{RID} long, n_removed long, n_spans long, sha string, kept binary")
     rows = tagged.select(RID, F.col("own").alias(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     return rows.join(changed, RID, "left").select(
