@@ -12,10 +12,17 @@ several orders are intersected before any pair is looked at:
    prefix is what pairs are found by, and common passages are at the far end of it.
 
 Pairs: each prefix token first ties its holders to one pivot, the one with the fewest unshared
-tokens, so a large group of near copies costs one pair a member.  After those links are verified,
-only holders of a token that are still in different components are paired, and only those whose
-sizes and numbers of unshared tokens allow the overlap.  All pairs are verified on the sets; every
-link between components is found, and no cap on partners or candidates exists.
+tokens, so a large group of near copies costs one pair a member.  Each such pair is verified.  What
+is left are links between classes in different components, found in two ways:
+
+* classes that share a token with at most ``CROWD`` holders meet on that token;
+* classes that share only tokens with more holders share one in their prefixes, and both were
+  compared with its pivot.  Their overlap is at most the lesser of their overlaps with the pivot plus
+  the lesser of what they have besides it, so members of a crowd that are too far from its pivot
+  meet nobody.
+
+All pairs are verified on the sets; every link between components is found, and no cap on partners or
+candidates exists.
 
 Tokens are 64-bit hashes of shingles.
 """
@@ -34,6 +41,8 @@ from ledgerlake.llm.graph import components
 from ledgerlake.llm.hashing import shingle_sets, text_chunks
 
 WIDTH, PERCENT = 5, 80
+#: Holders of a token that meet each other without regard to the token's pivot.
+CROWD = 32
 #: One more token must be shared in the hash-order prefix for so many tokens of a set.
 EXTRA = 20
 
@@ -86,22 +95,28 @@ def _tokens(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("cls", "n", "text").mapInArrow(run, "cls long, n long, tokens array<long>")
 
 
-def _allowed(percent: int) -> Column:
-    """Can x and y overlap enough, given sizes and numbers of tokens that no other class has?"""
-    most = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
-    return most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+def _enough(overlap: Column, percent: int, x: str = "x.n", y: str = "y.n") -> Column:
+    """Is that overlap of sets of these sizes a link?"""
+    return overlap * (100 + percent) >= (F.col(x) + F.col(y)) * percent
 
 
-def _links(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    x = live.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+def _overlaps(pairs: DataFrame, live: DataFrame) -> DataFrame:
+    """(a, b, na, nb, o, oc, rc): sizes, overlap, overlap in tokens with a crowd, and a's other tokens
+    with a crowd."""
+    x = live.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"), F.col("few").alias("fa"))
     y = live.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = pairs.join(x, "a").join(y, "b")
-    overlap = F.size(F.array_intersect("ta", "tb"))
-    return both.where(overlap * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+    crowd = F.slice("ta", F.col("fa") + 1, F.size("ta"))
+    both = pairs.join(x, "a").join(y, "b").withColumn("oc", F.size(F.array_intersect(crowd, "tb")))
+    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("o"), "oc",
+                       (F.size("ta") - F.col("fa") - F.col("oc")).alias("rc"))
+
 
+def _links(overlaps: DataFrame, percent: int) -> DataFrame:
+    return overlaps.where(_enough(F.col("o"), percent, "na", "nb")).select("a", "b")
 
-def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+
+def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
+               crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """``docs`` carries the row id.  Returns (row id, n, cls) for every row, cls null without words, and
     verified links (a, b) of classes that span all components of the similarity graph."""
     sets = stored(_sets(docs, text_col, width, percent), "sets")
@@ -126,32 +141,41 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
     live = by_key(each, df, "token").groupBy("cls", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")).withColumn(
         "u", F.col("n") - F.size("t")).where(F.col("u") <= spare).select(
-        "cls", "n", "u", F.col("t.token").alias("tokens"))
+        "cls", "n", "u", F.col("t.token").alias("tokens"),
+        F.size(F.filter("t", lambda t: t["df"] <= crowd)).alias("few"))  # tokens with few holders come first
     live = stored(live, "live")
-    prefix = live.select("cls", "n", "u", F.explode(F.slice("tokens", 1, (spare + 1 - F.col("u")).cast("int"))).alias("token"))
+    held = live.select("cls", "n", "u", "few", (spare + 1 - F.col("u")).cast("int").alias("p"), F.posexplode("tokens").alias("k", "token"))
+    prefix = held.where("k < p")
 
     # one pivot a token
-    ranked = F.struct((F.col("u") / F.col("n")).alias("r"), "cls", "n", "u")
-    pivots = stored(prefix.groupBy("token").agg(F.min(ranked).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1").select(
-        "token", "p.cls", "p.n", "p.u"), "pivots")
-    tries = prefix.alias("x").join(pivots.alias("y"), "token").where((F.col("x.cls") != F.col("y.cls")) & _allowed(percent)).select(
-        F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
-    tries = stored(tries, "pivotpairs")
-    links = stored(_links(tries, live, percent), "pivotlinks")
-
-    # what the pivots left apart
+    ranked = F.struct((F.col("u") / F.col("n")).alias("r"), "cls")
+    pivots = stored(prefix.groupBy("token").agg(F.min(ranked).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select(
+        "token", F.col("p.cls").alias("pivot")), "pivots")
+    tries = prefix.join(pivots, "token").where("cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
+    compared = stored(_overlaps(tries, live), "compared")
+    links = stored(_links(compared, percent), "pivotlinks")
+
+    # what the pivots left apart: tokens with holders in several components
     roots = stored(components(links), "roots")
-    held = prefix.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    held = held.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    held = stored(held.where("k < few or k < p").select("token", "cls", "n", "u", "root", (F.col("k") < F.col("few")).alias("few")), "held")
     split = stored(held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token"), "split")
-    held = stored(held.join(split, "token", "left_semi"), "held")
-    pairs = held.alias("x").join(held.alias("y"), "token").where(
-        (F.col("x.cls") < F.col("y.cls")) & (F.col("x.root") != F.col("y.root")) & _allowed(percent)).select(
-        F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    pairs = stored(pairs.join(tries, ["a", "b"], "left_anti"), "pairs")
-    return members, links.unionByName(_links(pairs, live, percent))
-
-
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    held = stored(held.join(split, "token", "left_semi"), "apart")
+    cross = (F.col("x.cls") < F.col("y.cls")) & (F.col("x.root") != F.col("y.root"))
+    most = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
+    few = held.where("few")
+    near = few.alias("x").join(few.alias("y"), "token").where(cross & _enough(most, percent))
+    crowded = held.where("not few").join(pivots, "token").join(
+        compared.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "oc", "rc"), ["cls", "pivot"])
+    most = F.least(F.col("x.oc"), F.col("y.oc")) + F.least(F.col("x.rc"), F.col("y.rc"))
+    far = crowded.alias("x").join(crowded.alias("y"), "token").where(cross & _enough(most, percent))
+    ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
+    pairs = stored(near.select(*ends).unionByName(far.select(*ends)).distinct(), "pairs")
+    return members, links.unionByName(_links(_overlaps(pairs, live), percent))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                percent: int = PERCENT, crowd: int = CROWD) -> DataFrame:
     """(row id, id, n_shingles, component_id, kept), one row per row of ``docs``.
 
     ``component_id`` is the least id reachable by links, the row's own included (null ids are passed
@@ -159,7 +183,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with nothing.  ``kept`` marks one row of each component: its least id, the first row on ties.
     """
     docs = docs if RID in docs.columns else with_rid(docs)
-    members, links = near_links(docs, text_col, width, percent)
+    members, links = near_links(docs, text_col, width, percent, crowd)
     roots = stored(components(links), "components")
     ids = docs.select(RID, F.col(id_col).alias("id")).join(members, RID).join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     # rows without words stand alone, in a number range of their own
