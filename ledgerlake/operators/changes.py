@@ -5,8 +5,8 @@ after``; ``op`` is I (insert), U (update), D (delete) or T (truncate, no
 key).  ``key``/``before``/``after`` are structs.
 
 Applying a log never gathers a key's history in one task: the latest change
-per key is a ``max_by`` aggregate (partial on the map side), and truncation
-is a one-row aggregate joined back.
+per key is a ``max_by`` aggregate (partial on the map side), truncation is a
+one-row aggregate, and base and changes meet in one full outer join.
 """
 
 from __future__ import annotations
@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import ratio_pct
+from ledgerlake.operators.ordered import bucket, running_sum
+
+#: Orders per chunk in the ordered fold of identity='full'; a chunk holds at most so many changes.
+FULL_CHUNK = 2 ** 18
 
 
 def make_log(df: DataFrame, seq: Column, op: Column, key: dict, after: dict,
@@ -36,25 +40,28 @@ def make_log(df: DataFrame, seq: Column, op: Column, key: dict, after: dict,
                      F.when(op.isin("I", "U"), a).alias("after"))
 
 
-def publish(before: DataFrame, after: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The changes that turn table ``before`` into table ``after``.
+def publish(before: DataFrame, after: DataFrame, key: Sequence[str], start_seq: int = 0) -> DataFrame:
+    """The changes that turn table ``before`` into table ``after``, as a change
+    log that ``apply_changes`` takes: ``seq, commit_ts, op, key, before, after``.
 
     Full outer join on the key; I where only after exists, D where only before
     exists, U where a non-key column differs (NULL-safe).  Equal rows emit
-    nothing.  Output: ``op``, key columns, ``before`` and ``after`` structs.
+    nothing.  ``seq`` counts up from ``start_seq``; each key changes once, so any
+    order of the changes gives the same table.
     """
     key = list(key)
-    vals = [c for c in before.columns if c not in key]
-    b = before.select(*key, F.struct(*vals).alias("before"), F.lit(True).alias("_b"))
-    a = after.select(*key, F.struct(*vals).alias("after"), F.lit(True).alias("_a"))
+    cols = before.columns
+    vals = [c for c in cols if c not in key]
+    b = before.select(*key, F.struct(*cols).alias("before"))
+    a = after.select(*key, F.struct(*cols).alias("after"))
     j = b.join(a, on=key, how="full")
-    same = None
+    same = F.lit(True)
     for v in vals:
-        e = F.col("before." + v).eqNullSafe(F.col("after." + v))
-        same = e if same is None else same & e
-    op = (F.when(F.col("_b").isNull(), "I").when(F.col("_a").isNull(), "D")
-          .when(~same, "U"))
-    return j.select(op.alias("op"), *key, "before", "after").where(F.col("op").isNotNull())
+        same = same & F.col("before." + v).eqNullSafe(F.col("after." + v))
+    op = F.when(F.col("before").isNull(), "I").when(F.col("after").isNull(), "D").when(~same, "U")
+    changes = j.select(op.alias("op"), F.struct(*key).alias("key"), "before", "after").where(F.col("op").isNotNull())
+    return changes.select((F.monotonically_increasing_id() + F.lit(start_seq)).alias("seq"),
+                          F.lit(None).cast("timestamp_ntz").alias("commit_ts"), "op", "key", "before", "after")
 
 
 def _after_truncate(changes: DataFrame) -> DataFrame:
@@ -72,9 +79,10 @@ def apply_changes(base: DataFrame, changes: DataFrame, identity: str = "key") ->
                       key wins (I/U upsert its ``after`` image, D removes).
     identity='full' : rows are identified by their whole value (tables
                       without a key): D removes one equal row, U removes one
-                      row equal to ``before`` and adds ``after``, I adds.
-                      Bag arithmetic per distinct row value, so duplicate
-                      rows are handled exactly.
+                      row equal to ``before`` and adds ``after``, I adds, in
+                      order: a removal finds only rows that are there at its
+                      seq, and one that finds none does nothing (an update then
+                      still adds its ``after``, as with identity='key').
     identity='none' : only inserts can be replicated; an update or delete
                       raises, as an apply worker stops on them.
     A truncate clears ``base`` and every earlier change.
@@ -91,22 +99,37 @@ def apply_changes(base: DataFrame, changes: DataFrame, identity: str = "key") ->
         return base_live.unionByName(ins.select("after.*").select(*cols))
 
     if identity == "full":
-        add = live.where(F.col("op").isin("I", "U")).select("after.*").select(*cols, F.lit(1).alias("_n"))
-        rem = live.where(F.col("op").isin("U", "D")).select("before.*").select(*cols, F.lit(-1).alias("_n"))
-        u = base_live.select(*cols, F.lit(1).alias("_n")).unionByName(add).unionByName(rem)
-        g = u.groupBy(*cols).agg(F.sum("_n").alias("_n")).where(F.col("_n") > 0)
-        return g.select(*cols, F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_x")) \
-            .drop("_x")
-
+        rem = live.where(F.col("op").isin("U", "D")).select((F.col("seq") * 2).alias("_o"), "before.*")
+        add = live.where(F.col("op").isin("I", "U")).select((F.col("seq") * 2 + 1).alias("_o"), "after.*")
+        moves = rem.select(*cols, "_o", F.lit(-1).alias("_n")).unionByName(add.select(*cols, "_o", F.lit(1).alias("_n")))
+        # per row value: how far the running count falls below its start; a removal
+        # that finds no row is a fall below zero, which is given back
+        run = running_sum(moves, cols, "_o", "_n", "_run", bucket("_o", FULL_CHUNK))
+        falls = run.groupBy(*cols).agg(F.sum("_n").alias("_sum"), F.least(F.min("_run"), F.lit(0)).alias("_low"))
+        start = base_live.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+        u = start.select(*cols, "_c", F.lit(0).alias("_sum"), F.lit(0).alias("_low")).unionByName(
+            falls.select(*cols, F.lit(0).alias("_c"), "_sum", "_low"))
+        g = u.groupBy(*cols).agg(F.sum("_c").alias("_c"), F.sum("_sum").alias("_sum"), F.sum("_low").alias("_low"))
+        left = (F.col("_c") + F.col("_sum") - F.least(F.lit(0), F.col("_c") + F.col("_low"))).cast("int")
+        return g.withColumn("_left", left).where(F.col("_left") > 0).select(
+            *cols, F.explode(F.array_repeat(F.lit(1), F.col("_left"))).alias("_x")).drop("_x")
+
+    # the latest change per key; truncates are the group without a key
+    latest = changes.groupBy("key").agg(F.max_by(F.struct("seq", "op", "after"), "seq").alias("_l"))
     key_names = [f.name for f in changes.schema["key"].dataType.fields]
-    latest = (live.where(F.col("op") != "T")
-              .groupBy("key").agg(F.max_by(F.struct("op", "after"), F.col("seq")).alias("_l")))
-    latest = latest.select(*[F.col("key." + k).alias(k) for k in key_names], F.col("_l.op").alias("_op"),
-                           F.col("_l.after").alias("_after"))
-    kept = base_live.join(latest.select(*key_names), on=key_names, how="left_anti")
     after_only = [f.name for f in changes.schema["after"].dataType.fields if f.name not in key_names]
-    upserts = latest.where(F.col("_op") != "D").select(*key_names, *[F.col("_after." + f).alias(f) for f in after_only])
-    return kept.unionByName(upserts.select(*cols))
+    latest = latest.where(F.col("_l.op") != "T").crossJoin(F.broadcast(last_t)).select(      # one row by construction
+        *[F.col("key." + k).alias("_k_" + k) for k in key_names], F.col("_l.after").alias("_after"),
+        ((F.col("_l.op") != "D") & (F.col("_tseq").isNull() | (F.col("_l.seq") > F.col("_tseq")))).alias("_there"))
+    cond = F.lit(True)
+    for k in key_names:
+        cond = cond & (base_live[k] == latest["_k_" + k])
+    j = base_live.withColumn("_b", F.lit(True)).join(latest, cond, "full")
+    changed = F.col("_there").isNotNull()
+    out = [F.when(changed, F.col("_k_" + c)).otherwise(F.col(c)).alias(c) if c in key_names
+           else F.when(changed, F.col("_after." + c)).otherwise(F.col(c)).alias(c) if c in after_only
+           else F.col(c) for c in cols]
+    return j.where(F.coalesce("_there", "_b")).select(*out)
 
 
 def as_of(base: DataFrame, changes: DataFrame, upto: Column | int) -> DataFrame:
@@ -145,9 +168,3 @@ def churn_report(changes: DataFrame) -> DataFrame:
     alive = latest.agg(F.count(F.when(F.col("_op") != "D", 1)).alias("live"))
     r = dead.crossJoin(alive)
     return r.select("changes", "dead", "live", ratio_pct("dead", "live").alias("dead_pct"))
-
-
-def merge_sources(sources: dict, tag_col: str = "source") -> DataFrame:
-    """Several publishers' replicas read as one, tagged by publisher."""
-    from ledgerlake.operators.relational import merge_sources as ms
-    return ms(sources, tag_col)

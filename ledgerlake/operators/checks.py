@@ -42,10 +42,6 @@ def not_null(*cols: str) -> dict:
     return {f"{c}_not_null": F.col(c).isNotNull() for c in cols}
 
 
-def max_length(col: str, n: int) -> dict:
-    return {f"{col}_max_length_{n}": F.length(col) <= n}
-
-
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """V3: keys held by more than one row (rows with a NULL key part are exempt,
     as for UNIQUE)."""
@@ -90,12 +86,20 @@ def assert_counts(a: DataFrame, b: DataFrame) -> int:
     return na
 
 
+def row_digest(df: DataFrame):
+    """A number from a row's text: the first 15 hex digits of the md5 of its columns' texts,
+    each with its length, NULL as ``-``."""
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in df.columns]
+    return F.conv(F.substring(F.md5(F.concat_ws(",", *parts)), 1, 15), 16, 10).cast("decimal(20,0)")
+
+
 def fingerprint(df: DataFrame, by: Sequence[str] | str) -> DataFrame:
-    """V7: per-partition row count and order-independent content hash."""
+    """V7: per-partition row count and order-independent content digest (a sum of row
+    digests that other engines can compute as well)."""
     by = [by] if isinstance(by, str) else list(by)
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(20,0)")
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"),
-                               F.sum(h).cast("decimal(38,0)").alias("fingerprint"))
+                               F.sum(row_digest(df)).cast("decimal(38,0)").alias("fingerprint"))
 
 
 def verify_fingerprints(current: DataFrame, manifest: DataFrame, by: Sequence[str] | str) -> DataFrame:

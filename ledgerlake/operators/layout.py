@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.ordered import spread
 
 
 def layout(df: DataFrame, sort_cols: Sequence[str], path: str, derived: dict | None = None,
@@ -42,24 +41,31 @@ def _trigrams(text: Column) -> Column:
     return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
 
 
+#: Folders of a written index, by trigram; a lookup opens only those of its trigrams.
+BUCKETS = 64
+
+
 def trigram_index(df: DataFrame, key: str, col: str) -> DataFrame:
-    """``(key, tri)`` rows, one per distinct trigram (hash) of each text,
-    clustered by trigram so a lookup of a few trigrams reads few row groups.
+    """``(key, tri, bucket)`` rows, one per distinct trigram (hash) of each text.
 
-    Shuffled with a ``rebalance`` hint on the trigram: AQE keeps each
-    trigram's postings together, and splits a partition that a trigram found
-    in a large share of the texts makes too big, without a sampling pass
-    over the texts (a range shuffle would extract every trigram twice)."""
-    src = spread(df.select(key, col))
-    return (src.select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
-            .hint("rebalance", "tri").sortWithinPartitions("tri", key))
+    Texts are dealt out by key before the extraction, which costs far more than their
+    shuffle.  Postings are rebalanced by bucket and trigram: AQE keeps a trigram's postings
+    together and splits the partition of one that a large share of the texts holds."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(key, col).repartition(n, key).select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
+    return rows.withColumn("bucket", F.pmod("tri", F.lit(BUCKETS)).cast("int")).hint("rebalance", "bucket", "tri").sortWithinPartitions(
+        "bucket", "tri", key)
 
 
 def write_trigram_index(df: DataFrame, key: str, col: str, path: str) -> str:
-    trigram_index(df, key, col).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    trigram_index(df, key, col).write.mode("errorifexists").option("compression", "zstd").partitionBy("bucket").parquet(path)
     return path
 
 
+def read_trigram_index(spark: SparkSession, path: str, key: str, key_type: str = "bigint") -> DataFrame:
+    return spark.read.schema(f"{key} {key_type}, tri bigint, bucket int").parquet(path)
+
+
 def trigram_search(spark: SparkSession, index: DataFrame, df: DataFrame, key: str, col: str,
                    pattern: str) -> DataFrame:
     """Rows of ``df`` whose ``col`` contains ``pattern`` (case-sensitive).
@@ -73,7 +79,7 @@ def trigram_search(spark: SparkSession, index: DataFrame, df: DataFrame, key: st
     # the pattern's trigrams (bounded by its length), folded by the same Spark
     # expression as the index, become a literal IN filter pushed into the scan
     grams = spark.range(1).select(_trigrams(F.lit(pattern))).first()[0]
-    hits = index.where(F.col("tri").isin(grams))
+    hits = index.where(F.col("bucket").isin(sorted({g % BUCKETS for g in grams})) & F.col("tri").isin(grams))
     cand = (hits.groupBy(key).agg(F.count(F.lit(1)).alias("have"))
             .where(F.col("have") == len(grams)).select(key))
     return df.join(cand, key, "left_semi").where(F.col(col).contains(pattern))

@@ -15,24 +15,30 @@ old sales keep their old price; the key is the good's *name*.
 Two evaluation modes:
   delta  algebraic sum and row count per name (exact while no delete is
          ignored, e.g. with constant prices); a pure partial aggregate.
-  exact  the ordered rules above.  A delete is ignored only when the running
-         sum before it is below its amount.  Running sums are computed per
-         (name, chunk) in parallel (see ``ordered``), then each pass marks
-         the first newly ignored delete of every name and recomputes; marking
-         only raises later sums, so earlier decisions never change and the
-         loop ends.  No name's history is ever gathered into one task.
+  exact  the ordered rules above, over steps with a unique order ``o``.
+         Steps are range-partitioned by ``o`` into chunks of about
+         ``CHUNK_ROWS`` rows.  Running sums inside each (name, chunk) give, in
+         one parallel pass, the chunk's total and the entering sum from which
+         none of its deletes is ignored.  These are one small row per (name,
+         chunk); a running sum over them finds each name's first chunk with an
+         ignored delete.  Only those chunks are folded step by step, all names
+         at once, and so on: there are at most as many folds as chunks, however
+         many deletes are ignored, and names without one need none.
 """
 
 from __future__ import annotations
 
+import decimal
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.changes import _after_truncate
-from ledgerlake.operators.ordered import quantile_bucket, running_sum
 from ledgerlake.sources.io import stage_table
 
 AMOUNT = "decimal(38,2)"
+CHUNK_ROWS = 500_000
 NEG_INF_SEQ = -(2 ** 62)
 
 
@@ -57,7 +63,8 @@ def price_history(goods: DataFrame, changes: DataFrame | None = None) -> DataFra
 def steps(log: DataFrame, prices: DataFrame) -> DataFrame:
     """Split every sales change into per-name steps ``(good_name, o, kind, amt, cnt)``.
 
-    ``o`` orders steps (seq * 2 + sub); ``cnt`` is the change in live sales.
+    ``o`` orders steps (seq * 2 + sub) and is unique, as ``seq`` is; ``cnt`` is the
+    change in live sales.
     """
     live = _after_truncate(log).where(F.col("op") != "T")
     b, a = F.col("before"), F.col("after")
@@ -92,53 +99,78 @@ def apply_delta(st: DataFrame) -> DataFrame:
     return g.where(F.col("_n") > 0).select("good_name", "sum_sale")
 
 
-def apply_exact(spark: SparkSession, st: DataFrame, chunks: int = 64, chunk=None) -> DataFrame:
+def _fold(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rules, step by step, over one chunk of a name that is entered with a sum."""
+    rows = rows.sort_values("o")
+    total = enter = rows["enter"].iloc[0]
+    there = bool(rows["was"].iloc[0])
+    for kind, amt in zip(rows["kind"], rows["amt"]):
+        if kind == "ADD":
+            total, there = total + amt, True
+        elif there and total >= amt:
+            total -= amt
+            there = total != 0
+    return pd.DataFrame({"good_name": rows["good_name"].iloc[:1], "chunk": rows["chunk"].iloc[:1],
+                         "total": [decimal.Decimal(total - enter)], "there": [there]})
+
+
+def apply_exact(spark: SparkSession, st: DataFrame, chunk_rows: int = CHUNK_ROWS, rows: int | None = None) -> DataFrame:
     """M3: ordered fold per name, evaluated in parallel (see module doc).
 
-    Each pass is one job: running sums per (name, chunk), then one aggregate
-    per name giving the mart row and the first delete that must be ignored;
-    that small per-name result is checkpointed.  Only when some delete is
-    ignored does another pass run (rare: it needs a price change)."""
-    # identical steps are interchangeable; the amount in cents breaks other ties
-    order = ["o", "kind", "_ak"]
-    key = F.struct(*order)
+    ``rows`` is about the number of steps, if known.  Two steps of a name with the
+    same ``o`` raise."""
+    return exact_passes(spark, st, chunk_rows, rows)[0]
+
+
+def exact_passes(spark: SparkSession, st: DataFrame, chunk_rows: int = CHUNK_ROWS,
+                 rows: int | None = None) -> tuple[DataFrame, int]:
+    """``apply_exact`` and the number of folds it took."""
+    chunks = 1 + (st.count() if rows is None else rows) // chunk_rows
+    st = (st.select("good_name", "o", "kind", "amt").repartitionByRange(chunks, "o")
+          .withColumn("chunk", F.spark_partition_id()))
+    st = stage_table(st, "mart_steps")
+    w = Window.partitionBy("good_name", "chunk").orderBy("o")
     signed = F.when(F.col("kind") == "ADD", F.col("amt")).otherwise(-F.col("amt"))
-    st = st.withColumn("signed", signed).withColumn("_ak", (F.col("amt") * 100).cast("long"))
-    if chunk is None:
-        chunk = quantile_bucket(st, "o", chunks, 0.01)
-    t = running_sum(st, "good_name", order, "signed", "P", chunk).withColumn("ig", F.lit(False))
-    ignored = F.lit(0)
+    once = F.when(F.lag("o").over(w) == F.col("o"), F.raise_error(F.lit("mart: two steps with the same order")).cast(AMOUNT))
+    run = F.sum(signed).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    inside = st.select("good_name", "chunk", "o", "kind", F.coalesce(once, run).cast(AMOUNT).alias("run"))
+    # a delete is ignored if the sum after it would be negative; ``low`` is the least of those sums
+    per_chunk = inside.groupBy("good_name", "chunk").agg(
+        F.max_by("run", "o").alias("total"), F.min(F.when(F.col("kind") == "DEL", F.col("run"))).alias("low"),
+        F.max_by("kind", "o").alias("last"))
+    per_chunk = stage_table(per_chunk.withColumn("there", F.lit(None).cast("boolean")), "mart_chunks")
+    so_far = Window.partitionBy("good_name").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    folds = 0
     while True:
-        t = (t.withColumn("S_after", (F.col("P") + ignored).cast(AMOUNT))
-             .withColumn("S_before", F.col("S_after") - F.col("signed")
-                         - F.when(F.col("ig"), F.col("amt")).otherwise(F.lit(0))))
-        viol = (F.col("kind") == "DEL") & ~F.col("ig") & (F.col("S_before") < F.col("amt"))
-        effective = (F.col("kind") == "ADD") | ~F.col("ig")
-        g = t.groupBy("good_name").agg(
-            F.max_by("S_after", key).alias("sum_sale"),
-            F.max_by(F.when(effective, F.struct("kind", "S_after")), F.when(effective, key)).alias("_last"),
-            F.min(F.when(viol, key)).alias("_first"))
-        g = stage_table(g, "mart_pass")                # one row per name
-        first = g.where(F.col("_first").isNotNull()).select("good_name", "_first")
+        enter = F.coalesce(F.sum("total").over(so_far), F.lit(0)).cast(AMOUNT)
+        known = per_chunk.withColumn("enter", enter)
+        # does the name have a row after the chunk?
+        after = F.coalesce(F.col("there"), (F.col("last") == "ADD") | (F.col("enter") + F.col("total") != 0))
+        known = known.withColumn("after", after)
+        known = known.withColumn("was", F.coalesce(F.lag("after").over(Window.partitionBy("good_name").orderBy("chunk")), F.lit(False)))
+        wrong = F.col("there").isNull() & (F.col("enter") + F.col("low") < 0)
+        first = known.where(wrong).groupBy("good_name").agg(F.min_by(F.struct("chunk", "enter", "was"), "chunk").alias("f"))
+        first = stage_table(first.select("good_name", "f.*"), "mart_first")
         if first.isEmpty():
             break
-        base = t.drop("S_after", "S_before", "I") if "I" in t.columns else t.drop("S_after", "S_before")
-        s = (base.join(first, "good_name", "left")
-             .withColumn("ig", F.col("ig") | F.coalesce(key == F.col("_first"), F.lit(False)))
-             .drop("_first"))
-        s = stage_table(s, "mart_steps")               # cut the loop's lineage
-        t = running_sum(s, "good_name", order, F.when(F.col("ig"), F.col("amt")).otherwise(F.lit(0)), "I", chunk)
-        ignored = F.col("I")
-    present = (F.col("_last.kind") == "ADD") | (F.col("_last.S_after") != 0)
-    return g.where(F.col("_last").isNotNull() & present).select("good_name", F.col("sum_sale").cast(AMOUNT))
+        folds += 1
+        numbers = [r.chunk for r in first.select("chunk").distinct().collect()]      # at most the number of chunks
+        todo = st.where(F.col("chunk").isin(numbers)).join(first, ["good_name", "chunk"])
+        folded = todo.groupBy("good_name", "chunk").applyInPandas(
+            _fold, f"good_name string, chunk int, total {AMOUNT}, there boolean")
+        new = folded.select("good_name", "chunk", F.col("total").alias("_t"), F.col("there").alias("_h"))
+        per_chunk = stage_table(per_chunk.join(new, ["good_name", "chunk"], "left").select(
+            "good_name", "chunk", F.coalesce("_t", "total").cast(AMOUNT).alias("total"), "low", "last",
+            F.coalesce("_h", "there").alias("there")), "mart_chunks")
+    out = known.groupBy("good_name").agg(F.sum("total").cast(AMOUNT).alias("sum_sale"), F.max_by("after", "chunk").alias("there"))
+    return out.where("there").select("good_name", "sum_sale"), folds
 
 
 def mart_apply(spark: SparkSession, log: DataFrame, prices: DataFrame, mode: str = "exact") -> DataFrame:
     st = steps(log, prices)
     if mode != "exact":
         return apply_delta(st)
-    # chunk bounds from the log's order alone (cheaper than a pass over the steps)
-    return apply_exact(spark, st, chunk=quantile_bucket(log.select((F.col("seq") * 2).alias("o")), "o", 64, 0.01, sample=0.05))
+    return apply_exact(spark, st, rows=log.count())
 
 
 def mart_init(goods: DataFrame, sales: DataFrame) -> DataFrame:

@@ -20,18 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Parallelism guard for CPU-heavy per-row work: when a scan yields fewer
-    splits than the cluster has cores (one large row group, a single small
-    file), deal the rows round-robin over ``min_partitions`` tasks.  With
-    enough splits (the normal case on big inputs) nothing is added."""
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-    except Exception:  # noqa: BLE001  (sessions without RDD access keep the plan as is)
-        return df
-
-
 def _cols(x) -> list:
     if x is None:
         return []
@@ -56,30 +44,6 @@ def ts_bucket(ts_col, seconds: int) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def quantile_bucket(df: DataFrame, col: str, n: int = 64, rel_err: float = 0.001,
-                    sample: float | None = None) -> Column:
-    """Chunk id from approximate quantiles of ``col`` (one sampling job; the
-    ``n`` bounds come back to the driver).  Chunks hold about equal numbers
-    of rows whatever the value distribution, so a hot key is cut into up to
-    ``n`` pieces.  The id is found with a balanced comparison tree (O(log n)
-    per row, inside codegen)."""
-    probs = [i / n for i in range(1, n)]
-    src = df.select(col)
-    if sample is not None:
-        # the cut points only balance the work; any cuts give the same results
-        src = src.sample(fraction=sample, seed=17)
-    cuts = sorted(set(v for v in src.approxQuantile(col, probs, rel_err) if v is not None))
-    c = F.col(col)
-
-    def tree(lo: int, hi: int) -> Column:          # number of cuts <= value among cuts[lo:hi]
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(cuts)).cast("long")
-
-
 def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Inner join on ``cols`` where NULL matches NULL, as window partitions group them."""
     r = right.select(*[F.col(c).alias("_r_" + c) for c in cols],

@@ -4,18 +4,25 @@ A spec turns the source column into a partition name with a Column
 expression (range: a balanced comparison tree over the bounds, O(log B)
 per row inside codegen; list: ``isin``; hash: ``pmod(xxhash64)``).
 
-Storage: ``root/part=<name>/v=<n>/`` parquet folders plus a manifest
-``root/_manifest/<seq>`` mapping each partition name to its current version.
-Only the partitions an UPDATE touches get a new version (row movement), and
-readers list exactly the manifest's folders, so partition pruning is a
-matter of which folders are read.
+Storage: every write has a folder of its own, ``root/v=<attempt>/``, with
+one ``part=<name>`` folder per partition it wrote, plus a manifest
+``root/_manifest/<seq>`` that maps each partition name to the attempt that
+holds it.  Only the partitions an UPDATE touches get a new attempt (row
+movement), readers list exactly the manifest's folders, so partition pruning is
+a matter of which folders are read, and what a failed write leaves is never
+read.  Manifests are renamed into place and never replaced: of two writers the
+second one fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from urllib.parse import quote, unquote
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,10 +125,26 @@ class PartitionSpec:
 
         return F.when(c.isNull() | (c < lit(b[0][1])), fallback).otherwise(build(0, len(b)))
 
+    def local_range(self, lo, hi) -> tuple:
+        """The bounds' view of a closed range of the source column.  For a zoned
+        spec ``lo`` and ``hi`` are instants (naive ones in UTC) and the bounds are
+        wall times of the zone; where clocks were put back near an end the wall
+        time range is a little wider than the instants need."""
+        if self.kind != "range" or not self.zone:
+            return lo, hi
+        zone, turn = ZoneInfo(self.zone), dt.timedelta(hours=3)
+
+        def wall(x: dt.datetime) -> dt.datetime:
+            x = x if x.tzinfo else x.replace(tzinfo=dt.timezone.utc)
+            return x.astimezone(zone).replace(tzinfo=None)
+
+        return min(wall(lo), wall(lo + turn) - turn), max(wall(hi), wall(hi - turn) + turn)
+
     def overlapping(self, lo, hi) -> list[str]:
         """Names of the partitions a closed range ``[lo, hi]`` can touch."""
         if self.kind != "range":
             raise ValueError("range pruning needs a range spec")
+        lo, hi = self.local_range(lo, hi)
         names = [n for n, a, b in self.bounds if a <= hi and lo < b]
         covered = self.bounds and lo >= self.bounds[0][1] and hi < self.bounds[-1][2] and all(
             x[2] == y[1] for x, y in zip(self.bounds, self.bounds[1:]))
@@ -147,41 +170,40 @@ class PartitionedTable:
     def _manifests(self) -> list[int]:
         return sorted(int(n) for n in fs.list_names(self.spark, f"{self.root}/_manifest") if n.isdigit())
 
+    def current(self) -> int | None:
+        seqs = self._manifests()
+        return seqs[-1] if seqs else None
+
     def manifest(self) -> dict:
         seqs = self._manifests()
         if not seqs:
             raise FileNotFoundError(f"no manifest under {self.root}")
         return json.loads(fs.read_text(self.spark, f"{self.root}/_manifest/{seqs[-1]}"))
 
-    def _publish(self, parts: dict, schema: T.StructType) -> None:
+    def _publish(self, parts: dict, schema: T.StructType, info: dict | None = None) -> None:
         seqs = self._manifests()
         seq = seqs[-1] + 1 if seqs else 0
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])      # as files read: nullable
         fs.write_text(self.spark, f"{self.root}/_manifest/{seq}",
                       json.dumps({"parts": parts, "schema": json.loads(schema.json()),
-                                  "spec": json.loads(self.spec.to_json())}))
+                                  "spec": json.loads(self.spec.to_json()), **(info or {})}))
 
-    def _written(self, version: int) -> list[str]:
-        out = []
-        for d in fs.list_names(self.spark, self.root):
-            if d.startswith(PART + "=") and f"{VERSION}={version}" in fs.list_names(self.spark, f"{self.root}/{d}"):
-                out.append(d[len(PART) + 1:])
-        return out
+    def _write(self, df: DataFrame) -> dict[str, str]:
+        """Write rows to a fresh folder; returns {partition: attempt}.
 
-    def _write(self, df: DataFrame, version: int) -> list[str]:
-        # range-shuffle on (partition, source column) over every core of the
-        # cluster: each task writes one contiguous run of partitions (files stay
-        # near cores + partitions), and a partition holding a large share of the
-        # rows is cut over several tasks instead of one
-        n = self.spark.sparkContext.defaultParallelism
-        (df.withColumn(PART, self.spec.assign()).withColumn(VERSION, F.lit(version))
-         .repartitionByRange(n, PART, self.spec.column).sortWithinPartitions(PART, self.spec.column)
-         .write.mode("append").option("compression", "zstd").partitionBy(PART, VERSION).parquet(self.root))
-        return self._written(version)
+        Rebalanced on the partition name: AQE keeps a partition's rows together
+        in tasks of its advisory size and cuts a large partition over several,
+        so task size does not grow with the table."""
+        attempt = uuid.uuid4().hex[:12]
+        folder = f"{self.root}/{VERSION}={attempt}"
+        (df.withColumn(PART, self.spec.assign()).hint("rebalance", PART).sortWithinPartitions(PART, self.spec.column)
+         .write.option("compression", "zstd").partitionBy(PART).parquet(folder))
+        names = fs.list_names(self.spark, folder)
+        return {unquote(n[len(PART) + 1:]): attempt for n in names if n.startswith(PART + "=")}
 
     # ------------------------------------------------------------ T9-T11
-    def write(self, df: DataFrame) -> "PartitionedTable":
-        parts = self._write(df, 0)
-        self._publish({p: 0 for p in parts}, df.schema)
+    def write(self, df: DataFrame, info: dict | None = None) -> "PartitionedTable":
+        self._publish(self._write(df), df.schema, info)
         return self
 
     # ------------------------------------------------------------ reads
@@ -193,11 +215,11 @@ class PartitionedTable:
         schema = self._schema(m)
         chosen = {p: v for p, v in m["parts"].items() if parts is None or p in set(parts)}
         full = T.StructType(schema.fields + [T.StructField(PART, T.StringType()),
-                                             T.StructField(VERSION, T.IntegerType())])
+                                             T.StructField(VERSION, T.StringType())])
         if not chosen:
             out = self.spark.createDataFrame([], full)
         else:
-            paths = [f"{self.root}/{PART}={p}/{VERSION}={v}" for p, v in sorted(chosen.items())]
+            paths = [f"{self.root}/{VERSION}={v}/{PART}={quote(p)}" for p, v in sorted(chosen.items())]
             out = self.spark.read.schema(full).option("basePath", self.root).parquet(*paths)
         out = out.drop(VERSION)
         return out if with_part else out.drop(PART)
@@ -221,30 +243,38 @@ class PartitionedTable:
         return self.read([name], with_part).where(F.col(self.spec.column) == F.lit(value).cast(dtype))
 
     # ------------------------------------------------------------ T14
+    def rewrite(self, touched: list[str], change: Callable[[DataFrame], DataFrame], info: dict | None = None) -> "PartitionedTable":
+        """Put ``change`` of the rows in the ``touched`` partitions in their place; the
+        other partitions are neither read nor written."""
+        m = self.manifest()
+        schema = self._schema(m)
+        new = change(self.read([p for p in touched if p in m["parts"]])).to(schema)
+        parts = {p: v for p, v in m["parts"].items() if p not in set(touched)}
+        written = self._write(new)
+        if stray := set(written) & set(parts):
+            raise ValueError(f"rewrite of {sorted(touched)} produced rows of {sorted(stray)}")
+        self._publish({**parts, **written}, schema, info)
+        return self
+
     def update(self, where: Column, set_: dict) -> "PartitionedTable":
         """UPDATE with row movement: only source and target partitions of the
         changed rows get a new version; the others are not rewritten."""
-        m = self.manifest()
-        cur = self.read(None, with_part=True)
-        hit = cur.where(F.coalesce(where, F.lit(False)))
+        hit = self.read(None, with_part=True).where(F.coalesce(where, F.lit(False)))
         moved = dml_update(hit, None, set_)
-        # (source, target) partition names of the changed rows in one job; at
-        # most partitions^2 small rows reach the driver, bounded by the spec
-        pairs = moved.select(F.col(PART).alias("src"), self.spec.assign().alias("dst")).distinct().collect()
-        touched = sorted({r.src for r in pairs} | {r.dst for r in pairs})
-        if not touched:
-            return self
-        version = max(m["parts"].values(), default=0) + 1
-        base = self.read([p for p in touched if p in m["parts"]], with_part=False)
-        new = dml_update(base, where, set_)
-        written = self._write(new, version)
-        parts = dict(m["parts"])
-        for p in touched:
-            parts.pop(p, None)
-        for p in written:
-            parts[p] = version
-        self._publish(parts, self._schema(m))
-        return self
+        # partition names that changed rows leave or enter: at most as many as partitions
+        names = moved.select(F.explode(F.array(F.col(PART), self.spec.assign())).alias("p")).distinct().collect()
+        touched = sorted(r.p for r in names)
+        return self.rewrite(touched, lambda rows: dml_update(rows, where, set_)) if touched else self
+
+    def vacuum(self) -> None:
+        """Delete attempts and manifests that the newest manifest does not use.  Only for
+        times without writers or readers of older manifests."""
+        alive = set(self.manifest()["parts"].values())
+        for old in self._manifests()[:-1]:
+            fs.delete(self.spark, f"{self.root}/_manifest/{old}")
+        for name in fs.list_names(self.spark, self.root):
+            if name.startswith(VERSION + "=") and name[len(VERSION) + 1:] not in alive:
+                fs.delete(self.spark, f"{self.root}/{name}")
 
 
 def write_partitioned(spark: SparkSession, df: DataFrame, spec: PartitionSpec, root: str) -> PartitionedTable:

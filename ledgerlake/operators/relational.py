@@ -120,26 +120,6 @@ def cross_count(left: DataFrame, right: DataFrame) -> DataFrame:
     return lc.crossJoin(rc).select((F.col("_l") * F.col("_r")).alias("n"))
 
 
-def cross_join(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """Explicit cross join; the right side is broadcast only after its row
-    count is checked against ``max_right_rows``."""
-    n = right.count()
-    if n > max_right_rows:
-        raise ValueError(f"cross join right side has {n} rows > {max_right_rows}")
-    return left.crossJoin(F.broadcast(right))
-
-
-def lateral_lookup(outer: DataFrame, inner: DataFrame, outer_key: str, inner_key: str,
-                   cols: Sequence[str]) -> DataFrame:
-    """``JOIN LATERAL (SELECT cols FROM inner WHERE inner.k = outer.k) ON true``.
-
-    The correlated subquery is decorrelated into an equi join by Catalyst; the
-    DataFrame form states that join directly.
-    """
-    sub = inner.select(F.col(inner_key).alias("_lk"), *cols)
-    return outer.join(sub, outer[outer_key] == sub["_lk"], "inner").drop("_lk")
-
-
 def with_strategy(df: DataFrame, strategy: str | None) -> DataFrame:
     """Join strategy hint for the side it is applied to (hash, merge or
     broadcast; a replicated nested loop is not offered, it pairs every row)."""
@@ -149,37 +129,50 @@ def with_strategy(df: DataFrame, strategy: str | None) -> DataFrame:
     return df.hint(names[strategy])
 
 
-def hinted_join(left: DataFrame, right: DataFrame, on, how: str, strategy: str | None,
-                max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Join with a chosen strategy (hint on the right side).
+def plan_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a table's size, from file sizes and statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+#: Largest side, in bytes of the planner's estimate, that a broadcast hint is given for.
+MAX_BROADCAST_BYTES = 256 * 2 ** 20
 
-    ``broadcast`` is honoured only after the right side's row count is checked
-    against ``max_broadcast_rows``; above it the join falls back to a sort
-    merge join, which scales with the data.
-    """
-    if strategy == "broadcast":
-        n = right.count()
-        strategy = "broadcast" if n <= max_broadcast_rows else "merge"
-    return left.join(with_strategy(right, strategy), on, how)
+
+def usable_strategy(right: DataFrame, strategy: str | None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> str | None:
+    """The strategy that ``hinted_join`` will ask for: ``broadcast`` only while the
+    right side's estimated size is within the bound, else a sort merge join."""
+    return "merge" if strategy == "broadcast" and plan_bytes(right) > max_broadcast_bytes else strategy
+
+
+def hinted_join(left: DataFrame, right: DataFrame, on, how: str, strategy: str | None,
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Join with a chosen strategy (hint on the right side), see ``usable_strategy``."""
+    return left.join(with_strategy(right, usable_strategy(right, strategy, max_broadcast_bytes)), on, how)
 
 
 def enrich(child: DataFrame, parent: DataFrame, fk: dict, cols: Sequence[str],
            check_count: bool = False) -> DataFrame:
     """Pull ``cols`` from the parent over a foreign key (inner join).
 
-    With ``check_count`` the row count must not change (every child has exactly
-    one parent); this runs two count jobs.
+    With ``check_count`` the row count must not change: a child without a parent, or
+    a parent key that occurs twice, raises while the join runs (no extra job).
     """
     p = parent.select(*[F.col(pk).alias("_p_" + pk) for pk in fk.values()], *cols)
+    if check_count:
+        names = [c for c in p.columns if c.startswith("_p_")]
+        twice = F.raise_error(F.lit("enrich changed the row count: a parent key occurs twice"))
+        p = p.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*cols)).alias("_v"))
+        p = p.select(*names, F.struct(F.when(F.col("_n") > 1, twice.cast("int")).alias("_e"), "_v").alias("_v"))
     cond = None
     for ck, pk in fk.items():
         e = child[ck] == p["_p_" + pk]
         cond = e if cond is None else cond & e
-    out = child.join(p, cond, "inner").drop(*["_p_" + pk for pk in fk.values()])
     if check_count:
-        a, b = child.count(), out.count()
-        if a != b:
-            raise ValueError(f"enrich changed the row count: {a} -> {b}")
+        alone = F.raise_error(F.lit("enrich changed the row count: a row without a parent")).cast("int")
+        j = child.join(p, cond, "left")
+        j = j.where(F.coalesce(F.when(F.col("_v").isNull(), alone), F.col("_v._e")).isNull())
+        return j.select(*[child[c] for c in child.columns], *[F.col(f"_v._v.{c}").alias(c) for c in cols])
+    out = child.join(p, cond, "inner").drop(*["_p_" + pk for pk in fk.values()])
     return out
 
 
@@ -240,13 +233,6 @@ def joined_length(df: DataFrame, expr: Column, sep: str = ",") -> DataFrame:
                    + (F.count(expr) - 1) * F.lit(len(sep))).alias("joined_length"))
 
 
-def load_summary(progress: DataFrame, run: str, value: str) -> DataFrame:
-    """Min / avg / max per run."""
-    return progress.groupBy(run).agg(F.min(value).alias("min_" + value),
-                                     F.avg(value).alias("avg_" + value),
-                                     F.max(value).alias("max_" + value))
-
-
 # ---------------------------------------------------------------- ordering
 def sort(df: DataFrame, spec: Sequence) -> DataFrame:
     """O1/O2: spec items are names or (name, 'desc'|'asc'); DESC puts NULL first."""

@@ -1,18 +1,16 @@
 """Operational reports over log text and sample tables.
 
 The parse is ``regexp_extract`` on ``spark.read.text`` lines; the work is
-the distributed aggregation, lag and join after it.  ``*_lines`` builders
-render the same line shapes from the driver's ``events`` table, so the
-reports can be exercised on data that grows with the tables.
+the distributed aggregation, lag and join after it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalar import idiv, long_to_lsn, lsn_to_long, rate_pretty, size_pretty
-from ledgerlake.operators.ordered import chunked_lag, running_sum, ts_bucket
+from ledgerlake.functions.scalar import idiv, lsn_to_long, rate_pretty, size_pretty
+from ledgerlake.operators.ordered import chunked_lag, ts_bucket
 
 DAY = 86400
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -45,18 +43,6 @@ def _from_millis(c):
 
 
 # ------------------------------------------------------------------ L1 / L2 / M8
-def wal_samples(events: DataFrame, bytes_per_char: int = 8192) -> DataFrame:
-    """A per-minute sampler's table: ``(source, sample_ts, lsn_position)``.
-
-    Log bytes per minute are derived from the events; the position is the
-    running total, rendered as ``hi/lo`` hex text."""
-    per_min = events.groupBy(F.date_trunc("minute", "ts").alias("sample_ts")).agg(
-        (F.sum(F.length("props")) * bytes_per_char).cast("long").alias("_b"))
-    per_min = per_min.withColumn("source", F.lit("events"))
-    cum = running_sum(per_min, "source", "sample_ts", "_b", "_lsn", ts_bucket("sample_ts", DAY))
-    return cum.select("source", "sample_ts", long_to_lsn("_lsn").alias("lsn_position"))
-
-
 def log_volume(samples: DataFrame) -> DataFrame:
     """L1: bytes and seconds since the previous sample per source, rate, pretty forms."""
     s = samples.withColumn("_lsn", lsn_to_long("lsn_position"))
@@ -98,21 +84,6 @@ def minute_volume(events: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L3
-def checkpoint_lines(events: DataFrame) -> DataFrame:
-    """Server log lines: a checkpoint line per 'purchase' event, a connection
-    line per 'view' event (noise the report must skip)."""
-    pre = F.concat(_ts_text("ts"), F.lit(" UTC ["), F.col("user_id").cast("string"), F.lit("] LOG:  "))
-    ck = events.where(F.col("event_type") == "purchase").select(F.concat(
-        pre, F.lit("checkpoint complete: wrote "), F.floor("value").cast("string"),
-        F.lit(" buffers (0.0%); 0 WAL file(s) added, 0 removed, 0 recycled; write=0.001 s, sync=0.001 s, "
-              "total=0.002 s; sync files=0, longest=0.000 s, average=0.000 s; distance="),
-        F.floor(F.col("value") * 100).cast("string"), F.lit(" kB, estimate="),
-        F.floor(F.col("value") * 100).cast("string"), F.lit(" kB; lsn=0/0, redo lsn=0/0")).alias("value"))
-    noise = events.where(F.col("event_type") == "view").select(
-        F.concat(pre, F.lit("connection received: host=[local]")).alias("value"))
-    return ck.unionByName(noise)
-
-
 def checkpoint_report(lines: DataFrame, target_seconds: int) -> DataFrame:
     """L3: parsed checkpoints, time since the previous one, on-schedule flag."""
     c = lines.where(F.col("value").contains("checkpoint complete")).select(
@@ -126,103 +97,80 @@ def checkpoint_report(lines: DataFrame, target_seconds: int) -> DataFrame:
                     (gap <= target_seconds * 1000).alias("on_schedule"))
 
 
-# ------------------------------------------------------------------ L4
-def lock_lines(events: DataFrame) -> DataFrame:
-    """Three lines per lock wait ('error' events): still waiting + DETAIL at
-    the event time, acquired after the wait."""
-    pid = (F.col("event_id") + 1000).cast("string")
-    trx = (F.col("event_id") + 4545000).cast("string")
-    holder = (F.col("user_id") + 1000).cast("string")
-    wait_ms = F.floor(F.col("value") * 1000) + 100
-    e = events.where(F.col("event_type") == "error")
-    acq_ts = _from_millis(_millis(F.col("ts")) + wait_ms - 100)
-
-    def pre(ts, lvl):
-        return F.concat(_ts_text(ts), F.lit(" UTC ["), pid, F.lit(f"] app@appdb {lvl}:  "))
-    waiting = e.select(F.concat(pre(F.col("ts"), "LOG"), F.lit("process "), pid,
-                                F.lit(" still waiting for ShareLock on transaction "), trx,
-                                F.lit(" after 100.000 ms")).alias("value"))
-    detail = e.select(F.concat(pre(F.col("ts"), "DETAIL"), F.lit("Process holding the lock: "), holder,
-                               F.lit(". Wait queue: "), pid, F.lit(".")).alias("value"))
-    acquired = e.select(F.concat(pre(acq_ts, "LOG"), F.lit("process "), pid,
-                                 F.lit(" acquired ShareLock on transaction "), trx, F.lit(" after "),
-                                 wait_ms.cast("string"), F.lit(".000 ms")).alias("value"))
-    return waiting.unionByName(detail).unionByName(acquired)
+def checkpoint_summary(report: DataFrame) -> DataFrame:
+    """L3: number of checkpoints, how many were on schedule, and their mean distance."""
+    return report.agg(F.count(F.lit(1)).alias("checkpoints"), F.count_if(F.col("on_schedule")).alias("on_schedule"),
+                      idiv(F.sum("distance_kb"), F.count("distance_kb")).alias("mean_distance_kb"))
 
 
+# ------------------------------------------------------------------ L4
 def lock_waits(lines: DataFrame) -> DataFrame:
-    """L4: one row per wait: pid, transaction, holder, logged at, acquired at, wait ms.
-
-    Lines are stitched by (pid, timestamp) for the DETAIL line and by
-    (pid, transaction) for the acquired line: two equi joins."""
-    p = lines.select(
-        _parse_ts(F.regexp_extract("value", r"^(\S+ \S+) UTC", 1)).alias("ts"),
-        F.regexp_extract("value", r"UTC \[(\d+)\]", 1).try_cast("long").alias("pid"),
-        F.col("value"))
-    waiting = p.where(F.col("value").contains("still waiting for")).select(
-        "pid", F.col("ts").alias("waiting_at"),
-        F.regexp_extract("value", r"on transaction (\d+)", 1).try_cast("long").alias("trx"))
-    detail = p.where(F.col("value").contains("Process holding the lock:")).select(
-        F.col("pid").alias("d_pid"), F.col("ts").alias("d_ts"),
-        F.regexp_extract("value", r"holding the lock: (\d+)", 1).try_cast("long").alias("holder"))
-    acq = p.where(F.col("value").contains(" acquired ")).select(
-        F.col("pid").alias("a_pid"), F.col("ts").alias("acquired_at"),
-        F.regexp_extract("value", r"on transaction (\d+)", 1).try_cast("long").alias("a_trx"),
-        F.regexp_extract("value", r"after (\d+)\.\d+ ms", 1).try_cast("long").alias("wait_ms"))
-    j = (waiting.join(detail, (F.col("pid") == F.col("d_pid")) & (F.col("waiting_at") == F.col("d_ts")), "left")
-         .join(acq, (F.col("pid") == F.col("a_pid")) & (F.col("trx") == F.col("a_trx")), "left"))
-    return j.select("pid", "trx", "holder", "waiting_at", "acquired_at", "wait_ms")
+    """L4: one row per wait: pid, lock mode and target (a transaction, a tuple, ...), the
+    transaction's number if it is one, holders and wait queue as listed, logged at,
+    acquired at, wait in ms (null while the wait lasts).
+
+    Each line is parsed once.  A DETAIL line belongs to the line of the same process
+    and time; an acquisition ends the wait of the same process on the same lock before it."""
+    value = F.col("value")
+    lock = r"(still waiting for|acquired) (\S+) on (.+) after ([\d.]+) ms"
+    p = lines.where(value.rlike(r"still waiting for| acquired |holding the lock:")).select(
+        _parse_ts(F.regexp_extract(value, r"^(\S+ \S+) UTC", 1)).alias("ts"),
+        F.regexp_extract(value, r"UTC \[(\d+)\]", 1).try_cast("long").alias("pid"),
+        F.nullif(F.regexp_extract(value, lock, 1), F.lit("")).alias("what"),
+        F.nullif(F.regexp_extract(value, lock, 2), F.lit("")).alias("mode"),
+        F.nullif(F.regexp_extract(value, lock, 3), F.lit("")).alias("target"),
+        F.regexp_extract(value, lock, 4).try_cast("decimal(18,3)").alias("ms"),
+        F.nullif(F.regexp_extract(value, r"holding the lock: ([\d, ]+)", 1), F.lit("")).alias("holders"),
+        F.nullif(F.regexp_extract(value, r"Wait queue: ([\d, ]+)", 1), F.lit("")).alias("queue"))
+    got = F.coalesce(F.col("what") == "acquired", F.lit(False))
+    one = p.groupBy("pid", "ts", got.alias("got")).agg(*[F.max(c).alias(c) for c in ("mode", "target", "ms", "holders", "queue")])
+    after = Window.partitionBy("pid", "mode", "target").orderBy("ts", "got")
+    ended = F.lead("got").over(after)
+    w = one.where(F.col("target").isNotNull()).select(
+        "*", F.when(ended, F.lead("ts").over(after)).alias("acquired_at"), F.when(ended, F.lead("ms").over(after)).alias("wait_ms"))
+    return w.where(~F.col("got")).select(
+        "pid", "mode", "target", F.regexp_extract("target", r"^transaction (\d+)$", 1).try_cast("long").alias("trx"),
+        "holders", "queue", F.col("ts").alias("waiting_at"), "acquired_at", "wait_ms")
 
 
 # ------------------------------------------------------------------ L5
-def wait_edges(events: DataFrame) -> DataFrame:
-    """Waits-for edges: each 'error' event's process waits for the previous
-    'error' process of the same user on the same day, else for a root
-    process (user_id + 100000) that waits for nobody."""
-    e = events.where(F.col("event_type") == "error").select(
-        (F.col("event_id") + 1000).alias("pid"), "user_id", "ts", F.to_date("ts").alias("day"))
-    e = chunked_lag(e, ["user_id", "day"], ["ts", "pid"], ["pid"], ts_bucket("ts", 3600))
-    return e.select("pid", F.coalesce(F.col("prev_pid"), F.col("user_id") + 100000).alias("blocker"))
-
-
-def blocking_chains(spark: SparkSession, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """For every waiting process: its blocker, the root blocker (a
-    process that waits for nobody) and the depth (hops to the root).
-
-    Pointer jumping: each pass replaces every pointer by its target's
-    pointer and adds the hop counts, so after k passes a pointer has
-    followed up to 2**k hops.  Every pass is one equi join over the waiting
-    processes (linear, no per-ancestor rows), the number of passes is about
-    log2 of the longest chain, and the state is written to the shared folder
-    between passes.  A process whose chain runs into a cycle gets a NULL
-    root and depth.
+def blocking_chains(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """For every waiting process and every root blocker (a process that waits for
+    nobody) at the end of its chains: least and greatest depth (hops to the root) and
+    the shortest chain as ``pid -> ... -> root`` (the first one by process ids).
+
+    A process may wait for several others.  Pointer jumping: each pass replaces
+    every pointer by its target's pointers and adds the hop counts, then keeps one row
+    per (process, target), so after k passes a pointer has followed up to 2**k hops and
+    chains that meet again do not multiply.  The number of passes is about log2 of the
+    longest chain, and the state is written to the shared folder between passes.  A
+    process whose chain runs into a cycle has a row with NULL root, depth and path.
     """
     from ledgerlake.sources.io import stage_table
-    e = edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker"))
-    waiting = e.select(F.col("pid").alias("w"))
-    # a pointer is final when it reaches a process that does not wait
-    cur = e.select("pid", "blocker", F.col("blocker").alias("nxt"), F.lit(1).cast("long").alias("d"))
-    cur = cur.join(waiting, cur.nxt == waiting.w, "left").select(
-        "pid", "blocker", "nxt", "d", F.col("w").isNull().alias("done"))
+    e = edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker")).distinct()
+    e = stage_table(e, "chains")
+    waiting = e.select(F.col("pid").alias("w")).distinct()
+    cur = e.join(waiting, e.blocker == waiting.w, "left").select(
+        "pid", F.col("blocker").alias("nxt"), F.lit(1).cast("long").alias("lo"), F.lit(1).cast("long").alias("hi"),
+        F.array("pid", "blocker").alias("path"), F.col("w").isNull().alias("done"))
     cur = stage_table(cur, "chains")
-    # a chain without a cycle has at most n hops, so it is resolved after
-    # about log2(n) passes; whatever is still open then runs into a cycle
-    limit = cur.count().bit_length() + 1
-    if max_rounds is not None:
-        limit = min(limit, max_rounds)
-    rounds = 0
-    while rounds < limit and not cur.where(~F.col("done")).isEmpty():
-        hop = cur.select(F.col("pid").alias("h_pid"), F.col("nxt").alias("h_nxt"), F.col("d").alias("h_d"),
-                         F.col("done").alias("h_done"))
-        j = cur.join(hop, (~F.col("done")) & (cur.nxt == hop.h_pid), "left")
-        cur = stage_table(j.select(
-            "pid", "blocker",
-            F.when(F.col("h_pid").isNotNull(), F.col("h_nxt")).otherwise(F.col("nxt")).alias("nxt"),
-            (F.col("d") + F.coalesce(F.col("h_d"), F.lit(0))).alias("d"),
-            (F.col("done") | F.coalesce(F.col("h_done"), F.lit(False))).alias("done")), "chains")
-        rounds += 1
-    return cur.select("pid", "blocker", F.when(F.col("done"), F.col("nxt")).alias("root"),
-                      F.when(F.col("done"), F.col("d")).cast("int").alias("depth"))
+    # a chain without a cycle has at most as many hops as processes wait, so it is
+    # resolved after about log2 of them passes; what is open then runs into a cycle
+    for _ in range(waiting.count().bit_length() + 1):
+        if cur.where(~F.col("done")).isEmpty():
+            break
+        hop = cur.select(F.col("pid").alias("h_pid"), F.col("nxt").alias("h_nxt"), F.col("lo").alias("h_lo"),
+                         F.col("hi").alias("h_hi"), F.col("path").alias("h_path"), F.col("done").alias("h_done"))
+        far = cur.where(~F.col("done")).join(hop, F.col("nxt") == F.col("h_pid")).select(
+            "pid", F.col("h_nxt").alias("nxt"), (F.col("lo") + F.col("h_lo")).alias("lo"), (F.col("hi") + F.col("h_hi")).alias("hi"),
+            F.concat("path", F.slice("h_path", 2, F.size("h_path"))).alias("path"), F.col("h_done").alias("done"))
+        cur = stage_table(cur.where("done").unionByName(far).groupBy("pid", "nxt", "done").agg(
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.struct("lo", "path")).alias("p")).select(
+            "pid", "nxt", "lo", "hi", F.col("p.path").alias("path"), "done"), "chains")
+    done = F.col("done")
+    return cur.select("pid", F.when(done, F.col("nxt")).alias("root"), F.when(done, F.col("lo")).cast("int").alias("min_depth"),
+                      F.when(done, F.col("hi")).cast("int").alias("max_depth"),
+                      F.when(done, F.array_join(F.transform("path", lambda x: x.cast("string")), " -> ")).alias("path")).distinct()
 
 
 def chain_path(spark: SparkSession, edges: DataFrame, pid: int) -> str:
@@ -238,26 +186,13 @@ def chain_path(spark: SparkSession, edges: DataFrame, pid: int) -> str:
           FROM r JOIN {edges} e ON e.pid = r.cur
           WHERE NOT array_contains(r.path, e.blocker)
         )
-        SELECT path FROM r ORDER BY depth DESC LIMIT 1
+        SELECT path FROM r ORDER BY depth DESC, path LIMIT 1
         """, args={"pid": int(pid)},
         edges=edges.select(F.col("pid").cast("long").alias("pid"), F.col("blocker").cast("long").alias("blocker")))
     return " -> ".join(str(x) for x in walk.first()[0])
 
 
 # ------------------------------------------------------------------ L6
-def progress_lines(events: DataFrame) -> DataFrame:
-    """Load-tool progress lines: one per (run = event_type, hour)."""
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("long")
-    per = events.groupBy(F.col("event_type").alias("run"), hour.alias("h")).agg(
-        F.sum(F.col("value").cast("decimal(12,2)")).alias("tps"), F.count(F.lit(1)).alias("lat"))
-    first = per.groupBy("run").agg(F.min("h").alias("h0"))
-    p = per.join(first, "run")
-    return p.select(F.concat(F.lit("[run="), F.col("run"), F.lit("] progress: "),
-                             ((F.col("h") - F.col("h0") + 1) * 3600).cast("string"), F.lit(".0 s, "),
-                             F.col("tps").cast("string"), F.lit(" tps, lat "), F.col("lat").cast("string"),
-                             F.lit(".000 ms stddev 0.000, 0 failed")).alias("value"))
-
-
 def load_report(lines: DataFrame, baseline: str) -> DataFrame:
     """Per run: intervals, min / max tps, average tps (in cents,
     integer division) and the average relative to the baseline run (per mille)."""

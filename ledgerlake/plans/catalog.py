@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import relational as R
-from ledgerlake.plans import domain
+from ledgerlake.plans import domain, loglines
 from ledgerlake.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,7 +145,7 @@ def join_strategies(spark, d):
         j = R.hinted_join(li, o, li.l_orderkey == o.o_orderkey, "inner", strategy)
         agg = j.agg(F.count(F.lit(1)).alias("n"),
                     F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"))
-        agg = agg.select(F.lit(strategy).alias("strategy"), "n", "revenue")
+        agg = agg.select(F.lit(R.usable_strategy(o, strategy)).alias("strategy"), "n", "revenue")
         out = agg if out is None else out.unionByName(agg)
     return out
 
@@ -413,7 +413,9 @@ def fk_orphans(spark, d):
 @query("fingerprints")
 def fingerprints(spark, d):
     from ledgerlake.operators.checks import fingerprint
-    return fingerprint(_t(spark, d, "orders"), "o_orderstatus")
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.to_date("o_orderdate").alias("day"),
+                                      F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    return fingerprint(o, "o_orderstatus")
 
 
 @query("checked_load")
@@ -447,10 +449,10 @@ def upper_layout(spark, d):
 
 @query("trigram_find")
 def trigram_find(spark, d):
-    from ledgerlake.operators.layout import trigram_search, write_trigram_index
+    from ledgerlake.operators.layout import read_trigram_index, trigram_search, write_trigram_index
     docs = _t(spark, d, "documents")
-    path = write_trigram_index(docs, "doc_id", "text", _scratch(spark, "trigram"))
-    index = spark.read.schema("doc_id bigint, tri bigint").parquet(path)
+    path = _built(spark, d, "trigram", lambda p: write_trigram_index(docs, "doc_id", "text", p))
+    index = read_trigram_index(spark, path, "doc_id")
     return trigram_search(spark, index, docs, "doc_id", "text", "mentoi").select("doc_id")
 
 
@@ -462,9 +464,29 @@ def _order_spec():
     return PartitionSpec.range("o_orderdate", bounds, default="p_default")
 
 
-def _orders_partitioned(spark, d):
+_BUILT: dict[tuple, str] = {}
+
+
+def _built(spark, d, name, build):
+    """Path of a layout of the driver tables, which never change: built at first use in an
+    application, then looked up again."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _BUILT:
+        path = _scratch(spark, name)
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
+
+
+def _write_orders(spark, d, path):
     from ledgerlake.operators.partitions import write_partitioned
-    return write_partitioned(spark, _t(spark, d, "orders"), _order_spec(), _scratch(spark, "orders_part"))
+    return write_partitioned(spark, _t(spark, d, "orders"), _order_spec(), path)
+
+
+def _orders_partitioned(spark, d):
+    from ledgerlake.operators.partitions import PartitionedTable
+    path = _built(spark, d, "orders_part", lambda p: _write_orders(spark, d, p))
+    return PartitionedTable(spark, path, _order_spec())
 
 
 @query("range_part")
@@ -484,9 +506,25 @@ def pruned_read(spark, d):
     return t.read_pruned(dt.datetime(1996, 3, 15), dt.datetime(1996, 5, 10, 12, 0))
 
 
+@query("zoned_read")
+def zoned_read(spark, d):
+    """T9, T13 in a zone: daily bounds at +03, an irregular last one and DEFAULT; the read
+    goes over two local midnights."""
+    import datetime as dt
+    from ledgerlake.operators.partitions import PartitionedTable, PartitionSpec, write_partitioned
+    days = PartitionSpec.daily(dt.datetime(1996, 1, 1), dt.datetime(1996, 2, 1))
+    spec = PartitionSpec.range("placed_at", [*days, ("p_rest", dt.datetime(1996, 2, 1), dt.datetime(1996, 11, 1))], zone="Europe/Moscow")
+    # several hours of the day: order times are at midnight
+    o = _t(spark, d, "orders").select("o_orderkey", F.timestamp_micros(
+        F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 24) * 3_600_000_000).alias("placed_at"))
+    path = _built(spark, d, "orders_zoned", lambda p: write_partitioned(spark, o, spec, p))
+    t = PartitionedTable(spark, path, spec).read_pruned(dt.datetime(1996, 1, 14, 20, 30), dt.datetime(1996, 1, 16, 22, 0), with_part=True)
+    return t.select("o_orderkey", F.col("placed_at").cast("timestamp_ntz").alias("placed_at"), "part")
+
+
 @query("moved_rows")
 def moved_rows(spark, d):
-    t = _orders_partitioned(spark, d)
+    t = _write_orders(spark, d, _scratch(spark, "orders_moved"))
     where = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
     t.update(where, {"o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS")})
     return t.read(with_part=True).select("o_orderkey", "o_orderdate", "part")
@@ -549,18 +587,17 @@ def as_of_view(spark, d):
 
 @query("merged_replicas")
 def merged_replicas(spark, d):
-    from ledgerlake.operators.changes import apply_changes, merge_sources
+    from ledgerlake.operators.changes import apply_changes
     ev = _t(spark, d, "events")
     empty = domain.account_base(spark, d).where(F.lit(False))
     first = ev.where(F.col("event_type").isin("click", "view"))
     second = ev.where(~F.col("event_type").isin("click", "view"))
-    return merge_sources({"node1": apply_changes(empty, domain.event_log(first)),
+    return R.merge_sources({"node1": apply_changes(empty, domain.event_log(first)),
                           "node2": apply_changes(empty, domain.event_log(second))})
 
 
-@query("publish_diff")
-def publish_diff(spark, d):
-    from ledgerlake.operators.changes import publish
+def _summaries(spark, d):
+    """An older and a newer state of a per-user summary."""
     ev = _t(spark, d, "events")
 
     def summary(df):
@@ -569,11 +606,45 @@ def publish_diff(spark, d):
     before = summary(ev.where((F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
                               & (F.col("event_type") != "error")))
     after = summary(ev.where(F.col("ts") >= F.lit("2024-01-05").cast("timestamp_ntz")))
-    ch = publish(before, after, ["user_id"])
-    return ch.select("op", "user_id", F.col("before.n").alias("before_n"), F.col("before.total").alias("before_total"),
+    return before, after
+
+
+@query("publish_diff")
+def publish_diff(spark, d):
+    from ledgerlake.operators.changes import publish
+    ch = publish(*_summaries(spark, d), ["user_id"])
+    return ch.select("op", "key.user_id", F.col("before.n").alias("before_n"), F.col("before.total").alias("before_total"),
                      F.col("after.n").alias("after_n"), F.col("after.total").alias("after_total"))
 
 
+@query("publish_apply")
+def publish_apply(spark, d):
+    """S14 -> M1: applying the published changes to the older state gives the newer one."""
+    from ledgerlake.operators.changes import apply_changes, publish
+    before, after = _summaries(spark, d)
+    return apply_changes(before, publish(before, after, ["user_id"]))
+
+
+@query("replica_truncated")
+def replica_truncated(spark, d):
+    """M1 with a TRUNCATE in the middle of the log."""
+    from ledgerlake.operators.changes import apply_changes
+    log = domain.event_log(_t(spark, d, "events"))
+    return apply_changes(domain.account_base(spark, d), domain.truncated(log, _middle_event(spark, d)))
+
+
+def _middle_event(spark, d):
+    return _t(spark, d, "events").agg(F.floor((F.min("event_id") + F.max("event_id")) / 2)).first()[0]
+
+
+@query("replica_full")
+def replica_full(spark, d):
+    """M1 with replica identity 'full' on a table with duplicate rows."""
+    from ledgerlake.operators.changes import apply_changes
+    base = _t(spark, d, "customer").select(F.col("c_mktsegment").alias("segment"), (F.col("c_nationkey") % 3).cast("int").alias("zone"))
+    return apply_changes(base, domain.segment_log(spark, d), "full")
+
+
 @query("churn")
 def churn(spark, d):
     from ledgerlake.operators.changes import churn_report
@@ -615,71 +686,117 @@ def ledger_running(spark, d):
 @query("log_volume")
 def log_volume(spark, d):
     from ledgerlake.operators import reports
-    v = reports.log_volume(reports.wal_samples(_t(spark, d, "events")))
+    v = reports.log_volume(loglines.wal_samples(_t(spark, d, "events")))
     return v.drop("source")
 
 
 @query("log_summary")
 def log_summary(spark, d):
     from ledgerlake.operators import reports
-    v = reports.log_volume(reports.wal_samples(_t(spark, d, "events")))
+    v = reports.log_volume(loglines.wal_samples(_t(spark, d, "events")))
     return reports.log_volume_summary(v)
 
 
 @query("checkpoints")
 def checkpoints(spark, d):
     from ledgerlake.operators import reports
-    return reports.checkpoint_report(reports.checkpoint_lines(_t(spark, d, "events")), 1800)
+    return reports.checkpoint_report(loglines.checkpoint_lines(_t(spark, d, "events")), 1800)
+
+
+@query("checkpoint_summary")
+def checkpoint_summary(spark, d):
+    from ledgerlake.operators import reports
+    return reports.checkpoint_summary(checkpoints(spark, d))
 
 
 @query("lock_waits")
 def lock_waits(spark, d):
     from ledgerlake.operators import reports
-    return reports.lock_waits(reports.lock_lines(_t(spark, d, "events")))
+    return reports.lock_waits(loglines.lock_lines(_t(spark, d, "events")))
 
 
 @query("chains")
 def chains(spark, d):
     from ledgerlake.operators import reports
-    return reports.blocking_chains(spark, reports.wait_edges(_t(spark, d, "events")))
+    return reports.blocking_chains(spark, loglines.wait_edges(_t(spark, d, "events")))
 
 
 @query("load_report")
 def load_report(spark, d):
     from ledgerlake.operators import reports
-    return reports.load_report(reports.progress_lines(_t(spark, d, "events")), "click")
+    return reports.load_report(loglines.progress_lines(_t(spark, d, "events")), "click")
 
 
 # ------------------------------------------------------------------ streams (M2, M4, M8)
-def _stream(spark, d, name):
-    from ledgerlake.schemas import DRIVER
+def _in_batches(rows, slices, root, job):
+    """Append slices of ``rows`` to a folder one after the other; after each, ``job`` reads
+    on from its checkpoint.  Returns the last result."""
     from ledgerlake.streaming.jobs import file_stream
-    return file_stream(spark, d, DRIVER[name], f"{name}.parquet")
+    out = None
+    for part in slices:
+        rows.where(part).write.mode("append").parquet(f"{root}/in")
+        out = job(file_stream(rows.sparkSession, f"{root}/in", rows.schema))
+    return out
 
 
 @query("replica_stream")
 def replica_stream(spark, d):
     from ledgerlake.streaming.jobs import replicate_stream
     root = _scratch(spark, "replica_stream")
-    t = replicate_stream(spark, domain.event_log(_stream(spark, d, "events")), domain.account_base(spark, d),
-                         f"{root}/table", f"{root}/_checkpoint")
+    m = _middle_event(spark, d)
+    t = _in_batches(domain.event_log(_t(spark, d, "events")), [F.col("seq") < m, F.col("seq") >= m], root,
+                    lambda s: replicate_stream(spark, s, domain.account_base(spark, d), f"{root}/table", f"{root}/_checkpoint"))
     return t.read()
 
 
+@query("changes_after")
+def changes_after(spark, d):
+    """S13 without the initial copy: only changes after a start position reach an empty replica."""
+    from ledgerlake.streaming.jobs import read_changes, replicate_stream
+    root = _scratch(spark, "changes_after")
+    log = domain.event_log(_t(spark, d, "events"))
+    log.write.parquet(f"{root}/in")
+    changes = read_changes(spark, f"{root}/in", log.schema, start_seq=_middle_event(spark, d))
+    empty = domain.account_base(spark, d).where(F.lit(False))
+    return replicate_stream(spark, changes, empty, f"{root}/table", f"{root}/_checkpoint").read()
+
+
+def _log_phases():
+    seq, one = F.col("seq"), domain.LINE_PHASE
+    return [seq <= 0, (seq > 0) & (seq < one), (seq >= one) & (seq < 3 * one), seq >= 3 * one]
+
+
 @query("mart_stream")
 def mart_stream(spark, d):
+    from ledgerlake.operators import mart
     from ledgerlake.streaming.jobs import mart_stream as ms
     root = _scratch(spark, "mart_stream")
-    sales = _stream(spark, d, "lineitem").select(F.col("l_partkey").alias("good_id"),
-                                                 F.col("l_quantity").cast("int").alias("sales_qty"))
-    return ms(spark, sales, domain.goods(spark, d), f"{root}/out", f"{root}/_checkpoint")
+    prices = mart.price_history(domain.goods(spark, d))
+    return _in_batches(domain.mart_log(spark, d), _log_phases(), root,
+                       lambda s: ms(spark, s, prices, f"{root}/mart", f"{root}/_checkpoint"))
+
+
+@query("mart_stream_exact")
+def mart_stream_exact(spark, d):
+    """M3 as a stream over the lineitem-derived sales log."""
+    from ledgerlake.operators import mart
+    from ledgerlake.streaming.jobs import mart_stream_exact as mse
+    root = _scratch(spark, "mart_stream_exact")
+    prices = mart.price_history(domain.goods(spark, d))
+    t = _in_batches(domain.mart_log(spark, d), _log_phases(), root,
+                    lambda s: mse(spark, s, prices, f"{root}/mart", f"{root}/_checkpoint"))
+    return t.read()
 
 
 @query("minute_stream")
 def minute_stream(spark, d):
     from ledgerlake.streaming.jobs import minute_stream as mstream
     root = _scratch(spark, "minute_stream")
-    return mstream(spark, _stream(spark, d, "events"), f"{root}/out", f"{root}/_checkpoint")
+    events = _t(spark, d, "events")
+    half = events.agg(F.timestamp_seconds(F.expr("avg(unix_seconds(cast(ts as timestamp)))")).cast("timestamp_ntz")).first()[0]
+    cut = F.lit(half).cast("timestamp_ntz")
+    return _in_batches(events, [F.col("ts") < cut, F.col("ts") >= cut], root,
+                       lambda s: mstream(spark, s, f"{root}/out", f"{root}/_checkpoint"))
 
 
 @query("mart_drift")
@@ -691,20 +808,114 @@ def mart_drift(spark, d):
     current = (goods.join(steps, goods.goods_id == steps.good_id, "left")
                .select("goods_id", "good_name", F.coalesce("new_price", "good_price").alias("good_price")))
     li = _t(spark, d, "lineitem")
-    alive = li.where(~((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)))
+    alive = li.where(F.col("l_returnflag") != "R")
     report = R.sales_report(current, alive.select(F.col("l_partkey").alias("good_id"),
                                                   F.col("l_quantity").cast("int").alias("sales_qty")))
     return mart.mart_drift(report, mart_price_change(spark, d))
 
 
-@query("mart_stream_exact")
-def mart_stream_exact(spark, d):
-    """M3 as a stream over the lineitem-derived sales log (written once to the shared folder)."""
+# ------------------------------------------------------------------ loads, resets, composite keys
+@query("insert_values")
+def insert_values(spark, d):
+    from ledgerlake.sources.io import append_rows
+    return append_rows(spark, _t(spark, d, "region"), [(100, "NOWHERE"), (101, None)])
+
+
+@query("insert_select")
+def insert_select(spark, d):
+    """S4 + J15: lines migrated into a declared table, enriched from their orders."""
+    from ledgerlake.operators.relational import enrich
+    from ledgerlake.sources.io import migrate
+    dst = spark.createDataFrame([], "l_orderkey bigint, l_linenumber int, o_orderdate timestamp_ntz").schema
+    return migrate(_t(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), dst,
+                   lambda df: enrich(df, _t(spark, d, "orders"), {"l_orderkey": "o_orderkey"}, ["o_orderdate"], check_count=True))
+
+
+@query("create_as")
+def create_as(spark, d):
+    from ledgerlake.sources.io import materialize
+    o = _t(spark, d, "orders").where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
+    return spark.read.schema(o.schema).parquet(materialize(o, _scratch(spark, "ctas")))
+
+
+@query("table_reset")
+def table_reset(spark, d):
+    """A table is loaded, truncated and loaded again; old versions stay readable."""
+    from ledgerlake.sources.versioned import VersionedTable
+    c = _t(spark, d, "customer")
+    t = VersionedTable(spark, _scratch(spark, "reset"))
+    first = t.commit(c)
+    empty = t.reset(c.schema)
+    t.commit(c.where(F.col("c_acctbal") > 0))
+    out = None
+    for name, version in (("first", first), ("empty", empty), ("last", t.current())):
+        n = t.read(version).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("version"), "n")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@query("mart_start")
+def mart_start(spark, d):
+    """M5 then M4: a mart from the sales so far, then the later deltas."""
     from ledgerlake.operators import mart
-    from ledgerlake.streaming.jobs import file_stream, mart_stream_exact as mse
-    root = _scratch(spark, "mart_stream_exact")
-    log = domain.mart_log(spark, d)
-    log.write.parquet(f"{root}/log")
-    changes = file_stream(spark, f"{root}/log", log.schema)
-    t = mse(spark, changes, mart.price_history(domain.goods(spark, d)), f"{root}/mart", f"{root}/_checkpoint")
-    return t.read()
+    goods, sales = domain.goods(spark, d), domain.sales(spark, d)
+    early = F.col("sales_time") < F.lit("1997-01-01").cast("timestamp_ntz")
+    both = mart.mart_init(goods, sales.where(early)).unionByName(mart.mart_init(goods, sales.where(~early)))
+    return both.groupBy("good_name").agg(F.sum("sum_sale").cast("decimal(38,2)").alias("sum_sale"))
+
+
+@query("cascade")
+def cascade(spark, d):
+    from ledgerlake.operators.checks import cascade_delete
+    o = _t(spark, d, "orders").where(F.col("o_orderpriority") != "5-LOW")
+    return cascade_delete(_t(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), o, {"l_orderkey": "o_orderkey"})
+
+
+def _supplied(spark, d):
+    return _t(spark, d, "lineitem").where(F.col("l_returnflag") == "R").select("l_partkey", "l_suppkey").distinct()
+
+
+@query("semi_composite")
+def semi_composite(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("x")
+    back = _supplied(spark, d).withColumnsRenamed({"l_partkey": "p", "l_suppkey": "s"})
+    return R.semi(li, back, {"l_partkey": "p", "l_suppkey": "s"})
+
+
+@query("anti_composite")
+def anti_composite(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    back = _supplied(spark, d).withColumnsRenamed({"l_partkey": "p", "l_suppkey": "s"})
+    return R.anti(li, back, {"l_partkey": "p", "l_suppkey": "s"})
+
+
+@query("left_composite")
+def left_composite(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    back = _t(spark, d, "lineitem").where(F.col("l_returnflag") == "R").groupBy(
+        F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s")).agg(F.max("l_shipdate").alias("last_back"))
+    j = R.left_with_default(li, back, {"l_partkey": "p", "l_suppkey": "s"}, "last_back", "never returned", "last_back_text")
+    return j.select("l_orderkey", "l_linenumber", "last_back_text")
+
+
+@query("backfill_checked")
+def backfill_checked(spark, d):
+    """Add columns, backfill them over two keys, then the NOT NULL and composite FK checks."""
+    from ledgerlake.operators.checks import check_fk, check_rows, not_null
+    from ledgerlake.operators.dml import add_column, update_from as upd
+    li = _t(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag").distinct()
+    li = add_column(li, "lines", "bigint")
+    src = _t(spark, d, "lineitem").where(F.col("l_linestatus") == "F").groupBy(
+        F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    filled = upd(li, src, {"l_partkey": "p", "l_suppkey": "s"}, {"lines": "n"})
+    keep = ["l_partkey", "l_suppkey", "l_returnflag"]
+    empty = check_rows(filled, not_null("lines"), keep)
+    orphans = check_fk(filled, src, {"l_partkey": "p", "l_suppkey": "s"}).select(*keep, F.lit("lines_fk").alias("rule"))
+    return empty.unionByName(orphans)
+
+
+@query("substring_first")
+def substring_first(spark, d):
+    c = _t(spark, d, "customer")
+    return c.groupBy(F.substring("c_mktsegment", 1, 1).alias("letter"), F.substring("c_name", 1, 4).alias("start")).agg(
+        F.count(F.lit(1)).alias("n"))

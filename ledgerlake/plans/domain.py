@@ -7,7 +7,7 @@ Money is decimal from the first projection on (decision D5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.sources.tables import load
@@ -30,11 +30,11 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sales change logs
-PHASE = 2 ** 40
-# mart_log phases: a line's position l_orderkey * 8 + l_linenumber stays below
-# this for every order key below 2^56, and 4 phases * 2 (step order) fit a long
+# A line's position is (l_orderkey * 8 + l_linenumber) * SAME + its number among the lines with
+# the same key; it stays below LINE_PHASE for every order key below 2^46, and 4 phases * 2
+# (step order) fit a long.
+SAME = 2 ** 10
 LINE_PHASE = 2 ** 59
-PRICE_CUTOFF = "1997-01-01 00:00:00"
 
 
 def _change(df: DataFrame, seq, op: str, before=None, after=None) -> DataFrame:
@@ -50,46 +50,56 @@ def _change(df: DataFrame, seq, op: str, before=None, after=None) -> DataFrame:
                      .alias("key"), s(before).alias("before"), s(after).alias("after"))
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with a unique position ``pos``.  Lines may share (l_orderkey,
+    l_linenumber); such lines are numbered by all their columns, so equal ones are
+    interchangeable."""
+    li = load(spark, sf_dir, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c for c in li.columns if c not in keys])) - 1
+    nth = F.when(nth < SAME, nth).otherwise(F.raise_error(F.lit("too many lines with one key")).cast("int"))
+    return li.withColumn("pos", (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * SAME + nth)
+
+
 def mart_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales log over the whole lineitem table, in four phases:
+    """Sales log over the whole lineitem table: a first load that a truncate at seq 0
+    undoes, then four phases:
     0 insert every line; 1 qty + 1 where returnflag A and linenumber 2;
     2 move to good l_suppkey where linestatus F and linenumber 3;
-    3 delete where returnflag R and linenumber 4.
-
-    One filtered branch per change kind: each op is a literal, so the
-    optimizer proves the log has no truncates and skips that pass (a single
-    scan with an exploded array hides the op and costs two more passes)."""
-    li = load(spark, sf_dir, "lineitem")
+    3 delete where returnflag R and linenumber 4."""
+    li = lines(spark, sf_dir)
     q = F.col("l_quantity").cast("int")
-    pos = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    pos = F.col("pos")
     upd = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 2)
     mov = (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 3)
     dele = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)
     part = F.col("l_partkey")
-    return (_change(li, pos, "I", after=(part, q))
+    first = _change(li.where(F.col("l_linenumber") == 1), pos - F.lit(LINE_PHASE), "I", after=(part, q * 2))
+    empty = spark.range(1).select(*[F.lit({"seq": 0, "op": "T"}.get(f.name)).cast(f.dataType).alias(f.name) for f in first.schema])
+    return (first.unionByName(empty).unionByName(_change(li, pos, "I", after=(part, q)))
             .unionByName(_change(li.where(upd), F.lit(LINE_PHASE) + pos, "U", (part, q), (part, q + 1)))
             .unionByName(_change(li.where(mov), F.lit(2 * LINE_PHASE) + pos, "U", (part, q), (F.col("l_suppkey"), q)))
             .unionByName(_change(li.where(dele), F.lit(3 * LINE_PHASE) + pos, "D", before=(part, q))))
 
 
 def price_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insert every line at its ship time (seq = epoch seconds), then delete
-    returned lines (returnflag R, linenumber 4) after all inserts."""
-    li = load(spark, sf_dir, "lineitem")
+    """Insert every line in order of its position, then delete the returned lines
+    (returnflag R).  Halfway through the inserts prices rise so far (see
+    ``price_steps``) that many of the deletes exceed what the mart holds."""
+    li = lines(spark, sf_dir)
     q = F.col("l_quantity").cast("int")
-    seq = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
-    dele = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 4)
-    return (_change(li, seq, "I", after=(F.col("l_partkey"), q))
-            .unionByName(_change(li.where(dele), F.lit(PHASE) + F.col("l_orderkey"), "D",
+    return (_change(li, F.col("pos"), "I", after=(F.col("l_partkey"), q))
+            .unionByName(_change(li.where(F.col("l_returnflag") == "R"), F.lit(LINE_PHASE) + F.col("pos"), "D",
                                  before=(F.col("l_partkey"), q))))
 
 
 def price_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price rise of 100 for goods with p_size <= 10 from the cutoff on."""
+    """Goods with p_size <= 10 cost 20 times as much from half of the order keys on."""
     p = load(spark, sf_dir, "part").where(F.col("p_size") <= 10)
-    cutoff = F.unix_seconds(F.lit(PRICE_CUTOFF).cast("timestamp"))
-    return p.select(F.col("p_partkey").alias("good_id"), cutoff.alias("seq"),
-                    (F.col("p_retailprice").cast(PRICE) + F.lit(100)).alias("price"))
+    half = load(spark, sf_dir, "lineitem").agg(F.floor(F.max("l_orderkey") / 2).alias("k"))
+    return p.crossJoin(F.broadcast(half)).select(           # one row by construction
+        F.col("p_partkey").alias("good_id"), (F.col("k") * 8 * SAME).alias("seq"),
+        (F.col("p_retailprice").cast(PRICE) * 20).cast(PRICE).alias("price"))
 
 
 # ---------------------------------------------------------------- replica logs from events
@@ -112,3 +122,23 @@ def event_log(events: DataFrame) -> DataFrame:
     return make_log(events, F.col("event_id"), op, {"account_id": F.col("user_id")},
                     {"balance": F.col("value").cast(PRICE), "last_event": F.col("event_type")},
                     commit_ts=F.col("ts"))
+
+
+def truncated(log: DataFrame, seq: int) -> DataFrame:
+    """The log with a TRUNCATE in place of the change at ``seq``."""
+    t = log.where(F.col("seq") == seq).select(*[
+        (F.lit("T") if c == "op" else F.lit(None) if c in ("key", "before", "after") else F.col(c)).cast(log.schema[c].dataType).alias(c)
+        for c in log.columns])
+    return log.where(F.col("seq") != seq).unionByName(t)
+
+
+def segment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a table without a key, (segment, zone): every event inserts, deletes or moves
+    one row; many find no row to delete."""
+    names = F.array(*[F.lit(x) for x in ("AUTOMOBILE", "BUILDING", "MACHINERY", "nowhere")])
+    img = F.struct(F.element_at(names, (F.col("user_id") % 4 + 1).cast("int")).alias("segment"), (F.col("event_id") % 3).cast("int").alias("zone"))
+    new = F.struct(F.lit("moved").alias("segment"), (F.col("event_id") % 3).cast("int").alias("zone"))
+    op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type").isin("error", "view"), "D").otherwise("U")
+    ev = load(spark, sf_dir, "events")
+    return ev.select(F.col("event_id").alias("seq"), F.col("ts").alias("commit_ts"), op.alias("op"), F.lit(None).cast("struct<id:int>").alias("key"),
+                     F.when(op != "I", img).alias("before"), F.when(op == "I", img).when(op == "U", new).alias("after"))

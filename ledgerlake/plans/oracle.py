@@ -302,26 +302,29 @@ ORACLE["mart_stream_exact"] = _MART_FINAL
 
 ORACLE["mart_price_change"] = """
 WITH RECURSIVE
+li AS (
+  SELECT *, (l_orderkey * 8 + l_linenumber) * 1024 + row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS pos
+  FROM lineitem),
+half AS (SELECT (max(l_orderkey) // 2) * 8192 AS h FROM lineitem),
 prices AS (
   SELECT p_partkey AS good_id, p_name AS name, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
          CAST(-4611686018427387904 AS BIGINT) AS valid_from,
-         CASE WHEN p_size <= 10 THEN CAST(epoch(TIMESTAMP '1997-01-01 00:00:00') AS BIGINT) END AS valid_to
+         CASE WHEN p_size <= 10 THEN (SELECT h FROM half) END AS valid_to
   FROM part
   UNION ALL
-  SELECT p_partkey, p_name, CAST(p_retailprice AS DECIMAL(12,2)) + 100,
-         CAST(epoch(TIMESTAMP '1997-01-01 00:00:00') AS BIGINT), NULL
+  SELECT p_partkey, p_name, CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 20 AS DECIMAL(12,2)), (SELECT h FROM half), NULL
   FROM part WHERE p_size <= 10),
 ev AS (
-  SELECT l_partkey AS good_id, CAST(epoch(l_shipdate) AS BIGINT) AS seq, 'ADD' AS kind,
-         CAST(l_quantity AS INTEGER) AS qty FROM lineitem
+  SELECT l_partkey AS good_id, pos AS seq, 'ADD' AS kind, CAST(l_quantity AS INTEGER) AS qty FROM li
   UNION ALL
-  SELECT l_partkey, 1099511627776 + l_orderkey, 'DEL', CAST(l_quantity AS INTEGER)
-  FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 4),
+  SELECT l_partkey, 576460752303423488 + pos, 'DEL', CAST(l_quantity AS INTEGER) FROM li WHERE l_returnflag = 'R'),
 st AS (
-  SELECT p.name, e.seq * 2 AS o, e.kind, CAST(e.qty * p.price AS DECIMAL(38,2)) AS amt
+  SELECT p.name, e.seq AS o, e.kind, CAST(e.qty * p.price AS DECIMAL(38,2)) AS amt
   FROM ev e JOIN prices p ON p.good_id = e.good_id AND e.seq >= p.valid_from
                           AND (p.valid_to IS NULL OR e.seq < p.valid_to)),
-num AS (SELECT name, row_number() OVER (PARTITION BY name ORDER BY o, kind, amt) AS i, kind, amt FROM st),
+num AS (SELECT name, row_number() OVER (PARTITION BY name ORDER BY o) AS i, kind, amt FROM st),
 fold(name, i, s, present) AS (
   SELECT DISTINCT name, CAST(0 AS BIGINT), CAST(0 AS DECIMAL(38,2)), false FROM num
   UNION ALL
@@ -445,11 +448,23 @@ l AS (SELECT *, epoch_ms(ts) - epoch_ms(lag(ts) OVER (ORDER BY ts, buffers, dist
 SELECT ts, buffers, distance_kb, ms_since_previous, ms_since_previous <= 1800000 AS on_schedule FROM l
 """
 
+ORACLE["checkpoint_summary"] = f"""
+WITH r AS ({ORACLE["checkpoints"]})
+SELECT count(*) AS checkpoints, count(*) FILTER (WHERE on_schedule) AS on_schedule,
+       CAST(sum(distance_kb) // count(distance_kb) AS BIGINT) AS mean_distance_kb FROM r
+"""
+
 ORACLE["lock_waits"] = """
-SELECT event_id + 1000 AS pid, event_id + 4545000 AS trx, user_id + 1000 AS holder,
+SELECT event_id + 1000 AS pid,
+       CASE WHEN event_id % 2 = 1 THEN 'ExclusiveLock' ELSE 'ShareLock' END AS mode,
+       CASE WHEN event_id % 2 = 1 THEN 'tuple (0,' || (event_id % 100) || ') of relation 16388 of database 16385'
+            ELSE 'transaction ' || (event_id + 4545000) END AS target,
+       CASE WHEN event_id % 2 = 0 THEN event_id + 4545000 END AS trx,
+       CAST(user_id + 1000 AS VARCHAR) || CASE WHEN event_id % 3 = 0 THEN ', 999' ELSE '' END AS holders,
+       CAST(event_id + 1000 AS VARCHAR) AS queue,
        date_trunc('millisecond', ts) AS waiting_at,
        date_trunc('millisecond', ts) + to_milliseconds(CAST(floor(value * 1000) AS BIGINT)) AS acquired_at,
-       CAST(floor(value * 1000) AS BIGINT) + 100 AS wait_ms
+       CAST(floor(value * 1000) AS BIGINT) + 100 + CAST(0.250 AS DECIMAL(18,3)) AS wait_ms
 FROM events WHERE event_type = 'error'
 """
 
@@ -458,13 +473,12 @@ WITH RECURSIVE
 e AS (SELECT event_id + 1000 AS pid, user_id, ts FROM events WHERE event_type = 'error'),
 edges AS (SELECT pid, COALESCE(lag(pid) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, pid),
                                user_id + 100000) AS blocker FROM e),
-r(pid, cur, depth) AS (
-  SELECT pid, blocker, 1 FROM edges
+r(pid, cur, depth, path) AS (
+  SELECT pid, blocker, 1, pid || ' -> ' || blocker FROM edges
   UNION ALL
-  SELECT r.pid, edges.blocker, r.depth + 1 FROM r JOIN edges ON edges.pid = r.cur WHERE r.depth < 100000)
-SELECT edges.pid, edges.blocker, x.cur AS root, CAST(x.depth AS INTEGER) AS depth
-FROM edges JOIN (SELECT pid, cur, depth, row_number() OVER (PARTITION BY pid ORDER BY depth DESC) AS rn FROM r) x
-  ON x.pid = edges.pid AND x.rn = 1
+  SELECT r.pid, edges.blocker, r.depth + 1, r.path || ' -> ' || edges.blocker FROM r JOIN edges ON edges.pid = r.cur WHERE r.depth < 100000)
+SELECT pid, cur AS root, CAST(depth AS INTEGER) AS min_depth, CAST(depth AS INTEGER) AS max_depth, path
+FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY depth DESC) AS rn FROM r) WHERE rn = 1
 """
 
 ORACLE["load_report"] = """
@@ -479,7 +493,7 @@ FROM g
 """
 
 ORACLE["replica_stream"] = ORACLE["replica_apply"]
-ORACLE["mart_stream"] = ORACLE["sales_report"]
+ORACLE["mart_stream"] = _MART_FINAL
 ORACLE["minute_stream"] = """
 SELECT date_trunc('minute', ts) AS minute, count(*) AS events, CAST(sum(length(props)) AS BIGINT) AS bytes
 FROM events GROUP BY 1
@@ -491,13 +505,85 @@ mart AS (SELECT name AS good_name, s AS sum_sale
 FROM""", 1) + """),
 report AS (
   SELECT p_name AS good_name,
-         CAST(sum(CAST(CASE WHEN p_size <= 10 THEN CAST(p_retailprice AS DECIMAL(12,2)) + 100
+         CAST(sum(CAST(CASE WHEN p_size <= 10 THEN CAST(p_retailprice AS DECIMAL(12,2)) * 20
                             ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS DECIMAL(12,2))
                   * CAST(l_quantity AS INTEGER)) AS DECIMAL(38,2)) AS sum_sale
   FROM lineitem JOIN part ON p_partkey = l_partkey
-  WHERE NOT (l_returnflag = 'R' AND l_linenumber = 4)
+  WHERE l_returnflag <> 'R'
   GROUP BY p_name)
 SELECT COALESCE(r.good_name, m.good_name) AS good_name, r.sum_sale AS report_sum, m.sum_sale AS mart_sum
 FROM report r FULL JOIN mart m ON r.good_name = m.good_name
 WHERE r.sum_sale IS DISTINCT FROM m.sum_sale
 """
+
+ORACLE["fingerprints"] = """
+WITH o AS (SELECT o_orderstatus, CAST(o_orderkey AS VARCHAR) AS a, CAST(o_custkey AS VARCHAR) AS b, o_orderpriority AS p,
+                  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS t FROM orders),
+h AS (SELECT o_orderstatus, md5(concat_ws(',', length(a) || ':' || a, length(b) || ':' || b, length(o_orderstatus) || ':' || o_orderstatus,
+                                          length(p) || ':' || p, length(d) || ':' || d, length(t) || ':' || t)) AS h FROM o)
+SELECT o_orderstatus, count(*) AS rows, CAST(sum(CAST(CAST('0x' || substr(h, 1, 15) AS BIGINT) AS HUGEINT)) AS DECIMAL(38,0)) AS fingerprint
+FROM h GROUP BY o_orderstatus
+"""
+
+ORACLE["publish_apply"] = """
+SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total
+FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY user_id
+"""
+
+_MIDDLE = "(SELECT (min(event_id) + max(event_id)) // 2 FROM events)"
+ORACLE["replica_truncated"] = _replica(f"WHERE event_id > {_MIDDLE}", base=False)
+ORACLE["changes_after"] = ORACLE["replica_truncated"]
+
+ORACLE["replica_full"] = """
+WITH ev AS (
+  SELECT event_id, CASE WHEN event_type = 'signup' THEN 'I' WHEN event_type IN ('error', 'view') THEN 'D' ELSE 'U' END AS op,
+         ['AUTOMOBILE', 'BUILDING', 'MACHINERY', 'nowhere'][user_id % 4 + 1] AS segment, CAST(event_id % 3 AS INTEGER) AS zone FROM events),
+moves AS (
+  SELECT event_id * 2 AS o, segment, zone, -1 AS n FROM ev WHERE op <> 'I'
+  UNION ALL SELECT event_id * 2 + 1, CASE WHEN op = 'U' THEN 'moved' ELSE segment END, zone, 1 FROM ev WHERE op <> 'D'),
+base AS (SELECT c_mktsegment AS segment, CAST(c_nationkey % 3 AS INTEGER) AS zone, count(*) AS c FROM customer GROUP BY ALL),
+falls AS (SELECT segment, zone, sum(n) AS total, least(0, min(run)) AS low
+          FROM (SELECT *, sum(n) OVER (PARTITION BY segment, zone ORDER BY o ROWS UNBOUNDED PRECEDING) AS run FROM moves) GROUP BY ALL),
+ends AS (SELECT segment, zone, coalesce(c, 0) + coalesce(total, 0) - least(0, coalesce(c, 0) + coalesce(low, 0)) AS k
+         FROM base FULL JOIN falls USING (segment, zone))
+SELECT segment, zone FROM (SELECT segment, zone, unnest(range(CAST(k AS BIGINT))) FROM ends WHERE k > 0)
+"""
+
+ORACLE["zoned_read"] = """
+WITH o AS (SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS placed_at FROM orders)
+SELECT o_orderkey, placed_at, 'p' || strftime(placed_at + INTERVAL 3 HOUR, '%Y_%m_%d') AS part FROM o
+WHERE placed_at BETWEEN TIMESTAMP '1996-01-14 20:30:00' AND TIMESTAMP '1996-01-16 22:00:00'
+"""
+
+ORACLE["insert_values"] = "SELECT * FROM region UNION ALL SELECT 100, 'NOWHERE' UNION ALL SELECT 101, NULL"
+ORACLE["insert_select"] = """
+SELECT l_orderkey, l_linenumber, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+ORACLE["create_as"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'"
+ORACLE["table_reset"] = """
+SELECT 'first' AS version, count(*) AS n FROM customer UNION ALL SELECT 'empty', 0
+UNION ALL SELECT 'last', count(*) FROM customer WHERE c_acctbal > 0
+"""
+ORACLE["mart_start"] = ORACLE["sales_report"]
+ORACLE["cascade"] = """
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE l_orderkey IS NULL OR EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderpriority <> '5-LOW')
+"""
+ORACLE["semi_composite"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem l WHERE EXISTS (
+  SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R' AND r.l_partkey = l.l_partkey AND r.l_suppkey = l.l_suppkey)
+"""
+ORACLE["anti_composite"] = ORACLE["semi_composite"].replace("WHERE EXISTS", "WHERE NOT EXISTS")
+ORACLE["left_composite"] = """
+SELECT l.l_orderkey, l.l_linenumber, coalesce(strftime(b.m, '%Y-%m-%d %H:%M:%S'), 'never returned') AS last_back_text
+FROM lineitem l LEFT JOIN (SELECT l_partkey, l_suppkey, max(l_shipdate) AS m FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) b
+  ON b.l_partkey = l.l_partkey AND b.l_suppkey = l.l_suppkey
+"""
+ORACLE["backfill_checked"] = """
+WITH d AS (SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem)
+SELECT d.*, r.rule FROM d CROSS JOIN (VALUES ('lines_not_null'), ('lines_fk')) r(rule)
+WHERE NOT EXISTS (SELECT 1 FROM lineitem f WHERE f.l_linestatus = 'F' AND f.l_partkey = d.l_partkey AND f.l_suppkey = d.l_suppkey)
+"""
+ORACLE["substring_first"] = """
+SELECT substr(c_mktsegment, 1, 1) AS letter, substr(c_name, 1, 4) AS start, count(*) AS n FROM customer GROUP BY ALL
+"""

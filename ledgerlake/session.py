@@ -7,6 +7,7 @@ operators assume (UTC session zone, ANSI casts, AQE with skew handling).
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -20,7 +21,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -87,7 +87,9 @@ def shared_dir(spark: SparkSession) -> str:
         if not d and sc.getCheckpointDir():
             d = sc.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
     if not d:
-        d = tempfile.mkdtemp(prefix="ledgerlake-")
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="ledgerlake-")      # one machine: any folder is shared
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d.rstrip("/") + "/rdd")

@@ -1,58 +1,58 @@
 """Small file operations on the cluster file system (HDFS, object stores, local).
 
-Uses the Hadoop FileSystem of the running session, so the same code works
+Uses the Hadoop file system of the running session, so the same code works
 for ``hdfs://``, ``s3a://`` and ``file:`` paths.  Only tiny metadata files
 (commit markers, manifests) go through here; data is always written by Spark.
+A session without a JVM handle (a remote session) cannot write them and raises.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
 
-def _local(path: str) -> str | None:
-    """Plain local path when the session has no JVM handle (remote sessions)."""
-    if path.startswith("file:"):
-        return path[5:]
-    return path if path.startswith("/") else None
-
-
-def _has_jvm(spark: SparkSession) -> bool:
-    try:
-        return spark.sparkContext._jvm is not None
-    except Exception:  # noqa: BLE001
-        return False
+class CommitConflict(RuntimeError):
+    """Another writer made this version visible first."""
 
 
 def _jfs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception as e:
+        raise RuntimeError("metadata files need the session's JVM file system") from e
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Create a small file; with ``overwrite=False`` an existing file raises
-    (create-if-absent is what makes commit markers safe)."""
-    if not _has_jvm(spark) and _local(path):
-        lp = _local(path)
-        os.makedirs(os.path.dirname(lp), exist_ok=True)
-        with open(lp, "w" if overwrite else "x", encoding="utf-8") as f:
-            f.write(text)
-        return
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file visible at once: it is written beside its place under
+    a name of its own, then renamed.  An existing file is never replaced; the
+    writer that comes second gets ``CommitConflict``."""
     fs, p = _jfs(spark, path)
-    out = fs.create(p, overwrite)
+    jvm = spark.sparkContext._jvm
+    part = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(part, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()) \
+        if p.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        # without options a rename fails if the target exists
+        files.rename(part, p, spark.sparkContext._gateway.new_array(rename, 0))
+    except Exception as e:
+        fs.delete(part, False)
+        if fs.exists(p):
+            raise CommitConflict(f"{path} was committed by another writer") from e
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    if not _has_jvm(spark) and _local(path):
-        with open(_local(path), encoding="utf-8") as f:
-            return f.read()
     fs, p = _jfs(spark, path)
     jvm = spark.sparkContext._jvm
     stream = fs.open(p)
@@ -69,16 +69,11 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    if not _has_jvm(spark) and _local(path):
-        return os.path.exists(_local(path))
     fs, p = _jfs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
-    if not _has_jvm(spark) and _local(path):
-        lp = _local(path)
-        return sorted(os.listdir(lp)) if os.path.isdir(lp) else []
     fs, p = _jfs(spark, path)
     if not fs.exists(p):
         return []
@@ -86,15 +81,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    if not _has_jvm(spark) and _local(path):
-        import shutil
-        shutil.rmtree(_local(path), ignore_errors=True)
-        return
     fs, p = _jfs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
-
-
-def total_bytes(spark: SparkSession, path: str) -> int:
-    fs, p = _jfs(spark, path)
-    return int(fs.getContentSummary(p).getLength())

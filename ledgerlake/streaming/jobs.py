@@ -1,21 +1,23 @@
 """M2, M4 (stream), M8: Structured Streaming jobs.
 
-Sinks are idempotent by ``batch_id``: each micro-batch writes (overwrites)
-its own folder ``root/batch=<id>``, so a batch retried after a failure
-replaces its own output and a restart from the checkpoint resumes at the
-first uncommitted batch.  ``run_available`` drives a query with the
+Sinks are idempotent by ``batch_id``: a micro-batch changes a hash-partitioned
+table, in which only the partitions it touches are rewritten, and its number is
+published with the new manifest.  A batch retried after a failure is
+skipped if it is in, and a restart from the checkpoint resumes at the first
+uncommitted batch.  Old attempts stay until ``vacuum``.  ``run_available`` drives a query with the
 ``availableNow`` trigger (all input present at start, then stop), which is
 also how the batch == stream tests run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.changes import apply_changes
-from ledgerlake.sources import fs
+from ledgerlake.operators.partitions import PartitionedTable, PartitionSpec
+from ledgerlake.sources.io import stage_table
 from ledgerlake.sources.versioned import VersionedTable
 
 
@@ -46,59 +48,92 @@ def run_available(writer, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def batch_sink(root: str):
-    """foreachBatch function writing each micro-batch to its own folder."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/batch={batch_id}")
-    return write
+def _newest_batch(table: PartitionedTable) -> int:
+    return table.manifest().get("batch", -1)
+
+
+def _start(table: PartitionedTable, rows: DataFrame) -> PartitionedTable:
+    """Write a table's first rows, if it has no manifest yet."""
+    return table if table.current() is not None else table.write(rows, {"batch": -1})
+
+
+def _touched(table: PartitionedTable, values: list[Column], rows: DataFrame) -> list[str]:
+    """Names of the partitions that hold the given key values (at most as many as partitions)."""
+    kind = table.read().schema[table.spec.column].dataType
+    names = F.array(*[F.when(v.isNotNull(), table.spec.assign(v.cast(kind))) for v in values])
+    got = rows.select(F.explode(names).alias("p")).where("p is not null").distinct().collect()
+    return sorted(r.p for r in got)
 
 
-def latest_state(spark: SparkSession, root: str, keys, schema: T.StructType) -> DataFrame:
-    """Current state from update-mode output: the newest batch's row per key."""
-    if not any(n.startswith("batch=") for n in fs.list_names(spark, root)):
-        return spark.createDataFrame([], schema)
-    full = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-    df = spark.read.schema(full).parquet(root)
-    others = [c for c in schema.fieldNames() if c not in keys]
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("_r"))
-    return g.select(*keys, *[F.col("_r." + c).alias(c) for c in others])
+def upsert_sink(table: PartitionedTable, keys: list[str]):
+    """foreachBatch function: each row replaces the row with its keys.  Only partitions that the
+    batch touches are rewritten, and a batch that is already in is skipped."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= _newest_batch(table):
+            return
+        batch = stage_table(batch, "upsert")
+        touched = _touched(table, [F.col(table.spec.column)], batch)
+        if touched:
+            table.rewrite(touched, lambda rows: rows.join(batch, keys, "left_anti").unionByName(batch), {"batch": batch_id})
+    return write
 
 
 # ------------------------------------------------------------------ M2
+#: Hash partitions of the tables that streams maintain.
+BUCKETS = 16
+
+
 def replicate_stream(spark: SparkSession, changes: DataFrame, base: DataFrame, target_root: str,
-                     checkpoint: str, identity: str = "key") -> VersionedTable:
-    """Continuous replica: each micro-batch of change rows is applied to the
-    current version and committed as version ``batch_id + 1``.  A batch whose
-    version already exists (a retry) is skipped; an apply error stops the
-    query, and a restart resumes at that batch."""
-    target = VersionedTable(spark, target_root)
-    if target.current() is None:
-        target.publish(target.stage(base, version=0), base.schema)
+                     checkpoint: str, identity: str = "key", buckets: int = BUCKETS) -> PartitionedTable:
+    """Continuous replica, hash-partitioned by the key: each micro-batch of change rows is
+    applied to the partitions that its keys fall in (to all of them after a truncate) and
+    published with the batch's number.  A batch that is in already (a retry) is skipped; an
+    apply error stops the query, and a restart resumes at that batch."""
+    column = changes.schema["key"].dataType.fieldNames()[0]
+    target = _start(PartitionedTable(spark, target_root, PartitionSpec.hash(column, buckets)), base)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        v = batch_id + 1
-        if v in target.versions():
+        if batch_id <= _newest_batch(target):
             return
-        cur = target.read()
-        new = apply_changes(cur, batch, identity)
-        target.publish(target.stage(new, version=v), base.schema)
+        if batch.where(F.col("op") == "T").isEmpty():
+            images = [F.col(f"{c}.{column}") for c in ("key", "before", "after") if column in batch.schema[c].dataType.fieldNames()]
+            touched = _touched(target, images, batch)
+        else:
+            touched = [f"p{k}" for k in range(buckets)]
+        if touched:
+            target.rewrite(touched, lambda rows: apply_changes(rows, batch, identity), {"batch": batch_id})
 
     run_available(changes.writeStream.foreachBatch(apply), checkpoint)
     return target
 
 
 # ------------------------------------------------------------------ M4 as a stream
-def mart_stream(spark: SparkSession, sales: DataFrame, goods: DataFrame, root: str, checkpoint: str) -> DataFrame:
-    """Running mart over a stream of sales inserts: stateful per-name sum in
-    update mode (state store), joined to the static goods table."""
-    j = sales.join(goods, sales.good_id == goods.goods_id, "inner")
-    agg = j.groupBy("good_name").agg(
-        F.sum((F.col("sales_qty") * F.col("good_price")).cast("decimal(38,2)")).alias("sum_sale"))
-    run_available(agg.writeStream.outputMode("update").foreachBatch(batch_sink(root)), checkpoint)
-    schema = T.StructType([T.StructField("good_name", T.StringType()),
-                           T.StructField("sum_sale", T.DecimalType(38, 2))])
-    return latest_state(spark, root, ["good_name"], schema).select(
-        "good_name", F.col("sum_sale").cast("decimal(38,2)").alias("sum_sale"))
+def mart_stream(spark: SparkSession, changes: DataFrame, prices: DataFrame, root: str, checkpoint: str) -> DataFrame:
+    """The delta mart as a stream over the sales change log (inserts, updates, deletes,
+    truncates): each micro-batch is summed per name and added to the kept sums and counts
+    of live sales.  A name without live sales has no row."""
+    from ledgerlake.operators.mart import AMOUNT, steps
+    schema = f"good_name string, sum_sale {AMOUNT}, n long"
+    table = _start(PartitionedTable(spark, root, PartitionSpec.hash("good_name", BUCKETS)), spark.createDataFrame([], schema))
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= _newest_batch(table):
+            return
+        signed = F.when(F.col("kind") == "ADD", F.col("amt")).otherwise(-F.col("amt"))
+        delta = steps(batch, prices).groupBy("good_name").agg(F.sum(signed).cast(AMOUNT).alias("sum_sale"), F.sum("cnt").alias("n"))
+        delta = stage_table(delta, "mart_delta")
+        fresh = not batch.where(F.col("op") == "T").isEmpty()
+        touched = [f"p{k}" for k in range(BUCKETS)] if fresh else _touched(table, [F.col("good_name")], delta)
+
+        def add(rows: DataFrame) -> DataFrame:
+            kept = rows.where(F.lit(not fresh)).unionByName(delta)
+            return kept.groupBy("good_name").agg(F.sum("sum_sale").cast(AMOUNT).alias("sum_sale"), F.sum("n").alias("n"))
+
+        if touched:
+            table.rewrite(touched, add, {"batch": batch_id})
+
+    run_available(changes.writeStream.foreachBatch(apply), checkpoint)
+    return table.read().where("n > 0").select("good_name", "sum_sale")
 
 
 # ------------------------------------------------------------------ M8
@@ -110,10 +145,10 @@ def minute_stream(spark: SparkSession, events: DataFrame, root: str, checkpoint:
            .groupBy(F.window("ts", "1 minute").alias("w"))
            .agg(F.count(F.lit(1)).alias("events"), F.sum(F.length("props")).cast("long").alias("bytes"))
            .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "events", "bytes"))
-    run_available(agg.writeStream.outputMode("update").foreachBatch(batch_sink(root)), checkpoint)
-    schema = T.StructType([T.StructField("minute", T.TimestampNTZType()),
-                           T.StructField("events", T.LongType()), T.StructField("bytes", T.LongType())])
-    return latest_state(spark, root, ["minute"], schema)
+    table = _start(PartitionedTable(spark, root, PartitionSpec.hash("minute", BUCKETS)),
+                   spark.createDataFrame([], "minute timestamp_ntz, events long, bytes long"))
+    run_available(agg.writeStream.outputMode("update").foreachBatch(upsert_sink(table, ["minute"])), checkpoint)
+    return table.read()
 
 
 # ------------------------------------------------------------------ M3 as a stream

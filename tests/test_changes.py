@@ -14,10 +14,6 @@ def log(spark, rows):
         [(i + 1, None, op, None if k is None else (k,), b, a) for i, (op, k, b, a) in enumerate(rows)], LOG)
 
 
-def rows(df):
-    return sorted(tuple(r) for r in df.collect())
-
-
 @pytest.fixture
 def base(spark):
     return spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
@@ -66,11 +62,32 @@ def test_as_of_pinned_snapshot(spark):
 def test_publish_diff(spark):
     b = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, v string")
     a = spark.createDataFrame([(1, "a"), (2, "B"), (3, None), (4, "d")], "id int, v string")
-    got = sorted((r.op, r.id) for r in publish(b.where(F.col("id") != 3).unionByName(b.where(F.col("id") == 3)), a,
+    got = sorted((r.op, r.key.id) for r in publish(b.where(F.col("id") != 3).unionByName(b.where(F.col("id") == 3)), a,
                                                ["id"]).collect())
     assert got == [("I", 4), ("U", 2)]
     gone = publish(a, b, ["id"])
-    assert sorted((r.op, r.id) for r in gone.collect()) == [("D", 4), ("U", 2)]
+    assert sorted((r.op, r.key.id) for r in gone.collect()) == [("D", 4), ("U", 2)]
+
+
+def test_published_changes_apply(spark):
+    b = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, v string")
+    a = spark.createDataFrame([(1, "a"), (2, None), (4, "d")], "id int, v string")
+    for x, y in ((b, a), (a, b), (b, b), (b.where("id > 9"), a)):
+        assert rows(apply_changes(x, publish(x, y, ["id"]))) == rows(y)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_identity_full_follows_the_order(spark):
+    none = spark.createDataFrame([], "id int, v string")
+    one = spark.createDataFrame([(1, "a")], "id int, v string")
+    gone_then_new = log(spark, [("D", 1, (1, "a"), None), ("I", 1, None, (1, "a"))])
+    assert rows(apply_changes(none, gone_then_new, "full")) == [(1, "a")]
+    assert rows(apply_changes(one, gone_then_new, "full")) == [(1, "a")]
+    new_then_gone = log(spark, [("I", 1, None, (1, "a")), ("D", 1, (1, "a"), None), ("D", 1, (1, "a"), None), ("I", 2, None, (2, None))])
+    assert rows(apply_changes(one, new_then_gone, "full")) == [(2, None)]
 
 
 def test_churn(spark):

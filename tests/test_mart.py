@@ -109,10 +109,49 @@ def test_ignored_delete_after_price_rise(spark):
     assert got == {"LTD HEX-200 Signature Nergal": Decimal("2000.00")}
 
 
-def simulate(log, prices):
+def test_tied_amounts_are_separate_steps(spark):
+    s = Sales()
+    s.insert(3, 1)
+    s.insert(3, 1)                                   # 10000 at the old price
+    s.delete(1)                                      # at 4998: 5002 left
+    s.delete(2)                                      # an equal delete: 4 left
+    got = run(spark, s, "exact", [(3, 3, Decimal("4998"))])
+    assert got == {"LTD HEX-200 Signature Nergal": Decimal("4.00")}
+
+
+def price_rise(n):
+    """n deletes that are all ignored, of a good whose price rose."""
+    log = [(1, "I", None, (3, 1))] + [(k, "D", (3, 1), None) for k in range(2, n + 2)]
+    return log, [(3, 2, Decimal("9000"))]
+
+
+@pytest.mark.parametrize("chunk_rows", [7, 10_000])
+def test_folds_do_not_grow_with_ignored_deletes(spark, chunk_rows):
+    folds = []
+    for n in (10, 1000) if chunk_rows > 1000 else (10, 40):
+        log, changes = price_rise(n)
+        goods = spark.createDataFrame(GOODS_ROWS, GOODS).withColumn("goods_id", F.col("goods_id").cast("long"))
+        prices = mart.price_history(goods, spark.createDataFrame(changes, "good_id bigint, seq bigint, price decimal(12,2)"))
+        out, k = mart.exact_passes(spark, mart.steps(spark.createDataFrame(log, LOG), prices), chunk_rows)
+        assert [tuple(r) for r in out.collect()] == [("LTD HEX-200 Signature Nergal", Decimal("5000.00"))]
+        folds.append(k)
+    if chunk_rows > 1000:
+        assert folds == [1, 1]
+    else:                                            # at most one fold per chunk
+        assert folds[1] <= 41 // chunk_rows + 1
+
+
+def test_two_steps_with_one_order_raise(spark):
+    log = spark.createDataFrame([(1, "I", None, (3, 1)), (1, "I", None, (3, 2))], LOG)
+    goods = spark.createDataFrame(GOODS_ROWS, GOODS).withColumn("goods_id", F.col("goods_id").cast("long"))
+    with pytest.raises(Exception, match="same order"):
+        mart.mart_apply(spark, log, mart.price_history(goods), "exact").collect()
+
+
+def simulate(log, prices, m=None):
     """Plain-Python reference of the row trigger rules."""
     names = {g: n for g, n, _ in GOODS_ROWS}
-    m = {}
+    m = {} if m is None else m
 
     def ins(good, qty):
         n = names[good]
@@ -162,6 +201,34 @@ def test_random_sequences_match_simulation_and_report(spark):
         assert delta == exact
 
 
+@pytest.mark.parametrize("chunk_rows", [3, 1000])
+def test_price_changes_match_simulation_in_any_chunks(spark, chunk_rows):
+    rnd = random.Random(11)
+    for _ in range(3):
+        s, changes, now, m = Sales(), [], {g: p for g, _, p in GOODS_ROWS}, {}
+        for _ in range(30):
+            if rnd.random() < 0.2:
+                g = rnd.randint(3, 5)
+                now[g] = now[g] * rnd.choice([2, 3]) if rnd.random() < 0.7 else now[g] / 2
+                now[g] = now[g].quantize(Decimal("0.01"))
+                changes.append((g, s.seq + 1, now[g]))
+            r, before = rnd.random(), len(s.log)
+            if r < 0.45 or not s.rows:
+                s.insert(rnd.randint(3, 5), rnd.randint(1, 20))
+            elif r < 0.8:
+                s.delete(rnd.choice(list(s.rows)))
+            else:
+                s.update(rnd.choice(list(s.rows)), good=rnd.choice([None, rnd.randint(3, 5)]), qty=rnd.randint(1, 20))
+            m = simulate(s.log[before:], now, m)
+        last = {(g, q): p for g, q, p in changes}      # of several changes at one seq the last holds
+        log = spark.createDataFrame(s.log, LOG)
+        goods = spark.createDataFrame(GOODS_ROWS, GOODS).withColumn("goods_id", F.col("goods_id").cast("long"))
+        prices = mart.price_history(goods, spark.createDataFrame([(g, q, p) for (g, q), p in last.items()] or [],
+                                                                 "good_id bigint, seq bigint, price decimal(12,2)"))
+        out = mart.apply_exact(spark, mart.steps(log, prices), chunk_rows)
+        assert {r.good_name: r.sum_sale for r in out.collect()} == m
+
+
 def test_drift_after_price_change(spark):
     goods = spark.createDataFrame(GOODS_ROWS, GOODS)
     rep = spark.createDataFrame([("LTD HEX-200 Signature Nergal", Decimal("10000"))], "good_name string, sum_sale decimal(38,2)")

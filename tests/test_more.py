@@ -12,11 +12,10 @@ def rows(df):
 
 
 def test_trigram_search_equals_like_on_random_patterns(spark, scratch):
-    from ledgerlake.operators.layout import trigram_search, write_trigram_index
+    from ledgerlake.operators.layout import read_trigram_index, trigram_search, write_trigram_index
     from ledgerlake.sources.tables import load
     docs = load(spark, SF, "documents")
-    index = spark.read.schema("doc_id bigint, tri bigint").parquet(
-        write_trigram_index(docs, "doc_id", "text", scratch("tri")))
+    index = read_trigram_index(spark, write_trigram_index(docs, "doc_id", "text", scratch("tri")), "doc_id")
     texts = [r.text for r in docs.select("text").limit(20).collect()]
     rnd = random.Random(11)
     patterns = ["mentoi", "ab", "Ea", "xyzzyq", "\n"]
@@ -66,15 +65,16 @@ def test_natural_join_guard(spark):
     assert natural_join(a, b.withColumnRenamed("v", "w"), expect=["k"]).columns == ["k", "v", "w"]
 
 
-def test_cross_join_checks_its_broadcast_side(spark):
+def test_enrich_keeps_the_row_count_or_raises(spark):
     import pytest
-    from ledgerlake.operators.relational import cross_count, cross_join
-    a = spark.range(5)
-    b = spark.range(3).withColumnRenamed("id", "j")
-    assert cross_join(a, b).count() == 15
-    assert cross_count(a, b).first()[0] == 15
-    with pytest.raises(ValueError):
-        cross_join(a, spark.range(20), max_right_rows=10)
+    from ledgerlake.operators.relational import cross_count, enrich
+    child = spark.createDataFrame([(1, 10), (2, 11)], "id int, fk int")
+    one = spark.createDataFrame([(10, "a"), (11, None)], "pk int, v string")
+    assert rows(enrich(child, one, {"fk": "pk"}, ["v"], check_count=True)) == [(1, 10, "a"), (2, 11, None)]
+    for bad in ([(10, "a")], [(10, "a"), (10, "b"), (11, "c")]):
+        with pytest.raises(Exception, match="changed the row count"):
+            enrich(child, spark.createDataFrame(bad, "pk int, v string"), {"fk": "pk"}, ["v"], check_count=True).collect()
+    assert cross_count(child, one).first()[0] == 4
 
 
 def test_every_query_reads_driver_tables():

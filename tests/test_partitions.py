@@ -46,6 +46,66 @@ def test_zone_dependent_day_bounds(spark):
     assert df.select(spec.assign()).first()[0] == "p2025_09_01"
 
 
+@pytest.mark.parametrize("zone,day", [("Europe/Moscow", dt.datetime(2025, 8, 31)), ("Europe/Berlin", dt.datetime(2025, 10, 26)),
+                                      ("America/New_York", dt.datetime(2025, 3, 9))])
+def test_zoned_pruned_read_equals_the_plain_filter(spark, scratch, zone, day):
+    spec = PartitionSpec.range("ts", PartitionSpec.daily(day - dt.timedelta(days=2), day + dt.timedelta(days=3)), zone=zone)
+    df = spark.createDataFrame([(k, day - dt.timedelta(days=1) + dt.timedelta(minutes=30 * k)) for k in range(160)], "id int, ts timestamp")
+    t = write_partitioned(spark, df, spec, scratch("zoned"))
+    for start in range(0, 70, 3):
+        lo = day - dt.timedelta(hours=12) + dt.timedelta(minutes=30 * start)
+        hi = lo + dt.timedelta(hours=1)
+        want = df.where(F.col("ts").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
+        assert sorted(r.id for r in t.read_pruned(lo, hi).collect()) == sorted(r.id for r in want.collect()), (lo, hi)
+
+
+def test_a_crash_before_publishing_leaves_no_rows(spark, scratch, monkeypatch):
+    from ledgerlake.operators.partitions import PartitionedTable
+    t = PartitionedTable(spark, scratch("crash"), daily_spec())
+    real = PartitionedTable._publish
+
+    def crash(*a, **k):
+        raise OSError("driver lost")
+
+    for step in (lambda: t.write(data(spark)), lambda: t.update(F.col("id") < 10, {"ts": F.col("ts") + F.expr("INTERVAL 1 DAY")})):
+        monkeypatch.setattr(PartitionedTable, "_publish", crash)
+        with pytest.raises(OSError):
+            step()
+        monkeypatch.setattr(PartitionedTable, "_publish", real)
+        step()
+        assert t.read().count() == 21
+    t.vacuum()
+    assert t.read().count() == 21
+
+
+def test_of_two_writers_the_second_fails(spark, scratch):
+    from ledgerlake.sources.fs import CommitConflict
+    from ledgerlake.sources.versioned import VersionedTable
+    a = VersionedTable(spark, scratch("two"))
+    b = VersionedTable(spark, a.root)
+    df = spark.createDataFrame([(1,)], "id int")
+    va, vb = a.stage(df), b.stage(df.union(df))
+    assert va == vb == 0
+    a.publish(va, df.schema)
+    with pytest.raises(CommitConflict):
+        b.publish(vb, df.schema)
+    assert a.read().count() == 1
+
+
+def test_versions_stay_until_vacuum_and_staging_again_replaces(spark, scratch):
+    from ledgerlake.sources.versioned import VersionedTable
+    t = VersionedTable(spark, scratch("keep"))
+    df = spark.createDataFrame([(k, k % 3) for k in range(6)], "id int, p int")
+    t.stage(df, version=0, partition_by=["p"])                       # an attempt that was lost
+    t.publish(t.stage(df.where("p = 1"), version=0, partition_by=["p"]), df.schema)
+    assert t.read().count() == 2
+    t.commit(df)
+    t.commit(df.limit(1))
+    assert [t.read(v).count() for v in (0, 1, 2)] == [2, 6, 1]
+    t.vacuum()
+    assert t.versions() == [2] and t.read().count() == 1
+
+
 def test_list_partition_without_default_rejects_unknown_value(spark, scratch):
     spec = PartitionSpec.list("fare", {"economy": ["Economy"], "business": ["Business"]})
     with pytest.raises(Exception, match="no partition"):

@@ -44,6 +44,15 @@ def test_merge_matches_model(spark, target, source):
     assert got == merge_model(sorted(target.items()), sorted(source.items()))
 
 
+def test_merge_inserts_source_rows_with_null_keys(spark):
+    t = spark.createDataFrame([(1, 10), (None, 5)], "k int, s int")
+    s = spark.createDataFrame([(1, 1), (None, 7), (None, 7), (2, 2)], "k int, amt int")
+    clauses = [Clause("matched", "update", None, {"s": F.col("src_amt")}),
+               Clause("not_matched", "insert", None, {"k": F.col("src_k"), "s": F.col("src_amt")})]
+    got = sorted((tuple(r) for r in merge(t, s, {"k": "k"}, clauses).collect()), key=repr)
+    assert got == [(1, 1), (2, 2), (None, 5), (None, 7), (None, 7)]
+
+
 @SETTINGS
 @given(st.lists(st.tuples(KEYS, st.one_of(st.none(), st.sampled_from("abc"))), max_size=8),
        st.lists(st.tuples(KEYS, st.one_of(st.none(), st.sampled_from("abc"))), max_size=8))

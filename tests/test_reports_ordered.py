@@ -32,34 +32,50 @@ def test_log_volume_and_summary_goldens(spark):
     assert s["Last 5 minutes"].avg_wal_per_minute == "81 MB"
 
 
+def chains(spark, edges):
+    found = reports.blocking_chains(spark, spark.createDataFrame(edges, "pid bigint, blocker bigint"))
+    return sorted(((r.pid, r.root, r.min_depth, r.max_depth, r.path) for r in found.collect()), key=repr)
+
+
 def test_blocking_chain_golden(spark):
     # lock table: 1795 waits for 1737, 12982 waits for 1795
-    edges = spark.createDataFrame([(1795, 1737), (12982, 1795)], "pid bigint, blocker bigint")
-    got = {r.pid: (r.root, r.depth) for r in reports.blocking_chains(spark, edges).collect()}
-    assert got == {12982: (1737, 2), 1795: (1737, 1)}
-    assert reports.chain_path(spark, edges, 12982) == "12982 -> 1795 -> 1737"
+    edges = [(1795, 1737), (12982, 1795)]
+    assert chains(spark, edges) == [(12982, 1737, 2, 2, "12982 -> 1795 -> 1737"), (1795, 1737, 1, 1, "1795 -> 1737")]
+    assert reports.chain_path(spark, spark.createDataFrame(edges, "pid bigint, blocker bigint"), 12982) == "12982 -> 1795 -> 1737"
+
+
+def test_several_blockers_give_one_row_per_root(spark):
+    assert chains(spark, [(1, 2), (1, 3), (5, 1)]) == [
+        (1, 2, 1, 1, "1 -> 2"), (1, 3, 1, 1, "1 -> 3"), (5, 2, 2, 2, "5 -> 1 -> 2"), (5, 3, 2, 2, "5 -> 1 -> 3")]
+    # two ways of different length to one root, given twice
+    assert chains(spark, [(1, 9), (1, 2), (2, 9), (1, 9)]) == [(1, 9, 1, 2, "1 -> 9"), (2, 9, 1, 1, "2 -> 9")]
 
 
 def test_long_chain_is_exact_and_cycles_have_no_root(spark):
-    n = 300                                   # one chain 1 -> 2 -> ... -> 300 -> 0
-    chain = [(i, i + 1) for i in range(1, n)] + [(n, 0)]
-    cyc = [(1001, 1002), (1002, 1001), (1003, 1001)]
-    edges = spark.createDataFrame(chain + cyc, "pid bigint, blocker bigint")
-    got = {r.pid: (r.root, r.depth) for r in reports.blocking_chains(spark, edges).collect()}
-    assert got[1] == (0, n) and got[n] == (0, 1) and got[150] == (0, n - 149)
-    assert got[1001] == (None, None) and got[1003] == (None, None)
+    n = 100                                   # one chain 1 -> 2 -> ... -> 100 -> 0
+    got = {x[0]: x[1:4] for x in chains(spark, [(i, i + 1) for i in range(1, n)] + [(n, 0)] + [(1001, 1002), (1002, 1001), (1003, 1001)])}
+    assert got[1] == (0, n, n) and got[n] == (0, 1, 1) and got[50] == (0, 51, 51)
+    assert got[1001] == got[1003] == (None, None, None)
 
 
 def test_lock_wait_stitching(spark):
+    def line(at, pid, text):
+        return (f"2025-11-20 {at} UTC [{pid}] app@appdb {text}",)
+
     lines = spark.createDataFrame([
-        ("2025-11-20 17:54:44.936 UTC [1795] app@appdb LOG:  process 1795 still waiting for ShareLock "
-         "on transaction 4545163 after 100.563 ms",),
-        ("2025-11-20 17:54:44.936 UTC [1795] app@appdb DETAIL:  Process holding the lock: 1737. "
-         "Wait queue: 1795.",),
-        ("2025-11-20 17:55:37.888 UTC [1795] app@appdb LOG:  process 1795 acquired ShareLock on "
-         "transaction 4545163 after 53052.348 ms",)], "value string")
-    r = reports.lock_waits(lines).first()
-    assert (r.pid, r.trx, r.holder, r.wait_ms) == (1795, 4545163, 1737, 53052)
+        line("17:54:44.936", 1795, "LOG:  process 1795 still waiting for ShareLock on transaction 4545163 after 100.563 ms"),
+        line("17:54:44.936", 1795, "DETAIL:  Process holding the lock: 1737. Wait queue: 1795."),
+        line("17:55:37.888", 1795, "LOG:  process 1795 acquired ShareLock on transaction 4545163 after 53052.348 ms"),
+        line("17:56:01.000", 7, "LOG:  process 7 still waiting for ExclusiveLock on tuple (0,4) of relation 16388 of database 16385 after 100.1 ms"),
+        line("17:56:01.000", 7, "DETAIL:  Processes holding the lock: 8, 9. Wait queue: 7, 11."),
+        line("17:56:02.000", 7, "LOG:  process 7 acquired ExclusiveLock on tuple (0,4) of relation 16388 of database 16385 after 1100.5 ms"),
+        line("17:57:01.000", 7, "LOG:  process 7 still waiting for ExclusiveLock on tuple (0,4) of relation 16388 of database 16385 after 100.1 ms"),
+    ], "value string")
+    got = sorted(reports.lock_waits(lines).collect(), key=lambda r: r.waiting_at)
+    assert [(r.pid, r.mode, r.trx, r.holders, r.queue, None if r.wait_ms is None else float(r.wait_ms)) for r in got] == [
+        (1795, "ShareLock", 4545163, "1737", "1795", 53052.348), (7, "ExclusiveLock", None, "8, 9", "7, 11", 1100.5),
+        (7, "ExclusiveLock", None, None, None, None)]
+    assert got[1].target == "tuple (0,4) of relation 16388 of database 16385" and got[2].acquired_at is None
 
 
 def test_load_report_from_progress_lines(spark):

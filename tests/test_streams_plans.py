@@ -64,7 +64,7 @@ def test_broadcast_hint_falls_back_above_bound(spark):
     from ledgerlake.operators.relational import hinted_join
     from ledgerlake.sources.tables import load
     li, o = load(spark, SF, "lineitem"), load(spark, SF, "orders")
-    j = hinted_join(li, o, li.l_orderkey == o.o_orderkey, "inner", "broadcast", max_broadcast_rows=10)
+    j = hinted_join(li, o, li.l_orderkey == o.o_orderkey, "inner", "broadcast", max_broadcast_bytes=10)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "SortMergeJoin" in plan(j)
