@@ -21,16 +21,27 @@ LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; those of a chunk's size are kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, CHUNK + 1), base, np.uint64)
+        known[0] = 1
+        np.multiply.accumulate(known, out=known)
+        if n <= CHUNK + 1:
+            _POWERS[base] = known
+    return known[:n]
 
 
 class Prefix:
@@ -41,6 +52,11 @@ class Prefix:
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), BASE), out=self.sums[1:])
         self.back = powers(len(data) + 1, pow(BASE, -1, 2**64))
 
+    def runs(self, width: int) -> np.ndarray:
+        """Hashes of all substrings of one width."""
+        n = len(self.sums) - width
+        return mix((self.sums[width:] - self.sums[:n]) * self.back[:n] + np.uint64(width))
+
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 

@@ -59,20 +59,23 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     if n < length:
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none
     prefix = Prefix(data)
-    start = np.arange(n - gram + 1)
-    grams = prefix.of(start, start + gram)
+    grams = prefix.runs(gram)
     # the leftmost least of the hashes' upper halves
-    keys = (grams & np.uint64(0xFFFFFFFF00000000)) | start.astype(np.uint64)
+    keys = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     chosen = (_least(keys, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(chosen)]
-    p = np.flatnonzero(np.arange(len(chosen)) + length <= offsets[1:][row])
+    fits = np.zeros(len(chosen), bool)  # windows that end within their row
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        fits[a:max(a, b - length + 1)] = True
+    p = np.flatnonzero(fits)
     if not len(p):
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+    row = np.repeat(np.arange(len(offsets) - 1), np.maximum(np.diff(offsets) - length + 1, 0))
     new = np.ones(len(p), bool)
-    new[1:] = (chosen[p[1:]] != chosen[p[:-1]]) | (row[p[1:]] != row[p[:-1]])
+    chosen = chosen[p]
+    new[1:] = (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
     lo, hi = p[at], p[np.append(at[1:], len(p)) - 1]
-    a, r = chosen[lo], row[lo]
+    a, r = chosen[at], row[at]
     context = mix(prefix.of(lo, hi + length) + mix(((a - lo) << 32 | (hi - lo)).astype(np.uint64)))
     return r, grams[a], context, lo - offsets[r], hi - offsets[r]
 
