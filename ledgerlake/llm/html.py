@@ -6,9 +6,10 @@ has becomes optional, neighbours that turn out equal become repeated, and texts
 slots.  Texts that are the same on all pages stay as the host's own words.
 
 A wrapper's text slots are then told apart: those below menus, headers, footers, side bars,
-notices, adverts, forms or reader comments are not the article, and neither are texts that never change
-while others do.  If any slot lies in an article element, only such slots count.  A page's main text
-is what it has in the slots that are left.
+notices, adverts, forms or reader comments are not the article.  If any other slot lies in an article
+element, only such slots count; else neither do lists of links, nor texts that all of the host's pages
+have and that never change while others do.  A page's main text is what it has in the slots that are
+left.
 
 Scale: each task folds its own pages into one partial wrapper per host, and partial wrappers are
 merged in two steps, so a host with a third of all pages is a number of small rows.  A wrapper has the
@@ -223,12 +224,14 @@ def expression(items: list[dict]) -> str:
     return "".join(out)
 
 
-def _slots(items: list[dict], path: tuple[str, ...], found: dict[tuple[str, ...], set]) -> None:
+def _slots(items: list[dict], path: tuple[str, ...], found: dict[tuple[str, ...], set], sure: bool = True) -> None:
+    """Texts of each slot; None for one that differs, or that some page lacks."""
     for x in items:
+        here = sure and "o" not in x
         if x["k"] == "#":
-            found.setdefault(path, set()).add(x.get("t"))
+            found.setdefault(path, set()).add(x.get("t") if here else None)
         else:
-            _slots(x["c"], (*path, x["k"]), found)
+            _slots(x["c"], (*path, x["k"]), found, here)
 
 
 def _is_outside(key: str) -> bool:
@@ -247,9 +250,9 @@ def main_slots(items: list[dict], pages: int) -> set[tuple[str, ...]]:
     _slots(items, (), found)
     inside = {p for p in found if not any(map(_is_outside, p))}
     if any(any(map(_is_article, p)) for p in inside):
-        inside = {p for p in inside if any(map(_is_article, p))}
-    else:  # lists of links are menus
-        inside = {p for p in inside if not ("a" in p and any(k.split(".")[0] == "li" for k in p))}
+        return {p for p in inside if any(map(_is_article, p))}
+    # lists of links are menus
+    inside = {p for p in inside if not ("a" in p and any(k.split(".")[0] == "li" for k in p))}
     same = {p for p in inside if len(found[p]) == 1 and None not in found[p]}
     return inside - same if pages >= SAME_PAGES and same != inside else inside
 

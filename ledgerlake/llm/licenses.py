@@ -39,20 +39,20 @@ GATE = ("licen", "copyright", "copyleft", "reserved", "public domain", "creative
 V = r"(?: version| v)?"
 #: Families: label, keywords of the name, the name as words, the SPDX id as words.
 FAMILIES = [
-    ("agpl-3.0", ("affero",), rf"(?:gnu )?affero general public licen[cs]e{V} 3(?: 0)?", "agpl 3 0"),
+    ("agpl-3.0", ("affero",), rf"(?:gnu )?affero general public licen[cs]e{V} v?3(?: 0)?", "agpl 3 0"),
     ("agpl", ("affero",), r"(?:gnu )?affero general public licen[cs]e", "agpl"),
-    ("lgpl-2.1", ("lesser",), rf"(?:gnu )?lesser general public licen[cs]e{V} 2 1", "lgpl 2 1"),
-    ("lgpl-3.0", ("lesser",), rf"(?:gnu )?lesser general public licen[cs]e{V} 3(?: 0)?", "lgpl 3 0"),
+    ("lgpl-2.1", ("lesser",), rf"(?:gnu )?lesser general public licen[cs]e{V} v?2 1", "lgpl 2 1"),
+    ("lgpl-3.0", ("lesser",), rf"(?:gnu )?lesser general public licen[cs]e{V} v?3(?: 0)?", "lgpl 3 0"),
     ("lgpl", ("lesser",), r"(?:gnu )?lesser general public licen[cs]e", "lgpl"),
     ("lgpl-2.0", ("library",), rf"(?:gnu )?library general public licen[cs]e{V}(?: 2(?: 0)?)?", "lgpl 2 0"),
-    ("gpl-3.0", ("general",), rf"(?:gnu )?general public licen[cs]e{V} 3(?: 0)?", "gpl 3 0"),
-    ("gpl-2.0", ("general",), rf"(?:gnu )?general public licen[cs]e{V} 2(?: 0)?", "gpl 2 0"),
-    ("gpl-1.0", ("general",), rf"(?:gnu )?general public licen[cs]e{V} 1(?: 0)?", "gpl 1 0"),
+    ("gpl-3.0", ("general",), rf"(?:gnu )?general public licen[cs]e{V} v?3(?: 0)?", "gpl 3 0"),
+    ("gpl-2.0", ("general",), rf"(?:gnu )?general public licen[cs]e{V} v?2(?: 0)?", "gpl 2 0"),
+    ("gpl-1.0", ("general",), rf"(?:gnu )?general public licen[cs]e{V} v?1(?: 0)?", "gpl 1 0"),
     ("gpl", ("general",), r"gnu general public licen[cs]e", "gpl"),
-    ("gfdl-1.3", ("documentation",), rf"(?:gnu )?free documentation licen[cs]e{V} 1 3", "gfdl 1 3"),
+    ("gfdl-1.3", ("documentation",), rf"(?:gnu )?free documentation licen[cs]e{V} v?1 3", "gfdl 1 3"),
     ("gfdl", ("documentation",), r"(?:gnu )?free documentation licen[cs]e", "gfdl"),
-    ("apache-2.0", ("apache",), rf"apache(?: software)? licen[cs]e{V} 2(?: 0)?", "apache 2 0"),
-    ("apache-1.1", ("apache",), rf"apache(?: software)? licen[cs]e{V} 1 1", "apache 1 1"),
+    ("apache-2.0", ("apache",), rf"apache(?: software)? licen[cs]e{V} v?2(?: 0)?", "apache 2 0"),
+    ("apache-1.1", ("apache",), rf"apache(?: software)? licen[cs]e{V} v?1 1", "apache 1 1"),
     ("apache", ("apache",), r"apache(?: software)? licen[cs]e", "apache"),
     ("mit", ("mit",), r"mit licen[cs]e", "mit"),
     ("mit-0", ("mit",), r"mit no attribution licen[cs]e", "mit 0"),
@@ -63,43 +63,43 @@ FAMILIES = [
     ("bsd-4-clause", ("bsd",), r"(?:original bsd|bsd 4 clause|4 clause bsd) licen[cs]e", "bsd 4 clause"),
     ("0bsd", ("bsd",), r"(?:zero clause bsd|0 clause bsd|0bsd) licen[cs]e", "0bsd"),
     ("bsd", ("bsd",), r"bsd(?: style)? licen[cs]e", "bsd"),
-    ("mpl-1.1", ("mozilla",), rf"mozilla public licen[cs]e{V} 1 1", "mpl 1 1"),
-    ("mpl-2.0", ("mozilla",), rf"mozilla public licen[cs]e{V} 2(?: 0)?", "mpl 2 0"),
+    ("mpl-1.1", ("mozilla",), rf"mozilla public licen[cs]e{V} v?1 1", "mpl 1 1"),
+    ("mpl-2.0", ("mozilla",), rf"mozilla public licen[cs]e{V} v?2(?: 0)?", "mpl 2 0"),
     ("mpl", ("mozilla",), r"mozilla public licen[cs]e", "mpl"),
-    ("epl-1.0", ("eclipse",), rf"eclipse public licen[cs]e{V} 1(?: 0)?", "epl 1 0"),
-    ("epl-2.0", ("eclipse",), rf"eclipse public licen[cs]e{V} 2(?: 0)?", "epl 2 0"),
+    ("epl-1.0", ("eclipse",), rf"eclipse public licen[cs]e{V} v?1(?: 0)?", "epl 1 0"),
+    ("epl-2.0", ("eclipse",), rf"eclipse public licen[cs]e{V} v?2(?: 0)?", "epl 2 0"),
     ("epl", ("eclipse",), r"eclipse public licen[cs]e", "epl"),
-    ("edl-1.0", ("eclipse",), rf"eclipse distribution licen[cs]e(?:{V} 1(?: 0)?)?", "edl 1 0"),
-    ("eupl-1.2", ("european",), rf"european union public licen[cs]e{V} 1 2", "eupl 1 2"),
+    ("edl-1.0", ("eclipse",), rf"eclipse distribution licen[cs]e(?:{V} v?1(?: 0)?)?", "edl 1 0"),
+    ("eupl-1.2", ("european",), rf"european union public licen[cs]e{V} v?1 2", "eupl 1 2"),
     ("eupl", ("european",), r"european union public licen[cs]e", "eupl"),
-    ("cddl-1.0", ("development",), rf"common development and distribution licen[cs]e{V} 1(?: 0)?", "cddl 1 0"),
+    ("cddl-1.0", ("development",), rf"common development and distribution licen[cs]e{V} v?1(?: 0)?", "cddl 1 0"),
     ("cddl", ("development",), r"common development and distribution licen[cs]e", "cddl"),
-    ("cpl-1.0", ("common",), rf"common public licen[cs]e(?:{V} 1(?: 0)?)?", "cpl 1 0"),
-    ("ipl-1.0", ("ibm",), rf"ibm public licen[cs]e(?:{V} 1(?: 0)?)?", "ipl 1 0"),
-    ("artistic-2.0", ("artistic",), rf"artistic licen[cs]e{V} 2(?: 0)?", "artistic 2 0"),
+    ("cpl-1.0", ("common",), rf"common public licen[cs]e(?:{V} v?1(?: 0)?)?", "cpl 1 0"),
+    ("ipl-1.0", ("ibm",), rf"ibm public licen[cs]e(?:{V} v?1(?: 0)?)?", "ipl 1 0"),
+    ("artistic-2.0", ("artistic",), rf"artistic licen[cs]e{V} v?2(?: 0)?", "artistic 2 0"),
     ("artistic", ("artistic",), r"artistic licen[cs]e", "artistic"),
     ("zlib", ("zlib",), r"zlib(?: libpng)? licen[cs]e", "zlib"),
     ("libpng", ("libpng",), r"libpng licen[cs]e", "libpng"),
-    ("boost-1.0", ("boost",), rf"boost software licen[cs]e(?:{V} 1(?: 0)?)?", "bsl 1 0"),
-    ("business-source-1.1", ("business",), rf"business source licen[cs]e(?:{V} 1 1)?", "busl 1 1"),
-    ("elastic-2.0", ("elastic",), rf"elastic licen[cs]e(?:{V} 2(?: 0)?)?", "elastic 2 0"),
-    ("sspl-1.0", ("side",), rf"server side public licen[cs]e(?:{V} 1(?: 0)?)?", "sspl 1 0"),
-    ("python-2.0", ("python",), rf"python(?: software foundation)? licen[cs]e(?:{V} 2(?: 0)?)?", "python 2 0"),
-    ("php-3.01", ("php",), rf"php licen[cs]e(?:{V} 3 01)?", "php 3 01"),
+    ("boost-1.0", ("boost",), rf"boost software licen[cs]e(?:{V} v?1(?: 0)?)?", "bsl 1 0"),
+    ("business-source-1.1", ("business",), rf"business source licen[cs]e(?:{V} v?1 1)?", "busl 1 1"),
+    ("elastic-2.0", ("elastic",), rf"elastic licen[cs]e(?:{V} v?2(?: 0)?)?", "elastic 2 0"),
+    ("sspl-1.0", ("side",), rf"server side public licen[cs]e(?:{V} v?1(?: 0)?)?", "sspl 1 0"),
+    ("python-2.0", ("python",), rf"python(?: software foundation)? licen[cs]e(?:{V} v?2(?: 0)?)?", "python 2 0"),
+    ("php-3.01", ("php",), rf"php licen[cs]e(?:{V} v?3 01)?", "php 3 01"),
     ("ruby", ("ruby",), r"ruby licen[cs]e", "ruby"),
     ("postgresql", ("postgresql",), r"postgresql licen[cs]e", "postgresql"),
     ("openssl", ("openssl",), r"openssl licen[cs]e", "openssl"),
     ("unlicense", ("unlicense",), r"the unlicense", "unlicense"),
     ("ms-pl", ("microsoft",), r"microsoft public licen[cs]e", "ms pl"),
     ("ms-rl", ("microsoft",), r"microsoft reciprocal licen[cs]e", "ms rl"),
-    ("odbl-1.0", ("database",), rf"open(?: data commons open)? database licen[cs]e(?:{V} 1(?: 0)?)?", "odbl 1 0"),
-    ("odc-by-1.0", ("attribution",), rf"open data commons attribution licen[cs]e(?:{V} 1(?: 0)?)?", "odc by 1 0"),
+    ("odbl-1.0", ("database",), rf"open(?: data commons open)? database licen[cs]e(?:{V} v?1(?: 0)?)?", "odbl 1 0"),
+    ("odc-by-1.0", ("attribution",), rf"open data commons attribution licen[cs]e(?:{V} v?1(?: 0)?)?", "odc by 1 0"),
     ("pddl-1.0", ("dedication",), r"public domain dedication and licen[cs]e", "pddl 1 0"),
-    ("ofl-1.1", ("font",), rf"(?:sil )?open font licen[cs]e(?:{V} 1 1)?", "ofl 1 1"),
-    ("afl-3.0", ("academic",), rf"academic free licen[cs]e(?:{V} 3(?: 0)?)?", "afl 3 0"),
-    ("osl-3.0", ("software",), rf"open software licen[cs]e(?:{V} 3(?: 0)?)?", "osl 3 0"),
-    ("cecill-2.1", ("cecill",), rf"cecill(?: free software)? licen[cs]e(?:{V} 2 1)?", "cecill 2 1"),
-    ("upl-1.0", ("universal",), rf"universal permissive licen[cs]e(?:{V} 1(?: 0)?)?", "upl 1 0"),
+    ("ofl-1.1", ("font",), rf"(?:sil )?open font licen[cs]e(?:{V} v?1 1)?", "ofl 1 1"),
+    ("afl-3.0", ("academic",), rf"academic free licen[cs]e(?:{V} v?3(?: 0)?)?", "afl 3 0"),
+    ("osl-3.0", ("software",), rf"open software licen[cs]e(?:{V} v?3(?: 0)?)?", "osl 3 0"),
+    ("cecill-2.1", ("cecill",), rf"cecill(?: free software)? licen[cs]e(?:{V} v?2 1)?", "cecill 2 1"),
+    ("upl-1.0", ("universal",), rf"universal permissive licen[cs]e(?:{V} v?1(?: 0)?)?", "upl 1 0"),
     ("ncsa", ("illinois",), r"(?:university of )?illinois(?: ncsa)?(?: open source)? licen[cs]e", "ncsa"),
     ("w3c", ("w3c",), r"w3c(?: software)?(?: notice and)? licen[cs]e", "w3c"),
     ("wtfpl", ("want",), r"do what the fuck you want to public licen[cs]e", "wtfpl"),
