@@ -113,6 +113,23 @@ ORACLE = {
         FROM documents LEFT JOIN sizes ON documents.doc_id = sizes.doc_id
         JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON documents.doc_id = r.a
     """,
+    "op7_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s
+              FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 99, 0))) AS p FROM d)),
+        again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1),
+        marked AS (SELECT doc_id, p, p > coalesce(max(p + 100) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS new FROM again),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b
+                  FROM (SELECT doc_id, p, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM marked) GROUP BY doc_id, k),
+        cuts AS (SELECT doc_id, coalesce(lag(b) OVER v, 0) AS x, a AS y FROM spans WINDOW v AS (PARTITION BY doc_id ORDER BY a)
+                 UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+        kept AS (SELECT d.doc_id, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(coalesce(2 * (y - x), length(h)) AS BIGINT)), '' ORDER BY x) AS h
+                 FROM cuts JOIN d ON d.doc_id = cuts.doc_id GROUP BY d.doc_id),
+        n AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+        SELECT d.doc_id AS doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+    """,
     "op8_url_filter": f"""
         WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
                           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),

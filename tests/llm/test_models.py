@@ -10,11 +10,11 @@ from ledgerlake.llm.packing import CAPACITIES, pack, plan
 from tests.llm.helpers import documents, edited, prose, texts
 
 
-def good_and_bad(n):
+def good_and_bad(count):
     rows, labels = [], []
-    for k in range(n):
-        bad = k % 4 == 0
-        rows.append((k, " ".join(w.upper() + "!!" for w in prose(k, 30).split()) if bad else prose(k, 40) + "."))
+    for k in range(count):
+        bad, n = k % 4 == 0, 20 + k * 7 % 90
+        rows.append((k, " ".join(w.upper() + "!!" for w in prose(k, n).split()) if bad else prose(k, n) + "."))
         labels.append((k, int(not bad), 0))
     return rows, labels
 
@@ -173,7 +173,7 @@ def test_pack(spark):
 def test_pipeline_stages(spark, scratch):
     rows, labels = good_and_bad(160)
     item = prose(991, 25)
-    copies = [(1000 + k, rows[1][1].upper().lower()) for k in range(4)] + [(1100 + k, edited(prose(77, 80), k, 1)) for k in range(5)] + [
+    copies = [(1000 + k, rows[1][1].upper().lower()) for k in range(4)] + [(1100 + k, edited(prose(777, 80) + ".", k, min(k, 1))) for k in range(5)] + [
         (1200, prose(5, 20) + " " + item + "."), (1300, None), (1301, "")]
     folder = scratch("sf")
     documents(spark, rows + copies).write.parquet(f"{folder}/documents.parquet")
