@@ -16,22 +16,29 @@ def components(edges: DataFrame) -> DataFrame:
     their minimum by an equi join of stored tables.  About log(n) rounds, each written out.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    before = _content(edges)
     while True:
-        large = _star(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), large=True)
-        small = _star(stored(large, "large"), large=False)
-        after = stored(small, "small")
-        # a fixed point: every edge leads to a root, and has been there before
-        if after.count() == edges.count() and after.join(edges, ["a", "b"], "left_anti").isEmpty():
+        large = stored(_star(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), large=True), "large")
+        edges = stored(_star(large, large=False), "small")
+        after = _content(edges)
+        if after == before:
             break
-        edges = after
+        before = after
     return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node").unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _content(edges: DataFrame) -> tuple:
+    """What tells edge tables of successive rounds apart: each round only lowers ends, so equal counts
+    and sums mean equal tables."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.col("a").cast("decimal(38,0)")), F.sum(F.col("b").cast("decimal(38,0)")),
+                           F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: a node's larger neighbours are tied to its least neighbour (itself included).
     Small star: a node and its smaller neighbours are tied to the least of them."""
-    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     tied = edges.join(least, "a")
     if large:
         out = tied.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -121,7 +121,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     verified links (a, b) of classes that span all components of the similarity graph."""
     sets = stored(_sets(docs, text_col, width, percent), "sets")
     classes = stored(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(RID).alias("cls")), "classes")
-    members = stored(sets.select(RID, "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left").select(RID, "n", "cls"), "members")
+    members = sets.select(RID, "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left").select(RID, "n", "cls")
 
     # order 1: prefixes in hash order
     heads = by_key(sets, classes.select(F.col("cls").alias(RID)), RID, "left_semi")
@@ -130,7 +130,6 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     least = F.floor(F.ceil(F.col("n") * percent / 100) / EXTRA) + 1
     first = by_key(postings, shared, "token", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")).where(
         F.col("k") >= least).select("cls", "n")
-    first = stored(first, "first")
 
     # order 2: rarest first among the survivors
     texts = by_key(docs.select(F.col(RID).alias("cls"), F.col(text_col).cast("string").alias("text")), first, "cls")
@@ -153,13 +152,13 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
         "token", F.col("p.cls").alias("pivot")), "pivots")
     tries = prefix.join(pivots, "token").where("cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
     compared = stored(_overlaps(tries, live), "compared")
-    links = stored(_links(compared, percent), "pivotlinks")
+    links = _links(compared, percent)
 
     # what the pivots left apart: tokens with holders in several components
-    roots = stored(components(links), "roots")
+    roots = components(links)
     held = held.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     held = stored(held.where("k < few or k < p").select("token", "cls", "n", "u", "root", (F.col("k") < F.col("few")).alias("few")), "held")
-    split = stored(held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token"), "split")
+    split = held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
     held = stored(held.join(split, "token", "left_semi"), "apart")
     cross = (F.col("x.cls") < F.col("y.cls")) & (F.col("x.root") != F.col("y.root"))
     most = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
@@ -170,7 +169,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     most = F.least(F.col("x.oc"), F.col("y.oc")) + F.least(F.col("x.rc"), F.col("y.rc"))
     far = crowded.alias("x").join(crowded.alias("y"), "token").where(cross & _enough(most, percent))
     ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
-    pairs = stored(near.select(*ends).unionByName(far.select(*ends)).distinct(), "pairs")
+    pairs = near.select(*ends).unionByName(far.select(*ends)).distinct()
     return members, links.unionByName(_links(_overlaps(pairs, live), percent))
 
 
@@ -184,7 +183,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     docs = docs if RID in docs.columns else with_rid(docs)
     members, links = near_links(docs, text_col, width, percent, crowd)
-    roots = stored(components(links), "components")
+    roots = components(links)
     ids = docs.select(RID, F.col(id_col).alias("id")).join(members, RID).join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     # rows without words stand alone, in a number range of their own
     ids = stored(ids.select(RID, "id", "n", F.coalesce("root", "cls", -1 - F.col(RID)).alias("root")), "rooted")
