@@ -14,9 +14,14 @@ def plan(df):
 
 def test_stream_stops_on_apply_error_and_resumes_from_checkpoint(spark, scratch):
     from ledgerlake.plans import domain
-    from ledgerlake.plans.catalog import QUERIES, _stream
-    from ledgerlake.streaming.jobs import replicate_stream
+    from ledgerlake.plans.catalog import QUERIES
+    from ledgerlake.schemas import DRIVER
+    from ledgerlake.streaming.jobs import file_stream, replicate_stream
     root = scratch("resume")
+
+    def _stream(spark, folder, name):
+        return file_stream(spark, folder, DRIVER[name], f"{name}.parquet")
+
     base = domain.account_base(spark, SF)
     # identity 'none' cannot replicate the log's updates and deletes: the apply stops
     with pytest.raises(Exception):
