@@ -5,7 +5,8 @@ that number is a block's name, and two blocks have the same name only if their c
 Then adjacent names are paired, the distinct pairs sorted and numbered again, and so on until each
 text has one name.  Texts with the same (level, name) are equal, without any trust in a hash.
 
-How a name gets back to its block's row: rows and distinct blocks meet on a 64-bit fingerprint, so
+The texts are read, lower-cased and cut once; the blocks are stored, and the first level is made from
+that table.  How a name gets back to its block's row: rows and distinct blocks meet on a 64-bit fingerprint, so
 that contents are shuffled once only.  A fingerprint that two different contents share is detected
 on the distinct blocks; rows with such a fingerprint meet their names on the content itself.
 
@@ -66,7 +67,7 @@ def _name_blocks(rows: DataFrame) -> DataFrame:
 def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS,
                fingerprint: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """``docs`` must carry the row id; returns (row id, id, text_sha256, level, name), one row a document."""
-    rows = _name_blocks(block_rows(docs, id_col, text_col, block_chars, fingerprint))
+    rows = _name_blocks(stored(block_rows(docs, id_col, text_col, block_chars, fingerprint), "blocks"))
     named = stored(rows.select(RID, "i", "n_blocks", "id", "sha", "name"), "named")
     done = named.where("n_blocks = 1").select(RID, F.lit(0).alias("level"), "name")
     # a document's names, in order; no longer than its own text
