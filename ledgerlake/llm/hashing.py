@@ -1,4 +1,4 @@
-"""Vectorised hashes over the raw bytes of an Arrow string column."""
+"""Vectorised hashes over the raw bytes of an Arrow string column, and texts as compressed bytes."""
 
 from __future__ import annotations
 
@@ -6,6 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerlake.llm.common import RID
 
 #: Any odd numbers with well-mixed bits.
 BASE = 0x9E3779B97F4A7C15
@@ -106,3 +111,21 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[
             yield mix((hashed[a:b] * STEP[:b - a]).sum(keepdims=True, dtype=np.uint64) + np.uint64(b - a))
         else:
             yield np.zeros(0, np.uint64)
+
+
+def pressed(docs: DataFrame, text_col: str) -> DataFrame:
+    """(row id, z): the UTF-8 bytes of each text, compressed for a shuffle; a null text is empty."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            raw = batch.column(1).cast(pa.binary()).fill_null(b"")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press.compress(x.as_py()) for x in raw], pa.binary())],
+                                             [RID, "z"])
+
+    return docs.select(RID, F.col(text_col).cast("string")).mapInArrow(run, f"{RID} long, z binary")
+
+
+def unpress(column: pa.Array) -> pa.Array:
+    """The bytes of a column of ``pressed``."""
+    back = zstandard.ZstdDecompressor()
+    return pa.array([back.decompress(x.as_py()) for x in column], pa.large_binary())

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import RID, by_key, stored, with_rid
 from ledgerlake.llm.graph import components
-from ledgerlake.llm.hashing import shingle_sets, text_chunks
+from ledgerlake.llm.hashing import pressed, shingle_sets, text_chunks, unpress
 
 WIDTH, PERCENT = 5, 80
 #: Holders of a token that meet each other without regard to the token's pivot.
@@ -86,13 +86,13 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _tokens(texts: DataFrame, width: int) -> DataFrame:
-    """(cls, n, tokens) of (cls, n, text) rows."""
+    """(cls, n, tokens) of rows (cls, n, z: compressed text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for _, data, offsets in text_chunks(batch.column(2)) for s in shingle_sets(data, offsets, width)]
+            sets = [s for _, data, offsets in text_chunks(unpress(batch.column(2))) for s in shingle_sets(data, offsets, width)]
             yield _batch([batch.column(0), batch.column(1), _lists(sets)], ["cls", "n", "tokens"])
 
-    return texts.select("cls", "n", "text").mapInArrow(run, "cls long, n long, tokens array<long>")
+    return texts.select("cls", "n", "z").mapInArrow(run, "cls long, n long, tokens array<long>")
 
 
 def _enough(overlap: Column, percent: int, x: str = "x.n", y: str = "y.n") -> Column:
@@ -132,7 +132,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
         F.col("k") >= least).select("cls", "n")
 
     # order 2: rarest first among the survivors
-    texts = by_key(docs.select(F.col(RID).alias("cls"), F.col(text_col).cast("string").alias("text")), first, "cls")
+    texts = by_key(pressed(docs, text_col).withColumnRenamed(RID, "cls"), first, "cls")
     every = _tokens(texts, width)
     tokens = stored(every, "tokens")
     each = tokens.select("cls", "n", F.explode("tokens").alias("token"))

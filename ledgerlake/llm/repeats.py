@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import RID, by_key, stored, with_rid
-from ledgerlake.llm.hashing import CHUNK, Prefix, mix, text_chunks
+from ledgerlake.llm.hashing import CHUNK, Prefix, mix, pressed, text_chunks
 from ledgerlake.llm.suffix import common_prefixes, suffix_array
 
 LENGTH, GRAM = 100, 28
@@ -97,18 +97,6 @@ def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
-def _texts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(row id, compressed bytes)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            raw = batch.column(1).cast(pa.binary()).fill_null(b"")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press.compress(x.as_py()) for x in raw], pa.binary())],
-                                             [RID, "z"])
-
-    return docs.select(RID, F.col(text_col).cast("string")).mapInArrow(run, f"{RID} long, z binary")
-
-
 def find_repeats(contexts: list[bytes], windows: list[int], length: int) -> list[np.ndarray]:
     """For contexts in order of their places, each with its number of windows: which of its windows
     (offsets) have an equal window in an earlier context.  By the suffix array of all contexts."""
@@ -215,7 +203,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", length: int = LENG
                             [_longs(left), _longs(right), pa.array(np.full(len(p), doc)), pa.array(np.full(len(p), rid)),
                              pa.array(p + x["lo"]), pa.nulls(len(p), pa.binary())], names)
 
-    texts = by_key(_texts(docs, text_col), lists, RID).select(RID, "id", "xs", "z")
+    texts = by_key(pressed(docs, text_col), lists, RID).select(RID, "id", "xs", "z")
     pieces = stored(texts.mapInArrow(cut, f"h long, c long, id long, {RID} long, lo long, bytes binary"), "contexts")
     shards = pieces.where(F.col("bytes").isNotNull()).repartition("h").sortWithinPartitions("h")
     windows = pieces.where(F.col("bytes").isNull()).drop("bytes")
@@ -261,7 +249,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
                                              [RID, "n_removed", "n_spans", "sha", "kept"])
 
-    changed = by_key(_texts(tagged, "text"), lists, RID).select(RID, "xs", "z").mapInArrow(
+    changed = by_key(pressed(tagged, "text"), lists, RID).select(RID, "xs", "z").mapInArrow(
         cut, f"{RID} long, n_removed long, n_spans long, sha string, kept binary")
     rows = tagged.select(RID, F.col("own").alias(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     return rows.join(changed, RID, "left").select(
