@@ -176,9 +176,7 @@ SELECT o_orderpriority, finished, unfinished, CAST((100 * finished) // (unfinish
 FROM g
 """
 
-ORACLE["series_md5"] = """
-SELECT i, md5(CAST(i AS VARCHAR)) AS h FROM range(1, (SELECT count(*) FROM orders) + 1) t(i)
-"""
+ORACLE["series_md5"] = "SELECT o_orderkey AS i, md5(CAST(o_orderkey AS VARCHAR)) AS h FROM orders WHERE o_orderkey >= 1"
 
 ORACLE["update_where"] = """
 SELECT o_orderkey, o_custkey,
