@@ -44,7 +44,7 @@ WIDTH, PERCENT = 5, 80
 #: Holders of a token that meet each other without regard to the token's pivot.
 CROWD = 32
 #: One more token must be shared in the hash-order prefix for so many tokens of a set.
-EXTRA = 20
+EXTRA = 12
 
 
 def needed(n, percent: int = PERCENT):
