@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ANY_CASE_WORD, RID, WORD, ascii_lower, with_rid
+from ledgerlake.llm.common import ANY_CASE_WORD, RID, WORD, ascii_lower, stored, with_rid
 
 
 class Rule(NamedTuple):
@@ -32,8 +32,8 @@ class Rule(NamedTuple):
 #: Base phrases: always reported, never suppressed.
 BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 
-#: Every rule has one of these in its keywords (the first), so a text without any of them, and without
-#: the words "cc by", has no detection.
+#: Every rule has one of these in its keywords, or "cc by", so a text without any of them has no
+#: detection.
 GATE = ("licen", "copyright", "copyleft", "reserved", "public domain", "creative commons", "spdx", "gpl", "warrant", "attribution", "permission")
 
 V = r"(?: version| v)?"
@@ -161,9 +161,9 @@ def _rules() -> list[Rule]:
     out = []
     for label, words, name, spdx in FAMILIES:
         more = 2 if any(c.isdigit() for c in label) else 0
-        gate = ("licen", *words)
+        gate = (*words, "licen")  # the rarer word is looked for first
         out += [Rule(label, 80 + more, gate, f"{GRANT} {name}"), Rule(label, 50 + more, gate, name),
-                Rule(label, 90 + more, ("spdx", spdx.split()[0]), f"spdx licen[cs]e identifier {spdx}(?: only| or later)?"),
+                Rule(label, 90 + more, (spdx.split()[0], "spdx"), f"spdx licen[cs]e identifier {spdx}(?: only| or later)?"),
                 Rule(label, 70 + more, gate, f"(?:see|refer to|accept|under) (?:the )?{name} for(?: more)? details")]
     for label, short, long in CC_PARTS:
         for version in CC_VERSIONS:
@@ -204,12 +204,13 @@ def detections(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULE
     # the text around the matches, and the matches themselves
     cut = tries.select(RID, "nth", "rule", F.split("line", F.col("rule.regex"), F.lit(-1)).alias("around"),
                        F.regexp_extract_all("line", F.col("rule.regex"), F.lit(0)).alias("matched")).where(F.size("matched") > 0)
-    each = cut.select(RID, "nth", "rule", F.posexplode(F.arrays_zip("around", "matched")).alias("k", "m")).where("m.matched is not null")
+    # lengths in words: of the text before each match, and of the match
+    each = cut.select(RID, "nth", "rule.label", "rule.priority", "rule.base", F.posexplode(F.transform(
+        F.arrays_zip("around", "matched"), lambda m: F.struct(_spaces(m["around"]).alias("gap"), _spaces(m["matched"]).alias("width")))).alias("k", "m"))
+    each = each.where("m.width is not null").select(RID, "nth", "label", "priority", "base", "k", "m.gap", "m.width")
     here = Window.partitionBy(RID, "nth").orderBy("k")
-    width = _spaces(F.col("m.matched"))
-    start = F.sum(_spaces(F.col("m.around"))).over(here) + F.coalesce(
-        F.sum(width).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - 1
-    return each.select(RID, "rule.label", "rule.priority", "rule.base", start.alias("start"), (start + width + 1).alias("end"))
+    start = F.sum("gap").over(here) + F.coalesce(F.sum("width").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - 1
+    return each.select(RID, "label", "priority", "base", start.alias("start"), (start + F.col("width") + 1).alias("end"))
 
 
 def settle(found: DataFrame) -> DataFrame:
@@ -240,7 +241,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     (a base phrase or an SPDX line).  Null and empty texts have no words and no labels.
     """
     docs = docs if RID in docs.columns else with_rid(docs)
-    found = detections(docs, text_col, rules)
+    found = stored(detections(docs, text_col, rules), "detections")
     best = settle(found.where(~F.col("base")).drop("base")).select(
         RID, "label", "priority", F.lit(False).alias("base"), "start", "end").unionByName(found.where("base"))
     base = F.col("base")
