@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import first_by_hash
+
 PIECE = 24
 HIDDEN = 12
 #: Bounds of the training sample.
@@ -195,7 +197,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     languages = sorted(r[0] for r in can.select(F.col(lang_col).cast("string")).distinct().collect())
     if not languages:
         return None
-    near = F.xxhash64(F.col(id_col).cast("string"))
 
     @F.pandas_udf("array<binary>")
     def spread(texts: pd.Series) -> pd.Series:
@@ -209,7 +210,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     runs, labels = [], []
     for k, lang in enumerate(languages):
         rows = can.where(F.col(lang_col).cast("string") == lang).select(
-            near.alias("h"), F.col(text_col).cast("string").alias("t")).orderBy("h", "t").limit(DOCS_PER_LANGUAGE)
+            F.col(id_col).cast("string").alias("h"), F.col(text_col).cast("string").alias("t"))
+        rows = first_by_hash(rows, "h", DOCS_PER_LANGUAGE)
         for (own,) in rows.select(spread("t").alias("own")).collect():
             runs += map(bytes, own)
             labels += [k] * len(own)

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import first_by_hash
+
 #: Bounds of what is collected to fit the classifier: documents with a label, and without one.
 MAX_LABELLED, POOL = 8000, 4000
 ROUNDS = 4
@@ -146,9 +148,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.max(F.col(label_col).cast("double")).alias("label"))
     ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
-    near = F.xxhash64("id")
-    marked = ids.join(marks.withColumnRenamed(id_col, "id"), "id").orderBy(near, "id").limit(max_labelled)
-    rest = ids.join(marks.select(F.col(id_col).alias("id")), "id", "left_anti").orderBy(near, "id").limit(pool)
+    marked = first_by_hash(ids.join(marks.withColumnRenamed(id_col, "id"), "id"), "id", max_labelled)
+    rest = first_by_hash(ids.join(marks.select(F.col(id_col).alias("id")), "id", "left_anti"), "id", pool)
     sample = marked.unionByName(rest.withColumn("label", F.lit(None).cast("double")))
     rows = docs.select(F.col(id_col).alias("id"), *(c.alias(n) for n, c in zip(INPUTS, inputs(docs)))).join(
         F.broadcast(sample), "id").dropDuplicates(["id"])
