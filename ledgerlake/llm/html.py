@@ -5,11 +5,12 @@ are aligned one after the other with the host's wrapper so far: what both have s
 has becomes optional, neighbours that turn out equal become repeated, and texts that differ become
 slots.  Texts that are the same on all pages stay as the host's own words.
 
-A wrapper's text slots are then told apart: those below menus, headers, footers, side bars,
-notices, adverts, forms or reader comments are not the article.  If any other slot lies in an article
-element, only such slots count; else neither do lists of links, nor texts that all of the host's pages
-have and that never change while others do.  A page's main text is what it has in the slots that are
-left.
+A wrapper's text slots are then told apart: those in an article element, and the others without lists
+of links and without texts that all of the host's pages have and that never change while others do.
+Each page then decides for itself: texts below menus, headers, footers, side bars, notices, adverts,
+forms or reader comments are not the article, unless the element that says so holds the article or most
+of the page's text.  If a page has any other text in an article element, only such text counts, else all
+that is left.
 
 Scale: each task folds its own pages into one partial wrapper per host, and partial wrappers are
 merged in two steps, so a host with a third of all pages is a number of small rows.  A wrapper has the
@@ -24,6 +25,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,6 +53,12 @@ OUTSIDE_WORDS = frozenset(
     "notice notices notification overlay pager pagination popup promo promos promoted promotion recommended recommendations related "
     "replies reply respond responses rail search share sharing shares sidebar sidebars signup skip social sponsor sponsored sponsors "
     "subscribe subscription tags teaser toolbar topbar widget widgets".split())
+#: Words that name a kind of text and not a place; they hold however much of the page it is.
+COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond responds".split())
+#: Words that only say where or how, as in site-header, sidebar-left or ad-box.
+PLACE_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content fixed global group icons inner item items left list "
+    "main mobile outer page panel post primary right row secondary section single site small sticky text title top wide wrap wrapper".split())
 MAX_DEPTH = 150
 #: Pages from which a text that never changes is the host's and not the article's.
 SAME_PAGES = 3
@@ -70,12 +78,13 @@ P, NONE = frozenset(["p"]), frozenset()
 
 
 class Element:
-    """``key`` is the tag name with what its class, id and role say; children are elements and texts."""
+    """``key`` is the tag name with what its class, id and role say; children are elements and texts;
+    ``weight`` is set by ``_weigh``."""
 
-    __slots__ = ("name", "key", "children")
+    __slots__ = ("name", "key", "children", "weight")
 
     def __init__(self, name: str, key: str):
-        self.name, self.key, self.children = name, key, []
+        self.name, self.key, self.children, self.weight = name, key, [], 0
 
 
 def _key(name: str, attributes: str) -> str:
@@ -84,7 +93,8 @@ def _key(name: str, attributes: str) -> str:
     words = []
     for at, value in ATTRIBUTE.findall(attributes):
         if at.lower() in ("class", "id", "role", "itemprop"):
-            words += [w for w in NOT_WORD.split(value.lower()) if w and not w.isdigit()]
+            words += ["-".join(w for w in NOT_WORD.split(token) if w and not w.isdigit()) for token in value.strip("\"'").lower().split()]
+    words = [w for w in words if w]
     if HIDDEN.search(attributes):
         words.append("hidden")
     return ".".join([name, *dict.fromkeys(words)])
@@ -234,51 +244,112 @@ def _slots(items: list[dict], path: tuple[str, ...], found: dict[tuple[str, ...]
             _slots(x["c"], (*path, x["k"]), found, here)
 
 
-def _is_outside(key: str) -> bool:
-    name, *words = key.split(".")
-    return name in OUTSIDE or any(w in OUTSIDE_WORDS for w in words)
+@lru_cache(100_000)
+def _outside_words(key: str) -> frozenset[str]:
+    """The outside words of a key.  A class, id or role counts as a whole: all its parts must be such
+    words or say a place, so site-header counts and has-sidebar or overflow-hidden do not."""
+    name, *tokens = key.split(".")
+    if name in ("html", "body"):
+        return NONE
+    parts = [token.split("-") for token in tokens]
+    return frozenset(w for p in parts if all(w in OUTSIDE_WORDS or w in PLACE_WORDS for w in p) for w in p if w in OUTSIDE_WORDS)
 
 
+@lru_cache(100_000)
 def _is_article(key: str) -> bool:
-    name, *words = key.split(".")
-    return name in ("article", "main") or "main" in words or "articlebody" in words
+    name, *tokens = key.split(".")
+    return name in ("article", "main") or "articlebody" in tokens or any(
+        "main" in t.split("-") and not OUTSIDE_WORDS.intersection(t.split("-")) for t in tokens)
+
+
+@lru_cache(100_000)
+def _in_article(path: tuple[str, ...]) -> bool:
+    return any(map(_is_article, path))
 
 
 def main_slots(items: list[dict], pages: int) -> set[tuple[str, ...]]:
-    """Paths of the slots that hold the article."""
+    """Paths of the slots that may hold the article; which of them count is for each page to say."""
     found: dict[tuple[str, ...], set] = {}
     _slots(items, (), found)
-    inside = {p for p in found if not any(map(_is_outside, p))}
-    if any(any(map(_is_article, p)) for p in inside):
-        return {p for p in inside if any(map(_is_article, p))}
+    inside = {p for p in found if not any(k.split(".")[0] in OUTSIDE for k in p)}
+    article = {p for p in inside if _in_article(p)}
     # lists of links are menus
-    inside = {p for p in inside if not ("a" in p and any(k.split(".")[0] == "li" for k in p))}
-    same = {p for p in inside if len(found[p]) == 1 and None not in found[p]}
-    return inside - same if pages >= SAME_PAGES and same != inside else inside
+    others = {p for p in inside - article if not ("a" in p and any(k.split(".")[0] == "li" for k in p))}
+    same = {p for p in others if len(found[p]) == 1 and None not in found[p]}
+    plain = {p for p in others if not any(map(_outside_words, p))}
+    return article | (others - same if pages >= SAME_PAGES and not plain <= same else others)
+
+
+def _weigh(element: Element) -> int:
+    """Set the weight of an element and of all below: characters of text that is not below a menu, a
+    header, a form or the like."""
+    element.weight = 0 if element.name in OUTSIDE else sum(
+        len(c.strip()) if isinstance(c, str) else _weigh(c) for c in element.children)
+    return element.weight
+
+
+def _outside(root: Element, slots: set[tuple[str, ...]], kept: frozenset[str]) -> tuple[set[int], bool]:
+    """Ids of the page's elements whose words put them outside the article, and whether the page has
+    text in an article element.  An element with most of the page's text is not outside, unless by a
+    word in ``kept``, and neither is the page's only sizeable article or what it lies in."""
+    out: set[int] = set()
+    articles: list[tuple[int, list[int]]] = []  # those outside: weight, ids of the element and of what it lies in
+    weight = {True: 0, False: 0}  # of the texts that are left, in article elements and in others
+
+    def visit(element: Element, path: tuple[str, ...], above: list[int], hidden: bool) -> None:
+        for child in element.children:
+            if isinstance(child, str):
+                if not hidden and path in slots:
+                    weight[_in_article(path)] += len(child.strip())
+                continue
+            if not child.weight:
+                continue
+            words, here = _outside_words(child.key), [*above, id(child)]
+            if words and (2 * child.weight <= root.weight or words & kept):
+                out.add(id(child))
+            lost = hidden or id(child) in out
+            if lost and _is_article(child.key):
+                articles.append((child.weight, here))
+            visit(child, (*path, child.key), here, lost)
+
+    visit(root, (), [], False)
+    if not weight[True] and articles:
+        most, ids = max(articles, key=lambda a: a[0])
+        if most > weight[False]:
+            return out - set(ids), True
+    return out, weight[True] > 0
 
 
 def main_text(page: str, slots: set[tuple[str, ...]]) -> str:
-    """The page's texts in the given slots, one line a block."""
+    """The page's texts in the given slots, one line a block: those in article elements if the page has
+    any, else the others."""
+    root = parse(page)
+    _weigh(root)
     blocks: list[list[str]] = [[]]
 
-    def visit(element: Element, path: tuple[str, ...]) -> None:
+    def visit(element: Element, path: tuple[str, ...], out: set[int], article: bool) -> None:
         for child in element.children:
             if isinstance(child, str):
-                if path in slots:
+                if path in slots and _in_article(path) == article:
                     blocks[-1].append(entities.unescape(child))
                 continue
             if child.name in ("br", "wbr"):
                 blocks[-1].append(" " if child.name == "br" else "")
                 continue
+            if id(child) in out:
+                continue
             edge = child.name in BLOCK
             if edge:
                 blocks.append([])
-            visit(child, (*path, child.key))
+            visit(child, (*path, child.key), out, article)
             if edge:
                 blocks.append([])
 
-    visit(parse(page), ())
-    lines = (" ".join("".join(b).split()) for b in blocks)
+    for kept in (COMMENT_WORDS, NONE):
+        visit(root, (), *_outside(root, slots, kept))
+        lines = [" ".join("".join(b).split()) for b in blocks]
+        if any(lines):
+            break
     return "\n".join(line for line in lines if line)
 
 

@@ -161,3 +161,38 @@ def test_deep_and_broken_pages():
     for odd in ("<", "<p", "<p a='x", "</", "<!--", "<script>", "&#x;", "a<b>c</d>", "<p <p>x"):
         pages.main_text(odd, pages.main_slots(pages._items(pages.parse(odd)), 1))
     assert entities.unescape("&eacute;") == "é"
+
+
+def shown(htmls):
+    """Main texts of one host's pages."""
+    wrapper = pages._items(pages.parse(htmls[0]))
+    for other in htmls[1:]:
+        wrapper = pages.align(wrapper, pages._items(pages.parse(other)))
+    slots = pages.main_slots(wrapper, len(htmls))
+    return [pages.main_text(h, slots) for h in htmls]
+
+
+def test_two_templates_of_a_host_keep_their_texts(spark):
+    mixed = [f"<body><nav>menu</nav><article><p>long {k}</p></article><p>teaser {k}</p></body>" if k % 2 else
+             f"<body><nav>menu</nav><div><p>plain {k}</p></div></body>" for k in range(6)]
+    want = [f"long {k}" if k % 2 else f"plain {k}" for k in range(6)]
+    assert shown(mixed) == want
+    rows = [(k, None if k < 4 else "odd", h) for k, h in enumerate(mixed)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert got(pages.extract(df), "page_id", "text") == list(enumerate(want))
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<body class='has-sidebar'><p>{}</p><div class=sidebar>x</div></body>", "{}"),
+    ("<html class='hidden'><body class='widget'><p>{}</p></body></html>", "{}"),
+    ("<div class='overflow-hidden'><p>{}</p></div><p>more</p>", "{}\nmore"),
+    ("<article class='post category-legal comments-open'><p>{}</p></article><p>after</p>", "{}"),
+    ("<div class=widget><article class=legal><p>{}</p><p class=share>s</p></article></div><p>after</p>", "{}"),
+    ("<div class=modal><p>{}</p></div><p>after</p>", "{}\nafter"),
+    ("<main><p>{}</p><div class='comments'><p>" + "c " * 400 + "</p></div></main>", "{}"),
+    ("<div id=discussion><p>{}</p></div>", "{}"),
+    ("<p>{}</p><div class=sidebar><article>card</article></div><div class='site-header'>h</div><div class=ad-box>a</div>", "{}")])
+def test_class_words_do_not_empty_a_page(page, want):
+    body = "the text of a page that is long enough " * 3
+    assert shown([page.format(body)]) == [want.format(body.strip())]
+    assert shown([page.format(f"{k} {body}") for k in range(4)])[3].startswith("3 the text")
