@@ -66,9 +66,14 @@ SAME_PAGES = 3
 TOKEN = re.compile(
     r"<(/?+)([a-zA-Z][^\s/>]*+)(?:((?:\"[^\"]*+\"|'[^']*+'|[^\"'>])*+)>|([^>]*+)>)"
     r"|<!--.*?(?:-->|\Z)|<[!?/][^>]*+>", re.S)
-#: Elements without article text, skipped up to their end tag.
+#: Elements without article text, skipped up to their end tag.  Without one, raw text goes on to the end
+#: of the page; of the others only the tag is skipped.
 SKIPPED = {name: re.compile(rf"</{name}\s*>", re.I) for name in
            "script style textarea title noscript template iframe svg math object xmp".split()}
+RAW_TEXT = frozenset("script style title textarea xmp iframe".split())
+#: Skipped elements that may be closed by their own tag; a sign after an unquoted value is part of the value.
+SELF_CLOSED = frozenset("svg math object iframe".split())
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'>]+/\Z")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 NOT_WORD = re.compile(r"[^a-z0-9]+")
@@ -115,6 +120,7 @@ def parse(page: str) -> Element:
                 return
 
     at, search = 0, TOKEN.search
+    unclosed: set[str] = set()  # skipped elements that have no end tag from here on
     while m := search(page, at):
         start = m.start()
         if start > at:
@@ -131,8 +137,16 @@ def parse(page: str) -> Element:
                 close({name}, NONE if name in BLOCK and name != "p" else BLOCK)
             continue
         if name in SKIPPED:
-            end = SKIPPED[name].search(page, at)
-            at = end.end() if end else len(page)
+            signs = attributes or odd or ""
+            if name in SELF_CLOSED and signs.endswith("/") and not UNQUOTED_END.search(signs):
+                continue
+            end = None if name in unclosed else SKIPPED[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in RAW_TEXT:
+                at = len(page)
+            else:
+                unclosed.add(name)
             continue
         if name in SIBLINGS:
             names, box = SIBLINGS[name]

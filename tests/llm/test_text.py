@@ -196,3 +196,15 @@ def test_class_words_do_not_empty_a_page(page, want):
     body = "the text of a page that is long enough " * 3
     assert shown([page.format(body)]) == [want.format(body.strip())]
     assert shown([page.format(f"{k} {body}") for k in range(4)])[3].startswith("3 the text")
+
+
+@pytest.mark.parametrize("middle", [
+    "<svg class='i' width=\"1\"/>", "<math/>", "<object data='a' />", "<iframe src='http://a/b/'/>", "<noscript>", "<object data=x>", "<svg>", "<template>",
+    "<svg/><svg>" * 50, "<svg><path d='M0'/></svg>", "<script src='a'/>x</script>", "<iframe src=http://a/>x</iframe>"])
+def test_skipped_elements_end(middle):
+    assert shown([f"<body><p>one</p>{middle}<p>two</p><p>three</p></body>"]) == ["one\ntwo\nthree"]
+
+
+@pytest.mark.parametrize("raw", ["script", "style", "title", "textarea", "xmp", "iframe"])
+def test_raw_text_without_an_end_goes_on(raw):
+    assert shown([f"<body><p>one</p><{raw}><p>two</p></body>"]) == ["one"]
