@@ -34,10 +34,12 @@ BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all righ
 
 #: Every rule has one of these in its keywords, or "cc by", so a text without any of them has no
 #: detection.
-GATE = ("licen", "copyright", "copyleft", "reserved", "public domain", "creative commons", "spdx", "gpl", "warrant", "attribution", "permission")
+GATE = ("licen", "copyright", "copyleft", "reserved", "public domain", "creative commons", "spdx", "gpl", "warrant", "attribution", "permission",
+        "unlicense", "cc0", "redistribut", "advertising", "endorse")
 
 V = r"(?: version| v)?"
-#: Families: label, keywords of the name, the name as words, the SPDX id as words.
+#: Families: label, keywords of the name, the name as words, the SPDX id as words.  Every match of a rule
+#: has each of its keywords at the start of a word; names that share no such word are families of their own.
 FAMILIES = [
     ("agpl-3.0", ("affero",), rf"(?:gnu )?affero general public licen[cs]e{V} v?3(?: 0)?", "agpl 3 0"),
     ("agpl", ("affero",), r"(?:gnu )?affero general public licen[cs]e", "agpl"),
@@ -58,10 +60,12 @@ FAMILIES = [
     ("mit-0", ("mit",), r"mit no attribution licen[cs]e", "mit 0"),
     ("x11", ("x11",), r"(?:mit )?x11 licen[cs]e", "x11"),
     ("isc", ("isc",), r"isc licen[cs]e", "isc"),
-    ("bsd-2-clause", ("bsd",), r"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd) licen[cs]e", "bsd 2 clause"),
+    ("bsd-2-clause", ("bsd",), r"(?:simplified bsd|bsd 2 clause|2 clause bsd) licen[cs]e", "bsd 2 clause"),
+    ("bsd-2-clause", ("freebsd",), r"freebsd licen[cs]e", "bsd 2 clause"),
     ("bsd-3-clause", ("bsd",), r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd) licen[cs]e", "bsd 3 clause"),
     ("bsd-4-clause", ("bsd",), r"(?:original bsd|bsd 4 clause|4 clause bsd) licen[cs]e", "bsd 4 clause"),
-    ("0bsd", ("bsd",), r"(?:zero clause bsd|0 clause bsd|0bsd) licen[cs]e", "0bsd"),
+    ("0bsd", ("bsd",), r"(?:zero clause bsd|0 clause bsd) licen[cs]e", "0bsd"),
+    ("0bsd", ("0bsd",), r"0bsd licen[cs]e", "0bsd"),
     ("bsd", ("bsd",), r"bsd(?: style)? licen[cs]e", "bsd"),
     ("mpl-1.1", ("mozilla",), rf"mozilla public licen[cs]e{V} v?1 1", "mpl 1 1"),
     ("mpl-2.0", ("mozilla",), rf"mozilla public licen[cs]e{V} v?2(?: 0)?", "mpl 2 0"),
@@ -106,7 +110,7 @@ FAMILIES = [
     ("sleepycat", ("sleepycat",), r"sleepycat licen[cs]e", "sleepycat"),
     ("vim", ("vim",), r"vim licen[cs]e", "vim"),
     ("blueoak-1.0.0", ("oak",), r"blue oak model licen[cs]e(?: 1 0 0)?", "blueoak 1 0 0"),
-    ("openrail", ("openrail",), r"(?:creativeml |bigscience )?open ?rail(?: m)? licen[cs]e", "openrail"),
+    ("openrail", ("open",), r"(?:creativeml |bigscience )?open ?rail(?: m)? licen[cs]e", "openrail"),
 ]
 
 #: Creative Commons licenses by their parts; {} is the version.
@@ -125,10 +129,10 @@ SENTENCES = [
     ("mit", 60, ("permission",), r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", 55, ("copyright",), r"the above copyright notice and this permission notice shall be included"),
     ("isc", 60, ("permission",), r"permission to use copy modify and(?: or)? distribute this software for any purpose"),
-    ("bsd", 55, ("permi", "copyright"), r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", 60, ("permission",), r"neither the name of .{1,80}? may be used to endorse or promote products"),
-    ("bsd-4-clause", 60, ("copyright", "advertising"), r"all advertising materials mentioning features or use of this software"),
-    ("gpl", 60, ("warrant", "redistribute"), r"you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("bsd", 55, ("redistribution", "permitted"), r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", 60, ("endorse", "neither"), r"neither the name of .{1,80}? may be used to endorse or promote products"),
+    ("bsd-4-clause", 60, ("advertising",), r"all advertising materials mentioning features or use of this software"),
+    ("gpl", 60, ("redistribute", "general"), r"you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("lgpl", 62, ("licen", "lesser"), r"modify it under the terms of the gnu lesser general public license"),
     ("agpl", 62, ("licen", "affero"), r"modify it under the terms of the gnu affero general public license"),
     ("apache-2.0", 60, ("licen", "compliance"), r"you may not use this file except in compliance with the license"),
@@ -136,7 +140,7 @@ SENTENCES = [
     ("unlicense", 60, ("public domain",), r"this is free and unencumbered software released into the public domain"),
     ("public-domain", 40, ("public domain",), r"(?:in|into|to) the public domain"),
     ("public-domain", 45, ("public domain",), r"dedicated to the public domain"),
-    ("cc0-1.0", 60, ("public domain",), r"cc0(?: 1 0)?(?: universal)?(?: public domain dedication)?"),
+    ("cc0-1.0", 60, ("cc0",), r"cc0(?: 1 0)?(?: universal)?(?: public domain dedication)?"),
     ("cc", 20, ("creative commons",), r"creative commons licen[cs]e"),
     ("copyright", 20, ("copyright",), r"copyright(?: c| ©)? (?:19|20)[0-9]{2}"),
     ("copyright", 22, ("copyright",), r"copyright(?: c| ©)? (?:19|20)[0-9]{2} (?:19|20)[0-9]{2}"),
@@ -149,7 +153,7 @@ SENTENCES = [
     ("proprietary", 40, ("licen",), r"end user licen[cs]e agreement"),
     ("proprietary", 40, ("licen",), r"proprietary(?: software)? licen[cs]e"),
     ("commercial", 35, ("licen", "commercial"), r"commercial licen[cs]e"),
-    ("non-commercial", 35, ("licen", "commercial"), r"licen[cs]ed for non ?commercial use(?: only)?"),
+    ("non-commercial", 35, ("licen", "non"), r"licen[cs]ed for non ?commercial use(?: only)?"),
     ("dual", 35, ("licen", "dual"), r"dual licen[cs]ed"),
 ]
 
@@ -161,7 +165,7 @@ def _rules() -> list[Rule]:
     out = []
     for label, words, name, spdx in FAMILIES:
         more = 2 if any(c.isdigit() for c in label) else 0
-        gate = (*words, "licen")  # the rarer word is looked for first
+        gate = (*words, "licen") if " licen" in name else words  # the rarer word is looked for first
         out += [Rule(label, 80 + more, gate, f"{GRANT} {name}"), Rule(label, 50 + more, gate, name),
                 Rule(label, 90 + more, (spdx.split()[0], "spdx"), f"spdx licen[cs]e identifier {spdx}(?: only| or later)?"),
                 Rule(label, 70 + more, gate, f"(?:see|refer to|accept|under) (?:the )?{name} for(?: more)? details")]
@@ -172,7 +176,7 @@ def _rules() -> list[Rule]:
                     Rule(name, 66, ("creative commons", "attribution"), f"creative commons {long} {version}(?: international| unported| generic)?(?: licen[cs]e)?")]
         out += [Rule(label, 62, ("cc by",), short), Rule(label, 58, ("creative commons", "attribution"), f"creative commons {long}(?: licen[cs]e)?")]
     out += [Rule(*x) for x in SENTENCES]
-    return out
+    return list(dict.fromkeys(out))
 
 
 RULES = _rules()

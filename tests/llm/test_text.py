@@ -3,7 +3,10 @@
 import hashlib
 import html as entities
 import json
+import random
 import re
+import re._constants as sre
+import re._parser as sre_parser
 
 import pytest
 
@@ -208,3 +211,51 @@ def test_skipped_elements_end(middle):
 @pytest.mark.parametrize("raw", ["script", "style", "title", "textarea", "xmp", "iframe"])
 def test_raw_text_without_an_end_goes_on(raw):
     assert shown([f"<body><p>one</p><{raw}><p>two</p></body>"]) == ["one"]
+
+
+def a_match(regex, rng):
+    """Some text that the regular expression matches."""
+    def one(parts):
+        out = ""
+        for kind, value in parts:
+            if kind is sre.LITERAL:
+                out += chr(value)
+            elif kind is sre.ANY:
+                out += "x"
+            elif kind is sre.IN:
+                low = [v if k is sre.LITERAL else v[0] for k, v in value]
+                out += chr(rng.choice(low))
+            elif kind is sre.BRANCH:
+                out += one(rng.choice(value[1]))
+            elif kind is sre.SUBPATTERN:
+                out += one(value[-1])
+            else:
+                low, high, inner = value
+                out += "".join(one(inner) for _ in range(rng.randint(low, min(high, low + 1))))
+        return out
+
+    return one(sre_parser.parse(regex))
+
+
+def test_license_keywords_are_in_every_match():
+    rng = random.Random(3)
+    for rule in licenses.RULES:
+        for _ in range(40):
+            text = a_match(rule.regex, rng)
+            assert re.fullmatch(rule.regex, text)
+            assert all(f" {k}" in f" {text}" for k in rule.keywords), (rule, text)
+            assert any(g.split()[0] in text for g in licenses.GATE) or "cc by" in text, (rule, text)
+
+
+def test_license_scan_finds_what_ungated_rules_find(spark, monkeypatch):
+    rng = random.Random(5)
+    said = ["FreeBSD License", "0BSD License.", "the Unlicense", "open rail license", "CC0 1.0 Universal", "licensed for noncommercial use",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted", "you can redistribute it and/or modify it under "
+            "the terms of the GNU General Public License", "Neither the name of X may be used to endorse or promote products",
+            "All advertising materials mentioning features or use of this software"]
+    rows = list(enumerate(said + [f"so {a_match(r.regex, rng)}, it says" for r in licenses.RULES]))
+    out = licenses.scan(documents(spark, rows))
+    monkeypatch.setattr(licenses, "RULES", [r._replace(keywords=()) for r in licenses.RULES])
+    want = sorted(((i, *license_row(t)) for i, t in rows), key=repr)
+    assert all(w[6] for w in want)
+    assert got(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score") == want
