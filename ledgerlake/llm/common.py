@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import string
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,36 @@ def ascii_lower(col: Column) -> Column:
         F.translate(col, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def with_rid(df: DataFrame) -> DataFrame:
-    """Tag each row of a stored table: equal rows and null or repeated ids stay apart.
+def _reads_files_only(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is a row of one file: a scan below projections and filters, and nothing else."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
 
-    The id is a function of the scan's splits, so every pass over the same files, and every
-    retried task, gives a row the same id."""
-    return df.withColumn(RID, F.monotonically_increasing_id())
+def with_rid(df: DataFrame) -> DataFrame:
+    """Tag each row: equal rows and null or repeated ids stay apart.
+
+    The id is the number of the row's file and its place in the file, so every pass over the same
+    files gives a row the same id, however the files are split.  Rows that are not plainly those of
+    files are written once with their ids, and all passes read that."""
+    at = f"{RID}_file", f"{RID}_row", f"{RID}_nth"
+    try:
+        if not _reads_files_only(df):
+            raise ValueError("not a scan")
+        meta = df.metadataColumn("_metadata")
+        rows = df.select("*", meta["file_path"].alias(at[0]), meta["row_index"].alias(at[1]))
+    except (AnalysisException, ValueError):
+        return stored(df.withColumn(RID, F.monotonically_increasing_id()), "rows")
+    files = sorted(r[0] for r in rows.select(at[0]).distinct().collect())
+    if len(files) <= 1:
+        return rows.drop(at[0]).withColumnRenamed(at[1], RID)
+    numbers = df.sparkSession.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps(files)), "array<string>")).alias(at[2], at[0]))
+    # one row a file
+    nth = F.coalesce(F.col(at[2]), F.raise_error(F.lit("the files of a table changed while it was read")).cast("int"))
+    return rows.join(F.broadcast(numbers), at[0], "left").withColumn(
+        RID, F.shiftleft(nth.cast("long"), 33) + F.col(at[1])).drop(*at)
 
 
 def by_key(big: DataFrame, keys: DataFrame, on, how: str = "inner") -> DataFrame:

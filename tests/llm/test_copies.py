@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import RID, stored, with_rid
 from ledgerlake.llm.exact import drop_exact, exact_groups
 from ledgerlake.llm.graph import components
 from ledgerlake.llm.ngrams import drop_near, near_groups
@@ -162,3 +163,24 @@ def test_find_repeats(contexts):
             want += [p] if c[p:p + 9] in seen else []
             seen.add(c[p:p + 9])
         assert again.tolist() == want
+
+
+def test_row_ids_hold_when_files_are_split_anew(spark):
+    rows = [(k % 7 or None, prose(k % 30, 40)) for k in range(400)]
+    docs = documents(spark, rows, parts=5)
+    tables = {"files": docs, "cut": docs.where("n_chars > 0").select("doc_id", "text"), "one": documents(spark, rows, parts=1),
+              "union": docs.union(docs), "memory": spark.createDataFrame(rows, "doc_id long, text string").repartition(5)}
+    for name, table in tables.items():
+        tagged = with_rid(table)
+        seen = []
+        for size in ("128m", "6k", "1k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            try:
+                seen.append({r[RID]: (r.doc_id, r.text) for r in tagged.select(RID, "doc_id", "text").collect()})
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(seen[0]) == len(rows) * (1 + (name == "union")), name
+        assert seen[0] == seen[1] == seen[2], name
+        assert tagged.columns == [*table.columns, RID]
+    joined = docs.alias("a").join(stored(docs.select("doc_id").distinct(), "ids"), "doc_id")
+    assert with_rid(joined).select(RID).distinct().count() == joined.count()
