@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,15 +50,16 @@ def add_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
 
 
 def _unique_source(src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows with the number of rows of their key, in one pass.  A row with a
-    NULL key matches nothing, so it counts alone; such rows are spread by content."""
+    """Source rows with the number of rows of their key, counted by an aggregate that combines
+    before the shuffle.  A row with a NULL key matches nothing, so it counts alone; such rows are
+    spread by content."""
     null = None
     for k in keys:
         null = F.col(k).isNull() if null is None else null | F.col(k).isNull()
-    alone = F.when(null, F.xxhash64(*[F.col(c) for c in src.columns]))
-    w = Window.partitionBy(*keys, "_alone")
-    return src.withColumn("_alone", alone).withColumn(
-        "_src_n", F.when(F.col("_alone").isNull(), F.count(F.lit(1)).over(w)).otherwise(F.lit(1))).drop("_alone")
+    alone = F.when(null, F.xxhash64(*[F.col(c) for c in src.columns])).otherwise(F.lit(0).cast("long"))
+    counts = src.where(~null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_n")).withColumn("_alone", F.lit(0).cast("long"))
+    return src.withColumn("_alone", alone).join(counts, [*keys, "_alone"], "left").select(
+        *src.columns, F.coalesce("_src_n", F.lit(1).cast("long")).alias("_src_n"))
 
 
 def update_from(df: DataFrame, src: DataFrame, keys: dict, cols: dict) -> DataFrame:

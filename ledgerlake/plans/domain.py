@@ -7,9 +7,11 @@ Money is decimal from the first projection on (decision D5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.ordered import running_sum
+from ledgerlake.sources.io import stage_table
 from ledgerlake.sources.tables import load
 
 PRICE = "decimal(12,2)"
@@ -30,11 +32,13 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sales change logs
-# A line's position is (l_orderkey * 8 + l_linenumber) * SAME + its number among the lines with
-# the same key; it stays below LINE_PHASE for every order key below 2^46, and 4 phases * 2
-# (step order) fit a long.
-SAME = 2 ** 10
+# A line's position is its number, from 1, among all lines in the order of SLOT, the keys and the other
+# columns; it stays below LINE_PHASE, and 4 phases * 2 (step order) fit a long.
+SLOT = "l_orderkey * 8 + l_linenumber"
 LINE_PHASE = 2 ** 59
+CHUNK_LINES = 500_000
+#: Equal lines that one row is unfolded to at a time.
+SAME_LINES = 2 ** 16
 
 
 def _change(df: DataFrame, seq, op: str, before=None, after=None) -> DataFrame:
@@ -50,15 +54,27 @@ def _change(df: DataFrame, seq, op: str, before=None, after=None) -> DataFrame:
                      .alias("key"), s(before).alias("before"), s(after).alias("after"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with a unique position ``pos``.  Lines may share (l_orderkey,
-    l_linenumber); such lines are numbered by all their columns, so equal ones are
-    interchangeable."""
+def lines(spark: SparkSession, sf_dir: str, chunk_lines: int = CHUNK_LINES, same_lines: int = SAME_LINES) -> DataFrame:
+    """lineitem with a unique position ``pos``.  Lines may share (l_orderkey, l_linenumber), however
+    many; such lines are numbered by all their columns, so equal ones are interchangeable.
+
+    Equal lines are one row with a count; rows are cut into ordered chunks of about ``chunk_lines``,
+    which cut through keys too, and numbered in two levels."""
     li = load(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c for c in li.columns if c not in keys])) - 1
-    nth = F.when(nth < SAME, nth).otherwise(F.raise_error(F.lit("too many lines with one key")).cast("int"))
-    return li.withColumn("pos", (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * SAME + nth)
+    order = ["_slot", *keys, *[c for c in li.columns if c not in keys]]
+    same = li.groupBy(*li.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_slot", F.expr(SLOT))
+    chunks = 1 + li.count() // chunk_lines
+    same = stage_table(same.repartitionByRange(chunks, *order).withColumn("_cut", F.spark_partition_id()), "line_chunks")
+    upto = running_sum(same, None, order, "_n", "_upto", F.col("_cut"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / same_lines)))
+    parts = upto.withColumn("_part", part)
+    if (same.agg(F.max("_n")).first()[0] or 0) > same_lines:
+        parts = parts.repartition(chunks, *order, "_part")
+    low = F.col("_part") * same_lines
+    nth = F.explode(F.sequence(low + 1, F.least(low + same_lines, F.col("_n"))))
+    out = parts.withColumn("_nth", nth).withColumn("pos", F.col("_upto") - F.col("_n") + F.col("_nth"))
+    return stage_table(out.select(*li.columns, "pos"), "lines")
 
 
 def mart_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +112,12 @@ def price_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Goods with p_size <= 10 cost 20 times as much from half of the order keys on."""
     p = load(spark, sf_dir, "part").where(F.col("p_size") <= 10)
-    half = load(spark, sf_dir, "lineitem").agg(F.floor(F.max("l_orderkey") / 2).alias("k"))
-    return p.crossJoin(F.broadcast(half)).select(           # one row by construction
-        F.col("p_partkey").alias("good_id"), (F.col("k") * 8 * SAME).alias("seq"),
+    li = load(spark, sf_dir, "lineitem")
+    half = li.agg(F.floor(F.max("l_orderkey") / 2).alias("k"))
+    # the position of the first line from there on; one row by construction, as is half
+    first = li.crossJoin(F.broadcast(half)).agg((F.count_if(F.expr(SLOT) < F.col("k") * 8) + 1).alias("seq"))
+    return p.crossJoin(F.broadcast(first)).select(
+        F.col("p_partkey").alias("good_id"), F.col("seq"),
         (F.col("p_retailprice").cast(PRICE) * 20).cast(PRICE).alias("price"))
 
 

@@ -49,3 +49,13 @@ def test_merge_rejects_duplicate_source_keys(spark):
     src = spark.createDataFrame([("a", 1), ("a", 2)], "k string, amt int")
     with pytest.raises(Exception, match="more than one source row"):
         merge(t, src, {"k": "k"}, [Clause("matched", "update", None, {"s": F.col("src_amt")})]).collect()
+
+
+def test_source_keys_are_counted_without_a_window(spark):
+    from ledgerlake.operators.dml import _unique_source
+    src = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "d")], "k long, v string")
+    out = _unique_source(src, ["k"])
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.columns == ["k", "v", "_src_n"]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [(1, "a", 3), (1, "a", 3), (1, "b", 3), (2, "c", 1), (None, "d", 1), (None, "d", 1)], key=repr)

@@ -263,3 +263,21 @@ def test_exact_mart_stream_batches_fold_onto_state(spark, scratch):
     got = {r.good_name: r.sum_sale for r in t.read().collect()}
     assert got == report(s)
     assert got["Билет консерта Nagart МСК"] == 6030 and got["Билет консерта Rammstein"] == 37500
+
+
+def test_lines_with_one_key_have_no_limit(spark, scratch):
+    from ledgerlake.plans import domain
+    from ledgerlake.sources.tables import load
+    root = scratch("hot")
+    li = load(spark, "/root/testdata/sf0.001", "lineitem").limit(50)
+    hot = spark.range(1500).crossJoin(li.limit(1)).withColumn("l_quantity", (F.col("id") % 700 + 1).cast(li.schema["l_quantity"].dataType))
+    table = li.unionByName(hot.select(*li.columns))
+    table.write.parquet(f"{root}/lineitem.parquet")
+    rows = domain.lines(spark, root, chunk_lines=100, same_lines=2).collect()
+    assert sorted(r.pos for r in rows) == list(range(1, 1551))
+    keys = [r[:-1] for r in sorted(rows, key=lambda r: r.pos)]
+    names = table.columns
+    first = [names.index("l_orderkey"), names.index("l_linenumber")]
+    order = first + [k for k in range(len(names)) if k not in first]
+    assert [tuple(k[i] for i in order) for k in keys] == sorted(tuple(r[i] for i in order) for r in spark.read.parquet(
+        f"{root}/lineitem.parquet").select(*names).collect())
