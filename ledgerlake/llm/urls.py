@@ -98,8 +98,8 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", id_col: s
     """(id, host, path, rule, verdict) for every row; ``rule`` is null where none fits, and the verdict
     is then ``default`` (also for a null url, or one without a host).  Repeated rows are judged each."""
     if sum(len(r.text) + 200 for r in rules) > MAX_TRIE_BYTES:
-        return judge_by_join(pages, pages.sparkSession.createDataFrame(rules, "verdict string, host string, path string"),
-                             default, id_col, url_col)
+        table = pages.sparkSession.createDataFrame([(*r, k) for k, r in enumerate(rules)], "verdict string, host string, path string, position long")
+        return judge_by_join(pages, table, default, id_col, url_col)
     trie = pages.sparkSession.sparkContext.broadcast(rules)
 
     @F.pandas_udf("struct<rule string, verdict string>")
@@ -117,8 +117,11 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", id_col: s
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id",
                   url_col: str = "url") -> DataFrame:
-    """The same for a rule table of any size: every url meets the rules of its own host suffixes."""
-    rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    """The same for a rule table of any size: every url meets the rules of its own host suffixes.  Of
+    rules with the same host and path the one with the largest ``position`` holds; a table without
+    that column has no order, and there the largest verdict holds."""
+    last = "position" if "position" in rules.columns else "verdict"
+    rules = rules.groupBy("host", "path").agg(F.max_by("verdict", last).alias("verdict"))
     host, path = host_path(F.col(url_col))
     urls = with_rid(pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")))
     labels = F.split("host", r"\.")

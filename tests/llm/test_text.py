@@ -11,7 +11,7 @@ import re._parser as sre_parser
 import pytest
 
 from ledgerlake.llm import html as pages
-from ledgerlake.llm import licenses
+from ledgerlake.llm import licenses, urls
 from ledgerlake.llm.common import with_rid
 from ledgerlake.llm.decontam import contamination, drop_contaminated, proximity_matches
 from ledgerlake.llm.queries import URL_RULES
@@ -259,3 +259,12 @@ def test_license_scan_finds_what_ungated_rules_find(spark, monkeypatch):
     want = sorted(((i, *license_row(t)) for i, t in rows), key=repr)
     assert all(w[6] for w in want)
     assert got(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score") == want
+
+
+def test_of_equal_url_rules_the_later_holds_at_every_size(spark, monkeypatch):
+    rules = [Rule("block", "a.org", "/x"), Rule("allow", "a.org", "/x"), Rule("allow", "b.org", "/"), Rule("block", "b.org", "/")]
+    df = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://b.org/x"), (3, "http://c.org/")], "page_id long, url string")
+    want = [(1, "allow"), (2, "block"), (3, "allow")]
+    assert got(judge(df, rules), "page_id", "verdict") == want
+    monkeypatch.setattr(urls, "MAX_TRIE_BYTES", 0)
+    assert got(judge(df, rules), "page_id", "verdict") == want
