@@ -1,8 +1,9 @@
 """Near duplicates: an exact Jaccard self-join of shingle sets under several token orders.
 
 Texts with the same set are one class, so copies cost one aggregate.  Two classes can only be linked
-if their sets share tokens in their prefixes under *every* global order of the tokens; filters of
-several orders are intersected before any pair is looked at:
+if their sets share tokens in their prefixes under *every* global order of the tokens.  The first order
+is a filter on classes and not on pairs: a class goes if it shares too little with all others together.
+Pairs of the classes that are left come from the second order alone:
 
 1. Hash order.  With needed overlap c(n) = ceil(t n), the first n - c + l tokens of two linked sets
    share at least l tokens (l grows with n).  Classes whose prefix has fewer tokens that any other
