@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ANY_CASE_WORD, stored
+from ledgerlake.llm.common import stored
 
 K = 20
-#: Documents and bytes of text of a block of the index.
+#: Documents, and bytes of their distinct terms, of a block of the index.
 BLOCK, BLOCK_BYTES = 1024, 1 << 22
 #: Documents in the strata that a query visits first.
 FIRST = 1000
@@ -54,8 +54,8 @@ class Index(NamedTuple):
     terms: int
 
 
-def terms_of(text: str) -> list[str]:
-    return text.encode("utf-8", "replace").translate(FOLD).decode("utf-8").split(" ")
+def terms_of(text: str) -> list[bytes]:
+    return text.encode("utf-8", "replace").translate(FOLD).split()
 
 
 def impact(tf, m):
@@ -63,61 +63,85 @@ def impact(tf, m):
     return (1_000_000_000 * tf) // (1000 * tf + 12 * m)
 
 
-def _block(m: int, docs: list[tuple[int | None, str]]) -> tuple:
-    """One row of the index.  Postings of term t are the runs runs[t-1]..runs[t]; run r has frequency tfs[r]
-    and the documents posts[ends[r-1]..ends[r]]."""
-    by_term: dict[str, list[tuple[int, int]]] = defaultdict(list)
-    for k, (_, text) in enumerate(docs):
-        counts = Counter(terms_of(text))
-        counts.pop("", None)
-        for term, tf in counts.items():
-            by_term[term].append((-tf, k))
-    terms, most, df, runs, tfs, ends, posts = sorted(by_term), [], [], [], [], [], []
-    for term in terms:
-        postings = sorted(by_term[term])
-        most.append(-postings[0][0])
-        df.append(len(postings))
-        for tf, k in postings:
-            if tfs and len(tfs) > (runs[-1] if runs else 0) and tfs[-1] == -tf:
-                ends[-1] += 1
-            else:
-                tfs.append(-tf)
-                ends.append(len(posts) + 1)
-            posts.append(k)
-        runs.append(len(tfs))
-    return m, [i for i, _ in docs], terms, most, df, runs, tfs, ends, posts
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n, bag, tfs) of rows (id, text): number of terms, the distinct ones, their frequencies."""
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
+    def done(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], ["id", "n", "bag", "tfs"])
 
-def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows (m, id, text) sorted by m, cut into blocks of at most ``most`` documents."""
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.list_(pa.int32())] * 6]
+    rows, size = [], 0
+    for batch in batches:
+        ids, texts = batch.columns
+        for k in range(batch.num_rows):
+            counts = Counter(terms_of(texts[k].as_py()))
+            if counts:
+                bag = b" ".join(counts)
+                rows.append((ids[k].as_py(), counts.total(), bag, np.fromiter(counts.values(), np.int32, len(counts)).tobytes()))
+                size += len(bag)
+            if size >= BLOCK_BYTES:
+                yield done(rows)
+                rows, size = [], 0
+    if rows:
+        yield done(rows)
+
+
+class _Block:
+    """The documents of one block, added one by one, and their row of the index: postings of term t are the runs
+    runs[t-1]..runs[t]; run r has frequency tfs[r] and the documents posts[ends[r-1]..ends[r]]."""
+
+    def __init__(self, m: int):
+        self.m, self.ids, self.numbers, self.size = m, [], {}, 0
+        self.terms, self.tfs = [], []
+
+    def add(self, own: int | None, bag: bytes, tfs: bytes) -> None:
+        number = self.numbers
+        self.terms.append(np.array([number.setdefault(t, len(number)) for t in bag.split(b" ")], np.int32))
+        self.tfs.append(np.frombuffer(tfs, np.int32))
+        self.ids.append(own)
+        self.size += len(bag)
+
+    def row(self) -> pa.RecordBatch:
+        terms, tfs = np.concatenate(self.terms), np.concatenate(self.tfs)
+        docs = np.repeat(np.arange(len(self.ids), dtype=np.int32), [len(t) for t in self.terms])
+        order = np.lexsort((docs, -tfs, terms))
+        terms, tfs, docs = terms[order], tfs[order], docs[order]
+        starts = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (tfs[1:] != tfs[:-1])))     # of runs
+        firsts = np.flatnonzero(np.append(True, terms[1:] != terms[:-1]))                               # of terms
+        runs = np.searchsorted(starts, np.append(firsts[1:], len(terms)))
+        ints = (tfs[firsts], np.diff(firsts, append=len(terms)), runs, tfs[starts], np.append(starts[1:], len(terms)), docs)
+        lists = [pa.array([c.astype(np.int32)], pa.list_(pa.int32())) for c in ints]
+        return pa.RecordBatch.from_arrays([pa.array([self.m], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())),
+                                           pa.array([list(self.numbers)], pa.list_(pa.string())), *lists], ["m", *LISTS])
 
-    def done(m: int, docs: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([c], kind) for c, kind in zip(_block(m, docs), kinds)], ["m", *LISTS])
 
-    held, size, last = [], 0, None
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows (m, id, bag, tfs) sorted by m, cut into blocks of at most ``most`` documents."""
+    held = None
     for batch in batches:
-        for m, own, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and (m != last or len(held) == most or size >= BLOCK_BYTES):
-                yield done(last, held)
-                held, size = [], 0
-            held.append((own, text))
-            size, last = size + len(text), m
+        for k in range(batch.num_rows):
+            m, own, bag, tfs = (c[k] for c in batch.columns)
+            m = m.as_py()
+            if held and (m != held.m or len(held.ids) == most or held.size >= BLOCK_BYTES):
+                yield held.row()
+                held = None
+            held = held or _Block(m)
+            held.add(own.as_py(), bag.as_buffer().to_pybytes(), tfs.as_py())
     if held:
-        yield done(last, held)
+        yield held.row()
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> Index:
     """Index every document that has a term.  Ids are whole numbers; null and repeated ids are kept as they are,
     null and empty texts have no terms, very long ones are indexed whole, and other columns are not read.
     An empty table gives an index without blocks."""
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.regexp_count(text, F.lit(ANY_CASE_WORD)).cast("long").alias("n")).where("n > 0")
-    documents, terms = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    bags = stored(rows.mapInArrow(_bags, "id long, n long, bag string, tfs binary"), "bags")
+    documents, terms = bags.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.lit(75) + F.expr(f"(25 * n * {documents}L) div {max(1, terms)}L")
-    strata = rows.select(m.alias("m"), "id", "text", F.monotonically_increasing_id().alias("at")).repartitionByRange("m", "at").sortWithinPartitions("m")
+    strata = bags.select(m.alias("m"), "id", "bag", "tfs", F.monotonically_increasing_id().alias("at")).repartitionByRange("m", "at").sortWithinPartitions("m")
     schema = ", ".join(["m long", *(f"{c} {k}" for c, k in zip(LISTS, KINDS))])
-    return Index(stored(strata.select("m", "id", "text").mapInArrow(lambda batches: _blocks(batches, block), schema), "lexicalindex"), documents, terms)
+    return Index(stored(strata.select("m", "id", "bag", "tfs").mapInArrow(lambda batches: _blocks(batches, block), schema), "lexicalindex"), documents, terms)
 
 
 def _weight(index: Index, df: Column) -> Column:
@@ -258,7 +282,6 @@ def search(index: Index, queries: DataFrame, id_col: str = "item_id", text_col:
         for batch in batches:
             for query, text in zip(*(c.to_pylist() for c in batch.columns)):
                 counts = Counter(terms_of(text))
-                counts.pop("", None)
                 yield pa.RecordBatch.from_arrays([pa.array([query] * len(counts), pa.int64()), pa.array(list(counts), pa.string()),
                                                   pa.array(list(counts.values()), pa.int64())], ["query", "term", "times"])
 
