@@ -19,6 +19,7 @@ of about ``PASS_TERMS`` distinct (query, term) pairs, the only rows that reach t
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -42,12 +43,13 @@ PASS_TERMS = 500_000
 _WORD_BYTES = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _WORD_BYTES else 0x20 for b in range(256))
 
-LISTS = ("ids", "terms", "most", "df", "runs", "tfs", "ends", "posts")
-KINDS = ("array<long>", "array<string>", "array<int>", "array<int>", "array<int>", "array<int>", "array<int>", "array<int>")
+#: What a block's row has besides m: ids, for each term its greatest tf and its number of documents, and all that
+#: search reads, compressed.
+COLUMNS = {"ids": "array<long>", "terms": "array<string>", "most": "array<int>", "df": "array<int>", "packed": "binary"}
 
 
 class Index(NamedTuple):
-    """Stored blocks (m, ids, terms, ...), the number of documents with a term and of all terms."""
+    """Stored blocks (m and ``COLUMNS``), the number of documents with a term and of all terms."""
 
     blocks: DataFrame
     documents: int
@@ -109,10 +111,35 @@ class _Block:
         starts = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (tfs[1:] != tfs[:-1])))     # of runs
         firsts = np.flatnonzero(np.append(True, terms[1:] != terms[:-1]))                               # of terms
         runs = np.searchsorted(starts, np.append(firsts[1:], len(terms)))
-        ints = (tfs[firsts], np.diff(firsts, append=len(terms)), runs, tfs[starts], np.append(starts[1:], len(terms)), docs)
-        lists = [pa.array([c.astype(np.int32)], pa.list_(pa.int32())) for c in ints]
+        most, df, ends = tfs[firsts], np.diff(firsts, append=len(terms)), np.append(starts[1:], len(terms))
+        ints = [c.astype(np.int32) for c in (most, runs, tfs[starts], ends)]
+        packed = zlib.compress(b"".join([np.array([len(most), len(starts)], np.int32).tobytes(), *(c.tobytes() for c in ints),
+                                         docs.astype(np.uint16).tobytes(), b" ".join(self.numbers)]), 1)
+        lists = [pa.array([c.astype(np.int32)], pa.list_(pa.int32())) for c in (most, df)]
         return pa.RecordBatch.from_arrays([pa.array([self.m], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())),
-                                           pa.array([list(self.numbers)], pa.list_(pa.string())), *lists], ["m", *LISTS])
+                                           pa.array([list(self.numbers)], pa.list_(pa.string())), *lists, pa.array([packed], pa.binary())], ["m", *COLUMNS])
+
+
+class Postings(NamedTuple):
+    """A block as search reads it, see ``_Block``; ``most`` is each term's greatest tf."""
+
+    terms: list[bytes]
+    most: np.ndarray
+    runs: np.ndarray
+    tfs: np.ndarray
+    ends: np.ndarray
+    posts: np.ndarray
+
+
+def unpacked(packed: bytes) -> Postings:
+    raw = zlib.decompress(packed)
+    n, r = np.frombuffer(raw, np.int32, 2).tolist()
+    arrays, at = [], 8
+    for size in (n, n, r, r):
+        arrays.append(np.frombuffer(raw, np.int32, size, at))
+        at += 4 * size
+    posts = np.frombuffer(raw, np.uint16, int(arrays[3][-1]), at)
+    return Postings(raw[at + 2 * len(posts):].split(b" "), *arrays, posts)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -134,13 +161,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> Index:
     """Index every document that has a term.  Ids are whole numbers; null and repeated ids are kept as they are,
     null and empty texts have no terms, very long ones are indexed whole, and other columns are not read.
-    An empty table gives an index without blocks."""
+    An empty table gives an index without blocks.  A block holds 65,536 documents at the most."""
+    if not 0 < block <= 1 << 16:
+        raise ValueError("a block holds 1 to 65,536 documents")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     bags = stored(rows.mapInArrow(_bags, "id long, n long, bag string, tfs binary"), "bags")
     documents, terms = bags.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.lit(75) + F.expr(f"(25 * n * {documents}L) div {max(1, terms)}L")
     strata = bags.select(m.alias("m"), "id", "bag", "tfs", F.monotonically_increasing_id().alias("at")).repartitionByRange("m", "at").sortWithinPartitions("m")
-    schema = ", ".join(["m long", *(f"{c} {k}" for c, k in zip(LISTS, KINDS))])
+    schema = ", ".join(["m long", *(f"{c} {k}" for c, k in COLUMNS.items())])
     return Index(stored(strata.select("m", "id", "bag", "tfs").mapInArrow(lambda batches: _blocks(batches, block), schema), "lexicalindex"), documents, terms)
 
 
@@ -157,7 +186,7 @@ class _Asked:
         by_term: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for q, term, weight in rows:
             by_term[term].append((place[q], weight))
-        self.terms = {t: (np.array([k for k, _ in x]), np.array([w for _, w in x], np.int64)) for t, x in by_term.items()}
+        self.terms = {t.encode(): (np.array([k for k, _ in x]), np.array([w for _, w in x], np.int64)) for t, x in by_term.items()}
         self.least = np.array([thresholds.get(q, 0) for q in self.queries], np.int64)
         self.strata = None if strata is None else {m: np.array([place[q] for q in qs]) for m, qs in strata.items()}
 
@@ -173,7 +202,8 @@ class _Scan:
         self.least = np.maximum(asked.least.copy(), 1)
         self.best: dict[int, list[tuple[int, bool, int]]] = {}
 
-    def block(self, m: int, ids: list, terms: list, most, runs, tfs, ends, posts) -> None:
+    def block(self, m: int, ids: list, block: Postings) -> None:
+        terms, most, runs, tfs, ends, posts = block
         known = self.asked.terms
         here = [(t, known[term]) for t, term in enumerate(terms) if term in known]
         if not here:
@@ -227,11 +257,11 @@ def _visit(blocks: DataFrame, asked: _Asked, k: int) -> DataFrame:
         scan = asked.scan(k)
         for batch in batches:
             for i in range(batch.num_rows):
-                m, ids, terms = (batch.column(c)[i].as_py() for c in range(3))
-                scan.block(m, ids, terms, *(batch.column(c)[i].values.to_numpy() for c in range(3, 8)))
+                m, ids, packed = (c[i].as_py() for c in batch.columns)
+                scan.block(m, ids, unpacked(packed))
         yield scan.rows()
 
-    return blocks.select("m", "ids", "terms", "most", "runs", "tfs", "ends", "posts").mapInArrow(run, "query long, id long, score long")
+    return blocks.select("m", "ids", "packed").mapInArrow(run, "query long, id long, score long")
 
 
 def _top(rows: DataFrame, k: int) -> DataFrame:
