@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows on their way to Python stand in memory three times; long texts make batches large before they make them many
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
