@@ -11,8 +11,8 @@ whose bound reaches the threshold of some query is read; a query passes over a b
 threshold, which rises with what the task has found.  A score equal to the threshold still counts, since ties
 go to the smaller id, so results are exact.
 
-Scale: strata are made by a range shuffle on (m, row), so a length that a third of all documents share is cut
-into many blocks, and no task holds more than a block.  All terms of all documents are indexed.  A block is
+Scale: a stratum is dealt out by hash in as many pieces as its bytes and documents ask for, so a length that a
+third of all documents share is cut into many blocks, and no task holds more than a block.  All terms of all documents are indexed.  A block is
 one row, so search shuffles nothing but each task's k best rows a query.  Queries are searched in passes
 of about ``PASS_TERMS`` distinct (query, term) pairs, the only rows that reach the driver and the tasks whole.
 """
@@ -143,16 +143,16 @@ def unpacked(packed: bytes) -> Postings:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows (m, id, bag, tfs) sorted by m, cut into blocks of at most ``most`` documents."""
-    held = None
+    """Rows (m, piece, id, bag, tfs) sorted by m and piece, cut into blocks of at most ``most`` documents."""
+    held, last = None, None
     for batch in batches:
         for k in range(batch.num_rows):
-            m, own, bag, tfs = (c[k] for c in batch.columns)
-            m = m.as_py()
-            if held and (m != held.m or len(held.ids) == most or held.size >= BLOCK_BYTES):
+            m, piece, own, bag, tfs = (c[k] for c in batch.columns)
+            at = m.as_py(), piece.as_py()
+            if held and (at != last or len(held.ids) == most or held.size >= 2 * BLOCK_BYTES):
                 yield held.row()
                 held = None
-            held = held or _Block(m)
+            held, last = held or _Block(at[0]), at
             held.add(own.as_py(), bag.as_buffer().to_pybytes(), tfs.as_py())
     if held:
         yield held.row()
@@ -168,9 +168,13 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bags = stored(rows.mapInArrow(_bags, "id long, n long, bag string, tfs binary"), "bags")
     documents, terms = bags.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.lit(75) + F.expr(f"(25 * n * {documents}L) div {max(1, terms)}L")
-    strata = bags.select(m.alias("m"), "id", "bag", "tfs", F.monotonically_increasing_id().alias("at")).repartitionByRange("m", "at").sortWithinPartitions("m")
+    rows = bags.select(m.alias("m"), "id", "bag", "tfs")
+    pieces = stored(rows.groupBy("m").agg(F.greatest(F.ceil(F.sum(F.octet_length("bag").cast("long")) / BLOCK_BYTES), F.ceil(
+        F.count(F.lit(1)) / block)).alias("pieces")), "pieces")
+    strata = rows.withColumn("at", F.monotonically_increasing_id()).join(pieces, "m").withColumn("piece", F.pmod(F.xxhash64("at"), "pieces"))
+    strata = strata.repartition("m", "piece").sortWithinPartitions("m", "piece").select("m", "piece", "id", "bag", "tfs")
     schema = ", ".join(["m long", *(f"{c} {k}" for c, k in COLUMNS.items())])
-    return Index(stored(strata.select("m", "id", "bag", "tfs").mapInArrow(lambda batches: _blocks(batches, block), schema), "lexicalindex"), documents, terms)
+    return Index(stored(strata.mapInArrow(lambda batches: _blocks(batches, block), schema), "lexicalindex"), documents, terms)
 
 
 def _weight(index: Index, df: Column) -> Column:
