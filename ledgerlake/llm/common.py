@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
+from ledgerlake.sources.fs import delete
 
 #: Internal row id; long enough not to meet a column of the caller's table.
 RID = "__ledgerlake_rid"
@@ -75,10 +76,50 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     return kept.orderBy(F.pmod(near, F.lit(2**30)), near, key).limit(n)
 
 
+#: Shuffle files of a written table go with the query that wrote it.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Within ``with Scratch() as s``: tables that ``stored`` writes are deleted at the end, but for those
+    given to ``keep``.  What is kept must not be read from the others any more."""
+
+    open: list[Scratch] = []
+
+    def __enter__(self) -> Scratch:
+        self.tables: dict[str, DataFrame] = {}
+        Scratch.open.append(self)
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        if self.tables.pop(table.stored_at, None) is not None and len(Scratch.open) > 1:
+            Scratch.open[-2].tables[table.stored_at] = table
+        return table
+
+    def __exit__(self, *_: object) -> None:
+        Scratch.open.pop()
+        forget(*self.tables.values())
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        delete(table.sparkSession, table.stored_at)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, and a lost
     executor costs no recomputation of what lies before."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    if Scratch.open:
+        Scratch.open[-1].tables[path] = table
+    return table

@@ -1,13 +1,13 @@
 """Benchmark passages in documents, by a positional inverted index.
 
-The index holds (term id, document row, position) for the terms that queries have, and each
-document's number of words under a mark of its own.  It is made in one pass over the texts and stored;
-all else is read from it.  A phrase is searched from its two rarest terms: each posting, moved back by the
-term's offset in the phrase, is a possible start, and the two lists are intersected on (document,
-start).  What is left is compared with the document's own words, so results are exact.
-
-Scale: the pass that makes the index shuffles nothing while the query terms are few enough for Spark to
-broadcast their stored table, and every later step is linear in postings of rare terms or in real
+The index holds (term id, document row, position), and each document's number of words under a mark of
+its own.  A first pass counts the terms that queries have; the second stores postings of each phrase's two
+rarest terms only, so a common word costs a counter and no rows.  Each posting, moved back by the term's
+offset in the phrase, is a possible start, and the two lists are intersected on (document, start).  What is
+left is compared with the document's own words, so results are exact.
+
+Scale: neither pass shuffles more than counts while the query terms are few enough for Spark to broadcast
+their stored table, and every later step is linear in postings of rare terms or in real
 matches.  Term and window tables are stored, so Spark broadcasts them only below its own size
 threshold and shuffles both sides above.  All of it is DataFrame work.
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, WORD, ascii_lower, by_key, stored, with_rid
+from ledgerlake.llm.common import RID, WORD, Scratch, ascii_lower, by_key, stored, with_rid
 
 WINDOW = 10
 #: Stands after a document's last word in the index; no word can be that.
@@ -50,20 +50,23 @@ def item_windows(items: DataFrame, size: int = WINDOW, id_col: str = "item_id",
 
 
 def phrase_matches(docs: DataFrame, phrases: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Exact places of phrases, (row id, start, phrase), one row each, and the stored index.
+    """Exact places of phrases, (row id, start, phrase), one row each, and the stored index of their rarest
+    terms and of the numbers of words.
 
     ``docs`` carries the row id; ``phrases`` has (phrase: any id, win: array of words, not empty),
     each win once.
     """
     spots = phrases.select("phrase", F.size("win").alias("n"), F.posexplode("win").alias("off", "term"))
     terms = query_terms(spots)
-    index = stored(build_index(docs, terms, text_col), "index")
-    counts = index.groupBy("tid").agg(F.count(F.lit(1)).alias("df"))
+    words = docs.select(F.explode(words_of(F.col(text_col))).alias("term"))
+    counts = stored(words.join(terms, "term").groupBy("tid").agg(F.count(F.lit(1)).alias("df")), "counts")
     # a phrase with a term that no document has is not looked up
     known = spots.join(terms, "term").join(counts, "tid", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     rare = known.withColumn("least", F.min("df").over(Window.partitionBy("phrase"))).where("least > 0").withColumn(
         "nth", F.row_number().over(Window.partitionBy("phrase").orderBy("df", "off"))).where("nth <= 2")
     rare = stored(rare.select("phrase", "tid", "off", "n", "nth"), "rareterms")
+    searched = stored(terms.join(rare.select("tid").distinct().unionByName(terms.where(F.col("term") == MARK).select("tid")), "tid", "left_semi"), "searched")
+    index = stored(build_index(docs, searched, text_col), "index")
     lists = index.join(rare, "tid").select(RID, "phrase", (F.col("pos") - F.col("off")).alias("start"), "nth", "n").where("start >= 0")
     lists = stored(lists, "lists")
     starts = lists.where("nth = 1").select(RID, "phrase", "start", "n")
@@ -126,5 +129,6 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any window of an item, all columns as they are."""
     tagged = with_rid(docs)
-    gone = stored(contamination(tagged, items).where("contaminated").select(RID), "contaminated")
+    with Scratch() as parts:
+        gone = parts.keep(stored(contamination(tagged, items).where("contaminated").select(RID), "contaminated"))
     return by_key(tagged, gone, RID, "left_anti").drop(RID)
