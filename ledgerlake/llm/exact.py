@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, ascii_lower, by_key, stored, with_rid
+from ledgerlake.llm.common import RID, Scratch, ascii_lower, by_key, stored, with_rid
 
 BLOCK_CHARS = 4096
 #: Second half of a pair whose first half is the last name of an odd row.
@@ -67,8 +67,9 @@ def _name_blocks(rows: DataFrame) -> DataFrame:
 def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS,
                fingerprint: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """``docs`` must carry the row id; returns (row id, id, text_sha256, level, name), one row a document."""
-    rows = _name_blocks(stored(block_rows(docs, id_col, text_col, block_chars, fingerprint), "blocks"))
-    named = stored(rows.select(RID, "i", "n_blocks", "id", "sha", "name"), "named")
+    with Scratch() as parts:
+        rows = _name_blocks(stored(block_rows(docs, id_col, text_col, block_chars, fingerprint), "blocks"))
+        named = parts.keep(stored(rows.select(RID, "i", "n_blocks", "id", "sha", "name"), "named"))
     done = named.where("n_blocks = 1").select(RID, F.lit(0).alias("level"), "name")
     # a document's names, in order; no longer than its own text
     lists = named.where("n_blocks > 1").groupBy(RID).agg(
@@ -113,5 +114,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are."""
     tagged = with_rid(docs)
-    gone = stored(exact_groups(tagged, id_col, text_col).where(~F.col("kept")).select(RID), "copies")
+    with Scratch() as parts:
+        gone = parts.keep(stored(exact_groups(tagged, id_col, text_col).where(~F.col("kept")).select(RID), "copies"))
     return by_key(tagged, gone, RID, "left_anti").drop(RID)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stored
+from ledgerlake.llm.common import forget, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     before = _content(edges)
     while True:
         large = stored(_star(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), large=True), "large")
-        edges = stored(_star(large, large=False), "small")
+        last, edges = edges, stored(_star(large, large=False), "small")
+        forget(last, large)
         after = _content(edges)
         if after == before:
             break

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import RID, by_key, stored, with_rid
+from ledgerlake.llm.common import RID, Scratch, by_key, forget, stored, with_rid
 from ledgerlake.llm.graph import components
 from ledgerlake.llm.hashing import pressed, shingle_sets, text_chunks, unpress
 
@@ -122,7 +122,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     verified links (a, b) of classes that span all components of the similarity graph."""
     sets = stored(_sets(docs, text_col, width, percent), "sets")
     classes = stored(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(RID).alias("cls")), "classes")
-    members = sets.select(RID, "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left").select(RID, "n", "cls")
+    members = stored(sets.select(RID, "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left").select(RID, "n", "cls"), "members")
 
     # order 1: prefixes in hash order
     heads = by_key(sets, classes.select(F.col("cls").alias(RID)), RID, "left_semi")
@@ -136,6 +136,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     texts = by_key(pressed(docs, text_col).withColumnRenamed(RID, "cls"), first, "cls")
     every = _tokens(texts, width)
     tokens = stored(every, "tokens")
+    forget(sets, classes, shared)
     each = tokens.select("cls", "n", F.explode("tokens").alias("token"))
     df = stored(each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
     spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
@@ -144,6 +145,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
         "cls", "n", "u", F.col("t.token").alias("tokens"),
         F.size(F.filter("t", lambda t: t["df"] <= crowd)).alias("few"))  # tokens with few holders come first
     live = stored(live, "live")
+    forget(tokens, df)
     held = live.select("cls", "n", "u", "few", (spare + 1 - F.col("u")).cast("int").alias("p"), F.posexplode("tokens").alias("k", "token"))
     prefix = held.where("k < p")
 
@@ -160,7 +162,8 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     held = held.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     held = stored(held.where("k < few or k < p").select("token", "cls", "n", "u", "root", (F.col("k") < F.col("few")).alias("few")), "held")
     split = held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    held = stored(held.join(split, "token", "left_semi"), "apart")
+    every, held = held, stored(held.join(split, "token", "left_semi"), "apart")
+    forget(every)
     cross = (F.col("x.cls") < F.col("y.cls")) & (F.col("x.root") != F.col("y.root"))
     most = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
     few = held.where("few")
@@ -183,7 +186,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with nothing.  ``kept`` marks one row of each component: its least id, the first row on ties.
     """
     docs = docs if RID in docs.columns else with_rid(docs)
-    members, links = near_links(docs, text_col, width, percent, crowd)
+    with Scratch() as parts:
+        members, links = near_links(docs, text_col, width, percent, crowd)
+        links = parts.keep(stored(links, "links"))
+        parts.keep(members)
     roots = components(links)
     ids = docs.select(RID, F.col(id_col).alias("id")).join(members, RID).join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     # rows without words stand alone, in a number range of their own
@@ -197,5 +203,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, all columns as they are."""
     tagged = with_rid(docs)
-    gone = stored(near_groups(tagged, id_col, text_col).where(~F.col("kept")).select(RID), "nearcopies")
+    with Scratch() as parts:
+        gone = parts.keep(stored(near_groups(tagged, id_col, text_col).where(~F.col("kept")).select(RID), "nearcopies"))
     return by_key(tagged, gone, RID, "left_anti").drop(RID)
