@@ -84,3 +84,9 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _jfs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path; 0 if there is none."""
+    fs, p = _jfs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

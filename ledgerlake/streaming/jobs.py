@@ -1,10 +1,10 @@
 """M2, M4 (stream), M8: Structured Streaming jobs.
 
-Sinks are idempotent by ``batch_id``: a micro-batch changes a hash-partitioned
-table, in which only the partitions it touches are rewritten, and its number is
-published with the new manifest.  A batch retried after a failure is
-skipped if it is in, and a restart from the checkpoint resumes at the first
-uncommitted batch.  Old attempts stay until ``vacuum``.  ``run_available`` drives a query with the
+Sinks are idempotent by ``batch_id``: a micro-batch adds a delta of its own rows to a merge-on-read
+table (``KeyedTable``), whose buckets are compacted when their deltas outgrow them; replicas without
+a key rewrite the hash partitions that a batch touches.  A batch's number is published with it.  A batch
+retried after a failure is skipped if it is in, and a restart from the checkpoint resumes at the
+first uncommitted batch.  Old attempts stay until ``vacuum``.  ``run_available`` drives a query with the
 ``availableNow`` trigger (all input present at start, then stop), which is
 also how the batch == stream tests run.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ledgerlake.operators.changes import apply_changes
 from ledgerlake.operators.partitions import PartitionedTable, PartitionSpec
 from ledgerlake.sources.io import stage_table
+from ledgerlake.sources.keyed import KeyedTable, upserts
 from ledgerlake.sources.versioned import VersionedTable
 
 
@@ -65,31 +66,39 @@ def _touched(table: PartitionedTable, values: list[Column], rows: DataFrame) ->
     return sorted(r.p for r in got)
 
 
-def upsert_sink(table: PartitionedTable, keys: list[str]):
-    """foreachBatch function: each row replaces the row with its keys.  Only partitions that the
-    batch touches are rewritten, and a batch that is already in is skipped."""
+def upsert_sink(table: KeyedTable):
+    """foreachBatch function: each row replaces the row with its keys; what a batch writes does not depend on
+    the table's size."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= _newest_batch(table):
-            return
-        batch = stage_table(batch, "upsert")
-        touched = _touched(table, [F.col(table.spec.column)], batch)
-        if touched:
-            table.rewrite(touched, lambda rows: rows.join(batch, keys, "left_anti").unionByName(batch), {"batch": batch_id})
+        table.append(batch, batch_id)
+        table.compact()
     return write
 
 
 # ------------------------------------------------------------------ M2
-#: Hash partitions of the tables that streams maintain.
+#: Hash partitions of replicas without a key.
 BUCKETS = 16
 
 
 def replicate_stream(spark: SparkSession, changes: DataFrame, base: DataFrame, target_root: str,
-                     checkpoint: str, identity: str = "key", buckets: int = BUCKETS) -> PartitionedTable:
-    """Continuous replica, hash-partitioned by the key: each micro-batch of change rows is
-    applied to the partitions that its keys fall in (to all of them after a truncate) and
-    published with the batch's number.  A batch that is in already (a retry) is skipped; an
-    apply error stops the query, and a restart resumes at that batch."""
-    column = changes.schema["key"].dataType.fieldNames()[0]
+                     checkpoint: str, identity: str = "key", buckets: int = BUCKETS) -> KeyedTable | PartitionedTable:
+    """Continuous replica.  With identity ``key`` each micro-batch becomes one delta of a merge-on-read table, and a
+    truncate starts the table anew.  Otherwise the batch is applied to the hash partitions of the first key
+    column that its images fall in (to all of them after a truncate).  A batch that is in already (a
+    retry) is skipped; an apply error stops the query, and a restart resumes at that batch."""
+    keys = changes.schema["key"].dataType.fieldNames()
+    if identity == "key":
+        table = KeyedTable(spark, target_root).start(base, keys)
+
+        def merge(batch: DataFrame, batch_id: int) -> None:
+            if batch_id > table.state().batch:
+                rows, truncate = upserts(batch, table)
+                table.append(rows, batch_id, truncate)
+                table.compact()
+
+        run_available(changes.writeStream.foreachBatch(merge), checkpoint)
+        return table
+    column = keys[0]
     target = _start(PartitionedTable(spark, target_root, PartitionSpec.hash(column, buckets)), base)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -114,23 +123,16 @@ def mart_stream(spark: SparkSession, changes: DataFrame, prices: DataFrame, root
     of live sales.  A name without live sales has no row."""
     from ledgerlake.operators.mart import AMOUNT, steps
     schema = f"good_name string, sum_sale {AMOUNT}, n long"
-    table = _start(PartitionedTable(spark, root, PartitionSpec.hash("good_name", BUCKETS)), spark.createDataFrame([], schema))
+    table = KeyedTable(spark, root).start(spark.createDataFrame([], schema), ["good_name"], "sum")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= _newest_batch(table):
+        if batch_id <= table.state().batch:
             return
+        batch = stage_table(batch, "mart_batch")
         signed = F.when(F.col("kind") == "ADD", F.col("amt")).otherwise(-F.col("amt"))
         delta = steps(batch, prices).groupBy("good_name").agg(F.sum(signed).cast(AMOUNT).alias("sum_sale"), F.sum("cnt").alias("n"))
-        delta = stage_table(delta, "mart_delta")
-        fresh = not batch.where(F.col("op") == "T").isEmpty()
-        touched = [f"p{k}" for k in range(BUCKETS)] if fresh else _touched(table, [F.col("good_name")], delta)
-
-        def add(rows: DataFrame) -> DataFrame:
-            kept = rows.where(F.lit(not fresh)).unionByName(delta)
-            return kept.groupBy("good_name").agg(F.sum("sum_sale").cast(AMOUNT).alias("sum_sale"), F.sum("n").alias("n"))
-
-        if touched:
-            table.rewrite(touched, add, {"batch": batch_id})
+        table.append(delta, batch_id, truncate=not batch.where(F.col("op") == "T").isEmpty())
+        table.compact()
 
     run_available(changes.writeStream.foreachBatch(apply), checkpoint)
     return table.read().where("n > 0").select("good_name", "sum_sale")
@@ -145,9 +147,8 @@ def minute_stream(spark: SparkSession, events: DataFrame, root: str, checkpoint:
            .groupBy(F.window("ts", "1 minute").alias("w"))
            .agg(F.count(F.lit(1)).alias("events"), F.sum(F.length("props")).cast("long").alias("bytes"))
            .select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "events", "bytes"))
-    table = _start(PartitionedTable(spark, root, PartitionSpec.hash("minute", BUCKETS)),
-                   spark.createDataFrame([], "minute timestamp_ntz, events long, bytes long"))
-    run_available(agg.writeStream.outputMode("update").foreachBatch(upsert_sink(table, ["minute"])), checkpoint)
+    table = KeyedTable(spark, root).start(spark.createDataFrame([], "minute timestamp_ntz, events long, bytes long"), ["minute"])
+    run_available(agg.writeStream.outputMode("update").foreachBatch(upsert_sink(table)), checkpoint)
     return table.read()
 
 
