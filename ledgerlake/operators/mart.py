@@ -66,7 +66,11 @@ def steps(log: DataFrame, prices: DataFrame) -> DataFrame:
     ``o`` orders steps (seq * 2 + sub) and is unique, as ``seq`` is; ``cnt`` is the
     change in live sales.
     """
-    live = _after_truncate(log).where(F.col("op") != "T")
+    return priced_steps(_after_truncate(log).where(F.col("op") != "T"), prices)
+
+
+def priced_steps(live: DataFrame, prices: DataFrame, *carried: str) -> DataFrame:
+    """``steps`` of changes that are not truncates, with some of their columns; also on a stream."""
     b, a = F.col("before"), F.col("after")
 
     def st(sub, kind, good, qty, cnt):
@@ -80,12 +84,12 @@ def steps(log: DataFrame, prices: DataFrame) -> DataFrame:
                  F.array(st(0, "ADD", a.good_id, a.sales_qty - b.sales_qty, 0)))
            .when(F.col("op") == "U", F.array(st(0, "DEL", b.good_id, b.sales_qty, -1),
                                              st(1, "ADD", a.good_id, a.sales_qty, 1))))
-    s = live.select("seq", F.explode(arr).alias("s")).select("seq", "s.*")
+    s = live.select("seq", *carried, F.explode(arr).alias("s")).select("seq", *carried, "s.*")
     j = s.join(prices, (s.good_id == prices.good_id) & (s.seq >= prices.valid_from)
                & (prices.valid_to.isNull() | (s.seq < prices.valid_to)), "inner")
     amt = (F.col("qty") * F.col("price")).cast(AMOUNT)
     out = j.select("good_name", (F.col("seq") * 2 + F.col("sub")).alias("o"), "kind",
-                   amt.alias("amt"), "cnt")
+                   amt.alias("amt"), "cnt", *carried)
     # NULL quantity: an insert adds 0, a delete cannot match (documented deviation)
     return (out.where(~((F.col("kind") == "DEL") & F.col("amt").isNull()))
             .withColumn("amt", F.coalesce("amt", F.lit(0).cast(AMOUNT))))

@@ -789,6 +789,51 @@ def mart_stream_exact(spark, d):
     return t.read()
 
 
+@query("mart_stream_state")
+def mart_stream_state(spark, d):
+    """M3, U1 as keyed state: four starts from one checkpoint."""
+    from ledgerlake.operators import mart
+    from ledgerlake.streaming.jobs import file_stream
+    from ledgerlake.streaming.state import mart_stream_state as mss
+    root = _scratch(spark, "mart_stream_state")
+    prices = mart.price_history(domain.goods(spark, d))
+    log = domain.mart_log(spark, d)
+    return _in_batches(log, _log_phases(), root, lambda _: mss(
+        spark, file_stream(spark, f"{root}/in", log.schema), spark.read.schema(log.schema).parquet(f"{root}/in"), prices,
+        f"{root}/mart", f"{root}/_checkpoint"))
+
+
+#: Bucket size of the small replica tables, for several splits at every scale.
+SMALL_BUCKET = 16 << 10
+
+
+def _replica_in_batches(spark, d):
+    """M2: the accounts kept by a merge-on-read table, from the event log in six batches."""
+    from ledgerlake.sources.keyed import KeyedTable, upserts
+    log = domain.event_log(_t(spark, d, "events"))
+    low, high = log.agg(F.min("seq"), F.max("seq")).first()
+    table = KeyedTable(spark, _scratch(spark, "replica_batches"), SMALL_BUCKET).start(domain.account_base(spark, d), ["account_id"])
+    step = (high - low) // 6 + 1 if low is not None else 1
+    for n in range(6 if low is not None else 0):
+        batch = log.where((F.col("seq") >= low + n * step) & (F.col("seq") < low + (n + 1) * step))
+        rows, truncate = upserts(batch, table)
+        table.append(rows, n, truncate)
+        table.compact()
+    return table
+
+
+@query("replica_batches")
+def replica_batches(spark, d):
+    return _replica_in_batches(spark, d).read()
+
+
+@query("replica_keys")
+def replica_keys(spark, d):
+    """M2: the accounts of one market segment, of which only their buckets are opened."""
+    wanted = _t(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("account_id"))
+    return _replica_in_batches(spark, d).read_keys(wanted)
+
+
 @query("minute_stream")
 def minute_stream(spark, d):
     from ledgerlake.streaming.jobs import minute_stream as mstream

@@ -492,6 +492,10 @@ FROM g
 
 ORACLE["replica_stream"] = ORACLE["replica_apply"]
 ORACLE["mart_stream"] = _MART_FINAL
+ORACLE["mart_stream_state"] = _MART_FINAL
+ORACLE["replica_batches"] = ORACLE["replica_apply"]
+ORACLE["replica_keys"] = ("SELECT r.* FROM (" + ORACLE["replica_apply"] + ") r WHERE account_id IN "
+                          "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 ORACLE["minute_stream"] = """
 SELECT date_trunc('minute', ts) AS minute, count(*) AS events, CAST(sum(length(props)) AS BIGINT) AS bytes
 FROM events GROUP BY 1

@@ -22,12 +22,15 @@ from ledgerlake.sources.keyed import KeyedTable, upserts
 from ledgerlake.sources.versioned import VersionedTable
 
 
-def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None,
+                files_a_batch: int | None = None) -> DataFrame:
     """New parquet files in ``folder`` (optionally only names matching
     ``glob``) as a stream with a declared schema."""
     r = spark.readStream.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
+    if files_a_batch:
+        r = r.option("maxFilesPerTrigger", files_a_batch)
     return r.parquet(folder)
 
 
