@@ -329,9 +329,8 @@ def delete_where(spark, d):
     return delete(o, (F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 100000))
 
 
-@query("merge_clauses")
-def merge_clauses(spark, d):
-    from ledgerlake.operators.dml import Clause, merge
+def _merge_input(spark, d):
+    from ledgerlake.operators.dml import Clause
     t = (_t(spark, d, "customer").where(F.col("c_mktsegment") != "BUILDING")
          .select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal"),
                  "c_mktsegment"))
@@ -346,7 +345,14 @@ def merge_clauses(spark, d):
                                                "c_acctbal": F.col("src_delta"),
                                                "c_mktsegment": F.lit("BUILDING")}),
     ]
-    return merge(t, s, {"c_custkey": "o_custkey"}, clauses)
+    return t, s, clauses
+
+
+@query("merge_clauses")
+def merge_clauses(spark, d):
+    from ledgerlake.operators.dml import merge
+    target, source, clauses = _merge_input(spark, d)
+    return merge(target, source, {"c_custkey": "o_custkey"}, clauses)
 
 
 # ------------------------------------------------------------------ io (S) and checks (V)
@@ -452,7 +458,7 @@ def upper_layout(spark, d):
 def trigram_find(spark, d):
     from ledgerlake.operators.layout import read_trigram_index, trigram_search, write_trigram_index
     docs = _t(spark, d, "documents")
-    path = _built(spark, d, "trigram", lambda p: write_trigram_index(docs, "doc_id", "text", p))
+    path = _built(spark, d, "trigram", lambda p: write_trigram_index(docs, "doc_id", "text", p), "documents")
     index = read_trigram_index(spark, path, "doc_id")
     return trigram_search(spark, index, docs, "doc_id", "text", "mentoi").select("doc_id")
 
@@ -468,10 +474,11 @@ def _order_spec():
 _BUILT: dict[tuple, str] = {}
 
 
-def _built(spark, d, name, build):
-    """Path of a layout of the driver tables, which never change: built at first use in an
-    application, then looked up again."""
-    key = (spark.sparkContext.applicationId, d, name)
+def _built(spark, d, name, build, table):
+    """Path of a layout of a driver table: built at first use in an application, and again when
+    the table's files have changed."""
+    from ledgerlake.sources import fs
+    key = (spark.sparkContext.applicationId, d, name, fs.signature(spark, f"{d.rstrip('/')}/{table}.parquet"))
     if key not in _BUILT:
         path = _scratch(spark, name)
         build(path)
@@ -486,7 +493,7 @@ def _write_orders(spark, d, path):
 
 def _orders_partitioned(spark, d):
     from ledgerlake.operators.partitions import PartitionedTable
-    path = _built(spark, d, "orders_part", lambda p: _write_orders(spark, d, p))
+    path = _built(spark, d, "orders_part", lambda p: _write_orders(spark, d, p), "orders")
     return PartitionedTable(spark, path, _order_spec())
 
 
@@ -518,11 +525,60 @@ def zoned_read(spark, d):
     # several hours of the day: order times are at midnight
     o = _t(spark, d, "orders").select("o_orderkey", F.timestamp_micros(
         F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 24) * 3_600_000_000).alias("placed_at"))
-    path = _built(spark, d, "orders_zoned", lambda p: write_partitioned(spark, o, spec, p))
+    path = _built(spark, d, "orders_zoned", lambda p: write_partitioned(spark, o, spec, p), "orders")
     t = PartitionedTable(spark, path, spec).read_pruned(dt.datetime(1996, 1, 14, 20, 30), dt.datetime(1996, 1, 16, 22, 0), with_part=True)
     return t.select("o_orderkey", F.col("placed_at").cast("timestamp_ntz").alias("placed_at"), "part")
 
 
+# ------------------------------------------------------------------ tables by file
+#: Files of the small copies of driver tables.
+FILES = 32
+
+
+@query("compound_zones")
+def compound_zones(spark, d):
+    """The compound filter over orders laid out by three columns; files are chosen by the zones of two."""
+    import datetime as dt
+    from ledgerlake.sources.filetable import FileTable
+    cols = ["o_orderstatus", "o_orderdate", "o_custkey"]
+    path = _built(spark, d, "orders_zones", lambda p: FileTable(spark, p).create(_t(spark, d, "orders"), cols, cols, FILES), "orders")
+    lo, hi = dt.datetime(1996, 1, 1), dt.datetime(1996, 3, 1)
+    got = FileTable(spark, path).read({"o_orderstatus": ("F", "F"), "o_orderdate": (lo, hi)})
+    return got.where((F.col("o_orderdate") > F.lit(lo)) & (F.col("o_orderdate") < F.lit(hi)))
+
+
+def _orders_by_file(spark, d, name):
+    from ledgerlake.sources.filetable import FileTable
+    return FileTable(spark, _scratch(spark, name)).create(_t(spark, d, "orders"), ["o_totalprice", "o_orderdate"], ["o_totalprice"], FILES)
+
+
+@query("update_files")
+def update_files(spark, d):
+    """T1 by file: only files whose zones reach above the price are searched."""
+    t = _orders_by_file(spark, d, "update_files")
+    t.update((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 300000),
+             {"o_orderstatus": F.lit("F"), "o_orderpriority": F.lit("1-URGENT")}, within={"o_totalprice": (300000.0, None)})
+    return t.read()
+
+
+@query("delete_files")
+def delete_files(spark, d):
+    """T4 by file."""
+    t = _orders_by_file(spark, d, "delete_files")
+    t.delete((F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 100000), within={"o_totalprice": (None, 100000.0)})
+    return t.read()
+
+
+@query("merge_files")
+def merge_files(spark, d):
+    """T5 by file: the MERGE of ``merge_clauses`` on a table of many files."""
+    from ledgerlake.sources.filetable import FileTable
+    target, source, clauses = _merge_input(spark, d)
+    t = FileTable(spark, _scratch(spark, "merge_files")).create(target, ["c_custkey"], ["c_custkey"], FILES)
+    t.merge(source, {"c_custkey": "o_custkey"}, clauses)
+    return t.read()
+
+
 @query("moved_rows")
 def moved_rows(spark, d):
     t = _write_orders(spark, d, _scratch(spark, "orders_moved"))

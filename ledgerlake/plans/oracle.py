@@ -212,6 +212,11 @@ FROM t FULL JOIN s ON t.c_custkey = s.o_custkey
 WHERE NOT (t.c_custkey IS NOT NULL AND s.o_custkey IS NOT NULL AND s.n >= 8)
 """
 
+ORACLE["merge_files"] = ORACLE["merge_clauses"]
+ORACLE["update_files"] = ORACLE["update_where"]
+ORACLE["delete_files"] = ORACLE["delete_where"]
+ORACLE["compound_zones"] = ORACLE["compound"]
+
 ORACLE["copy_roundtrip"] = "SELECT * FROM customer"
 ORACLE["export_restore"] = "SELECT * FROM customer"
 ORACLE["checked_load"] = "SELECT * FROM customer"

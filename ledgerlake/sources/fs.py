@@ -90,3 +90,9 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes below a path; 0 if there is none."""
     fs, p = _jfs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def signature(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a file or of the files in a folder: changes when they are written anew."""
+    fs, p = _jfs(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))) if fs.exists(p) else ()
