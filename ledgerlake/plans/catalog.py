@@ -380,6 +380,37 @@ def export_restore(spark, d):
     return restored["customer"]
 
 
+@query("restore_catalog")
+def restore_catalog(spark, d):
+    """S11 into a database of the catalog; the tables that were not asked for stay absent."""
+    import uuid
+    from ledgerlake.sources.bucketed import restore_tables
+    from ledgerlake.sources.io import export_schema
+    path, db = _scratch(spark, "export"), f"restored_{uuid.uuid4().hex[:8]}"
+    export_schema(spark, {n: _t(spark, d, n) for n in ("customer", "nation", "region")}, path)
+    restore_tables(spark, path, ["nation", "region"], db)
+    names = sorted(t.name for t in spark.catalog.listTables(db))
+    rows = spark.table(f"{db}.nation").join(spark.table(f"{db}.region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.select("n_name", "r_name", F.lit(",".join(names)).alias("tables"))
+
+
+@query("bucketed_join")
+def bucketed_join(spark, d):
+    """Orders and lines bucketed by the order's key, joined and summed without a shuffle."""
+    from ledgerlake.sources.bucketed import save_bucketed
+    o = save_bucketed(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"], 8)
+    li = save_bucketed(_t(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("int").alias("qty")), ["l_orderkey"], 8)
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey", "o_custkey", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("total_qty"))
+
+
+@query("tree_diff")
+def tree_diff_q(spark, d):
+    """V1 by digests: only ranges that differ are compared row by row."""
+    from ledgerlake.operators.digests import tree_diff
+    return tree_diff(_t(spark, d, "orders"), update_where(spark, d), ["o_orderkey"])
+
+
 @query("table_diff")
 def table_diff_q(spark, d):
     from ledgerlake.operators.checks import table_diff
@@ -642,6 +673,20 @@ def as_of_view(spark, d):
                  F.col("commit_ts") <= F.lit(AS_OF).cast("timestamp_ntz"))
 
 
+@query("as_of_archive")
+def as_of_archive(spark, d):
+    """M7 from stored states: the account table as of the last change up to a time, from the nearest state before it."""
+    from ledgerlake.sources.archive import LogArchive
+    log = domain.event_log(_t(spark, d, "events"))
+    low, high, n = log.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1))).first()
+    archive = LogArchive(spark, _scratch(spark, "archive"), every=1 + (n or 0) // 5).create(domain.account_base(spark, d), log.schema)
+    half = (low + high) // 2 if n else 0
+    archive.append(log.where(F.col("seq") <= half))
+    archive.append(log.where(F.col("seq") > half))
+    upto = log.where(F.col("commit_ts") <= F.lit(AS_OF).cast("timestamp_ntz")).agg(F.max("seq")).first()[0]
+    return archive.as_of(-1 if upto is None else upto)
+
+
 @query("merged_replicas")
 def merged_replicas(spark, d):
     from ledgerlake.operators.changes import apply_changes
@@ -740,24 +785,42 @@ def ledger_running(spark, d):
 
 
 # ------------------------------------------------------------------ reports
+def _log_text(spark, d, name):
+    """Folder of a stored text log."""
+    lines = {"checkpoints": loglines.checkpoint_lines, "locks": loglines.lock_lines, "progress": loglines.progress_lines}[name]
+    return _built(spark, d, f"log_{name}", lambda p: lines(_t(spark, d, "events")).write.text(p), "events")
+
+
+def _samples(spark, d):
+    path = _built(spark, d, "log_samples", lambda p: loglines.wal_samples(_t(spark, d, "events")).write.parquet(p), "events")
+    return spark.read.schema("source string, sample_ts timestamp_ntz, lsn_position string").parquet(path)
+
+
 @query("log_volume")
 def log_volume(spark, d):
     from ledgerlake.operators import reports
-    v = reports.log_volume(loglines.wal_samples(_t(spark, d, "events")))
-    return v.drop("source")
+    return reports.log_volume(_samples(spark, d)).drop("source")
 
 
 @query("log_summary")
 def log_summary(spark, d):
     from ledgerlake.operators import reports
-    v = reports.log_volume(loglines.wal_samples(_t(spark, d, "events")))
-    return reports.log_volume_summary(v)
+    return reports.log_volume_summary(reports.log_volume(_samples(spark, d)))
+
+
+@query("log_summary_at")
+def log_summary_at(spark, d):
+    """The windows before a given time."""
+    import datetime as dt
+    from ledgerlake.operators import reports
+    return reports.log_volume_summary(reports.log_volume(_samples(spark, d)).where(F.col("sample_ts") <= F.lit(dt.datetime(2024, 1, 15))),
+                                      now=dt.datetime(2024, 1, 15))
 
 
 @query("checkpoints")
 def checkpoints(spark, d):
     from ledgerlake.operators import reports
-    return reports.checkpoint_report(loglines.checkpoint_lines(_t(spark, d, "events")), 1800)
+    return reports.checkpoint_report(reports.read_log(spark, _log_text(spark, d, "checkpoints")), 1800)
 
 
 @query("checkpoint_summary")
@@ -769,7 +832,14 @@ def checkpoint_summary(spark, d):
 @query("lock_waits")
 def lock_waits(spark, d):
     from ledgerlake.operators import reports
-    return reports.lock_waits(loglines.lock_lines(_t(spark, d, "events")))
+    return reports.lock_waits(reports.read_log(spark, _log_text(spark, d, "locks")))
+
+
+@query("log_records")
+def log_records(spark, d):
+    """Whole records of the stored lock log."""
+    from ledgerlake.operators.logrecords import log_records as records
+    return records(spark, _log_text(spark, d, "locks")).select("ts", "pid", "level", "message", "detail", "statement")
 
 
 @query("chains")
@@ -781,7 +851,7 @@ def chains(spark, d):
 @query("load_report")
 def load_report(spark, d):
     from ledgerlake.operators import reports
-    return reports.load_report(loglines.progress_lines(_t(spark, d, "events")), "click")
+    return reports.load_report(reports.read_log(spark, _log_text(spark, d, "progress")), "click")
 
 
 # ------------------------------------------------------------------ streams (M2, M4, M8)
@@ -878,6 +948,27 @@ def _replica_in_batches(spark, d):
     return table
 
 
+@query("subscribed_replicas")
+def subscribed_replicas(spark, d):
+    """Two publishers in one reader, each copied at a position of its log and followed from there."""
+    from ledgerlake.streaming.subscribe import Reader, follow_folders, take_snapshot
+    root, ev = _scratch(spark, "subscribed"), _t(spark, d, "events")
+    empty = domain.account_base(spark, d).where(F.lit(False))
+    kinds = F.col("event_type").isin("click", "view")
+    logs = {"node1": domain.event_log(ev.where(kinds)), "node2": domain.event_log(ev.where(~kinds))}
+    middle = _middle_event(spark, d)
+    reader = Reader(spark, f"{root}/reader", empty.schema, ["account_id"])
+    for name, log in logs.items():
+        log.where(F.col("seq") < middle).write.parquet(f"{root}/{name}")
+        take_snapshot(empty, spark.read.schema(log.schema).parquet(f"{root}/{name}"), f"{root}/copy-{name}")
+        log.where(F.col("seq") >= middle).write.mode("append").parquet(f"{root}/{name}")
+        reader.add(name, f"{root}/copy-{name}")
+    schema = next(iter(logs.values())).schema
+    if errors := {n: e for n, e in follow_folders(reader, {n: f"{root}/{n}" for n in logs}, schema).items() if e}:
+        raise RuntimeError(str(errors))
+    return reader.table.read()
+
+
 @query("replica_batches")
 def replica_batches(spark, d):
     return _replica_in_batches(spark, d).read()

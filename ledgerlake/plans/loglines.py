@@ -1,5 +1,5 @@
-"""Server log lines, sampler tables and wait edges rendered from the driver's ``events`` table, so that the
-reports run on input that grows with the tables."""
+"""Server log lines, sampler tables and wait edges from the driver's ``events`` table, so that the reports run on input
+that grows with the tables.  The queries store the text once and read it from there."""
 
 from __future__ import annotations
 
@@ -39,7 +39,7 @@ def checkpoint_lines(events: DataFrame) -> DataFrame:
 
 
 def lock_lines(events: DataFrame) -> DataFrame:
-    """Three lines per lock wait ('error' events): still waiting + DETAIL at
+    """The lines per lock wait ('error' events): still waiting, DETAIL and a STATEMENT of two lines at
     the event time, acquired after the wait.  Even events wait for a transaction,
     odd ones for a tuple; every third one for two holders."""
     pid = (F.col("event_id") + 1000).cast("string")
@@ -60,6 +60,7 @@ def lock_lines(events: DataFrame) -> DataFrame:
     log = F.array(
         line(F.col("ts"), "LOG", F.lit("process "), pid, F.lit(" still waiting for "), lock, F.lit(" after 100.000 ms")),
         line(F.col("ts"), "DETAIL", holders, pid, F.lit(".")),
+        line(F.col("ts"), "STATEMENT", F.lit("update accounts set n = n + 1\n\twhere id = "), F.col("user_id").cast("string"), F.lit(";")),
         line(acq_ts, "LOG", F.lit("process "), pid, F.lit(" acquired "), lock, F.lit(" after "), wait_ms.cast("string"), F.lit(".250 ms")))
     return e.select(F.explode(log).alias("value"))
 

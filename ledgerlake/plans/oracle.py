@@ -594,3 +594,34 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem f WHERE f.l_linestatus = 'F' AND f.l_pa
 ORACLE["substring_first"] = """
 SELECT substr(c_mktsegment, 1, 1) AS letter, substr(c_name, 1, 4) AS start, count(*) AS n FROM customer GROUP BY ALL
 """
+
+ORACLE["tree_diff"] = ORACLE["table_diff"]
+ORACLE["restore_catalog"] = """
+SELECT n_name, r_name, 'nation,region' AS tables FROM nation JOIN region ON n_regionkey = r_regionkey
+"""
+ORACLE["bucketed_join"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_qty
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL
+"""
+ORACLE["log_records"] = """
+WITH w AS (SELECT *, event_id + 1000 AS pid,
+                  CASE WHEN event_id % 2 = 1 THEN 'ExclusiveLock on tuple (0,' || (event_id % 100) || ') of relation 16388 of database 16385'
+                       ELSE 'ShareLock on transaction ' || (event_id + 4545000) END AS lock,
+                  CAST(floor(value * 1000) AS BIGINT) AS more
+           FROM events WHERE event_type = 'error')
+SELECT date_trunc('millisecond', ts) AS ts, pid, 'LOG' AS level, 'process ' || pid || ' still waiting for ' || lock || ' after 100.000 ms' AS message,
+       CASE WHEN event_id % 3 = 0 THEN 'Processes holding the lock: ' || (user_id + 1000) || ', 999. Wait queue: '
+            ELSE 'Process holding the lock: ' || (user_id + 1000) || '. Wait queue: ' END || pid || '.' AS detail,
+       'update accounts set n = n + 1' || chr(10) || chr(9) || 'where id = ' || user_id || ';' AS statement
+FROM w
+UNION ALL
+SELECT date_trunc('millisecond', ts) + to_milliseconds(more), pid, 'LOG',
+       'process ' || pid || ' acquired ' || lock || ' after ' || (more + 100) || '.250 ms', NULL, NULL
+FROM w
+"""
+ORACLE["log_summary_at"] = ORACLE["log_summary"].replace(
+    "date_diff('second', v.sample_ts, (SELECT max(sample_ts) FROM v)) < w.secs",
+    "v.sample_ts <= TIMESTAMP '2024-01-15' AND date_diff('second', v.sample_ts, TIMESTAMP '2024-01-15') < w.secs")
+ORACLE["subscribed_replicas"] = ORACLE["merged_replicas"]
+# commit times grow with positions only in part: the last position of a time has earlier ones after it
+ORACLE["as_of_archive"] = _replica("WHERE event_id <= (SELECT max(event_id) FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00')")

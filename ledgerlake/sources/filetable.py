@@ -69,8 +69,9 @@ class FileTable:
         return v
 
     # ------------------------------------------------------------ writing
-    def _stage(self, rows: DataFrame, schema: T.StructType, zones: Sequence[str], order: Sequence[str] = (), files: int | None = None) -> DataFrame:
-        """Write rows to new files; returns their entries."""
+    def _stage(self, rows: DataFrame, schema: T.StructType, zones: Sequence[str], order: Sequence[str] = (), files: int | None = None,
+               as_is: bool = False) -> DataFrame:
+        """Write rows to new files, with ``as_is`` one a partition that has rows; returns their entries."""
         folder = f"{self.root}/data={uuid.uuid4().hex[:12]}"
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         if order:
@@ -79,7 +80,7 @@ class FileTable:
             rows = rows.repartitionByRange(*cut).sortWithinPartitions("_z").drop("_z")
         elif files:
             rows = rows.repartition(files)
-        else:
+        elif not as_is:
             rows = rows.hint("rebalance")
         rows.write.option("compression", "zstd").parquet(folder)
         back = self.spark.read.schema(schema).parquet(folder)
@@ -103,14 +104,18 @@ class FileTable:
         self._publish(self._stage(rows, schema, zones, order, files), schema, zones)
         return self
 
-    def _replace(self, gone: Sequence[str], rows: DataFrame) -> int:
+    def _replace(self, gone: Sequence[str], rows: DataFrame, as_is: bool = False) -> int:
         """Put ``rows`` in the place of some files; the others keep their names."""
         c = self._commit(None)
         schema = T.StructType.fromJson(c["schema"])
-        new = self._stage(rows, schema, c["zones"])
+        new = self._stage(rows, schema, c["zones"], as_is=as_is)
         dropped = self.spark.createDataFrame([(f,) for f in gone], "file string")
         return self._publish(self.files().join(dropped, "file", "left_anti").unionByName(new), schema, c["zones"])
 
+    def append(self, rows: DataFrame, as_is: bool = False) -> int:
+        """Add rows in files of their own, with ``as_is`` one a partition."""
+        return self._replace([], rows, as_is)
+
     # ------------------------------------------------------------ reading
     def candidates(self, within: Mapping[str, tuple], version: int | None = None) -> list[str]:
         """Names of the files whose zones overlap all of the closed ranges; None is an open end.  Columns without

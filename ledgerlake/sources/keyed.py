@@ -14,7 +14,8 @@ rewrites a bounded share for each byte that came in.
 
 ``root/_commits/N`` makes version N visible, renamed into place and never replaced.  Most commits name
 their delta only; at least each ``FULL_EVERY``-th lists all folders, so what a small batch writes does not grow with
-the table.  A batch number at or below the last one committed is skipped, so retries do nothing.
+the table.  Each source that writes has a mark of its own in the commits: a batch number (or position) at or
+below the source's last one is skipped, so retries do nothing.
 """
 
 from __future__ import annotations
@@ -42,14 +43,20 @@ MAX_DELTAS = 50
 
 @dataclass(frozen=True)
 class State:
-    """What a version consists of: ``base`` is bucket -> (folder, bytes); ``deltas`` are (folder, {bucket: bytes})."""
+    """What a version consists of: ``marks`` is source -> last batch; ``base`` is bucket -> (folder, bytes);
+    ``deltas`` are (folder, {bucket: bytes})."""
 
     version: int
     buckets: int
-    batch: int
+    marks: dict[str, int] = field(default_factory=dict)
     base: dict[str, tuple[str, int]] = field(default_factory=dict)
     deltas: tuple[tuple[str, dict[str, int]], ...] = ()
 
+    @property
+    def batch(self) -> int:
+        """Last batch of a table's only source."""
+        return self.marks.get("", -1)
+
     def delta_bytes(self) -> dict[str, tuple[int, int]]:
         """Bucket -> (bytes, number) of its deltas."""
         out: dict[str, tuple[int, int]] = {}
@@ -105,13 +112,13 @@ class KeyedTable:
             c = self._commit(n)
             if "base" in c:
                 deltas = [(f, s) for f, s in c["deltas"]] + [tuple(x["delta"]) for x in reversed(later)]
-                return State(seqs[-1], c["buckets"], later[0]["batch"] if later else c["batch"],
+                return State(seqs[-1], c["buckets"], later[0]["marks"] if later else c["marks"],
                              {b: (f, s) for b, (f, s) in c["base"].items()}, tuple(deltas))
             later.append(c)
         raise FileNotFoundError(f"version {seqs[-1]} under {self.root} was vacuumed")
 
     def _list_all(self, s: State) -> None:
-        self._publish(s.version, {"buckets": s.buckets, "batch": s.batch, "base": s.base, "deltas": s.deltas})
+        self._publish(s.version, {"buckets": s.buckets, "marks": s.marks, "base": s.base, "deltas": s.deltas})
 
     # ------------------------------------------------------------ writing
     def _write(self, rows: DataFrame, buckets: int, kind: str) -> tuple[str, dict[str, int]]:
@@ -132,28 +139,28 @@ class KeyedTable:
         if not fs.exists(self.spark, f"{self.root}/_table"):
             fs.write_text(self.spark, f"{self.root}/_table", json.dumps({"schema": json.loads(schema.json()), "keys": list(keys), "rule": rule}))
         folder, sizes = self._write(rows, buckets, "base")
-        self._list_all(State(0, buckets, -1, {b: (folder, n) for b, n in sizes.items()}))
+        self._list_all(State(0, buckets, {}, {b: (folder, n) for b, n in sizes.items()}))
         return self
 
-    def append(self, rows: DataFrame, batch: int | None = None, truncate: bool = False) -> int:
+    def append(self, rows: DataFrame, batch: int | None = None, truncate: bool = False, source: str = "") -> int:
         """Commit a batch: rows of the table's columns, one a key at the most for the rule ``last``, where a
         boolean column ``GONE`` marks tombstones.  With ``truncate`` the table is emptied first.
-        Returns the version; a batch that is in already changes nothing."""
+        Returns the version; a batch of the source that is in already changes nothing."""
         s, info = self.state(), self.info()
-        if batch is not None and batch <= s.batch:
+        if batch is not None and batch <= s.marks.get(source, batch - 1):
             return s.version
         version = s.version + 1
         gone = F.coalesce(F.col(GONE), F.lit(False)) if GONE in rows.columns else F.lit(False)
         schema = T.StructType.fromJson(info["schema"])
         delta = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], gone.alias(GONE), F.lit(version).cast("long").alias(VERSION))
         written = self._write(delta, s.buckets, "delta")
-        new = replace(s, version=version, batch=s.batch if batch is None else batch, deltas=(*s.deltas, written))
+        new = replace(s, version=version, marks=s.marks if batch is None else {**s.marks, source: batch}, deltas=(*s.deltas, written))
         if truncate:
             self._list_all(replace(new, base={}, deltas=(written,)))
         elif version % FULL_EVERY == 0:
             self._list_all(new)
         else:
-            self._publish(version, {"delta": written, "batch": new.batch})
+            self._publish(version, {"delta": written, "marks": new.marks})
         return version
 
     # ------------------------------------------------------------ reading
@@ -222,7 +229,7 @@ class KeyedTable:
         folder, sizes = self._write(self.read(s.version, due), buckets, "base")
         base = {b: x for b, x in s.base.items() if b not in due} | {b: (folder, n) for b, n in sizes.items()}
         left = [(f, {b: n for b, n in sizes.items() if b not in due}) for f, sizes in s.deltas]
-        self._list_all(State(s.version + 1, buckets, s.batch, base, tuple((f, x) for f, x in left if x)))
+        self._list_all(State(s.version + 1, buckets, s.marks, base, tuple((f, x) for f, x in left if x)))
         return s.version + 1
 
     def vacuum(self) -> None:
