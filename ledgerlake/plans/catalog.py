@@ -639,7 +639,7 @@ def hash_part(spark, d):
 @query("mart_delta")
 def mart_delta(spark, d):
     from ledgerlake.operators import mart
-    return mart.mart_apply(spark, domain.mart_log(spark, d), mart.price_history(domain.goods(spark, d)), "delta")
+    return mart.mart_apply(spark, domain.mart_log(spark, d, ordered=False), mart.price_history(domain.goods(spark, d)), "delta")
 
 
 @query("mart_exact")
@@ -899,7 +899,7 @@ def mart_stream(spark, d):
     from ledgerlake.streaming.jobs import mart_stream as ms
     root = _scratch(spark, "mart_stream")
     prices = mart.price_history(domain.goods(spark, d))
-    return _in_batches(domain.mart_log(spark, d), _log_phases(), root,
+    return _in_batches(domain.mart_log(spark, d, ordered=False), _log_phases(), root,
                        lambda s: ms(spark, s, prices, f"{root}/mart", f"{root}/_checkpoint"))
 
 
