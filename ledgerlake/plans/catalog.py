@@ -296,6 +296,23 @@ def series_md5(spark, d):
     return keys.select("i", F.md5(F.col("i").cast("string")).alias("h"))
 
 
+@query("synth_rows")
+def synth_rows(spark, d):
+    """As many made-up rows as the orders' keys reach, joined to the orders."""
+    from ledgerlake.sources.tables import synth_rows as synth
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    rows = synth(spark, 1, o.agg(F.coalesce(F.max("o_orderkey"), F.lit(0))).first()[0])
+    return rows.join(o, rows.id == o.o_orderkey).select("id", "random_text", "o_custkey")
+
+
+@query("views_sql")
+def views_sql(spark, d):
+    """the driver tables as views, read by a qualified query."""
+    from ledgerlake.sources.tables import register_views
+    register_views(spark, d, ["customer", "nation"])
+    return spark.sql("SELECT n.n_name, count(*) AS customers FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name")
+
+
 # ------------------------------------------------------------------ DML (T)
 @query("update_where")
 def update_where(spark, d):
@@ -610,6 +627,23 @@ def merge_files(spark, d):
     return t.read()
 
 
+@query("read_sound")
+def read_sound(spark, d):
+    """V7: a table by file from which the files of one load are lost: what is left is read, and the report names as many
+    lost rows as the load had."""
+    from ledgerlake.sources import fs
+    from ledgerlake.sources.filetable import FileTable
+    o = _t(spark, d, "orders")
+    t = FileTable(spark, _scratch(spark, "read_sound")).create(o.where(F.col("o_orderstatus") != "P"), ["o_orderkey"])
+    sound = {r.file for r in t.files().select("file").collect()}
+    t.append(o.where(F.col("o_orderstatus") == "P"))
+    for name in {r.file for r in t.files().select("file").collect()} - sound:
+        fs.delete(spark, f"{t.root}/{name}")
+    rows, report = t.read_sound()
+    lost = report.agg(F.coalesce(F.sum(F.col("rows") - F.col("rows_read")), F.lit(0)).alias("lost"))
+    return rows.crossJoin(F.broadcast(lost))       # one row by construction
+
+
 @query("moved_rows")
 def moved_rows(spark, d):
     t = _write_orders(spark, d, _scratch(spark, "orders_moved"))

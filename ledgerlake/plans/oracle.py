@@ -625,3 +625,10 @@ ORACLE["log_summary_at"] = ORACLE["log_summary"].replace(
 ORACLE["subscribed_replicas"] = ORACLE["merged_replicas"]
 # commit times grow with positions only in part: the last position of a time has earlier ones after it
 ORACLE["as_of_archive"] = _replica("WHERE event_id <= (SELECT max(event_id) FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00')")
+ORACLE["synth_rows"] = """
+SELECT CAST(o_orderkey AS INTEGER) AS id, md5(CAST(o_orderkey AS VARCHAR)) AS random_text, o_custkey FROM orders WHERE o_orderkey >= 1
+"""
+ORACLE["views_sql"] = "SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"
+ORACLE["read_sound"] = """
+SELECT *, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS lost FROM orders WHERE o_orderstatus <> 'P'
+"""
