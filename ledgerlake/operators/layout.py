@@ -79,6 +79,16 @@ def _trigrams(text: Column) -> Column:
     return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
 
 
+def text_trigrams(text: Column) -> Column:
+    """The trigrams by which an index knows a text."""
+    return _trigrams(text)
+
+
+def pattern_trigrams(spark: SparkSession, pattern: str) -> list[int]:
+    """A pattern's trigrams (bounded by its length), folded by the same expression as an index."""
+    return list(spark.range(1).select(_trigrams(F.lit(pattern))).first()[0])
+
+
 #: Folders of a written index, by trigram; a lookup opens only those of its trigrams.
 BUCKETS = 64
 
@@ -114,9 +124,8 @@ def trigram_search(spark: SparkSession, index: DataFrame, df: DataFrame, key: st
     """
     if len(pattern) < 3:
         return df.where(F.col(col).contains(pattern))
-    # the pattern's trigrams (bounded by its length), folded by the same Spark
-    # expression as the index, become a literal IN filter pushed into the scan
-    grams = spark.range(1).select(_trigrams(F.lit(pattern))).first()[0]
+    # a literal IN filter pushed into the scan
+    grams = pattern_trigrams(spark, pattern)
     hits = index.where(F.col("bucket").isin(sorted({g % BUCKETS for g in grams})) & F.col("tri").isin(grams))
     cand = (hits.groupBy(key).agg(F.count(F.lit(1)).alias("have"))
             .where(F.col("have") == len(grams)).select(key))

@@ -511,6 +511,24 @@ def trigram_find(spark, d):
     return trigram_search(spark, index, docs, "doc_id", "text", "mentoi").select("doc_id")
 
 
+#: Substrings that ``trigram_appended`` looks for: rare, common, with blanks, folded.
+PATTERNS = ("mentoi", "tion", "a b", "Ent", "zzyqx")
+
+
+@query("trigram_appended")
+def trigram_appended(spark, d):
+    """T8 under upkeep: a first load and three batches, found through the parts of the index."""
+    from functools import reduce
+
+    from ledgerlake.sources.gramindex import GramIndex
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    index = GramIndex(spark, _scratch(spark, "grams"), "doc_id", "text")
+    turn = F.pmod(F.xxhash64("doc_id"), F.lit(12))      # 9, 1, 1 and 1 of twelve shares
+    for batch in (turn < 9, turn == 9, turn == 10, turn == 11):
+        index.append(docs.where(batch))
+    return reduce(DataFrame.unionByName, [index.search(docs, p).select(F.lit(p).alias("pattern"), "doc_id") for p in PATTERNS])
+
+
 # ------------------------------------------------------------------ partitions
 def _order_spec():
     import datetime as dt

@@ -265,6 +265,9 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
 ORACLE["upper_layout"] = "SELECT * FROM customer WHERE upper(c_name) = upper('customer#000000042')"
+ORACLE["trigram_appended"] = """
+SELECT pattern, doc_id FROM documents, (VALUES ('mentoi'), ('tion'), ('a b'), ('Ent'), ('zzyqx')) AS p(pattern)
+WHERE contains(text, pattern)"""
 ORACLE["trigram_find"] = "SELECT doc_id FROM documents WHERE text LIKE '%mentoi%'"
 
 ORACLE["range_part"] = """
