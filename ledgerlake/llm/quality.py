@@ -2,9 +2,10 @@
 
 One logistic regression sees what a text looks like, the other only what is known about the page
 (source, language, size).  Both start from the labelled documents; in each round a view hands the
-pool's documents that it is sure about to the other view as pseudo-labels.  At the end both views
-are calibrated on labelled documents that neither was trained on, and a last regression over the two
-calibrated logits gives the score.
+pool's documents that it is surest about, of each class by rank, to the other view as pseudo-labels.  A
+pseudo-label weighs as much as its giver ranks held-out documents better than chance, so a view that
+knows little teaches little.  At the end both views are calibrated on labelled documents that neither
+was trained on, and a last regression over the two calibrated logits gives the score.
 
 Scale: the fit sees at most ``MAX_LABELLED`` labelled documents and a pool of ``POOL`` unlabelled
 ones, chosen by the hash of their id; their feature rows are collected, whatever the corpus' size.
@@ -26,8 +27,8 @@ from ledgerlake.llm.common import first_by_hash
 #: Bounds of what is collected to fit the classifier: documents with a label, and without one.
 MAX_LABELLED, POOL = 8000, 4000
 ROUNDS = 4
-#: A view hands on what it gives at most 1 - SURE or at least SURE.
-SURE = 0.97
+#: One of so many pool documents more a round is handed on by each view, in the classes' proportion.
+HANDED = 16
 THRESHOLD = 0.5
 META_BUCKETS = 32
 
@@ -87,18 +88,19 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 12) -> Linear:
-    """Newton steps for the penalised likelihood."""
+def fit_linear(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 12, weight: np.ndarray | None = None) -> Linear:
+    """Newton steps for the penalised likelihood of weighted rows."""
     x, y = x.astype(float), y.astype(float)
     mean, scale = x.mean(0), x.std(0) + 1e-3
+    weight = np.ones(len(x)) if weight is None else weight
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     ridge = np.full(z.shape[1], penalty)
     ridge[-1] = 1e-6
     for _ in range(steps):
         p = sigmoid(z @ w)
-        curve = (z * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ z + np.diag(ridge)
-        w = w - np.linalg.solve(curve, z.T @ (p - y) + ridge * w)
+        curve = (z * (weight * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ z + np.diag(ridge)
+        w = w - np.linalg.solve(curve, z.T @ (weight * (p - y)) + ridge * w)
     return Linear(mean, scale, w[:-1], float(w[-1]))
 
 
@@ -107,6 +109,8 @@ class Model(NamedTuple):
     meta: Linear
     calibrate: tuple[Linear, Linear]
     combine: Linear
+    #: Pseudo-labels (of class 0, of class 1) that the text and the metadata view were fitted on.
+    handed: tuple[tuple[int, int], tuple[int, int]] = ((0, 0), (0, 0))
 
     def views(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probability of each view, and the combined score."""
@@ -114,7 +118,25 @@ class Model(NamedTuple):
         return sigmoid(logits[0]), sigmoid(logits[1]), sigmoid(self.combine.logit(np.clip(np.stack(logits, 1), -12, 12)))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray) -> Model | None:
+def ranking(score: np.ndarray, y: np.ndarray) -> float:
+    """How much better than chance a score tells the classes apart: 1 always, 0 as chance does or worse."""
+    rank = pd.Series(score).rank().to_numpy()
+    ones = y > 0.5
+    n1, n0 = ones.sum(), (~ones).sum()
+    area = (rank[ones].sum() - n1 * (n1 + 1) / 2) / (n1 * n0)
+    return float(max(0.0, 2 * area - 1))
+
+
+def surest(score: np.ndarray, count: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the least and of the greatest scores, ``count`` at the most together and at least one of
+    each if there are two, ``share`` of them greatest; ties in the order given."""
+    count = min(count, len(score))
+    ones = min(max(round(count * share), 1), max(count - 1, 0))
+    order = np.argsort(score, kind="stable")
+    return order[:count - ones], order[len(order) - ones:]
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, handed: int = HANDED) -> Model | None:
     """``label`` is 1, 0 or NaN (pool).  None without both classes."""
     known = ~np.isnan(label)
     if len(set(label[known])) < 2:
@@ -124,22 +146,25 @@ def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray) -> Model | N
     train = np.setdiff1d(order, held) if len(held) < len(order) else order
     pool = np.flatnonzero(~known)
     views = (text, meta)
-    given = [{}, {}]  # pseudo-labels that each view got
+    nothing = np.zeros(0, int)
+    given = [(nothing, nothing, 0.0)] * 2     # documents of class 0 and 1 that each view got, and their weight
     models: list[Linear] = []
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS + 1):
         models = []
-        for x, extra in zip(views, given):
-            rows = np.concatenate([train, np.array(sorted(extra), dtype=int)])
-            models.append(fit_linear(x[rows], np.concatenate([label[train], [extra[k] for k in sorted(extra)]])))
-        for me, other in ((0, 1), (1, 0)):
-            # sure of itself, and right about it: judged on what the view was not trained on
-            scale = fit_linear(models[me].logit(views[me][held])[:, None], label[held])
-            p = sigmoid(scale.logit(models[me].logit(views[me][pool])[:, None])) if len(pool) else np.zeros(0)
-            given[other] = {int(k): float(q >= SURE) for k, q in zip(pool, p) if q >= SURE or q <= 1 - SURE}
+        for x, (zeros, ones, weight) in zip(views, given):
+            rows = np.concatenate([train, zeros, ones])
+            y = np.concatenate([label[train], np.zeros(len(zeros)), np.ones(len(ones))])
+            models.append(fit_linear(x[rows], y, weight=np.where(np.arange(len(rows)) < len(train), 1.0, weight)))
+        if turn < ROUNDS:
+            for me, other in ((0, 1), (1, 0)):
+                low, high = surest(models[me].logit(views[me][pool]), len(pool) * (turn + 1) // handed, label[train].mean())
+                # how far a view is to be trusted shows on what it was not trained on
+                given[other] = (pool[low], pool[high], ranking(models[me].logit(views[me][held]), label[held]))
     raw = [m.logit(x[held]) for m, x in zip(models, views)]
     scales = [fit_linear(r[:, None], label[held]) for r in raw]
     both = np.clip(np.stack([s.logit(r[:, None]) for s, r in zip(scales, raw)], 1), -12, 12)
-    return Model(models[0], models[1], (scales[0], scales[1]), fit_linear(both, label[held]))
+    return Model(models[0], models[1], (scales[0], scales[1]), fit_linear(both, label[held]),
+                 tuple((len(zeros), len(ones)) for zeros, ones, _ in given))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
@@ -199,7 +224,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **bound
     ``score`` is the probability of good quality, ``kept`` says that it is at least ``THRESHOLD``.
     A null text counts as empty, null metadata are a value of their own.  Without labels of both
     classes every score is the threshold and every document is kept.  Of a repeated id in ``labels``
-    the larger label counts; repeated documents are scored each.
+    the larger label counts; repeated documents are scored each.  Texts are read whole, however long;
+    an empty table gives no rows, and further columns of any name are not read.
     """
     model = fit(docs, labels, id_col=id_col, **bounds)
     return docs.select(F.col(id_col), scorer(docs, model).alias("judged")).select(

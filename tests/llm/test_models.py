@@ -56,6 +56,53 @@ def test_views_teach_each_other():
     assert quality.co_train(text, meta, np.full(600, np.nan)) is None
 
 
+def test_each_view_receives_labels_of_both_classes():
+    """Also from a view that is never sure, and such a view does not spoil the other."""
+    rng = np.random.default_rng(5)
+    y = (rng.random(3000) < 0.85).astype(float)
+    text = rng.normal(size=(3000, 6)) + 2.5 * y[:, None] * (np.arange(6) < 2)
+    meta = rng.normal(size=(3000, 5)) + 0.1 * y[:, None]
+    label = y.copy()
+    label[600:] = np.nan
+    model = quality.co_train(text, meta, label)
+    for zeros, ones in model.handed:
+        assert zeros > 50 and ones > 50 and zeros + ones == 2400 * quality.ROUNDS // quality.HANDED
+    assert all(zeros and ones for zeros, ones in quality.co_train(text[:640], meta[:640], label[:640]).handed)
+    t, m, s = model.views(text[600:], meta[600:])
+    alone = quality.fit_linear(text[:600], y[:600])
+    right = ((alone.logit(text[600:]) > 0) == y[600:]).mean()
+    assert ((s > 0.5) == y[600:]).mean() > right - 0.01
+    # texts' labels tell the metadata view more than its own
+    own = quality.fit_linear(meta[:600], y[:600])
+    assert quality.ranking(m, y[600:]) > quality.ranking(own.logit(meta[600:]), y[600:]) - 0.01
+
+
+def test_surest_and_ranking():
+    low, high = quality.surest(np.array([0.5, 0.1, 0.9, 0.1, 0.7]), 3, 0.4)
+    assert list(low) == [1, 3] and list(high) == [2]
+    for count in range(4):
+        low, high = quality.surest(np.array([2.0, 1.0]), count, 0.99)
+        assert len(low) + len(high) == min(count, 2) and not set(low) & set(high)
+    assert quality.surest(np.zeros(0), 5, 0.5)[0].size == 0
+    y = np.array([0, 0, 1, 1.0])
+    assert quality.ranking(np.array([1, 2, 3, 4.0]), y) == 1 and quality.ranking(np.array([4, 3, 2, 1.0]), y) == 0
+    assert quality.ranking(np.ones(4), y) == 0
+
+
+def test_weighted_rows_count_as_repeated_ones():
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(60, 2)), (rng.random(60) < 0.5).astype(float)
+    twice = quality.fit_linear(np.concatenate([x, x]), np.concatenate([y, y]))
+    assert np.allclose(twice.weights, quality.fit_linear(x, y, weight=np.full(60, 2.0)).weights)
+
+
+def test_quality_of_long_repeated_and_tied_rows(spark):
+    rows, labels = good_and_bad(80)
+    rows += [(300, "word " * 60_000), (301, rows[0][1]), (301, rows[0][1])]
+    out = quality.classify(documents(spark, rows, extra=True), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(out) == 83 and len({r.score for r in out if r.doc_id in (301,)}) == 1
+
+
 def test_gradients_by_difference():
     net = langid.Net(["a", "b"], hidden=3)
     for k in net.p:
