@@ -1,13 +1,14 @@
 """Near duplicates: an exact Jaccard self-join of shingle sets under several token orders.
 
 Texts with the same set are one class, so copies cost one aggregate.  Two classes can only be linked
-if their sets share tokens in their prefixes under *every* global order of the tokens.  The first order
-is a filter on classes and not on pairs: a class goes if it shares too little with all others together.
-Pairs of the classes that are left come from the second order alone:
+if their sets share tokens in their prefixes under *every* global order of the tokens.  Candidates come from
+the second order, and each has to share enough of its prefixes in the first one too before its sets are
+compared:
 
 1. Hash order.  With needed overlap c(n) = ceil(t n), the first n - c + l tokens of two linked sets
    share at least l tokens (l grows with n).  Classes whose prefix has fewer tokens that any other
-   class's prefix also has are out.
+   class's prefix also has are out; of the others the last such token is kept, which tells for any
+   token of the class whether it is in the prefix.
 2. Rarest first, by document frequency among the survivors.  Unshared tokens come first in that
    order, so a class with more than n - c of them is out; for the rest, the shared part of the
    prefix is what pairs are found by, and common passages are at the far end of it.
@@ -87,13 +88,28 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _tokens(texts: DataFrame, width: int) -> DataFrame:
-    """(cls, n, tokens) of rows (cls, n, z: compressed text)."""
+    """(cls, n, h, tokens) of rows (cls, n, h, z: compressed text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for _, data, offsets in text_chunks(unpress(batch.column(2))) for s in shingle_sets(data, offsets, width)]
-            yield _batch([batch.column(0), batch.column(1), _lists(sets)], ["cls", "n", "tokens"])
+            sets = [s for _, data, offsets in text_chunks(unpress(batch.column(3))) for s in shingle_sets(data, offsets, width)]
+            yield _batch([*batch.columns[:3], _lists(sets)], ["cls", "n", "h", "tokens"])
 
-    return texts.select("cls", "n", "z").mapInArrow(run, "cls long, n long, tokens array<long>")
+    return texts.select("cls", "n", "h", "z").mapInArrow(run, "cls long, n long, h long, tokens array<long>")
+
+
+def _place(token: Column) -> Column:
+    """A token's place in hash order: its 64 bits without a sign, as a number that compares alike."""
+    return token.bitwiseXOR(F.lit(-2 ** 63))
+
+
+def _agree() -> Column:
+    """Do the sets of a pair share as many tokens in their hash-order prefixes as linked sets must?
+
+    The prefix of a set is its tokens up to place h.  With overlap o >= c(n) both prefixes hold the first
+    n - o + l tokens of their sets for the lesser l of the two, which share l tokens at least."""
+    x = F.filter("ta", lambda token: _place(token) <= F.col("ha"))
+    y = F.filter("tb", lambda token: _place(token) <= F.col("hb"))
+    return F.size(F.array_intersect(x, y)) >= F.floor(F.least("na", "nb") / EXTRA) + 1
 
 
 def _enough(overlap: Column, percent: int, x: str = "x.n", y: str = "y.n") -> Column:
@@ -101,14 +117,19 @@ def _enough(overlap: Column, percent: int, x: str = "x.n", y: str = "y.n") -> Co
     return overlap * (100 + percent) >= (F.col(x) + F.col(y)) * percent
 
 
+def _sides(pairs: DataFrame, live: DataFrame) -> DataFrame:
+    """The sets of pairs (a, b)."""
+    x, y = (live.select(F.col("cls").alias(i), F.col("n").alias(f"n{i}"), F.col("h").alias(f"h{i}"), F.col("tokens").alias(f"t{i}"),
+                        F.col("few").alias(f"f{i}")) for i in "ab")
+    return pairs.join(x, "a").join(y.drop("fb"), "b")
+
+
 def _overlaps(pairs: DataFrame, live: DataFrame) -> DataFrame:
-    """(a, b, na, nb, o, oc, rc): sizes, overlap, overlap in tokens with a crowd, and a's other tokens
-    with a crowd."""
-    x = live.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"), F.col("few").alias("fa"))
-    y = live.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    """(a, b, na, nb, o, oc, rc): sizes, overlap (0 if the hash order rules a link out), overlap in tokens
+    with a crowd, and a's other tokens with a crowd."""
     crowd = F.slice("ta", F.col("fa") + 1, F.size("ta"))
-    both = pairs.join(x, "a").join(y, "b").withColumn("oc", F.size(F.array_intersect(crowd, "tb")))
-    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("o"), "oc",
+    both = _sides(pairs, live).withColumn("oc", F.size(F.array_intersect(crowd, "tb")))
+    return both.select("a", "b", "na", "nb", F.when(_agree(), F.size(F.array_intersect("ta", "tb"))).otherwise(0).alias("o"), "oc",
                        (F.size("ta") - F.col("fa") - F.col("oc")).alias("rc"))
 
 
@@ -116,6 +137,12 @@ def _links(overlaps: DataFrame, percent: int) -> DataFrame:
     return overlaps.where(_enough(F.col("o"), percent, "na", "nb")).select("a", "b")
 
 
+def _verified(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links; only those that both orders propose are compared."""
+    asked = _sides(pairs, live).where(_agree())
+    return _links(asked.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("o")), percent)
+
+
 def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
                crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """``docs`` carries the row id.  Returns (row id, n, cls) for every row, cls null without words, and
@@ -129,20 +156,20 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     postings = heads.select(F.col(RID).alias("cls"), "n", F.explode("prefix").alias("token"))
     shared = stored(postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token"), "sharedtokens")
     least = F.floor(F.ceil(F.col("n") * percent / 100) / EXTRA) + 1
-    first = by_key(postings, shared, "token", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")).where(
-        F.col("k") >= least).select("cls", "n")
+    first = by_key(postings, shared, "token", "left_semi").groupBy("cls", "n").agg(
+        F.count(F.lit(1)).alias("k"), F.max(_place(F.col("token"))).alias("h")).where(F.col("k") >= least).select("cls", "n", "h")
 
     # order 2: rarest first among the survivors
     texts = by_key(pressed(docs, text_col).withColumnRenamed(RID, "cls"), first, "cls")
     every = _tokens(texts, width)
     tokens = stored(every, "tokens")
     forget(sets, classes, shared)
-    each = tokens.select("cls", "n", F.explode("tokens").alias("token"))
+    each = tokens.select("cls", "n", "h", F.explode("tokens").alias("token"))
     df = stored(each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
     spare = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    live = by_key(each, df, "token").groupBy("cls", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")).withColumn(
+    live = by_key(each, df, "token").groupBy("cls", "n", "h").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")).withColumn(
         "u", F.col("n") - F.size("t")).where(F.col("u") <= spare).select(
-        "cls", "n", "u", F.col("t.token").alias("tokens"),
+        "cls", "n", "h", "u", F.col("t.token").alias("tokens"),
         F.size(F.filter("t", lambda t: t["df"] <= crowd)).alias("few"))  # tokens with few holders come first
     live = stored(live, "live")
     forget(tokens, df)
@@ -174,7 +201,7 @@ def near_links(docs: DataFrame, text_col: str = "text", width: int = WIDTH, perc
     far = crowded.alias("x").join(crowded.alias("y"), "token").where(cross & _enough(most, percent))
     ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
     pairs = near.select(*ends).unionByName(far.select(*ends)).distinct()
-    return members, links.unionByName(_links(_overlaps(pairs, live), percent))
+    return members, links.unionByName(_verified(pairs, live, percent))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -183,7 +210,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``component_id`` is the least id reachable by links, the row's own included (null ids are passed
     over, unless there is no other).  A null text, or one without words, has no shingles and is linked
-    with nothing.  ``kept`` marks one row of each component: its least id, the first row on ties.
+    with nothing.  ``kept`` marks one row of each component: its least id, the first row on ties.  Texts are
+    read whole, however long; an empty table gives no rows, and further columns of any name are not read.
     """
     docs = docs if RID in docs.columns else with_rid(docs)
     with Scratch() as parts:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import RID, stored, with_rid
 from ledgerlake.llm.exact import drop_exact, exact_groups
 from ledgerlake.llm.graph import components
-from ledgerlake.llm.ngrams import drop_near, near_groups
+from ledgerlake.llm.ngrams import EXTRA, _sides, _agree, _verified, drop_near, near_groups, needed
 from ledgerlake.llm.repeats import find_repeats, remove_repeats
 from ledgerlake.llm.suffix import suffix_array, types
 from tests.llm.helpers import documents, got, lower, prose, texts
@@ -75,6 +75,30 @@ def test_near_groups(spark, crowd):
     assert got(out, "doc_id", "n_shingles", "component_id") == near_rows(texts())
 
 
+def test_candidates_are_asked_for_both_orders(spark):
+    """A pair must agree on its hash-order prefixes before its sets are compared; no link is lost by that."""
+    rng = np.random.default_rng(8)
+    rows, sets = [], {}
+    base = rng.integers(0, 2 ** 64, 150, dtype=np.uint64)
+    for cls in range(60):
+        n = int(rng.integers(20, 140))
+        take = int(n * rng.choice([0.0, 0.1, 0.3, 0.95, 1.0]))
+        s = np.unique(np.concatenate([base[:take], rng.integers(0, 2 ** 64, n - take, dtype=np.uint64)]))
+        end = s[len(s) - needed(len(s)) + len(s) // EXTRA]
+        sets[cls] = set(s.tolist())
+        rows.append((cls, len(s), int(end ^ np.uint64(2 ** 63)) - (2 ** 64 if int(end ^ np.uint64(2 ** 63)) >= 2 ** 63 else 0),
+                     s.view(np.int64).tolist(), 0))
+    live = spark.createDataFrame(rows, "cls long, n long, h long, tokens array<long>, few int")
+    pairs = spark.createDataFrame([(a, b) for a in sets for b in sets if a < b], "a long, b long")
+    prefix = {cls: set(sorted(s)[:len(s) - needed(len(s)) + 1 + len(s) // EXTRA]) for cls, s in sets.items()}
+    agreed = {(r.a, r.b) for r in _sides(pairs, live).where(_agree()).collect()}
+    assert agreed == {(a, b) for a in sets for b in sets if a < b
+                      and len(prefix[a] & prefix[b]) >= 1 + min(len(sets[a]), len(sets[b])) // EXTRA}
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {(r.a, r.b) for r in _verified(pairs, live, 80).collect()} == linked
+    assert linked and linked < agreed and len(agreed) < 60 * 59 // 2
+
+
 def test_drop_near(spark):
     docs = documents(spark)
     out = drop_near(docs)
