@@ -6,13 +6,13 @@ the distributed aggregation, lag and join after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import idiv, lsn_to_long, rate_pretty, size_pretty
-from ledgerlake.operators.ordered import chunked_lag, ts_bucket
+from ledgerlake.operators.ordered import bucket, chunked_lag, ts_bucket
 
-DAY = 86400
+DAY, HOUR = 86400, 3600
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSS"
 
 # Trailing windows of the log-volume summary (label, seconds).
@@ -124,10 +124,13 @@ def lock_waits(lines: DataFrame) -> DataFrame:
         F.nullif(F.regexp_extract(value, r"Wait queue: ([\d, ]+)", 1), F.lit("")).alias("queue"))
     got = F.coalesce(F.col("what") == "acquired", F.lit(False))
     one = p.groupBy("pid", "ts", got.alias("got")).agg(*[F.max(c).alias(c) for c in ("mode", "target", "ms", "holders", "queue")])
-    after = Window.partitionBy("pid", "mode", "target").orderBy("ts", "got")
-    ended = F.lead("got").over(after)
-    w = one.where(F.col("target").isNotNull()).select(
-        "*", F.when(ended, F.lead("ts").over(after)).alias("acquired_at"), F.when(ended, F.lead("ms").over(after)).alias("wait_ms"))
+    # the next line on the lock is the one before it in reversed time, which goes by chunks: a pooled process on one hot
+    # lock is not one task
+    back = one.where(F.col("target").isNotNull()).withColumn(
+        "_back", F.coalesce(-F.unix_micros(F.col("ts").cast("timestamp")), F.lit(2 ** 63 - 1))).withColumn("_wait", ~F.col("got"))
+    back = chunked_lag(back, ["pid", "mode", "target"], ["_back", "_wait"], ["got", "ts", "ms"], bucket("_back", HOUR * 1_000_000), "next_")
+    ended = F.col("next_got")
+    w = back.select("*", F.when(ended, F.col("next_ts")).alias("acquired_at"), F.when(ended, F.col("next_ms")).alias("wait_ms"))
     return w.where(~F.col("got")).select(
         "pid", "mode", "target", F.regexp_extract("target", r"^transaction (\d+)$", 1).try_cast("long").alias("trx"),
         "holders", "queue", F.col("ts").alias("waiting_at"), "acquired_at", "wait_ms")

@@ -78,6 +78,24 @@ def test_lock_wait_stitching(spark):
     assert got[1].target == "tuple (0,4) of relation 16388 of database 16385" and got[2].acquired_at is None
 
 
+def test_lock_waits_of_a_pooled_process(spark):
+    """One process on one hot lock over many hours: each wait ends with the next line if that is an acquisition."""
+    import datetime as dt
+    import random
+    rnd, at, kinds = random.Random(4), dt.datetime(2025, 11, 20, 23), []
+    for k in range(300):
+        at += dt.timedelta(milliseconds=rnd.choice([1, 500, 60_000, 5_000_000]))
+        kinds.append((at, rnd.random() < 0.5, k))
+    text = {True: "acquired", False: "still waiting for"}
+    lines = spark.createDataFrame(
+        [(f"{t:%Y-%m-%d %H:%M:%S}.{t.microsecond // 1000:03d} UTC [5] app@appdb LOG:  process 5 {text[done]} ShareLock on transaction 9 after {k}.000 ms",)
+         for t, done, k in kinds], "value string").repartition(5)
+    got = sorted((r.waiting_at, r.acquired_at, None if r.wait_ms is None else int(r.wait_ms)) for r in reports.lock_waits(lines).collect())
+    want = [(t, kinds[i + 1][0], kinds[i + 1][2]) if i + 1 < len(kinds) and kinds[i + 1][1] else (t, None, None)
+            for i, (t, done, _) in enumerate(kinds) if not done]
+    assert [(a.replace(tzinfo=None), b and b.replace(tzinfo=None), c) for a, b, c in got] == want
+
+
 def test_load_report_from_progress_lines(spark):
     tps = [1065.6, 1324.0, 1335.6, 1276.2, 1251.8, 1256.4, 1181.0, 1179.6, 1235.6, 1345.4, 1339.9, 1269.3]
     lines = [(f"[run=base] progress: {5.0 * (i + 1)} s, {t} tps, lat 40.000 ms stddev 50.000, 0 failed",)
