@@ -1,20 +1,21 @@
-"""Main text of web pages by wrappers: union-free regular expressions inferred per host.
+"""Main text of web pages by wrappers: union-free regular expressions inferred per template of a host.
 
 A page is parsed into its element tree; runs of equal siblings become repeated groups.  Pages of a host
-are aligned one after the other with the host's wrapper so far: what both have stays, what only one
-has becomes optional, neighbours that turn out equal become repeated, and texts that differ become
-slots.  Texts that are the same on all pages stay as the host's own words.
-
-A wrapper's text slots are then told apart: those in an article element, and the others without lists
-of links and without texts that all of the host's pages have and that never change while others do.
-Each page then decides for itself: texts below menus, headers, footers, side bars, notices, adverts,
-forms or reader comments are not the article, unless the element that says so holds the article or most
-of the page's text.  If a page has any other text in an article element, only such text counts, else all
-that is left.
-
-Scale: each task folds its own pages into one partial wrapper per host, and partial wrappers are
-merged in two steps, so a host with a third of all pages is a number of small rows.  A wrapper has the
-size of a template, not of the pages.
+that hold their text in the same place (the same elements around most of it) share a template.  They are
+aligned: what all have stays, what only some have becomes optional, neighbours that turn out equal become
+repeated, and texts that differ become slots.  Texts that are the same on all pages stay as such.
+
+A page is then walked along its template's expression.  A text outside article elements that the
+expression has as the same on all pages is the host's and not the article's, if the template has slots
+for other texts and the page's texts there are long enough: one of n pages that share a text weighs its
+own by n - 1.  Lists of links are menus.  Texts below menus, headers, footers, side bars, notices,
+adverts, forms or reader comments are not the article, unless the element that says so holds the article
+or most of the page's text.  If a page has any other text in an article element, only such text counts,
+else all that is left.
+
+Scale: pages are aligned in rounds, in groups that their contents alone decide, so that neither the
+number of tasks nor the order of rows matters and a host with a third of all pages is many groups.  Parts
+that one page only has decide nothing and leave the expression, which so has the size of a template.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ import hashlib
 import html as entities
 import json
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import stored
+from ledgerlake.llm.common import Scratch, forget, stored
 from ledgerlake.llm.urls import host_path
 
 # HTML element classes.
@@ -59,9 +62,13 @@ COMMENT_WORDS = frozenset("comment comments commentlist discussion disqus replie
 PLACE_WORDS = frozenset(
     "area bar block body bottom box button buttons col column container content fixed global group icons inner item items left list "
     "main mobile outer page panel post primary right row secondary section single site small sticky text title top wide wrap wrapper".split())
-MAX_DEPTH = 150
-#: Pages from which a text that never changes is the host's and not the article's.
-SAME_PAGES = 3
+#: Elements that texts are made of; a template is named by the elements above these.
+TEXTUAL = frozenset("blockquote dd dl dt figure h1 h2 h3 h4 h5 h6 li ol p pre table ul".split())
+#: Wrappers that one task aligns at a time.
+FAN = 64
+
+# trees may be as deep as their pages; the functions below call themselves in Python only
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 10_000_000))
 
 TOKEN = re.compile(
     r"<(/?+)([a-zA-Z][^\s/>]*+)(?:((?:\"[^\"]*+\"|'[^']*+'|[^\"'>])*+)>|([^>]*+)>)"
@@ -107,14 +114,21 @@ def _key(name: str, attributes: str) -> str:
 
 def parse(page: str) -> Element:
     """The element tree; forgiving like a browser: unclosed and stray tags are settled, comments, scripts
-    and styles are left out.  Deeper nesting than ``MAX_DEPTH`` is flattened."""
+    and styles are left out."""
     root = Element("", "")
     stack, opened = [root], [""]  # open elements, and their names
+    many: Counter[str] = Counter()  # open elements of each name
+
+    def leave(k: int) -> None:
+        many.subtract(opened[k:])
+        del stack[k:], opened[k:]
 
     def close(names: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
+        if not any(map(many.__getitem__, names)):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if opened[k] in names:
-                del stack[k:], opened[k:]
+                leave(k)
                 return
             if opened[k] in stop:
                 return
@@ -132,8 +146,8 @@ def parse(page: str) -> Element:
         name = name.lower()
         if shut:
             if opened[-1] == name:
-                del stack[-1], opened[-1]
-            elif name in opened:
+                leave(len(stack) - 1)
+            else:
                 close({name}, NONE if name in BLOCK and name != "p" else BLOCK)
             continue
         if name in SKIPPED:
@@ -151,21 +165,23 @@ def parse(page: str) -> Element:
         if name in SIBLINGS:
             names, box = SIBLINGS[name]
             close(names, box)
-        if "p" in opened and name in BLOCK:
+        if many["p"] and name in BLOCK:
             close(P, BLOCK)
         attributes = attributes or odd or ""
         element = Element(name, _key(name, attributes) if attributes else name)
         stack[-1].children.append(element)
-        if name not in VOID and not attributes.endswith("/") and len(stack) < MAX_DEPTH:
+        if name not in VOID and not attributes.endswith("/"):
             stack.append(element)
             opened.append(name)
+            many[name] += 1
     if at < len(page):
         stack[-1].children.append(page[at:])
     return root
 
 
 # A wrapper is a list of items.  An item is a dict: "k" key of an element or "#" for text; "c" the
-# element's items; "t" digest of a text that is always the same; "o" optional; "r" repeated.
+# element's items; "t" digest of a text that is always the same; "o" optional; "r" repeated; "m" found on
+# more than one page.
 
 
 def _digest(text: str) -> str:
@@ -183,16 +199,17 @@ def _items(element: Element) -> list[dict]:
     return _repeats(out)
 
 
-def _merge_item(a: dict, b: dict) -> dict:
+def _merge_item(a: dict, b: dict, one_page: bool = False) -> dict:
     out = {"k": a["k"]}
     if "c" in a:
-        out["c"] = align(a["c"], b["c"])
+        out["c"] = align(a["c"], b["c"], one_page)
     elif "t" in a and "t" in b and a["t"] == b["t"]:
         out["t"] = a["t"]
-    if "o" in a or "o" in b:
-        out["o"] = 1
-    if "r" in a or "r" in b:
-        out["r"] = 1
+    for sign in "orm":
+        if sign in a or sign in b:
+            out[sign] = 1
+    if not one_page:
+        out["m"] = 1
     return out
 
 
@@ -207,7 +224,7 @@ def _repeats(items: list[dict]) -> list[dict]:
             while len(out) >= 2 * width and [x["k"] for x in out[-width:]] == [x["k"] for x in out[-2 * width:-width]]:
                 last = out[-width:]
                 del out[-width:]
-                out[-width:] = [{**_merge_item(x, y), "r": 1} for x, y in zip(out[-width:], last)]
+                out[-width:] = [{**_merge_item(x, y, True), "r": 1} for x, y in zip(out[-width:], last)]
         items = out
     return items
 
@@ -224,20 +241,55 @@ def _differences(a: tuple[str, ...], b: tuple[str, ...]) -> list[tuple]:
     return _KNOWN[a, b]
 
 
-def align(a: list[dict], b: list[dict]) -> list[dict]:
-    """Union-free alignment of two item lists."""
+def align(a: list[dict], b: list[dict], one_page: bool = False) -> list[dict]:
+    """Union-free alignment of two item lists, of two pages or of two places of one page."""
     ka, kb = [x["k"] for x in a], [x["k"] for x in b]
     if ka == kb:
-        return [_merge_item(x, y) for x, y in zip(a, b)]
+        return [_merge_item(x, y, one_page) for x, y in zip(a, b)]
     out: list[dict] = []
     for kind, i, j, k, m in _differences(tuple(ka), tuple(kb)):
         if kind == "equal":
-            out += [_merge_item(x, y) for x, y in zip(a[i:j], b[k:m])]
+            out += [_merge_item(x, y, one_page) for x, y in zip(a[i:j], b[k:m])]
         else:
             out += [{**x, "o": 1} for x in a[i:j]] + [{**x, "o": 1} for x in b[k:m]]
     return _repeats(out)
 
 
+def _common(items: list[dict]) -> list[dict]:
+    """A wrapper without optional elements that one page only has, but for those that stand beside an
+    element of the same key: they tell that its text is not the only one there."""
+    kept = {x["k"] for x in items if "o" not in x or "m" in x}
+    return [{**x, "c": _common(x["c"])} if "c" in x else x for x in items if x["k"] == "#" or x["k"] in kept]
+
+
+def to_text(items: list[dict]) -> str:
+    """A wrapper as JSON: its items in page order, each with its depth."""
+    out: list[list] = []
+
+    def visit(items: list[dict], depth: int) -> None:
+        for x in items:
+            out.append([depth, x["k"], "".join(k for k in "orm" if k in x), *([x["t"]] if "t" in x else [])])
+            if "c" in x:
+                visit(x["c"], depth + 1)
+
+    visit(items, 0)
+    return json.dumps(out, separators=(",", ":"))
+
+
+def from_text(text: str) -> list[dict]:
+    levels: list[list[dict]] = [[]]
+    for depth, key, signs, *same in json.loads(text):
+        item = {"k": key, **dict.fromkeys(signs, 1)}
+        if same:
+            item["t"] = same[0]
+        del levels[depth + 1:]
+        levels[depth].append(item)
+        if key != "#":
+            item["c"] = []
+            levels.append(item["c"])
+    return levels[0]
+
+
 def expression(items: list[dict]) -> str:
     """A wrapper as a regular expression over tags, with # for slots."""
     out = []
@@ -248,16 +300,6 @@ def expression(items: list[dict]) -> str:
     return "".join(out)
 
 
-def _slots(items: list[dict], path: tuple[str, ...], found: dict[tuple[str, ...], set], sure: bool = True) -> None:
-    """Texts of each slot; None for one that differs, or that some page lacks."""
-    for x in items:
-        here = sure and "o" not in x
-        if x["k"] == "#":
-            found.setdefault(path, set()).add(x.get("t") if here else None)
-        else:
-            _slots(x["c"], (*path, x["k"]), found, here)
-
-
 @lru_cache(100_000)
 def _outside_words(key: str) -> frozenset[str]:
     """The outside words of a key.  A class, id or role counts as a whole: all its parts must be such
@@ -277,74 +319,150 @@ def _is_article(key: str) -> bool:
 
 
 @lru_cache(100_000)
-def _in_article(path: tuple[str, ...]) -> bool:
-    return any(map(_is_article, path))
+def _signs(key: str) -> tuple[bool, bool, bool, bool]:
+    """Whether an element is none of the article's, is an article, a plain link, a list entry."""
+    name = key.split(".")[0]
+    return name in OUTSIDE, _is_article(key), key == "a", name == "li"
+
+
+class Place:
+    """Where a walk along a page and its wrapper is: what the elements above say, and the wrapper's node,
+    None where the page has a part that the wrapper lacks."""
+
+    __slots__ = ("lost", "article", "link", "entry", "node")
+
+    def __init__(self, lost: bool, article: bool, link: bool, entry: bool, node: dict | None):
+        self.lost, self.article, self.link, self.entry, self.node = lost, article, link, entry, node
+
+    def below(self, key: str) -> Place:
+        lost, article, link, entry = _signs(key)
+        return Place(self.lost or lost, self.article or article, self.link or link, self.entry or entry,
+                     self.node.get(key) if self.node else None)
+
+    @property
+    def slot(self) -> bool:
+        """Whether texts may be the article's; lists of links outside article elements are menus."""
+        return not self.lost and (self.article or not (self.link and self.entry))
 
+    def same(self, text: str) -> bool:
+        """Whether the wrapper has this text here, and no other."""
+        texts = self.node.get("#", ()) if self.node else ()
+        return len(texts) == 1 and not self.article and _digest(text) in texts
 
-def main_slots(items: list[dict], pages: int) -> set[tuple[str, ...]]:
-    """Paths of the slots that may hold the article; which of them count is for each page to say."""
-    found: dict[tuple[str, ...], set] = {}
-    _slots(items, (), found)
-    inside = {p for p in found if not any(k.split(".")[0] in OUTSIDE for k in p)}
-    article = {p for p in inside if _in_article(p)}
-    # lists of links are menus
-    others = {p for p in inside - article if not ("a" in p and any(k.split(".")[0] == "li" for k in p))}
-    same = {p for p in others if len(found[p]) == 1 and None not in found[p]}
-    plain = {p for p in others if not any(map(_outside_words, p))}
-    return article | (others - same if pages >= SAME_PAGES and not plain <= same else others)
+
+class Wrapper:
+    """An expression to walk along: ``tree`` has the texts of each place (None for one that differs or
+    that some page lacks); ``changes``: it has a place for other texts that no outside word is about."""
+
+    def __init__(self, items: list[dict], pages: int):
+        self.tree, self.pages, self.changes = {}, pages, False
+
+        def grow(items: list[dict], node: dict, sure: bool) -> None:
+            for x in items:
+                here = sure and "o" not in x
+                if x["k"] == "#":
+                    node.setdefault("#", set()).add(x.get("t") if here else None)
+                else:
+                    grow(x["c"], node.setdefault(x["k"], {}), here)
+
+        def look(place: Place) -> None:
+            for key, value in place.node.items():
+                if key == "#":
+                    self.changes |= place.slot and not place.article and (len(value) > 1 or None in value)
+                elif not _outside_words(key):
+                    look(place.below(key))
+
+        grow(items, self.tree, True)
+        look(self.start())
+
+    def start(self) -> Place:
+        return Place(False, False, False, False, self.tree)
+
+    def constants(self) -> set[tuple[str, ...]]:
+        """Paths of the texts that are the same on all pages."""
+        found = set()
+
+        def visit(node: dict, path: tuple[str, ...]) -> None:
+            for key, value in node.items():
+                if key != "#":
+                    visit(value, (*path, key))
+                elif len(value) == 1 and None not in value:
+                    found.add(path)
+
+        visit(self.tree, ())
+        return found
 
 
 def _weigh(element: Element) -> int:
     """Set the weight of an element and of all below: characters of text that is not below a menu, a
     header, a form or the like."""
-    element.weight = 0 if element.name in OUTSIDE else sum(
-        len(c.strip()) if isinstance(c, str) else _weigh(c) for c in element.children)
+    element.weight = 0
+    if element.name not in OUTSIDE:
+        for c in element.children:
+            element.weight += len(c.strip()) if isinstance(c, str) else _weigh(c)
     return element.weight
 
 
-def _outside(root: Element, slots: set[tuple[str, ...]], kept: frozenset[str]) -> tuple[set[int], bool]:
-    """Ids of the page's elements whose words put them outside the article, and whether the page has
-    text in an article element.  An element with most of the page's text is not outside, unless by a
-    word in ``kept``, and neither is the page's only sizeable article or what it lies in."""
+def template(root: Element) -> str:
+    """The elements around most of a page's text, from the outermost one on."""
+    _weigh(root)
+    keys, here = [], root
+    while here:
+        here = max((c for c in here.children if not isinstance(c, str)), key=lambda c: c.weight, default=None)
+        if here is None or 2 * here.weight <= root.weight or here.name in TEXTUAL:
+            break
+        keys.append(here.key)
+    return _digest(" ".join(keys))
+
+
+def _outside(root: Element, wrapper: Wrapper, kept: frozenset[str]) -> tuple[set[int], bool, bool]:
+    """Ids of the page's elements whose words put them outside the article; whether the page has text in
+    an article element; whether texts that all pages have are not the article's.  An element with most
+    of the page's text is not outside, unless by a word in ``kept``, and neither is the page's only
+    sizeable article or what it lies in."""
     out: set[int] = set()
-    articles: list[tuple[int, list[int]]] = []  # those outside: weight, ids of the element and of what it lies in
-    weight = {True: 0, False: 0}  # of the texts that are left, in article elements and in others
+    best: tuple[int, tuple | None] = (0, None)  # the heaviest article outside: weight, ids of it and of what it lies in
+    weight = {"article": 0, "own": 0, "same": 0}  # of the texts that are left
 
-    def visit(element: Element, path: tuple[str, ...], above: list[int], hidden: bool) -> None:
+    def visit(element: Element, place: Place, above: tuple | None, hidden: bool) -> None:
+        nonlocal best
         for child in element.children:
             if isinstance(child, str):
-                if not hidden and path in slots:
-                    weight[_in_article(path)] += len(child.strip())
+                if not hidden and place.slot:
+                    weight["article" if place.article else "same" if place.same(child) else "own"] += len(child.strip())
                 continue
             if not child.weight:
                 continue
-            words, here = _outside_words(child.key), [*above, id(child)]
+            words, here = _outside_words(child.key), (id(child), above)
             if words and (2 * child.weight <= root.weight or words & kept):
                 out.add(id(child))
             lost = hidden or id(child) in out
-            if lost and _is_article(child.key):
-                articles.append((child.weight, here))
-            visit(child, (*path, child.key), here, lost)
-
-    visit(root, (), [], False)
-    if not weight[True] and articles:
-        most, ids = max(articles, key=lambda a: a[0])
-        if most > weight[False]:
-            return out - set(ids), True
-    return out, weight[True] > 0
-
-
-def main_text(page: str, slots: set[tuple[str, ...]]) -> str:
-    """The page's texts in the given slots, one line a block: those in article elements if the page has
-    any, else the others."""
+            if lost and child.weight > best[0] and _is_article(child.key):
+                best = child.weight, here
+            visit(child, place.below(child.key), here, lost)
+
+    visit(root, wrapper.start(), None, False)
+    hosts = wrapper.changes and (weight["own"] + 1) * (wrapper.pages - 1) >= weight["same"]
+    if not weight["article"] and best[0] > weight["own"] + (0 if hosts else weight["same"]):
+        ids = best[1]
+        while ids:
+            out.discard(ids[0])
+            ids = ids[1]
+        return out, True, hosts
+    return out, weight["article"] > 0, hosts
+
+
+def main_text(page: str, wrapper: Wrapper) -> str:
+    """The page's texts, one line a block: those in article elements if the page has any, else the
+    others without those that are the host's."""
     root = parse(page)
     _weigh(root)
     blocks: list[list[str]] = [[]]
 
-    def visit(element: Element, path: tuple[str, ...], out: set[int], article: bool) -> None:
+    def visit(element: Element, place: Place, out: set[int], article: bool, hosts: bool) -> None:
         for child in element.children:
             if isinstance(child, str):
-                if path in slots and _in_article(path) == article:
+                if place.slot and place.article == article and not (hosts and place.same(child)):
                     blocks[-1].append(entities.unescape(child))
                 continue
             if child.name in ("br", "wbr"):
@@ -355,12 +473,12 @@ def main_text(page: str, slots: set[tuple[str, ...]]) -> str:
             edge = child.name in BLOCK
             if edge:
                 blocks.append([])
-            visit(child, (*path, child.key), out, article)
+            visit(child, place.below(child.key), out, article, hosts)
             if edge:
                 blocks.append([])
 
     for kept in (COMMENT_WORDS, NONE):
-        visit(root, (), *_outside(root, slots, kept))
+        visit(root, wrapper.start(), *_outside(root, wrapper, kept))
         lines = [" ".join("".join(b).split()) for b in blocks]
         if any(lines):
             break
@@ -368,66 +486,76 @@ def main_text(page: str, slots: set[tuple[str, ...]]) -> str:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, pages, wrapper as JSON) from rows (host, html)."""
-    #: hosts that a task holds before it hands their partial wrappers on
-    held_at_once = 10_000
+    """(host, template, pages, wrapper as JSON) from rows (host, html)."""
+    def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            trees = [parse(page) for page in batch["html"]]
+            yield batch[["host"]].assign(template=[template(t) for t in trees], wrapper=[to_text(_items(t)) for t in trees])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, tuple[int, list[dict]]] = {}
+        """Rows in order of their groups; each group becomes one wrapper."""
+        group, n, held, rows = None, 0, [], 0
 
         def out() -> pd.DataFrame:
-            return pd.DataFrame([(h, n, json.dumps(w, separators=(",", ":"))) for h, (n, w) in held.items()],
-                                columns=["host", "pages", "wrapper"])
+            return pd.DataFrame([(*group[:2], n, to_text(_common(held) if rows > 1 else held))], columns=["host", "template", "pages", "wrapper"])
 
         for batch in batches:
-            for host, page in zip(batch["host"], batch["html"]):
-                items = _items(parse(page))
-                n, wrapper = held.get(host, (0, items))
-                held[host] = (n + 1, align(wrapper, items) if n else items)
-            if len(held) > held_at_once:
-                yield out()
-                held.clear()
-        yield out()
-
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["pages", "wrapper"], ascending=[False, True])
-        wrapper = json.loads(rows["wrapper"].iloc[0])
-        for other in rows["wrapper"].iloc[1:]:
-            wrapper = align(wrapper, json.loads(other))
-        return pd.DataFrame({"host": rows["host"].iloc[:1], "pages": [rows["pages"].sum()],
-                             "wrapper": [json.dumps(wrapper, separators=(",", ":"))]})
-
-    kind = "host string, pages long, wrapper string"
-    partial = pages.mapInPandas(fold, kind)
-    # equal partial wrappers are one row; the others are merged in groups, and then the groups
-    partial = partial.groupBy("host", "wrapper").agg(F.sum("pages").alias("pages")).select("host", "pages", "wrapper")
-    grouped = partial.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(64)).alias("part")).applyInPandas(merge, kind)
-    return grouped.groupBy("host").applyInPandas(merge, kind)
+            for *own, count, text in zip(*(batch[c] for c in ("host", "template", "part", "pages", "wrapper"))):
+                if own != group:
+                    if group:
+                        yield out()
+                    group, n, held, rows = own, 0, from_text(text), 1
+                else:
+                    held, rows = align(held, from_text(text)), rows + 1
+                n += count
+        if group:
+            yield out()
+
+    kind = "host string, template string, pages long, wrapper string"
+    now = stored(pages.mapInPandas(single, "host string, template string, wrapper string").groupBy("host", "template", "wrapper").agg(
+        F.count(F.lit(1)).alias("pages")).select("host", "template", "pages", "wrapper"), "wrappers")
+    most = now.groupBy("host", "template").count().agg(F.max("count")).first()[0] or 0
+    while most > 1:
+        # groups by contents, so the same ones whatever the cluster is
+        most = -(-most // FAN)
+        keys = ["host", "template", "part"]
+        grouped = now.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(most)))
+        done, now = now, stored(grouped.repartition(*keys).sortWithinPartitions(*keys, "wrapper").mapInPandas(fold, kind), "wrappers")
+        forget(done)
+    return now
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars), one row per row of ``pages``.
 
-    A null or empty page has an empty text.  Pages without a host (null or odd urls) share one
-    wrapper.  A host with one page is its own wrapper.  Repeated rows are extracted each.
+    A null or empty page has an empty text.  Pages without a host (null or odd urls) count as one host.
+    The only page of a template is its own wrapper.  Repeated rows are extracted each.  Headers, labels
+    and buttons are left out also in an article.
     """
     host, _ = host_path(F.col(url_col))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"),
-                        F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    known = stored(wrappers(rows.select("host", "html")), "wrappers")
+
+    @F.pandas_udf("string")
+    def templates(htmls: pd.Series) -> pd.Series:
+        return pd.Series([template(parse(h)) for h in htmls], dtype=object)
+
+    html = F.coalesce(F.col(html_col), F.lit(""))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), html.alias("html"))
+    with Scratch() as scratch:
+        known = scratch.keep(wrappers(rows.select("host", "html")))
 
     @F.pandas_udf("string")
     def texts(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        slots: dict[str, set] = {}
+        held: dict[tuple[str, int], Wrapper] = {}
         for page, wrapper, n in batches:
             out = []
-            for html, own, pages_of in zip(page, wrapper, n):
-                if own not in slots:
-                    if len(slots) > 1000:
-                        slots.clear()
-                    slots[own] = main_slots(json.loads(own), pages_of)
-                out.append(main_text(html, slots[own]))
+            for html, *own in zip(page, wrapper, n):
+                own = tuple(own)
+                if own not in held:
+                    if len(held) > 1000:
+                        held.clear()
+                    held[own] = Wrapper(from_text(own[0]), own[1])
+                out.append(main_text(html, held[own]))
             yield pd.Series(out, dtype=object)
 
-    got = rows.join(known, "host").select("id", "url", texts("html", "wrapper", "pages").alias("text"))
+    got = rows.withColumn("template", templates("html")).join(known, ["host", "template"]).select("id", "url", texts("html", "wrapper", "pages").alias("text"))
     return got.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))

@@ -153,16 +153,18 @@ def test_wrapper_is_a_union_free_expression():
     a, b = (pages._items(pages.parse(x)) for x in ("<body><p>one</p><i>same</i></body>", "<body><p>x</p><p>y</p><hr><i>same</i></body>"))
     both = pages.align(a, b)
     assert re.sub(r'"\w+"', '"same"', pages.expression(both)) == '<body>(<p>#</p>)+(<hr></hr>)?<i>"same"</i></body>'
-    assert json.loads(json.dumps(both)) == both
-    assert pages.main_slots(both, 3) == {("body", "p")}
+    assert pages.from_text(pages.to_text(both)) == both
+    assert pages.Wrapper(both, 3).constants() == {("body", "i")}
 
 
 def test_deep_and_broken_pages():
     deep = "<div>" * 5000 + "x" + "</div>" * 10
-    tree = pages.parse(deep)
-    assert pages.main_text(deep, pages.main_slots(pages._items(tree), 1)) == "x"
+    assert shown([deep]) == ["x"]
+    # what a text lies in counts at any depth
+    far = "<div>" * 3000
+    assert shown([f"{far}<nav><ul><li><b>menu</b></ul></nav><p>text {k}</p><div class=sidebar><p>side</p></div>" for k in range(3)]) == [f"text {k}" for k in range(3)]
     for odd in ("<", "<p", "<p a='x", "</", "<!--", "<script>", "&#x;", "a<b>c</d>", "<p <p>x"):
-        pages.main_text(odd, pages.main_slots(pages._items(pages.parse(odd)), 1))
+        shown([odd])
     assert entities.unescape("&eacute;") == "é"
 
 
@@ -171,8 +173,53 @@ def shown(htmls):
     wrapper = pages._items(pages.parse(htmls[0]))
     for other in htmls[1:]:
         wrapper = pages.align(wrapper, pages._items(pages.parse(other)))
-    slots = pages.main_slots(wrapper, len(htmls))
-    return [pages.main_text(h, slots) for h in htmls]
+    wrapper = pages.Wrapper(pages.from_text(pages.to_text(wrapper)), len(htmls))
+    return [pages.main_text(h, wrapper) for h in htmls]
+
+
+def test_other_pages_tell_the_hosts_texts_from_the_article(spark):
+    body = "<body><div class=x1><p>Quality since 1904</p></div><div class=y1><p>{}</p></div><div class=z1><p>All we do</p></div></body>"
+    told = [f"story {k} of a day in town" for k in range(4)]
+    rows = [(k, f"http://a.com/{k}", body.format(t)) for k, t in enumerate(told)] + [(9, "http://lone.com/", body.format(told[0]))]
+    # copies of one page: nothing differs, so all of it is the page's
+    rows += [(20 + k, f"http://same.com/{k}", body.format(told[0])) for k in range(4)]
+    whole = f"Quality since 1904\n{told[0]}\nAll we do"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted([*enumerate(told), (9, whole), *((20 + k, whole) for k in range(4))], key=repr)
+    assert got(pages.extract(df.repartition(1)), "page_id", "text") == want
+    assert got(pages.extract(df.repartition(5)), "page_id", "text") == want
+
+
+def brute_constants(htmls):
+    """Paths whose texts are one and the same on all of some pages without repeated elements."""
+    def texts(element, path):
+        for c in element.children:
+            yield from [(path, c)] if isinstance(c, str) else texts(c, (*path, c.key))
+
+    each = [dict(texts(pages.parse(h), ())) for h in htmls]
+    return {p for p in each[0] if all(e.get(p) == each[0][p] for e in each)}
+
+
+def test_wrappers_equal_brute_force_alignment(spark, monkeypatch):
+    monkeypatch.setattr(pages, "FAN", 3)
+    rng = random.Random(8)
+    tags = [f"div.b{k}" for k in range(7)]
+    rows, want = [], {}
+    for host in range(6):
+        fixed = {t: f"fixed {t}" for t in rng.sample(tags, 3)}
+        htmls = []
+        for k in range(rng.randrange(2, 14)):
+            parts = [(t, fixed.get(t, f"text {rng.randrange(3)}")) for t in tags if t in fixed or rng.random() < 0.8]
+            own = f"<div class=own{chr(97 + k)}>mine</div>"
+            htmls.append("<body>" + "".join(f"<div class={t[4:]}>{x}</div>" for t, x in parts) + own + "</body>")
+        want[f"h{host}"] = brute_constants(htmls)
+        rows += [(f"h{host}", h) for h in htmls]
+    df = spark.createDataFrame(rows, "host string, html string")
+    out = pages.wrappers(df.repartition(4)).collect()
+    assert {r.host: pages.Wrapper(pages.from_text(r.wrapper), r.pages).constants() for r in out} == want
+    assert sorted(out) == sorted(pages.wrappers(df.repartition(1)).collect())
+    # parts that one page only has don't add up
+    assert max(r.wrapper.count(".own") for r in out) == 0
 
 
 def test_two_templates_of_a_host_keep_their_texts(spark):
