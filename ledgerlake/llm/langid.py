@@ -1,13 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of one white-space delimited run (cut into pieces of ``PIECE`` bytes if
-longer) in both directions and gives every byte position a distribution over the learned languages.
-A document's distribution pools the log-probabilities of all its positions.  It is trained in numpy by
-backpropagation through time on a bounded sample of the learnable documents.
-
-Since the network's state starts anew at every run, equal runs have equal labels: a task computes a
-run once and remembers it (``REMEMBERED`` runs at most, then it starts anew), so prose costs its
-distinct words.  Documents are labelled in one pass, whole texts, no shuffle.
+The network reads a document's bytes, white space included, in both directions and gives every byte
+position a distribution over the learned languages.  A document's distribution pools the
+log-probabilities of all its positions.  It is trained in numpy by backpropagation through time on a
+bounded sample of the learnable documents.
+
+A text is read in stretches of ``STRETCH`` bytes, many at a time; the state runs through words and white
+space, and enters a stretch and leaves it over ``AROUND`` more bytes on either side.  So a text of any
+length costs tasks a few megabytes.  Equal stretches, as copies have them, are computed once while a
+task remembers them (``REMEMBERED`` at most).  Documents are labelled in one pass, whole texts, no shuffle.
 """
 
 from __future__ import annotations
@@ -20,27 +21,30 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import first_by_hash
 
-PIECE = 24
-HIDDEN = 12
+STRETCH, AROUND = 256, 12
+HIDDEN = 8
 #: Bounds of the training sample.
-DOCS_PER_LANGUAGE, RUNS_PER_DOC = 250, 120
-STEPS, BATCH, RATE = 350, 512, 0.01
-REMEMBERED = 600_000
+DOCS_PER_LANGUAGE, STRETCHES_PER_DOC = 250, 4
+STEPS, BATCH, RATE = 160, 80, 0.015
+#: Bytes that an error runs back through.
+BACK = 128
+REMEMBERED = 20_000
 UNKNOWN = "und"
-#: Log-probabilities are kept as multiples of this, so that sums don't depend on how runs were batched.
+#: Log-probabilities are kept as multiples of this, so that sums don't depend on how stretches were batched.
 GRAIN = 1 / 1024
 
 LETTER = re.compile(r"[^\W\d_]")
 
 
-def pieces(text: str) -> list[bytes]:
-    """The text's runs, as bytes, in pieces of at most ``PIECE``."""
-    runs = text.encode("utf-8", "replace").split()
-    if max(map(len, runs), default=0) <= PIECE:
-        return runs
-    return [r[k:k + PIECE] for r in runs for k in range(0, len(r), PIECE)]
+def stretches(text: str) -> list[tuple[bytes, int, int]]:
+    """The text's stretches, each as (bytes with those around it, start and end of its own among them)."""
+    raw = text.encode("utf-8", "replace")
+    out = []
+    for k in range(0, len(raw), STRETCH):
+        lo = max(0, k - AROUND)
+        out.append((raw[lo:k + STRETCH + AROUND], k - lo, min(k + STRETCH, len(raw)) - lo))
+    return out
 
 
 def _arrays(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,16 +115,62 @@ class Net:
         z -= z.max(-1, keepdims=True)
         return z - np.log(np.exp(z).sum(-1, keepdims=True))
 
-    def pooled(self, runs: list[bytes]) -> np.ndarray:
-        """Sum of a run's position log-probabilities, in grains."""
-        lengths = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+    def _walk(self, d: str, x: np.ndarray, live: list[int], steps: range) -> Iterator[tuple[int, np.ndarray]]:
+        """(place, states) of the rows that reach it, for each place in turn; ``x`` has a row a place,
+        states a column a text."""
+        h = self.hidden
+        W, U, V = self.p[f"W{d}"], np.ascontiguousarray(self.p[f"U{d}"].T), np.ascontiguousarray(self.p[f"V{d}"].T)
+        # a byte's input as seen by exp(-gate)
+        W = np.ascontiguousarray(W.T)
+        W[:2 * h] *= -1
+        U = -U
+        state = np.zeros((h, x.shape[1]), np.float32)
+        last, old, enter = -1, state, state
+        for t in steps:
+            n = live[t]
+            if n != last:
+                if old is not state:
+                    state[:, :old.shape[1]] = old
+                old = state if n == x.shape[1] else np.ascontiguousarray(state[:, :n])
+                enter, last = np.empty((3 * h, n), np.float32), n
+            np.take(W, x[t, :n], axis=1, out=enter, mode="clip")
+            gates = U @ old
+            gates += enter[:2 * h]
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            new = gates[h:]
+            new *= old
+            new = V @ new
+            new += enter[2 * h:]
+            np.tanh(new, out=new)
+            new -= old
+            new *= gates[:h]
+            old += new
+            yield t, old
+
+    def pooled(self, runs: list[tuple[bytes, int, int]]) -> np.ndarray:
+        """Sum of the log-probabilities of a stretch's own positions, in grains."""
+        lengths = np.fromiter((len(r[0]) for r in runs), dtype=np.int64, count=len(runs))
         order = np.argsort(-lengths, kind="stable")
         out = np.zeros((len(runs), len(self.languages)), np.int64)
-        for part in np.array_split(order, -(-len(order) // 4096)):
-            x, n = _arrays([runs[k] for k in part])
-            logs = self.positions(x, n)
-            logs *= np.arange(x.shape[1])[None, :, None] < n[:, None, None]
-            out[part] = np.rint(logs.sum(1) / GRAIN).astype(np.int64)
+        Of, Ob, o = np.ascontiguousarray(self.p["Of"].T), np.ascontiguousarray(self.p["Ob"].T), self.p["o"][:, None]
+        for part in np.array_split(order, -(-len(order) // 1024)):
+            x, n = _arrays([runs[k][0] for k in part])
+            x = np.ascontiguousarray(x.T).astype(np.intp)
+            live = [int(np.searchsorted(-n, -t, side="left")) for t in range(len(x))]
+            lo, hi = (np.array([runs[k][j] for k in part]) for j in (1, 2))
+            z = np.zeros((len(x), len(o), x.shape[1]), np.float32)
+            z += o
+            for t, state in self._walk("f", x, live, range(len(x))):
+                z[t, :, :live[t]] += Of @ state
+            for t, state in self._walk("b", x, live, range(len(x) - 1, -1, -1)):
+                z[t, :, :live[t]] += Ob @ state
+            z -= z.max(1, keepdims=True)
+            z -= np.log(np.exp(z).sum(1, keepdims=True))
+            at = np.arange(len(x))[:, None]
+            z *= ((lo <= at) & (at < hi))[:, None]
+            out[part] = np.rint(z.sum(0, dtype=np.float64).T / GRAIN).astype(np.int64)
         return out
 
     def step(self, x: np.ndarray, lengths: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -148,7 +198,8 @@ class Net:
 
     def _back(self, d: str, x: np.ndarray, tape: list, dout: np.ndarray, g: dict) -> None:
         h, U, V = self.hidden, self.p[f"U{d}"], self.p[f"V{d}"]
-        gW, gU, gV = np.zeros_like(self.p[f"W{d}"]), np.zeros_like(U), np.zeros_like(V)
+        gU, gV = np.zeros_like(U), np.zeros_like(V)
+        read, felt = [], []
         dstate = np.zeros((len(x), h), np.float32)
         for t in range(len(tape) - 1, -1, -1):
             n, old, z, r, kept, new = tape[t]
@@ -161,7 +212,10 @@ class Net:
             dstate[:n] = ds * (1 - z) + dkept * r + dgates @ U.T
             gV += kept.T @ dnew
             gU += old.T @ dgates
-            np.add.at(gW, x[:n, t], np.hstack([dgates, dnew]))
+            read.append(x[:n, t])
+            felt.append(np.hstack([dgates, dnew]))
+        each, felt = np.concatenate(read), np.concatenate(felt).T
+        gW = np.stack([np.bincount(each, f, 256) for f in felt], 1).astype(self.p[f"W{d}"].dtype)
         g[f"W{d}"], g[f"U{d}"], g[f"V{d}"] = gW, gU, gV
 
 
@@ -190,37 +244,56 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, list[bytes]]]:
+    """(language, stretches) of the first ``DOCS_PER_LANGUAGE`` learnable documents of each language by
+    the hash of their id.  The table is read twice: to count, and for the documents below a bound on
+    the hash that their language's count gives; each task hands on its first ones."""
+    near = F.pmod(F.xxhash64("h"), F.lit(2**30))
+    can = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("string").alias("h"), F.col(text_col).cast("string").alias("t"))
+    counts = {r["lang"]: r["count"] for r in can.groupBy("lang").count().collect()}
+    if not counts:
+        return []
+    # enough rows lie below the bound in all but very rare cases; a language with few is taken whole
+    bound = {k: 2**30 if n <= 4 * DOCS_PER_LANGUAGE else int(2**30 * 1.5 * DOCS_PER_LANGUAGE / n) + 1 for k, n in counts.items()}
+    bounds = F.create_map(*(F.lit(x) for pair in bound.items() for x in pair))
+
+    def first(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["near", "h", "t"], na_position="first")
+        return rows.groupby("lang", sort=False).head(DOCS_PER_LANGUAGE)
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            texts = []
+            for text in batch["t"]:
+                got = [r[0] for r in stretches(text) if LETTER.search(r[0].decode("utf-8", "ignore"))]
+                texts.append(b"".join(r[:STRETCH].ljust(STRETCH, b"\0") for r in got[::-(-len(got) // STRETCHES_PER_DOC)]) if got else b"")
+            batch = batch.assign(t=texts)
+            held = first(batch if held is None else pd.concat([held, batch]))
+        if held is not None:
+            yield held
+
+    kind = "lang string, near long, h string, t binary"
+    rows = can.select("lang", near.alias("near"), "h", "t").where(F.col("near") < bounds[F.col("lang")]).mapInPandas(own, kind)
+    rows = rows.groupBy("lang").applyInPandas(first, kind).collect()
+    rows.sort(key=lambda r: (r.lang, r.near, r.h or "", bytes(r.t)))
+    return [(r.lang, [bytes(r.t[k:k + STRETCH]).rstrip(b"\0") for k in range(0, len(r.t), STRETCH)]) for r in rows]
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Net | None:
-    """Learn from the first ``DOCS_PER_LANGUAGE`` learnable documents of each language by the hash of
-    their id, evenly spread runs of each.  None if there is nothing to learn from."""
-    can = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    languages = sorted(r[0] for r in can.select(F.col(lang_col).cast("string")).distinct().collect())
-    if not languages:
-        return None
-
-    @F.pandas_udf("array<binary>")
-    def spread(texts: pd.Series) -> pd.Series:
-        """At most ``RUNS_PER_DOC`` runs with a letter, evenly spread over the whole text."""
-        out = []
-        for text in texts:
-            got = [r for r in pieces(text) if LETTER.search(r.decode("utf-8", "ignore"))]
-            out.append(got[::-(-len(got) // RUNS_PER_DOC)] if got else [])
-        return pd.Series(out)
-
-    runs, labels = [], []
-    for k, lang in enumerate(languages):
-        rows = can.where(F.col(lang_col).cast("string") == lang).select(
-            F.col(id_col).cast("string").alias("h"), F.col(text_col).cast("string").alias("t"))
-        rows = first_by_hash(rows, "h", DOCS_PER_LANGUAGE)
-        for (own,) in rows.select(spread("t").alias("own")).collect():
-            runs += map(bytes, own)
-            labels += [k] * len(own)
+    """Learn from a bounded sample of the learnable documents, evenly spread stretches of each.  None if
+    there is nothing to learn from."""
+    rows = sample(docs, id_col, text_col, lang_col)
+    languages = sorted({lang for lang, _ in rows})
+    cut = [(lang, r[k:k + BACK]) for lang, own in rows for r in own for k in range(0, len(r), BACK)]
+    runs, labels = [r for _, r in cut], [languages.index(lang) for lang, _ in cut]
     return train(runs, np.array(labels), languages) if runs else None
 
 
-def _judge(net: Net, texts: pd.Series, memory: dict[bytes, int], table: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text; ``memory`` has the row in ``table`` of runs seen before."""
-    lists = [pieces(t) if isinstance(t, str) and LETTER.search(t) else [] for t in texts]
+def _judge(net: Net, texts: pd.Series, memory: dict[tuple[bytes, int, int], int], table: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; ``memory`` has the row in ``table`` of stretches seen before."""
+    lists = [stretches(t) if isinstance(t, str) and LETTER.search(t) else [] for t in texts]
     if len(memory) > REMEMBERED:
         memory.clear()
         table[0] = table[0][:0]
@@ -250,7 +323,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     @F.pandas_udf("struct<lang_pred string, score double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        memory: dict[bytes, int] = {}
+        memory: dict[tuple[bytes, int, int], int] = {}
         table = [np.zeros((0, len(net.languages) if net else 0), np.int64)]
         for texts in batches:
             if net is None:
@@ -264,15 +337,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def label_positions(net: Net, text: str) -> list[str]:
-    """The language of every byte of a text; white space takes the label of the byte before it."""
-    raw = text.encode("utf-8", "replace")
+    """The language of every byte of a text."""
     out: list[str] = []
-    for gap in re.finditer(rb"\s+|\S+", raw):
-        run = gap.group()
-        if run.isspace():
-            out += [out[-1] if out else UNKNOWN] * len(run)
-            continue
-        for k in range(0, len(run), PIECE):
-            x, n = _arrays([run[k:k + PIECE]])
-            out += [net.languages[j] for j in net.positions(x, n)[0].argmax(-1)]
+    for raw, lo, hi in stretches(text):
+        x, n = _arrays([raw])
+        out += [net.languages[k] for k in net.positions(x, n)[0, lo:hi].argmax(-1)]
     return out

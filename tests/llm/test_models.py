@@ -1,5 +1,7 @@
 """Quality, language, packing and the pipeline."""
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -134,7 +136,6 @@ def test_language_of_held_out_documents(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'clash' as score", "'clash' as p").repartition(3)
     out = {r.doc_id: r for r in langid.identify(df).collect()}
     assert len(out) == len(rows)
-    import zlib
     for i, t, lang in rows:
         r = out[i]
         assert r.held_out == (i is not None and zlib.crc32(str(i).encode()) % 4 == 2)
@@ -150,16 +151,47 @@ def test_language_of_held_out_documents(spark, monkeypatch):
 
 def test_positions_and_memory_do_not_change_results():
     rows = languages(60)
-    runs = [r for _, t, _ in rows for r in langid.pieces(t)]
-    labels = np.array([int(lang == "yy") for _, t, lang in rows for _ in langid.pieces(t)])
+    runs = [r[0] for _, t, _ in rows for r in langid.stretches(t)]
+    labels = np.array([int(lang == "yy") for _, t, lang in rows for _ in langid.stretches(t)])
     net = langid.train(runs, labels, ["xx", "yy"], steps=60)
-    texts = pd.Series([t for _, t, _ in rows] + ["kata wons", "a" * 70])
+    texts = pd.Series([t for _, t, _ in rows] + ["kata wons", "a" * 70, "kata der " * 100, "wons the é " * 90, "kata der " * 100])
     empty = lambda: ({}, [np.zeros((0, 2), np.int64)])
     whole = langid._judge(net, texts, *empty())
     each = [langid._judge(net, texts[k:k + 1], *empty()) for k in range(len(texts))]
     assert whole[0] == [e[0][0] for e in each] and np.allclose(whole[1], [e[1][0] for e in each])
-    named = langid.label_positions(net, "kata\n wons é")
-    assert len(named) == len("kata\n wons é".encode()) and named[0] == "xx" and named[6] == "yy"
+    both = "kata der\n mino auf " * 20 + "wons the é lyth ing " * 20
+    named = langid.label_positions(net, both)
+    assert len(named) == len(both.encode()) and set(named[100:300]) == {"xx"} and set(named[-300:-100]) == {"yy"}
+    # the state runs through white space: the same word is read otherwise among other words
+    alone, among = (net.positions(*langid._arrays([t]))[0, -4:] for t in (b"    kata", b"the lyth kata"))
+    assert np.abs(alone - among).max() > 1e-3
+
+
+def test_documents_pool_all_their_positions():
+    """Against the network run over each stretch by itself; a stretch is read with what is around it."""
+    net = langid.Net(["a", "b", "c"], seed=5)
+    for text in ("x", "short text", "word " * 52, "some é more words " * 60, "a" * 256, "b" * 513):
+        raw = text.encode()
+        runs = langid.stretches(text)
+        assert b"".join(r[lo:hi] for r, lo, hi in runs) == raw
+        want = np.zeros(3)
+        for k in range(0, len(raw), langid.STRETCH):
+            lo = max(0, k - langid.AROUND)
+            logs = net.positions(*langid._arrays([raw[lo:k + langid.STRETCH + langid.AROUND]]))[0]
+            want += logs[k - lo:k - lo + min(langid.STRETCH, len(raw) - k)].sum(0)
+        assert np.allclose(net.pooled(runs).sum(0) * langid.GRAIN, want, atol=0.01 * len(runs))
+        assert (net.pooled(runs) == np.concatenate([net.pooled([r]) for r in runs])).all() or len(runs) > 1
+
+
+def test_sample_is_the_first_by_hash(spark):
+    rows = [(k, f"text {k}", "aa" if k % 3 else "bb") for k in range(4000)] + [(7, "again", "aa"), (None, "none", "cc"), (8, None, "cc"), (9, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    near = {r[0]: r[1] for r in df.selectExpr("doc_id", "pmod(xxhash64(cast(doc_id as string)), 1073741824)").distinct().collect()}
+    out = langid.sample(df, "doc_id", "text", "lang")
+    for lang in ("aa", "bb", "cc"):
+        can = [(near[i], i, t) for i, t, own in rows if own == lang and t is not None and (i is None or zlib.crc32(str(i).encode()) % 4 != 2)]
+        can.sort(key=lambda x: (x[0], str(x[1]), x[2]))
+        assert sorted(r[0].decode() for own, r in out if own == lang) == sorted(t for _, _, t in can[:langid.DOCS_PER_LANGUAGE])
 
 
 def check_plan(histogram, capacities):
