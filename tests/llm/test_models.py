@@ -223,6 +223,40 @@ def test_plans(seed):
     assert sum(used.values()) / total > 0.75
 
 
+def naive_bins(lengths, capacities, costs):
+    """Best fit over explicit bins, one piece at a time: (contents in order, final size) of each bin."""
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        fits = [(size - sum(held), k) for k, (held, size) in enumerate(bins) if size - sum(held) >= length]
+        if fits:
+            bins[min(fits)[1]][0].append(length)
+            continue
+        prices = []
+        for size in capacities:
+            if size >= length:
+                filled = size // length * length
+                filled += max((x for x in lengths if x < length and x <= size - filled), default=0)
+                prices.append((costs[size] / filled, size))
+        bins.append(([length], min(prices)[1]))
+    return [(held, min((costs[c], c) for c in capacities if c >= sum(held))[1]) for held, _ in bins]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_plans_equal_naive_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    capacities = [(8, 16, 32), (16, 24, 64), (10,), (7, 11, 13, 50)][seed % 4]
+    costs = {c: c + float(rng.integers(0, 9)) for c in capacities}
+    histogram = {int(k): int(n) for k, n in zip(rng.integers(1, capacities[-1] + 1, 9), rng.integers(1, 25, 9))}
+    lines, runs = plan(histogram, capacities, costs)
+    held, sizes = {}, {}
+    for x in lines:
+        for k in range(x.pieces):
+            held.setdefault(x.bin + k // x.each, []).append(x.length)
+            sizes[x.bin + k // x.each] = x.size
+    want = naive_bins([k for k, n in histogram.items() for _ in range(n)], capacities, costs)
+    assert [(held[b], sizes[b]) for b in range(len(held))] == want
+
+
 def test_plan_is_small_for_any_number_of_documents():
     lines, runs = plan({k: 10**9 + k for k in range(1, 512)}, (128, 512))
     assert len(lines) < 10_000 and sum(r.bins for r in runs) > 10**9
