@@ -530,7 +530,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     A null or empty page has an empty text.  Pages without a host (null or odd urls) count as one host.
     The only page of a template is its own wrapper.  Repeated rows are extracted each.  Headers, labels
-    and buttons are left out also in an article.
+    and buttons are left out also in an article.  Pages are read whole, however long or deep; an empty table
+    gives no rows, and further columns of any name are not read.
     """
     host, _ = host_path(F.col(url_col))
 

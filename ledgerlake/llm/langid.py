@@ -318,7 +318,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """(id, held_out, lang_pred, score), one row per row of ``docs``.
 
     ``lang_pred`` is a learned language, or ``und`` with score 0 for a null text, a text without a
-    letter, or if there was nothing to learn from.  Repeated rows are judged each."""
+    letter, or if there was nothing to learn from.  Of languages with the same probability the first by name
+    is taken.  Repeated rows are judged each and alike, texts whole however long; an empty table gives no
+    rows, and further columns of any name are not read."""
     net = fit(docs, id_col, text_col, lang_col)
 
     @F.pandas_udf("struct<lang_pred string, score double>")

@@ -242,7 +242,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     ``n_base`` counts all places of the base phrases, ``first_word`` and ``last_word`` are their
     smallest and largest start (null without any).  ``labels`` has the base labels and those of the
     rules' settled detections.  ``score`` is the best kept priority on a scale from 0 (nothing) to 1
-    (a base phrase or an SPDX line).  Null and empty texts have no words and no labels.
+    (a base phrase or an SPDX line).  Null and empty texts have no words and no labels.  Repeated rows are
+    scanned each, texts whole however long; an empty table gives no rows, and further columns of any
+    name are not read.
     """
     docs = docs if RID in docs.columns else with_rid(docs)
     found = stored(detections(docs, text_col, rules), "detections")

@@ -147,7 +147,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
 
     A document's tokens are its runs of non-white characters.  ``start`` is the piece's first token
     in the document, ``bin_offset`` its first place in the bin.  Every token of every document is in
-    exactly one piece; a null text, or one without tokens, has none.  Equal rows are packed each.
+    exactly one piece; a null text, or one without tokens, has none.  Equal rows are packed each,
+    pieces of one length in order of their rows.  An empty table gives no rows, and further columns of any
+    name are not read.
     """
     largest = max(capacities)
     docs = docs if RID in docs.columns else with_rid(docs)

@@ -230,7 +230,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A text is its UTF-8 bytes, null counts as empty.  A byte is removed if a ``length``-byte string of
     the same text covers it that also starts earlier: in a row with a smaller id (null ids come
     first, rows with the same id in table order) or earlier in the same text.  ``kept`` is the rest,
-    as bytes, null where nothing is removed.
+    as bytes, null where nothing is removed.  An empty table gives no rows, and further columns of any
+    name are not read.
     """
     tagged = docs if RID in docs.columns else with_rid(docs)
     tagged = tagged.select(RID, F.col(id_col).alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"),

@@ -96,7 +96,8 @@ def match(trie: Node, host: str, path: str) -> Rule | None:
 def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", id_col: str = "page_id",
           url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict) for every row; ``rule`` is null where none fits, and the verdict
-    is then ``default`` (also for a null url, or one without a host).  Repeated rows are judged each."""
+    is then ``default`` (also for a null url, or one without a host).  Repeated rows are judged each,
+    urls whole however long; an empty table gives no rows, and further columns of any name are not read."""
     if sum(len(r.text) + 200 for r in rules) > MAX_TRIE_BYTES:
         table = pages.sparkSession.createDataFrame([(*r, k) for k, r in enumerate(rules)], "verdict string, host string, path string, position long")
         return judge_by_join(pages, table, default, id_col, url_col)

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlake.llm import langid, quality
@@ -167,6 +168,17 @@ def test_positions_and_memory_do_not_change_results():
     assert np.abs(alone - among).max() > 1e-3
 
 
+def test_repeated_documents_and_ties_have_one_language(spark):
+    rows = languages(60) + [(700, "kata mino der", None)] * 3 + [(None, "kata mino der", None)]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect()
+    assert len(out) == 64 and len({(r.lang_pred, r.score) for r in out if r.doc_id in (700, None)}) == 1
+    even = langid.Net(["aa", "bb"], hidden=2)
+    for k in even.p:
+        even.p[k] = np.zeros_like(even.p[k])
+    names, scores = langid._judge(even, pd.Series(["tie", "more " * 400]), {}, [np.zeros((0, 2), np.int64)])
+    assert names == ["aa", "aa"] and np.allclose(scores, 0.5)
+
+
 def test_documents_pool_all_their_positions():
     """Against the network run over each stretch by itself; a stretch is read with what is around it."""
     net = langid.Net(["a", "b", "c"], seed=5)
@@ -283,6 +295,32 @@ def test_pack(spark):
     assert CAPACITIES == tuple(sorted(CAPACITIES))
 
 
+def test_pipeline_on_odd_tables(spark, scratch):
+    """Nulls in any column, an empty table, clashing column names, repeated rows and a very long text."""
+    rows, labels = good_and_bad(60)
+    long = prose(31, 40_000) + "."
+    odd = [(None, None), (None, rows[1][1]), (900, long), (901, long), (902, ""), (903, rows[3][1]), (903, rows[3][1])]
+    for name, mine in (("odd", rows + odd), ("empty", [])):
+        folder = scratch(name)
+        docs = documents(spark, mine, extra=True).withColumn("lang", F.lit(None).cast("string"))
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, prose(991, 25)), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        if name == "empty":
+            assert corpus_pipeline.run(spark, folder).collect() == []
+        else:
+            table = spark.read.parquet(f"{folder}/documents.parquet")
+            good = corpus_pipeline.quality(spark, table, folder)
+            assert good.columns == table.columns and {3, 903} <= {r.doc_id for r in good.collect()}
+            # the classifier may reject so long a text; the other stages have no say in its quality
+            for step, stage in corpus_pipeline.STAGES[1:]:
+                stage(spark, table, folder).write.parquet(f"{folder}/{step}")
+                table = spark.read.parquet(f"{folder}/{step}")
+            assert sum(r.length for r in table.collect() if r.doc_id in (900, 901)) == 40_000
+            assert len({r.doc_id for r in table.collect()} & {900, 901}) == 1
+            assert sum(r.length for r in table.collect() if r.doc_id in (3, 903)) == len(rows[3][1].split())
+
+
 def test_pipeline_stages(spark, scratch):
     rows, labels = good_and_bad(160)
     item = prose(991, 25)

@@ -157,6 +157,18 @@ def test_wrapper_is_a_union_free_expression():
     assert pages.Wrapper(both, 3).constants() == {("body", "i")}
 
 
+def test_very_long_pages_and_urls(spark):
+    many = [f"line {k} of the story" for k in range(30_000)]
+    html = "<body><nav><a>x</a></nav>" + "".join(f"<p>{t}</p>" if k % 3 else f"<div><i>{t}</i></div>" for k, t in enumerate(many)) + "</body>"
+    rows = [(1, "http://a.com/1", html), (2, "http://a.com/2", html.replace("story", "tale"))]
+    assert got(pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id", "text") == [
+        (1, "\n".join(many)), (2, "\n".join(many).replace("story", "tale"))]
+    path = "/en/" + "a/" * 100_000
+    df = spark.createDataFrame([(1, f"HTTP://www.Example.com{path}?q"), (2, f"x://{'b.' * 50_000}net/fr/")], "page_id long, url string")
+    assert [(r.rule, r.verdict, len(r.host), len(r.path)) for r in judge(df, URL_RULES).orderBy("page_id").collect()] == [
+        url_row(f"HTTP://www.Example.com{path}?q")[2:] + (15, len(path)), url_row(f"x://{'b.' * 50_000}net/fr/")[2:] + (100_003, 4)]
+
+
 def test_deep_and_broken_pages():
     deep = "<div>" * 5000 + "x" + "</div>" * 10
     assert shown([deep]) == ["x"]
