@@ -10,8 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.scalar import coalesce_text, row_text, size_pretty
+from ledgerlake.sources.io import stage_table
 
 
 def _c(c) -> Column:
@@ -138,16 +140,73 @@ def plan_bytes(df: DataFrame) -> int:
 MAX_BROADCAST_BYTES = 256 * 2 ** 20
 
 
-def usable_strategy(right: DataFrame, strategy: str | None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> str | None:
+#: Bytes of a table in a join's memory that are broadcast at a time, what a row costs there besides its values,
+#: and the parts by a row's hash that slices are made of.
+SLICE_BYTES, ROW_BYTES, SLICE_PARTS = 128 * 2 ** 20, 64, 4096
+
+
+def _slice_part(df: DataFrame) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]), F.lit(SLICE_PARTS))
+
+
+def broadcast_slices(right: DataFrame, slice_bytes: int = SLICE_BYTES) -> int | None:
+    """Into how many slices by a row's hash a table must be cut so that each takes ``slice_bytes`` at most
+    when it is broadcast; None if copies of a row make a slice too large.  Counted from the rows, as file sizes
+    say little about memory."""
+    def width(f):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+        return F.lit(16)
+    bytes_ = sum([width(f).cast("long") for f in right.schema], F.lit(ROW_BYTES).cast("long"))
+    parts = {r.part: r.n for r in right.select(_slice_part(right).alias("part"), bytes_.alias("b")).groupBy("part").agg(F.sum("b").alias("n")).collect()}
+    slices = max(1, -(-sum(parts.values()) // slice_bytes))
+    while slices <= SLICE_PARTS:
+        sizes = [0] * slices
+        for p, n in parts.items():
+            sizes[p % slices] += n
+        if max(sizes) <= slice_bytes:
+            return slices
+        slices += 1 + slices // 8
+    return None
+
+
+def _strategy_and_slices(right: DataFrame, how: str, strategy: str | None, max_broadcast_bytes: int, slice_bytes: int) -> tuple[str | None, int]:
+    if strategy != "broadcast":
+        return strategy, 1
+    if plan_bytes(right) > max_broadcast_bytes:
+        return "merge", 1
+    slices = broadcast_slices(right, slice_bytes)
+    # only an inner join is the union of its slices' joins
+    return ("merge", 1) if slices is None or (slices > 1 and how != "inner") else ("broadcast", slices)
+
+
+def usable_strategy(right: DataFrame, strategy: str | None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                    how: str = "inner", slice_bytes: int = SLICE_BYTES) -> str | None:
     """The strategy that ``hinted_join`` will ask for: ``broadcast`` only while the
-    right side's estimated size is within the bound, else a sort merge join."""
-    return "merge" if strategy == "broadcast" and plan_bytes(right) > max_broadcast_bytes else strategy
+    right side's estimated size is within the bound and it can be cut into slices that fit, else a sort merge join."""
+    return _strategy_and_slices(right, how, strategy, max_broadcast_bytes, slice_bytes)[0]
 
 
 def hinted_join(left: DataFrame, right: DataFrame, on, how: str, strategy: str | None,
-                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Join with a chosen strategy (hint on the right side), see ``usable_strategy``."""
-    return left.join(with_strategy(right, usable_strategy(right, strategy, max_broadcast_bytes)), on, how)
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """Join with a chosen strategy (hint on the right side), see ``usable_strategy``.
+
+    A right side that takes more than ``slice_bytes`` in memory is broadcast in slices, one after another: the
+    driver and the executors hold one at a time, and its join is staged.  The result is then to be used by its
+    columns' names, and ``right`` must give the same rows each time."""
+    strategy, slices = _strategy_and_slices(right, how, strategy, max_broadcast_bytes, slice_bytes)
+    if slices == 1:
+        return left.join(with_strategy(right, strategy), on, how)
+    out, part = None, _slice_part(right)
+    for k in range(slices):
+        j = left.join(with_strategy(right.where(part % slices == k), strategy), on, how)
+        names = j.columns
+        j = stage_table(j.toDF(*[f"c{i}" for i in range(len(names))]), "join_slice")
+        out = j if out is None else out.unionByName(j)
+    return out.toDF(*names)
 
 
 def enrich(child: DataFrame, parent: DataFrame, fk: dict, cols: Sequence[str],

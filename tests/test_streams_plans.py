@@ -75,3 +75,24 @@ def test_broadcast_hint_falls_back_above_bound(spark):
         assert "SortMergeJoin" in plan(j)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_side_is_broadcast_in_slices(spark):
+    """No slice takes more than its bound, and the slices' joins make up the whole join."""
+    from ledgerlake.operators import relational as R
+    left = spark.range(3000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"), F.lit("l").alias("name"))
+    right = spark.range(400).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("k"), F.lit("r").alias("name"))
+    on = left.k == right.k
+    want = sorted(map(tuple, left.join(right, on).collect()))
+    assert R.broadcast_slices(right) == 1 and R.broadcast_slices(right.where("false")) == 1
+    assert R.broadcast_slices(right, 8000) > 4
+    j = R.hinted_join(left, right, on, "inner", "broadcast", slice_bytes=8000)
+    assert sorted(map(tuple, j.collect())) == want and j.columns == ["k", "v", "name", "k", "name"]
+    assert "BroadcastHashJoin" not in plan(j)                   # the slices' joins are done and staged
+    # what is not the union of its slices' joins, or has too many copies of a row, is merged
+    assert R.usable_strategy(right, "broadcast", slice_bytes=8000) == "broadcast"
+    assert R.usable_strategy(right, "broadcast", how="left", slice_bytes=8000) == "merge"
+    same = spark.range(400).select(F.lit(1).cast("long").alias("k"))
+    assert R.usable_strategy(same, "broadcast", slice_bytes=8000) == "merge"
+    assert sorted(map(tuple, R.hinted_join(left, right, on, "left", "broadcast", slice_bytes=8000).collect()), key=repr) == sorted(
+        map(tuple, left.join(right, on, "left").collect()), key=repr)
