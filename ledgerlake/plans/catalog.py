@@ -414,9 +414,11 @@ def restore_catalog(spark, d):
 @query("bucketed_join")
 def bucketed_join(spark, d):
     """Orders and lines bucketed by the order's key, joined and summed without a shuffle."""
-    from ledgerlake.sources.bucketed import save_bucketed
-    o = save_bucketed(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"], 8)
-    li = save_bucketed(_t(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("int").alias("qty")), ["l_orderkey"], 8)
+    from ledgerlake.sources.bucketed import bucket_count, save_bucketed
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    li = _t(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("int").alias("qty"))
+    buckets = bucket_count(o, li, least=8)
+    o, li = save_bucketed(o, ["o_orderkey"], buckets), save_bucketed(li, ["l_orderkey"], buckets)
     return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey", "o_custkey", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("total_qty"))
 

@@ -22,12 +22,20 @@ from ledgerlake.sources.io import fingerprint_of
 
 #: Times a bucket's even share that one key may hold.
 HOT_BUCKETS = 4
+#: Rows of a bucket, which one task sorts and joins.
+BUCKET_ROWS = 1_000_000
 
 
 class HotKey(ValueError):
     """A key holds too many rows for one bucket."""
 
 
+def bucket_count(*tables: DataFrame, least: int = 1, bucket_rows: int = BUCKET_ROWS) -> int:
+    """A number of buckets for tables that are to be joined: ``least``, or as many as leave about ``bucket_rows``
+    rows of the largest table in each, so that a task's memory does not grow with the tables."""
+    return max(least, *(-(-t.count() // bucket_rows) for t in tables))
+
+
 def save_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, name: str | None = None, hot_buckets: float = HOT_BUCKETS) -> DataFrame:
     """Write ``df`` as a catalog table in ``buckets`` sorted files by the hash of ``keys``, in the shared folder, and
     return it.  Tables join without a shuffle when keys have equal types and the numbers of buckets are equal.

@@ -47,6 +47,20 @@ def test_bucketed_query_shuffles_nothing(spark, no_broadcast):
     assert "Exchange" not in plan(QUERIES["bucketed_join"](spark, "/root/testdata/sf0.001"))
 
 
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    from ledgerlake.plans.catalog import QUERIES
+    small, large = spark.range(100), spark.range(1001)
+    assert B.bucket_count(small, large, bucket_rows=100) == 11 and B.bucket_count(small, large, least=8) == 8
+    assert B.bucket_count(small.where("false")) == 1
+    made = []
+    save = B.save_bucketed
+    monkeypatch.setattr(B, "save_bucketed", lambda df, keys, buckets: made.append((df.count(), buckets)) or save(df, keys, buckets))
+    monkeypatch.setattr(B.bucket_count, "__kwdefaults__", {"least": 1, "bucket_rows": 200})
+    QUERIES["bucketed_join"](spark, "/root/testdata/sf0.001")
+    (_, x), (lines, y) = made
+    assert x == y and lines <= 200 * y
+
+
 def test_hot_key_is_refused(spark):
     hot = spark.range(6000).select(F.when(F.col("id") < 2500, 1).otherwise(F.col("id")).alias("k"))
     with pytest.raises(B.HotKey):
