@@ -9,8 +9,11 @@ T8  trigram table for substring search: candidates by trigram match, then
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,26 +70,91 @@ def layout(df: DataFrame, sort_cols: Sequence[str], path: str, derived: dict | N
     return path
 
 
-# Every overlapping 3-character window, newlines included, in one linear pass.
-_TRIGRAM = r"(?s)(?=(.{3}))"
-
-
-def _trigrams(text: Column) -> Column:
-    """Distinct case-folded trigrams of a whole text (empty below 3 chars),
-    each stored as a 64-bit hash: longs shuffle and sort faster than strings,
-    and a collision can only add a candidate, which the recheck removes."""
-    grams = F.regexp_extract_all(F.lower(text), F.lit(_TRIGRAM), 1)
-    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
-
-
-def text_trigrams(text: Column) -> Column:
-    """The trigrams by which an index knows a text."""
-    return _trigrams(text)
+#: Bytes of text whose trigrams a task works on at a time; a longer text stands alone.
+GRAM_BYTES = 4 * 2 ** 20
+
+
+def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts, and where each text starts among them."""
+    wide = pa.types.is_large_string(texts.type)
+    _, at, data = texts.buffers()
+    at = np.frombuffer(at, np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+    at = at - at[0]
+    if not len(raw) or raw.max() < 128:
+        return raw.astype(np.uint32), at
+    heads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    return np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), "<u4"), heads[at]
+
+
+def _pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Every distinct pair of a trigram (three characters, one row) and the number of a text that holds it, sorted."""
+    points, at = _code_points(texts)
+    starts = np.repeat(np.arange(len(texts)), np.diff(at))[:max(0, len(points) - 2)]
+    inside = np.arange(len(starts)) + 2 < at[starts + 1]
+    seen = np.zeros(0x110000, bool)
+    seen[points] = True
+    chars = np.flatnonzero(seen).astype(np.uint32)
+    code = np.zeros(0x110000, np.int64)
+    code[chars] = np.arange(len(chars))
+    c, n, bits = code[points], len(chars), int(len(texts)).bit_length()
+    if n ** 3 << bits >= 2 ** 63:
+        # more kinds of characters than a number holds thrice beside a text's number
+        tri = np.unique(np.stack([points[:-2][inside], points[1:-1][inside], points[2:][inside], starts[inside].astype(np.uint32)], 1), axis=0)
+        return tri[:, :3], tri[:, 3].astype(np.int64)
+    both = ((((c[:-2] * n + c[1:-1]) * n + c[2:]) << bits) | starts)[inside]
+    both.sort()
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
+    tri = both >> bits
+    return np.stack([chars[tri // (n * n)], chars[tri // n % n], chars[tri % n]], 1) if n else np.zeros((0, 3), np.uint32), both & ((1 << bits) - 1)
+
+
+def _strings(tri: np.ndarray) -> pa.Array:
+    tri = np.ascontiguousarray(tri, dtype="<u4")
+    size = (1 + (tri >= 0x80).astype(np.int32) + (tri >= 0x800) + (tri >= 0x10000)).sum(1)
+    at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    data = tri.tobytes().decode("utf-32-le").encode("utf-8")
+    return pa.StringArray.from_buffers(len(tri), pa.py_buffer(at.tobytes()), pa.py_buffer(data))
+
+
+def _gram_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of ``(span, value, text)``: for each trigram and span of a batch the values of the texts that hold it."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = np.flatnonzero(np.diff(size // GRAM_BYTES)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(size)]):
+            spans, values = (batch.column(k).slice(lo, hi - lo) for k in (0, 1))
+            order = pc.sort_indices(spans)
+            spans, values = spans.take(order), values.take(order)
+            tri, text = _pairs(batch.column(2).slice(lo, hi - lo).take(order))
+            if not len(text):
+                continue
+            of = spans.to_numpy(zero_copy_only=False)[text]
+            new = np.concatenate([[True], (tri[1:] != tri[:-1]).any(1) | (of[1:] != of[:-1])])
+            first = np.flatnonzero(new)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(text)).astype(np.int32)), values.take(pa.array(text)))
+            yield pa.RecordBatch.from_arrays([pa.array(of[first]), _strings(tri[first]), lists], ["span", "gram", "held"])
+
+
+def gram_lists(df: DataFrame) -> DataFrame:
+    """``(span, tri, held)`` of a table ``(span bigint, value, text)``, spans and texts not null: values of texts by
+    their case-folded trigrams (of characters; none below 3).  A trigram and span may have several rows, one
+    for each piece of texts that a task worked on; a text's value is held once for each of its trigrams.
+
+    A trigram is stored as a 64-bit hash: longs shuffle and sort faster than strings, and a
+    collision can only add a candidate, which the recheck removes."""
+    value, text = df.columns[1:]
+    out = T.StructType([T.StructField("span", T.LongType()), T.StructField("gram", T.StringType()),
+                        T.StructField("held", T.ArrayType(df.schema[value].dataType))])
+    lists = df.select("span", value, F.lower(text)).mapInArrow(_gram_lists, out)
+    return lists.select("span", F.xxhash64("gram").alias("tri"), "held")
 
 
 def pattern_trigrams(spark: SparkSession, pattern: str) -> list[int]:
-    """A pattern's trigrams (bounded by its length), folded by the same expression as an index."""
-    return list(spark.range(1).select(_trigrams(F.lit(pattern))).first()[0])
+    """A pattern's trigrams (bounded by its length), folded and hashed as in an index."""
+    low = spark.range(1).select(F.lower(F.lit(pattern))).first()[0]
+    grams = sorted({low[k:k + 3] for k in range(len(low) - 2)})
+    return sorted({*spark.range(1).select(F.array(*[F.xxhash64(F.lit(g)) for g in grams])).first()[0]}) if grams else []
 
 
 #: Folders of a written index, by trigram; a lookup opens only those of its trigrams.
@@ -97,12 +165,12 @@ def trigram_index(df: DataFrame, key: str, col: str) -> DataFrame:
     """``(key, tri, bucket)`` rows, one per distinct trigram (hash) of each text.
 
     Texts are dealt out by key before the extraction, which costs far more than their
-    shuffle.  Postings are rebalanced by bucket and trigram: AQE keeps a trigram's postings
-    together and splits the partition of one that a large share of the texts holds."""
+    shuffle.  Keys travel in lists by trigram.  These are rebalanced by bucket and trigram: AQE keeps a trigram's
+    lists together and splits the partition of one that a large share of the texts holds."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(key, col).repartition(n, key).select(F.col(key), F.explode(_trigrams(F.col(col))).alias("tri"))
-    return rows.withColumn("bucket", F.pmod("tri", F.lit(BUCKETS)).cast("int")).hint("rebalance", "bucket", "tri").sortWithinPartitions(
-        "bucket", "tri", key)
+    texts = df.select(F.lit(0).cast("long").alias("span"), key, col).where(F.col(col).isNotNull()).repartition(n, key)
+    lists = gram_lists(texts).withColumn("bucket", F.pmod("tri", F.lit(BUCKETS)).cast("int")).hint("rebalance", "bucket", "tri")
+    return lists.sortWithinPartitions("bucket", "tri").select(F.explode("held").alias(key), "tri", "bucket")
 
 
 def write_trigram_index(df: DataFrame, key: str, col: str, path: str) -> str:

@@ -21,11 +21,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.layout import BUCKETS, pattern_trigrams, text_trigrams
+from ledgerlake.operators.layout import BUCKETS, gram_lists, pattern_trigrams
 from ledgerlake.sources import fs
 
 #: A block covers 2^BITS keys: bounds a block's size and the work of one intersection.
 BITS = 12
+#: Tasks that the texts of a key range are dealt out to at most, by their contents.
+DEALT = 8
 SCHEMA = "tri bigint, span bigint, offsets array<smallint>, bucket int"
 
 
@@ -33,6 +35,10 @@ def _span(key: Column) -> Column:
     return F.shiftright(key, BITS)
 
 
+def _union(lists: str) -> Column:
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(lists))))
+
+
 class GramIndex:
     """A trigram index of column ``col`` by whole-number column ``key``, below ``root``."""
 
@@ -62,13 +68,14 @@ class GramIndex:
         return {"folder": folder, "bytes": fs.size(self.spark, f"{self.root}/{folder}")}
 
     def _blocks(self, df: DataFrame) -> DataFrame:
-        """A hot trigram is as many groups as there are key ranges; its keys are collected on the map side first."""
+        """Texts of a key range meet in a few tasks, each of which lists the range's keys by trigram; a hot
+        trigram is as many groups as there are key ranges."""
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         key = F.col(self.key).cast("long")
-        texts = df.where(F.col(self.key).isNotNull() & F.col(self.col).isNotNull()).select(key.alias("k"), F.col(self.col).alias("t"))
-        rows = texts.repartition(n, "k", F.length("t")).select("k", F.explode(text_trigrams(F.col("t"))).alias("tri"))
-        offset = F.col("k").bitwiseAND((1 << BITS) - 1).cast("smallint")
-        return rows.groupBy("tri", _span(F.col("k")).alias("span")).agg(F.array_sort(F.collect_set(offset)).alias("offsets"))
+        texts = df.where(F.col(self.key).isNotNull() & F.col(self.col).isNotNull()).select(
+            _span(key).alias("span"), key.bitwiseAND((1 << BITS) - 1).cast("smallint").alias("offset"), F.col(self.col).alias("t"))
+        dealt = texts.repartition(n, "span", F.crc32("t").bitwiseAND(DEALT - 1)).sortWithinPartitions("span")
+        return gram_lists(dealt).groupBy("tri", "span").agg(_union("held").alias("offsets"))
 
     def append(self, df: DataFrame) -> None:
         """Add new texts, or the new texts of keys that are there.  Writes what these texts need, and merges the
@@ -90,7 +97,7 @@ class GramIndex:
 
     def _merge(self, seen: int, parts: list[dict], due: int, live: DataFrame | None) -> None:
         rows = self._read(parts[-due:]).groupBy("tri", "span").agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("offsets")))).alias("offsets"))
+            _union("offsets").alias("offsets"))
         if live is not None:
             key = F.col(self.key).cast("long")
             there = live.where(key.isNotNull()).groupBy(_span(key).alias("span")).agg(

@@ -104,3 +104,27 @@ def test_search_plan(spark, scratch):
     index.append(table(spark, [(k, f"alpha {k}") for k in range(50)]))
     plan = index.candidates("alpha")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "In(tri" in plan and "PartitionFilters: [bucket" in plan
+
+
+@pytest.mark.parametrize("gram_bytes", [1, 50, 1 << 22])
+def test_trigrams_travel_in_lists(spark, monkeypatch, gram_bytes):
+    """Values meet by trigram before any shuffle; trigrams are those of the characters."""
+    import pyarrow as pa
+
+    from ledgerlake.operators import layout
+    texts = ["alpha beta", "", "al", "één \U0001f600 alpha", "alpha\0\nalpha", "\U0001f600\U0001f601\U0001f602"] + ["the same words"] * 50
+    monkeypatch.setattr(layout, "GRAM_BYTES", gram_bytes)
+    batch = pa.RecordBatch.from_arrays([pa.array([k % 2 for k in range(len(texts))]), pa.array(range(len(texts))), pa.array(texts)], ["span", "v", "t"])
+    found = [(r["span"], r["gram"], v) for b in layout._gram_lists([batch, batch.slice(3, 0), batch.slice(1, 2)]) for r in b.to_pylist() for v in r["held"]]
+    want = {(k % 2, t[i:i + 3], k) for k, t in enumerate(texts) for i in range(len(t) - 2)}
+    assert sorted(found) == sorted(want)
+    # more kinds of characters than fit a number thrice
+    many = "".join(chr(c) for c in range(0x100, 0xd000)) * 2
+    wide = pa.RecordBatch.from_arrays([pa.array([0] * 70000), pa.array(range(70000)), pa.array([many[:4000], many] + [""] * 69998)], ["span", "v", "t"])
+    monkeypatch.setattr(layout, "GRAM_BYTES", 1 << 30)
+    n = sum(len(r["held"]) for b in layout._gram_lists([wide]) for r in b.to_pylist())
+    assert n == len({many[i:i + 3] for i in range(len(many) - 2)}) + 3998
+    rows = spark.createDataFrame([(0, k, "The Same words") for k in range(500)], "span long, k long, t string").coalesce(1)
+    lists = layout.gram_lists(rows)
+    assert lists.count() <= 13 and lists.selectExpr("sum(size(held))").first()[0] == 12 * 500
+    assert {r.tri for r in lists.collect()} == set(layout.pattern_trigrams(spark, "the SAME words"))
