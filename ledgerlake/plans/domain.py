@@ -7,10 +7,9 @@ Money is decimal from the first projection on (decision D5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.ordered import running_sum
 from ledgerlake.sources.io import stage_table
 from ledgerlake.sources.tables import load
 
@@ -37,7 +36,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLOT = "l_orderkey * 8 + l_linenumber"
 LINE_PHASE = 2 ** 59
 CHUNK_LINES = 500_000
-#: Equal lines that one row is unfolded to at a time.
+#: Equal lines, read in a row, that stay in one chunk.
 SAME_LINES = 2 ** 16
 
 
@@ -58,23 +57,23 @@ def lines(spark: SparkSession, sf_dir: str, chunk_lines: int = CHUNK_LINES, same
     """lineitem with a unique position ``pos``.  Lines may share (l_orderkey, l_linenumber), however
     many; such lines are numbered by all their columns, so equal ones are interchangeable.
 
-    Equal lines are one row with a count; rows are cut into ordered chunks of about ``chunk_lines``,
-    which cut through keys too, and numbered in two levels."""
+    Lines are sorted once, into ordered chunks of about ``chunk_lines`` which cut through keys too: equal lines
+    are told apart by where they were read, or by a part of ``same_lines`` of those read in a row.  A line's
+    position is its place in its chunk after the lines of the chunks before."""
     li = load(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    order = ["_slot", *keys, *[c for c in li.columns if c not in keys]]
-    same = li.groupBy(*li.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_slot", F.expr(SLOT))
-    chunks = 1 + li.count() // chunk_lines
-    same = stage_table(same.repartitionByRange(chunks, *order).withColumn("_cut", F.spark_partition_id()), "line_chunks")
-    upto = running_sum(same, None, order, "_n", "_upto", F.col("_cut"))
-    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / same_lines)))
-    parts = upto.withColumn("_part", part)
-    if (same.agg(F.max("_n")).first()[0] or 0) > same_lines:
-        parts = parts.repartition(chunks, *order, "_part")
-    low = F.col("_part") * same_lines
-    nth = F.explode(F.sequence(low + 1, F.least(low + same_lines, F.col("_n"))))
-    out = parts.withColumn("_nth", nth).withColumn("pos", F.col("_upto") - F.col("_n") + F.col("_nth"))
-    return stage_table(out.select(*li.columns, "pos"), "lines")
+    order = ["_slot", *keys, *[c for c in li.columns if c not in keys], "_tie"]
+    tie = F.floor(F.monotonically_increasing_id() / same_lines)
+    cut = li.withColumn("_slot", F.expr(SLOT)).withColumn("_tie", tie).repartitionByRange(1 + li.count() // chunk_lines, *order)
+    # the number of a row of a task is the task's, the chunk's, and from bit 33 down the row's in the task
+    placed = stage_table(cut.sortWithinPartitions(*order[:-1]).withColumn("_at", F.monotonically_increasing_id()).select(*li.columns, "_at"), "lines")
+    chunk, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(2 ** 33 - 1)
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a chunk
+    sizes = placed.groupBy(chunk.alias("_chunk")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = stage_table(sizes.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "line_chunks")
+    out = placed.join(F.broadcast(sizes), chunk == F.col("_chunk"))
+    return out.select(*li.columns, (F.col("_before") + place + 1).alias("pos"))
 
 
 def mart_log(spark: SparkSession, sf_dir: str, ordered: bool = True) -> DataFrame:

@@ -281,3 +281,25 @@ def test_lines_with_one_key_have_no_limit(spark, scratch):
     order = first + [k for k in range(len(names)) if k not in first]
     assert [tuple(k[i] for i in order) for k in keys] == sorted(tuple(r[i] for i in order) for r in spark.read.parquet(
         f"{root}/lineitem.parquet").select(*names).collect())
+
+
+def test_lines_are_moved_and_written_once(spark, scratch, monkeypatch):
+    from ledgerlake.plans import domain
+    staged, stage = [], domain.stage_table
+
+    def watched(df, name):
+        out = stage(df, name)
+        staged.append((out, out.count(), df._jdf.queryExecution().executedPlan().toString()))
+        return out
+    monkeypatch.setattr(domain, "stage_table", watched)
+    root = scratch("equal")
+    spark.range(900).selectExpr("1L l_orderkey", "2L l_partkey", "3L l_suppkey", "id % 2 as l_linenumber", "1.0D l_quantity", "1.0D l_extendedprice", "0.0D l_discount", "0.0D l_tax",
+                                "'R' l_returnflag", "'F' l_linestatus", "timestamp_ntz'1996-01-01 00:00:00' l_shipdate").withColumn(
+        "l_linenumber", F.col("l_linenumber").cast("int")).write.parquet(f"{root}/lineitem.parquet")
+    out = domain.lines(spark, root, chunk_lines=100, same_lines=10)
+    assert sorted((r.pos, r.l_linenumber) for r in out.collect()) == [(k, int(k > 450)) for k in range(1, 901)]
+    whole = [(df, plan) for df, n, plan in staged if n == 900]
+    assert len(whole) == 1 and "rangepartitioning" in whole[0][1] and "hashpartitioning" not in whole[0][1]
+    assert max(n for _, n, _ in staged if n != 900) <= 10
+    # equal lines do not stay in one task
+    assert max(r["count"] for r in whole[0][0].groupBy(F.shiftright("_at", 33)).count().collect()) < 450
